@@ -1,0 +1,28 @@
+"""Helpers shared by the expression and operator modules."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it any number of times in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def tail(items: Column) -> Column:
+    """All elements of an array but the first."""
+    return F.slice(items, 2, 2**30)
+
+
+def named(name: str) -> Column:
+    """Column by its exact name, which may hold dots and brackets."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def every(names: Iterable[str]) -> list[Column]:
+    """Columns by their exact names."""
+    return [named(n) for n in names]
