@@ -113,7 +113,7 @@ def assemble_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    title = H.joined_text(F.regexp_extract("html", "<title>([^<]*)</title>", 1))
+    title = F.expr(H.joined_text("regexp_extract(html, '<title>([^<]*)</title>', 1)"))
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("vec_id"), title.alias("name"), "url")
     found = retrieve.list_sources(
         hits(spark, sf_dir), pages, query_id="label", corpus_id="vec_id", title="name", link="url"

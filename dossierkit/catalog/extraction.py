@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dossierkit.catalog.common import squeeze, cents, grouped, table, text, whole
 from dossierkit.functions import html as H
+from dossierkit.functions.sqltext import transform
 from dossierkit.functions.text import join_tags as joined_tags
 from dossierkit.operators import extract
 from dossierkit.plans.country_profile import CURRENCY_HEADERS
@@ -111,14 +112,14 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Navigation labels of a page as one text, beside its title."""
     pages = table(spark, sf_dir, "pages")
-    labels = F.transform(H.elements(F.col("html"), H.open_tag("a")), lambda a: H.joined_text(a["inner"]))
-    title = H.joined_text(H.element(F.col("html"), H.open_tag("title"))["inner"])
-    return pages.select("page_id", joined_tags(labels).alias("tags"), title.alias("title"))
+    labels = transform(H.elements("html", H.open_tag("a")), lambda a: H.joined_text(f"{a}.inner"))
+    title = H.joined_text(f"{H.element('html', H.open_tag('title'))}.inner")
+    return pages.selectExpr("page_id", f"{joined_tags(labels)} AS tags", f"{title} AS title")
 
 
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return pages.select("page_id", H.main_text(F.col("html"), H.open_tag("article")).alias("text"))
+    return pages.select("page_id", F.expr(H.main_text("html", H.open_tag("article"))).alias("text"))
 
 
 QUERIES = {

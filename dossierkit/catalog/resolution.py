@@ -15,7 +15,7 @@ from dossierkit.sources.landed import fetched
 
 def indicator_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order value per nation and year. Orders are cut to one row per customer before any join."""
-    orders = table(spark, sf_dir, "orders").filter(in_window(F.col("o_orderdate"), WINDOW))
+    orders = table(spark, sf_dir, "orders").filter(in_window("o_orderdate", WINDOW))
     value = F.expr(cents("o_totalprice"))
     per_customer = shape.year_sums(orders, "o_custkey", F.col("o_orderdate"), value, "Order Value", YEARS)
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
@@ -41,7 +41,7 @@ def indicator_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last order value per customer, priority and year, as one pivot."""
     long = (
         table(spark, sf_dir, "orders")
-        .filter(in_window(F.col("o_orderdate"), WINDOW))
+        .filter(in_window("o_orderdate", WINDOW))
         .select(
             "o_custkey",
             F.col("o_orderpriority").alias("indicator"),
@@ -99,7 +99,7 @@ def alias_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     named = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    spine = named.select("c_custkey", country_key(F.expr(_SPELLING)).alias("raw"))
+    spine = named.select("c_custkey", F.expr(country_key(_SPELLING)).alias("raw"))
     aliases = nation.select(
         F.expr(f"'n-' || {text('n_nationkey')}").alias("alias"), F.lower("n_name").alias("target")
     )

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from dossierkit.catalog.common import squeeze, WINDOW, cents, grouped, money, table, text, whole
 from dossierkit.functions import jsonx, shares
 from dossierkit.functions import text as T
+from dossierkit.functions.sqltext import let, transform
 from dossierkit.operators.extract import indicator_rows as rows_of_payload
 from dossierkit.operators.resolve import explode_entities as names_of_cell
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    return documents.select("doc_id", T.clean_text(F.col("text")).alias("text"))
+    return documents.select("doc_id", F.expr(T.clean_text("text")).alias("text"))
 
 
 _PRICE = cents("l_extendedprice")
@@ -27,13 +28,13 @@ _NUMERIC = f"""case when l_orderkey % 7 = 0 then 'N/A' when l_orderkey % 11 = 0
 
 def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
-    return lineitem.select("l_orderkey", "l_linenumber", T.clean_numeric(F.expr(_NUMERIC)).alias("number"))
+    return lineitem.select("l_orderkey", "l_linenumber", F.expr(T.clean_numeric(_NUMERIC)).alias("number"))
 
 
 def clean_numeric_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First number of whole documents."""
     documents = table(spark, sf_dir, "documents")
-    return documents.select("doc_id", T.clean_numeric(F.col("text")).alias("number"))
+    return documents.select("doc_id", F.expr(T.clean_numeric("text")).alias("number"))
 
 
 _VALUE = f"""case when l_orderkey % 2 = 0 then '$' else '' end || {grouped(whole(_PRICE))} ||
@@ -43,7 +44,8 @@ _VALUE = f"""case when l_orderkey % 2 = 0 then '$' else '' end || {grouped(whole
 
 def parse_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
-    return lineitem.select("l_orderkey", "l_linenumber", T.parse_value(F.expr(_VALUE)).alias("amount"))
+    raw = lineitem.select("l_orderkey", "l_linenumber", F.expr(_VALUE).alias("raw"))
+    return raw.select("l_orderkey", "l_linenumber", F.expr(T.parse_value("raw")).alias("amount"))
 
 
 _DAY = "cast(cast(o_orderdate as date) as string)"
@@ -56,11 +58,12 @@ _SECOND = "case when o_orderkey % 5 = 0 then 'Updated Today' else 'Posted on ' |
 def posted_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates of two byline items per order; the later item wins."""
     orders = table(spark, sf_dir, "orders")
-    items = T.date_items(F.transform(F.array(F.expr(_PHRASE), F.expr(_SECOND)), T.clean_text))
-    return orders.select(
+    texts = transform(f"array({_PHRASE}, {_SECOND})", T.clean_text)
+    items = orders.select("o_orderkey", F.expr(T.date_items(texts)).alias("items"))
+    return items.select(
         "o_orderkey",
-        T.last_found(items, T.posted).alias("date_posted"),
-        T.last_found(items, T.updated).alias("date_updated"),
+        F.expr(T.last_found("items", T.posted)).alias("date_posted"),
+        F.expr(T.last_found("items", T.updated)).alias("date_updated"),
     )
 
 
@@ -69,7 +72,7 @@ _BYLINE = f"""case when c_custkey % 10 = 9 then ' , & ' else
 
 
 def split_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    authors = T.split_authors(F.expr(_BYLINE))
+    authors = F.expr(T.split_authors(_BYLINE))
     return table(spark, sf_dir, "customer").select(
         "c_custkey", F.array_join(authors, "; ").alias("authors"), F.size(authors).cast("bigint").alias("n")
     )
@@ -101,33 +104,33 @@ def json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population and name with their fallbacks."""
     profiles = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_PROFILE).alias("body"))
     parsed = profiles.withColumn("v", F.try_parse_json("body"))
-    v, body = F.col("v"), F.col("body")
     people = ("People and Society", "Population")
-    total = F.nullif(jsonx.json_text(v, *people, "total", source=body), F.lit("N/A"))
+    total = f"nullif({jsonx.json_text('v', *people, 'total', source='body')}, 'N/A')"
     name = T.first_text(
-        jsonx.json_text(v, "Government", "Country name", "conventional short form", default=None),
-        jsonx.json_text(v, "Government", "Country name", "conventional long form", default=None),
+        jsonx.json_text("v", "Government", "Country name", "conventional short form", default=None),
+        jsonx.json_text("v", "Government", "Country name", "conventional long form", default=None),
         default="Unknown",
     )
-    return parsed.select(
-        "c_custkey", F.coalesce(total, jsonx.json_text(v, *people, source=body)).alias("population"), name.alias("name")
+    return parsed.selectExpr(
+        "c_custkey",
+        f"coalesce({total}, {jsonx.json_text('v', *people, source='body')}) AS population",
+        f"{name} AS name",
     )
 
 
 def latest_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_PROFILE).alias("body"))
     field = "Real GDP per capita"
-    latest = jsonx.latest_year_text(F.try_parse_json("body"), "Economy", field, base=field)
-    return profiles.select("c_custkey", latest.alias("gdp"), T.clean_numeric(latest).alias("number"))
+    latest = jsonx.latest_year_text("try_parse_json(body)", "Economy", field, base=field)
+    return profiles.selectExpr("c_custkey", f"{latest} AS gdp").selectExpr("*", f"{T.clean_numeric('gdp')} AS number")
 
 
 def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON texts as they are: a number is no text, an object is its JSON."""
     events = table(spark, sf_dir, "events").withColumn("v", F.try_parse_json("props"))
-    return events.select(
-        "event_id",
-        jsonx.json_text(F.col("v"), "k").alias("k"),
-        T.clean_numeric(jsonx.json_text(F.col("v"), source=F.col("props"))).alias("number"),
+    whole_text = jsonx.json_text("v", source="props")
+    return events.selectExpr(
+        "event_id", f"{jsonx.json_text('v', 'k')} AS k", f"{T.clean_numeric(whole_text)} AS number"
     )
 
 
@@ -161,15 +164,15 @@ _SHARES = f"""case when o_orderkey % 13 = 0 then 'None' else 'Muslim ' || {text(
 
 
 def parse_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = shares.parse_shares(F.expr(_SHARES))
+    parsed = F.expr(let(_SHARES, shares.parse_shares))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.posexplode(parsed).alias("rank", "share"))
     return orders.select("o_orderkey", (F.col("rank") + 1).cast("bigint").alias("rank"), "share.name", "share.pct")
 
 
 def share_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    parsed = orders.select("o_orderkey", shares.parse_shares(F.expr(_SHARES)).alias("shares"))
-    return parsed.select("o_orderkey", *shares.share_slots(F.col("shares")))
+    parsed = orders.select("o_orderkey", F.expr(let(_SHARES, shares.parse_shares)).alias("shares"))
+    return parsed.selectExpr("o_orderkey", *shares.share_slots("shares"))
 
 
 QUERIES = {

@@ -1,176 +1,185 @@
 """Rows and fields out of HTML text.
 
-Grammar: attributes hold no '>'; tables do not nest in tables, paragraphs end at the next
-paragraph; elements that a selector lists do not nest in one another. Containers are closed at
-their matching end tag, so nested elements of the same name are fine. Script, style and comment
-content is never text. Entities need their ';'.
+Grammar: attributes hold no '>'; tables do not nest in tables, and a paragraph ends at the next
+one; elements that one selector lists do not nest in one another. Containers are closed at their
+matching end tag, so nested elements of the same name are fine. Script, style and comment content
+is never text. Entities need their ';'.
 """
 
 from __future__ import annotations
 
 from html.entities import name2codepoint
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from dossierkit.functions.binding import let, tail
+from dossierkit.functions.sqltext import at, before, let, matches, quote, tail, transform, transform_at
 from dossierkit.functions.text import clean_text, strip
 
 TAG = r"<[A-Za-z/!?][^>]*>"
-_NOISE = r"(?is)<script\b.*?(?:</script\s*>|$(?!\n))|<style\b.*?(?:</style\s*>|$(?!\n))|<!--.*?-->"
-# Stands for removed content, so that text on its two sides stays apart.
+_NOISE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?-->"
+# Stands for removed content, so that the texts on its two sides stay apart.
 _GAP = "<!>"
 
-# Named entities; the five that every page uses come first because look-up is a scan.
+# Named entities as one text, which the optimizer folds to a map; the five that every page uses
+# come first because look-up is a scan.
 _COMMON = ("amp", "lt", "gt", "quot", "nbsp")
-_NAMED = {n: chr(name2codepoint[n]) for n in (*_COMMON, *sorted(name2codepoint))} | {"apos": "'"}
+_CHARS = {n: chr(name2codepoint[n]) for n in (*_COMMON, *sorted(name2codepoint))} | {"apos": "'"}
+_NAMED = "str_to_map({}, '\\u0001', '\\u0002')".format(
+    quote("\x01".join(f"{name}\x02{char}" for name, char in _CHARS.items()))
+)
 
 
-def drop_noise(html: Column) -> Column:
+def drop_noise(html: str) -> str:
     """HTML without scripts, styles and comments."""
-    return F.regexp_replace(html, _NOISE, _GAP)
+    return f"regexp_replace({html}, {quote(_NOISE)}, '{_GAP}')"
 
 
-def _char(code: Column) -> Column:
+def _char(code: str) -> str:
     """Character of a code point; the replacement character when there is none."""
-    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("�"))
+    valid = f"({code} BETWEEN 1 AND {0xD7FF} OR {code} BETWEEN {0xE000} AND {0x10FFFF})"
+    return f"CASE WHEN {valid} THEN decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32') ELSE '�' END"
 
 
-def unescape(c: Column) -> Column:
+def unescape(c: str) -> str:
     """Entities decoded, each exactly once."""
-    named = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    ref = quote(r"^(#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]*);")
 
-    def decode(part: Column, ref: Column) -> Column:
-        number = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 12), 16, 10)).when(
-            ref.startswith("#"), F.substring(ref, 2, 12)
-        )
-        char = F.when(number.isNotNull(), _char(number.try_cast("bigint"))).otherwise(F.try_element_at(named, ref))
-        return F.coalesce(
-            F.concat(char, F.substr(part, F.length(ref) + F.lit(2))), F.concat(F.lit("&"), part)
-        )
+    def decoded(part: str, r: str) -> str:
+        code = f"CASE WHEN {matches(r, '^#[xX]')} THEN conv(substring({r}, 3), 16, 10) ELSE substring({r}, 2) END"
+        number = let(f"try_cast({code} AS bigint)", _char)
+        char = f"CASE WHEN startswith({r}, '#') THEN {number} ELSE try_element_at({_NAMED}, {r}) END"
+        return f"coalesce({char} || substring({part}, length({r}) + 2), '&' || {part})"
+
+    def piece(part: str, i: str) -> str:
+        return f"CASE WHEN {i} = 0 THEN {part} ELSE {let(f'regexp_extract({part}, {ref}, 1)', lambda r: decoded(part, r))} END"
 
-    def piece(part: Column, i: Column) -> Column:
-        ref = F.regexp_extract(part, r"^(#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]*);", 1)
-        return F.when(i == 0, part).otherwise(let(ref, lambda r: decode(part, r)))
+    return f"array_join({transform_at(f"split({c}, '&')", piece)}, '')"
 
-    return F.array_join(F.transform(F.split(c, "&"), piece), "")
 
+def bare_text(html: str, sep: str = "") -> str:
+    """Text of a fragment with each tag as ``sep``, white space as it is."""
+    return unescape(f"regexp_replace({html}, {quote(TAG)}, {quote(sep)})")
 
-def spaced_text(html: Column) -> Column:
+
+def spaced_text(html: str) -> str:
     """Text of a fragment with tags as spaces, squeezed."""
-    return clean_text(unescape(F.regexp_replace(html, TAG, " ")))
+    return clean_text(bare_text(html, " "))
 
 
-def joined_text(html: Column) -> Column:
+def joined_text(html: str) -> str:
     """Text of a fragment with tags as nothing, squeezed."""
-    return clean_text(unescape(F.regexp_replace(html, TAG, "")))
+    return clean_text(bare_text(html))
 
 
-def stripped_text(html: Column) -> Column:
+def stripped_text(html: str) -> str:
     """Text parts of a fragment, each stripped, joined without a separator."""
-    parts = F.transform(F.split(html, TAG), lambda p: strip(unescape(p)))
-    return F.array_join(parts, "")
+    return f"array_join({transform(f'split({html}, {quote(TAG)})', lambda p: strip(unescape(p)))}, '')"
 
 
-def open_tag(tag: str | None = None, cls: str | None = None, exact_cls: str | None = None, attrs: str = "") -> str:
+def open_tag(tag: str | None = None, cls: str | None = None, exact_cls: str | None = None) -> str:
     """Regex of an opening tag, by element name, by class token, or by the whole class text."""
-    name = rf"(?i:{tag})(?=[\s>/])" if tag else r"[A-Za-z][A-Za-z0-9]*(?=[\s>/])"
+    element_name = rf"(?i:{tag})(?=[\s>/])" if tag else r"[A-Za-z][A-Za-z0-9]*(?=[\s>/])"
+    attrs = ""
     if cls:
-        attrs = rf"""[^>]*?\s(?i:class)\s*=\s*(?:"(?:[^">]*\s)?{cls}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{cls}(?:\s[^'>]*)?'|{cls}(?=[\s>]))"""
+        attrs = (
+            rf"""[^>]*?\s(?i:class)\s*=\s*(?:"(?:[^">]*\s)?{cls}(?:\s[^">]*)?"|"""
+            rf"""'(?:[^'>]*\s)?{cls}(?:\s[^'>]*)?'|{cls}(?=[\s>]))"""
+        )
     elif exact_cls:
         attrs = rf"""[^>]*?\s(?i:class)\s*=\s*["']{exact_cls}["']"""
-    return rf"<{name}{attrs}[^>]*>"
+    return rf"<{element_name}{attrs}[^>]*>"
 
 
-def attribute(tag_text: Column, name: str) -> Column:
+def attribute(tag_text: str, attr: str) -> str:
     """Value of an attribute in an opening tag; '' when absent."""
-    value = F.regexp_extract(tag_text, rf"""^<[^>]*?\s(?i:{name})\s*=\s*("[^">]*"|'[^'>]*'|[^\s>"']+)""", 1)
-    return unescape(F.regexp_replace(value, r"""^["']|["']$""", ""))
-
-
-def _until_close(rest: Column, tag: Column) -> Column:
-    """Inner HTML: from just behind an opening tag up to its matching end tag."""
-    edge = F.concat(F.lit("(?=</?(?i:"), tag, F.lit(r")[\s>/])"))
-    opening = F.concat(F.lit("^<(?i:"), tag, F.lit(r")[\s>/]"))
-
-    def step(state: Column, part: Column) -> Column:
-        depth = F.when(part.startswith("</"), state["depth"] - 1).when(
-            F.rlike(part, opening), state["depth"] + 1
-        ).otherwise(state["depth"])
-        return F.when(state["depth"] == 0, state).otherwise(
-            let(
-                depth,
-                lambda d: F.struct(
-                    d.alias("depth"),
-                    F.when(d == 0, state["size"]).otherwise(state["size"] + F.length(part)).alias("size"),
-                ),
-            )
-        )
+    shape = quote(rf"""^<[^>]*?\s(?i:{attr})\s*=\s*("[^">]*"|'[^'>]*'|[^\s>"']+)""")
+    quotes = quote("""^["']|["']$""")
+    return unescape(f"regexp_replace(regexp_extract({tag_text}, {shape}, 1), {quotes}, '')")
 
-    def nested(text: Column) -> Column:
-        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("size"))
-        size = F.aggregate(F.split(text, edge), start, step)["size"]
-        return F.substr(text, F.lit(1), size)
 
-    closing = F.concat(F.lit("</(?i:"), tag, F.lit(r")[\s>/]"))
-    inner_open = F.concat(F.lit("<(?i:"), tag, F.lit(r")[\s>/]"))
-    simple = F.get(F.split(rest, closing, 2), F.lit(0))
-    return let(simple, lambda s: F.when(F.rlike(s, inner_open), nested(rest)).otherwise(s))
+def _until_close(rest: str, tag: str) -> str:
+    """Inner HTML: from just behind an opening tag up to its matching end tag.
+
+    ``tag`` is SQL text of the element name. Without a nested element of that name, the first end
+    tag is the match; otherwise a fold over the tags of that name keeps the depth and the size of
+    what was passed.
+    """
+    tail_of = quote(r")[\s>/]")
+
+    def shape(start: str, end: str = tail_of) -> str:
+        return f"concat({quote(start)}, {tag}, {end})"
+
+    def step(state: str, part: str) -> str:
+        depth = (
+            f"CASE WHEN startswith({part}, '</') THEN {state}.depth - 1 "
+            f"WHEN regexp_like({part}, {shape('^<(?i:')}) THEN {state}.depth + 1 ELSE {state}.depth END"
+        )
+        grown = let(
+            depth,
+            lambda d: f"named_struct('depth', {d}, 'size', "
+            f"{state}.size + CASE WHEN {d} = 0 THEN 0 ELSE length({part}) END)",
+        )
+        return f"CASE WHEN {state}.depth = 0 THEN {state} ELSE {grown} END"
+
+    edges = shape("(?=</?(?i:", quote(r")[\s>/])"))
+    start = "named_struct('depth', 1, 'size', 0)"
+    size = f"aggregate(split({rest}, {edges}), {start}, (s, p) -> {step('s', 'p')}).size"
+    first = at(f"split({rest}, {shape('</(?i:')}, 2)", 0)
+    return let(
+        first,
+        lambda f: f"CASE WHEN regexp_like({f}, {shape('<(?i:')}) THEN substring({rest}, 1, {size}) ELSE {f} END",
+    )
 
 
-def _element(chunk: Column) -> Column:
+def _element(chunk: str) -> str:
     """Struct of opening tag and inner HTML, for a text that starts with an opening tag."""
-    opening = F.regexp_extract(chunk, r"^<([A-Za-z][A-Za-z0-9]*)[^>]*>", 0)
 
-    def build(o: Column) -> Column:
-        name = F.regexp_extract(o, r"^<([A-Za-z][A-Za-z0-9]*)", 1)
-        rest = F.substr(chunk, F.length(o) + F.lit(1))
-        return F.struct(o.alias("open"), let(rest, lambda r: _until_close(r, name)).alias("inner"))
+    def build(opening: str) -> str:
+        tag = f"regexp_extract({opening}, {quote('^<([A-Za-z][A-Za-z0-9]*)')}, 1)"
+        rest = f"substring({chunk}, length({opening}) + 1)"
+        inner = let(f"struct({tag} AS tag, {rest} AS rest)", lambda x: _until_close(f"{x}.rest", f"{x}.tag"))
+        return f"struct({opening} AS open, {inner} AS inner)"
 
-    return let(opening, build)
+    return let(f"regexp_extract({chunk}, '^<[A-Za-z][^>]*>', 0)", build)
 
 
 # A leading space keeps the split from treating a match at the very start as no match.
-def elements(html: Column, pattern: str) -> Column:
+def elements(html: str, pattern: str) -> str:
     """All elements whose opening tag matches, in page order, as ``ARRAY<STRUCT<open, inner>>``."""
-    chunks = tail(F.split(F.concat(F.lit(" "), html), rf"(?={pattern})"))
-    return F.transform(chunks, _element)
+    return transform(tail(f"split(' ' || {html}, {quote(f'(?={pattern})')})"), _element)
 
 
-def element(html: Column, pattern: str) -> Column:
+def element(html: str, pattern: str) -> str:
     """First element whose opening tag matches, as ``STRUCT<open, inner>``; null when absent."""
-    chunk = F.get(F.split(F.concat(F.lit(" "), html), rf"(?={pattern})", 2), F.lit(1))
-    return let(chunk, lambda c: F.when(c.isNotNull(), _element(c)))
+    chunk = at(f"split(' ' || {html}, {quote(f'(?={pattern})')}, 2)", 1)
+    return let(chunk, lambda c: f"CASE WHEN {c} IS NOT NULL THEN {_element(c)} END")
 
 
-def elements_within(html: Column, scope: str, pattern: str) -> Column:
+def elements_within(html: str, scope: str, pattern: str) -> str:
     """All matching elements inside elements of a scope."""
-    return F.flatten(F.transform(elements(html, scope), lambda s: elements(s["inner"], pattern)))
+    return f"flatten({transform(elements(html, scope), lambda s: elements(f'{s}.inner', pattern))})"
 
 
 # Elements whose end also ends a paragraph that was opened inside them.
 _BLOCKS = "(?:article|aside|blockquote|body|div|footer|form|header|html|main|nav|ol|section|table|td|th|ul)"
 
 
-def paragraphs(html: Column) -> Column:
+def paragraphs(html: str) -> str:
     """Texts of the paragraphs of a fragment without noise.
 
     A paragraph ends at its end tag, at the next paragraph, or at the end of the element around it.
     """
 
-    def body(part: Column) -> Column:
-        closed = F.get(F.split(part, r"</(?i:p)\s*>", 2), F.lit(0))
-        return spaced_text(let(closed, lambda c: _until_close(c, F.lit(_BLOCKS))))
+    def body(part: str) -> str:
+        inside = let(before(part, r"</(?i:p)\s*>"), lambda c: _until_close(c, quote(_BLOCKS)))
+        return spaced_text(inside)
 
-    return F.transform(tail(F.split(html, r"<(?i:p)(?:\s[^>]*)?>")), body)
+    return transform(tail(f"split({html}, {quote(r'<(?i:p)(?:\s[^>]*)?>')})"), body)
 
 
-def main_text(html: Column, container: str = open_tag("div", "entry-content")) -> Column:
+def main_text(html: str, container: str = open_tag("div", "entry-content")) -> str:
     """Paragraphs of the container joined by spaces; of the whole page when there is no container."""
 
-    def build(page: Column) -> Column:
-        body = F.coalesce(element(page, container)["inner"], page)
-        return F.array_join(paragraphs(body), " ")
+    def build(page: str) -> str:
+        body = f"coalesce({element(page, container)}.inner, {page})"
+        return f"array_join({paragraphs(body)}, ' ')"
 
     return let(drop_noise(html), build)

@@ -4,85 +4,80 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from dossierkit.functions.binding import let
+from dossierkit.functions.sqltext import keep, let, quote, transform, transform_at
 from dossierkit.functions.text import WS, clean_numeric
 
 
 def json_path(*keys: str) -> str:
-    return "$" + "".join(f"['{k}']" for k in keys)
+    return quote("$" + "".join(f"['{k}']" for k in keys))
+
+
+def _text(default: str | None) -> str:
+    return "CAST(NULL AS string)" if default is None else quote(default)
 
 
-def _scalar_text(v: Column) -> Column:
+def _scalar_text(v: str) -> str:
     """Text of a scalar; a double is written without an exponent so that its digits can be read."""
-    plain = F.try_variant_get(v, "$", "decimal(38,10)").cast("string")
-    return F.when(F.schema_of_variant(v) == "DOUBLE", plain).otherwise(F.try_variant_get(v, "$", "string"))
-
-
-def _node_text(node: Column, default: str | None, raw: Column) -> Column:
-    kind = F.schema_of_variant(node)
-    text = F.try_variant_get(node, "$.text", "variant")
-    return (
-        F.when(kind == "STRING", F.try_variant_get(node, "$", "string"))
-        .when(kind == "OBJECT<>", F.lit(default))
-        .when(kind.startswith("OBJECT<"), F.when(text.isNotNull(), _scalar_text(text)).otherwise(raw))
-        .otherwise(F.lit(default))
-    )
+    plain = f"CAST(try_variant_get({v}, '$', 'decimal(38,10)') AS string)"
+    return f"CASE WHEN schema_of_variant({v}) = 'DOUBLE' THEN {plain} ELSE try_variant_get({v}, '$', 'string') END"
+
 
+def _node_text(node: str, default: str | None, raw: str) -> str:
+    """``raw`` is the JSON text of the node."""
 
-def json_text(v: Column, *keys: str, default: str | None = "N/A", source: Column | None = None) -> Column:
+    def by_kind(kind: str) -> str:
+        text = f"try_variant_get({node}, '$.text', 'variant')"
+        return (
+            f"CASE WHEN {kind} = 'STRING' THEN try_variant_get({node}, '$', 'string') "
+            f"WHEN startswith({kind}, 'OBJECT<') AND {kind} != 'OBJECT<>' THEN "
+            f"CASE WHEN {text} IS NOT NULL THEN {let(text, _scalar_text)} ELSE {raw} END "
+            f"ELSE {_text(default)} END"
+        )
+
+    return let(f"schema_of_variant({node})", by_kind)
+
+
+def json_text(v: str, *keys: str, default: str | None = "N/A", source: str | None = None) -> str:
     """Text at a path: a string, or the ``text`` of an object, or the object's JSON, else ``default``.
 
-    ``source`` is the unparsed document; with it, an object without ``text`` keeps the order of
-    its keys, otherwise they come sorted.
+    ``v`` is a VARIANT. ``source`` is the unparsed document; with it, an object without ``text``
+    keeps the order of its keys, otherwise they come sorted.
     """
     path = json_path(*keys)
     return let(
-        F.try_variant_get(v, path, "variant"),
-        lambda node: _node_text(
-            node,
-            default,
-            F.get_json_object(source, path) if source is not None else F.to_json(node),
-        ),
+        f"try_variant_get({v}, {path}, 'variant')",
+        lambda node: _node_text(node, default, f"get_json_object({source}, {path})" if source else f"to_json({node})"),
     )
 
 
-def latest_year_text(v: Column, *keys: str, base: str, default: str | None = "N/A") -> Column:
+def latest_year_text(v: str, *keys: str, base: str, default: str | None = "N/A") -> str:
     """Text of the entry ``"<base> YYYY…"`` with the greatest year; of equal years the first key."""
-    shape = rf"^{re.escape(base)}{WS}+(\d{{4}})"
+    shape = quote(rf"^{re.escape(base)}{WS}+(\d{{4}})")
 
-    def pick(entries: Column) -> Column:
-        years = F.transform(
-            F.filter(F.map_keys(entries), lambda k: F.rlike(k, F.lit(shape))),
-            lambda k: F.struct((-F.regexp_extract(k, shape, 1).cast("int")).alias("age"), k.alias("key")),
-        )
-        node = F.try_element_at(entries, F.array_min(years)["key"])
-        return F.coalesce(let(node, lambda n: _node_text(n, default, F.to_json(n))), F.lit(default))
+    def pick(entries: str) -> str:
+        dated = keep(f"map_keys({entries})", lambda k: f"regexp_like({k}, {shape})")
+        years = transform(dated, lambda k: f"struct(-CAST(regexp_extract({k}, {shape}, 1) AS int) AS age, {k} AS key)")
+        node = f"try_element_at({entries}, array_min({years}).key)"
+        return let(node, lambda n: _node_text(n, default, f"to_json({n})"))
 
-    return let(F.try_variant_get(v, json_path(*keys), "map<string,variant>"), pick)
+    return let(f"try_variant_get({v}, {json_path(*keys)}, 'map<string,variant>')", pick)
 
 
-def indicator_points(payload: Column) -> Column:
+def indicator_points(payload: str) -> str:
     """Year and value pairs of a ``[meta, rows]`` payload, as ``ARRAY<STRUCT<pos, year, value>>``.
 
     Null when the payload is not of that form, or when one date is not a year: such a payload is
     dropped whole.
     """
-    rows = F.try_variant_get(F.try_parse_json(payload), "$[1]", "array<struct<date:string,value:variant>>")
+    rows = f"try_variant_get(try_parse_json({payload}), '$[1]', 'array<struct<date:string,value:variant>>')"
 
-    def number(v: Column) -> Column:
-        text = F.try_variant_get(v, "$", "string")
-        return F.when(F.schema_of_variant(v) == "STRING", clean_numeric(text)).otherwise(
-            F.try_variant_get(v, "$", "double")
-        )
+    def number(v: str) -> str:
+        text = clean_numeric(f"try_variant_get({v}, '$', 'string')")
+        return f"CASE WHEN schema_of_variant({v}) = 'STRING' THEN {text} ELSE try_variant_get({v}, '$', 'double') END"
 
-    def point(r: Column, i: Column) -> Column:
-        year = F.trim(r["date"]).try_cast("int")
-        return F.struct(i.alias("pos"), year.alias("year"), number(r["value"]).alias("value"))
+    def point(r: str, i: str) -> str:
+        return f"struct({i} AS pos, try_cast(trim({r}.date) AS int) AS year, {number(f'{r}.value')} AS value)"
 
     return let(
-        F.transform(rows, point),
-        lambda points: F.when(~F.exists(points, lambda p: p["year"].isNull()), points),
+        transform_at(rows, point), lambda points: f"CASE WHEN NOT exists({points}, p -> p.year IS NULL) THEN {points} END"
     )

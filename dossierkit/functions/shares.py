@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from dossierkit.functions.binding import let
+from dossierkit.functions.sqltext import at, keep, let, matches, quote, transform
 from dossierkit.functions.text import WS, strip
 
 # Group -> words, in the order in which they are tried.
@@ -30,79 +28,64 @@ NO_SHARES = ("n/a", "none", "")
 MIN_SHARE = 0.01
 SLOTS = 5
 
-_PERCENT = rf"(\d{{1,3}}(?:\.\d+)?){WS}*%"
+_PERCENT = quote(rf"(\d{{1,3}}(?:\.\d+)?){WS}*%")
+_NOTHING = "CAST(array() AS array<struct<name:string,pct:double>>)"
 
 
-def _group_of(name: Column, rules: dict[str, list[str]]) -> Column:
-    """Position of the first rule with a word that occurs in ``name``; null when there is none."""
-    found = None
-    for i, words in enumerate(rules.values()):
-        shape = r"(?U)\b(?:" + "|".join(map(re.escape, words)) + r")\b"
-        hit = F.rlike(name, F.lit(shape))
-        found = F.when(hit, F.lit(i)) if found is None else found.when(hit, F.lit(i))
-    return found
+def _group_of(entry_name: str, rules: Mapping[str, list[str]]) -> str:
+    """Position of the first rule with a word that occurs in the name; null when there is none."""
+    cases = " ".join(
+        f"WHEN {matches(entry_name, r'(?U)\b(?:' + '|'.join(map(re.escape, words)) + r')\b')} THEN {i}"
+        for i, words in enumerate(rules.values())
+    )
+    return f"CASE {cases} END"
 
 
-def _entry(entry: Column, rules: dict[str, list[str]]) -> Column:
+def _entry(entry: str, rules: Mapping[str, list[str]]) -> str:
     """Group and share of one entry; the name is what stands before and behind the percentage."""
-    share = F.regexp_extract(entry, _PERCENT, 1).try_cast("double")
-
-    def named(parts: Column) -> Column:
-        name = F.concat(strip(F.get(parts, F.lit(0))), strip(F.get(parts, F.lit(1))))
-        return strip(F.replace(name, F.lit("%"), F.lit("")))
-
-    name = named(F.split(entry, _PERCENT, 2))
-    return F.when(share > 0, F.struct(let(name, lambda n: _group_of(n, rules)).alias("grp"), share.alias("pct")))
+    share = f"try_cast(regexp_extract({entry}, {_PERCENT}, 1) AS double)"
+    glued = let(f"split({entry}, {_PERCENT}, 2)", lambda p: f"{strip(at(p, 0))} || {strip(at(p, 1))}")
+    group = let(strip(f"replace({glued}, '%', '')"), lambda n: _group_of(n, rules))
+    return let(share, lambda s: f"CASE WHEN {s} > 0 THEN struct({group} AS grp, {s} AS pct) END")
 
 
-def parse_shares(c: Column, rules: dict[str, list[str]] | None = None, threshold: float = MIN_SHARE) -> Column:
+def parse_shares(c: str, rules: Mapping[str, list[str]] = RELIGION_RULES, threshold: float = MIN_SHARE) -> str:
     """Summed share per group, greatest first, ties in rule order: ``ARRAY<STRUCT<name, pct>>``.
 
     One text is one row all the way, so no shuffle is needed.
     """
-    rules = RELIGION_RULES if rules is None else rules
-    bare = strip(F.regexp_replace(c, r"(?d)\(.*?\)", ""))
-    entries = F.transform(F.split(bare, r"[;\n,]"), lambda e: F.lower(strip(e)))
-    kept = F.filter(entries, lambda e: (e != "") & ~e.startswith("note:"))
-    parsed = F.filter(F.transform(kept, lambda e: _entry(e, rules)), lambda e: e["grp"].isNotNull())
-
-    def total(i: int, name: str):
-        def build(found: Column) -> Column:
-            hits = F.filter(found, lambda e: e["grp"] == i)
-            pct = F.aggregate(hits, F.lit(0.0), lambda acc, e: acc + e["pct"])
-            return let(
-                pct,
-                lambda p: F.when(
-                    p > threshold,
-                    F.struct(
-                        (-F.round(p, 2)).alias("order"),
-                        F.lit(i).alias("rank"),
-                        F.lit(name).alias("name"),
-                        F.round(p, 2).alias("pct"),
-                    ),
-                ),
-            )
-
-        return build
-
-    def ranked(found: Column) -> Column:
-        sums = F.array(*[total(i, name)(found) for i, name in enumerate(rules)])
-        ordered = F.array_sort(F.filter(sums, lambda s: s.isNotNull()))
-        return F.transform(ordered, lambda s: F.struct(s["name"].alias("name"), s["pct"].alias("pct")))
-
-    shares = F.coalesce(let(parsed, ranked), F.array().cast("array<struct<name:string,pct:double>>"))
-    return F.when(F.lower(c).isin(*NO_SHARES), F.array().cast("array<struct<name:string,pct:double>>")).otherwise(shares)
-
-
-def share_slots(shares: Column, label: str = "Religion", slots: int = SLOTS) -> list[Column]:
+    bare = strip(f"regexp_replace({c}, {quote(r'(?d)\(.*?\)')}, '')")
+    entries = transform(f"split({bare}, '[;\\n,]')", lambda e: f"lower({strip(e)})")
+    kept = keep(entries, lambda e: f"{e} != '' AND NOT startswith({e}, 'note:')")
+    parsed = keep(transform(kept, lambda e: _entry(e, rules)), lambda e: f"{e}.grp IS NOT NULL")
+
+    def total(found: str, i: int, group: str) -> str:
+        hits = keep(found, lambda e: f"{e}.grp = {i}")
+        pct = f"aggregate({hits}, 0D, (a, e) -> a + e.pct)"
+        return let(
+            pct,
+            lambda p: f"CASE WHEN {p} > {threshold}D THEN "
+            f"struct(-round({p}, 2) AS falling, {i} AS rule, {quote(group)} AS name, round({p}, 2) AS pct) END",
+        )
+
+    def ranked(found: str) -> str:
+        sums = f"array({', '.join(total(found, i, group) for i, group in enumerate(rules))})"
+        ordered = f"array_sort({keep(sums, lambda s: f'{s} IS NOT NULL')})"
+        return transform(ordered, lambda s: f"struct({s}.name AS name, {s}.pct AS pct)")
+
+    marks = ", ".join(map(quote, NO_SHARES))
+    return f"CASE WHEN lower({c}) IN ({marks}) THEN {_NOTHING} ELSE coalesce({let(parsed, ranked)}, {_NOTHING}) END"
+
+
+def share_slots(shares: str, label: str = "Religion", slots: int = SLOTS) -> list[str]:
     """Name and percentage columns of the first ``slots`` shares; null where there are fewer."""
     return [
-        F.get(shares, F.lit(i))[field].alias(f"{label} {i + 1} {title}")
+        f"{at(shares, i)}.{field} AS `{label} {i + 1} {title}`"
         for i in range(slots)
         for field, title in (("name", "Name"), ("pct", "Percentage"))
     ]
 
 
-def shares_map(shares: Column) -> Column:
+def shares_map(shares: str) -> str:
     """Shares as a map, for JSON export."""
-    return F.map_from_entries(shares)
+    return f"map_from_entries({shares})"

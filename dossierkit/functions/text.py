@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from dossierkit.functions.sqltext import keep, let, literal_map, quote, transform
 
 # The characters that count as white space, as a regex class and as text.
 WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -19,13 +19,13 @@ WHITESPACE = "".join(
 
 # Unit -> (multiplier, divisor). Any other unit leaves the number as it is.
 UNIT_SCALES = {
-    "B": (1e9, 1.0),
-    "Billion": (1e9, 1.0),
-    "M": (1e6, 1.0),
-    "Million": (1e6, 1.0),
-    "T": (1e12, 1.0),
-    "Trillion": (1e12, 1.0),
-    "%": (1.0, 100.0),
+    "B": ("1e9D", "1D"),
+    "Billion": ("1e9D", "1D"),
+    "M": ("1e6D", "1D"),
+    "Million": ("1e6D", "1D"),
+    "T": ("1e12D", "1D"),
+    "Trillion": ("1e12D", "1D"),
+    "%": ("1D", "100D"),
 }
 
 # Fixed value: a byline item of this length or more is not a date phrase.
@@ -35,119 +35,116 @@ DATE_ITEM_LIMIT = 60
 WINDOW_YEARS = 8
 
 
-def strip(c: Column) -> Column:
+def strip(c: str) -> str:
     """Cut white space (Unicode) from both ends."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    return f"btrim({c}, {quote(WHITESPACE)})"
 
 
-def clean_text(c: Column) -> Column:
+def clean_text(c: str) -> str:
     """Squeeze every run of white space to one space; null becomes ''."""
-    return F.coalesce(F.trim(F.regexp_replace(c, WS + "+", " ")), F.lit(""))
+    return f"coalesce(trim(regexp_replace({c}, {quote(WS + '+')}, ' ')), '')"
 
 
-def clean_numeric(c: Column) -> Column:
+def clean_numeric(c: str) -> str:
     """First number in a text, with ``$ , %`` ignored; null when there is none.
 
     Placeholders such as 'N/A' or '-' hold no digit, so they need no rule of their own.
     """
-    bare = F.translate(c, "$,%", "")
-    return F.regexp_extract(bare, r"-?\d+(?:\.\d+)?", 0).try_cast("double")
+    number = quote(r"-?\d+(?:\.\d+)?")
+    return f"try_cast(regexp_extract(translate({c}, '$,%', ''), {number}, 0) AS double)"
 
 
-def parse_value(c: Column) -> Column:
+def parse_value(c: str) -> str:
     """Number with an optional unit, only when that is the whole string."""
-    raw = F.when(F.contains(c, F.lit("$")), strip(F.translate(c, "$", ""))).otherwise(c)
-    shape = rf"(?d)^{WS}*([\d,.]+){WS}*([A-Za-z.%/]*)$"
-    number = F.translate(F.regexp_extract(raw, shape, 1), ",", "").try_cast("double")
+    raw = f"CASE WHEN contains({c}, '$') THEN {strip(f"translate({c}, '$', '')")} ELSE {c} END"
+    shape = quote(rf"(?d)^{WS}*([\d,.]+){WS}*([A-Za-z.%/]*)$")
+    number = f"try_cast(translate(regexp_extract({raw}, {shape}, 1), ',', '') AS double)"
+    scales = ", ".join(f"{quote(unit)}, struct({times} AS x, {by} AS y)" for unit, (times, by) in UNIT_SCALES.items())
+    scale = f"coalesce(try_element_at(map({scales}), regexp_extract({raw}, {shape}, 2)), struct(1D AS x, 1D AS y))"
+    return f"({number} * {scale}.x / {scale}.y)"
 
-    def scale(times: float, by: float) -> Column:
-        return F.struct(F.lit(times).alias("times"), F.lit(by).alias("by"))
 
-    scales = F.create_map(*[x for unit, s in UNIT_SCALES.items() for x in (F.lit(unit), scale(*s))])
-    found = F.coalesce(F.try_element_at(scales, F.regexp_extract(raw, shape, 2)), scale(1.0, 1.0))
-    return number * found["times"] / found["by"]
-
-
-def country_key(c: Column) -> Column:
+def country_key(c: str) -> str:
     """Join key of a name: trimmed and lower case."""
-    return F.lower(strip(c))
+    return f"lower({strip(c)})"
 
 
-def lookup(c: Column, values: dict[str, str]) -> Column:
+def lookup(c: str, values: Mapping[str, str]) -> str:
     """Value of a key in a short fixed list; null when absent. Use a join for a table."""
-    return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), c)
+    return f"try_element_at({literal_map(values)}, {c})"
 
 
-def normalise_name(c: Column, aliases: dict[str, str]) -> Column:
+def normalise_name(c: str, aliases: Mapping[str, str]) -> str:
     """Replace a name by its alias in a short fixed list; other names stay."""
-    return F.coalesce(lookup(c, aliases), c)
+    return f"coalesce({lookup(c, aliases)}, {c})"
 
 
-def entities(c: Column) -> Column:
+def entities(c: str) -> str:
     """Names that share one cell: footnotes cut, split at ', ' and ' and ', leading 'the ' cut."""
-    bare = strip(F.regexp_replace(c, r"(?d)\[.*?\]", ""))
-    names = F.filter(F.transform(F.split(bare, ", | and "), strip), lambda x: x != "")
-    return F.transform(names, lambda x: F.regexp_replace(x, "^(?i:the )", ""))
+    footnote, the = quote(r"(?d)\[.*?\]"), quote("^(?i:the )")
+    parts = f"split({strip(f"regexp_replace({c}, {footnote}, '')")}, ', | and ')"
+    names = keep(transform(parts, strip), lambda x: f"{x} != ''")
+    return transform(names, lambda x: f"regexp_replace({x}, {the}, '')")
 
 
-def date_items(items: Column) -> Column:
+def date_items(items: str) -> str:
     """Byline items that are short enough and speak of a posting or an update."""
-    return F.filter(
+    return keep(
         items,
-        lambda x: (F.contains(x, F.lit("Posted")) | F.contains(x, F.lit("Updated")))
-        & (F.length(x) < DATE_ITEM_LIMIT),
+        lambda x: f"(contains({x}, 'Posted') OR contains({x}, 'Updated')) AND length({x}) < {DATE_ITEM_LIMIT}",
     )
 
 
-def _date_phrase(text: Column, word: str) -> Column:
-    phrase = F.regexp_extract(text, rf"(?iu){word}{WS}+(on{WS}+.*|[\p{{L}}\p{{N}}_]+)$", 1)
-    return F.nullif(F.trim(F.replace(phrase, F.lit("on "), F.lit(""))), F.lit(""))
+def _date_phrase(text: str, word: str) -> str:
+    shape = quote(rf"(?iu){word}{WS}+(on{WS}+.*|[\p{{L}}\p{{N}}_]+)$")
+    return f"nullif(trim(replace(regexp_extract({text}, {shape}, 1), 'on ', '')), '')"
 
 
-def posted(c: Column) -> Column:
+def posted(c: str) -> str:
     """Date text after 'Posted': one word, or everything after 'on'; null when absent."""
     return _date_phrase(clean_text(c), "Posted")
 
 
-def updated(c: Column) -> Column:
+def updated(c: str) -> str:
     """Date text after 'Updated': one word, or everything after 'on'; null when absent."""
     return _date_phrase(clean_text(c), "Updated")
 
 
-def date_value(c: Column) -> Column:
+def date_value(c: str) -> str:
     """Typed date beside the kept text, for the two spellings 'Jan 22, 2025' and '2025-01-22'."""
-    return F.coalesce(F.try_to_date(c, "MMM d, yyyy"), F.try_to_date(c, "yyyy-MM-dd"))
+    return f"coalesce(try_to_date({c}, 'MMM d, yyyy'), try_to_date({c}, 'yyyy-MM-dd'))"
 
 
-def last_found(items: Column, find) -> Column:
+def last_found(items: str, find: Callable[[str], str]) -> str:
     """``find`` over every item of an array; the last non-null answer."""
-    return F.try_element_at(F.filter(F.transform(items, find), lambda x: x.isNotNull()), F.lit(-1))
+    return f"try_element_at({keep(transform(items, find), lambda x: f'{x} IS NOT NULL')}, -1)"
 
 
-def _author_list(text: Column) -> Column:
-    parts = F.transform(F.split(text, r"(?U)[,&]|\band\b"), clean_text)
-    return F.filter(parts, lambda x: x != "")
+def _author_list(text: str) -> str:
+    parts = f"split({text}, {quote(r'(?U)[,&]|\band\b')})"
+    return keep(transform(parts, clean_text), lambda x: f"{x} != ''")
 
 
-def split_authors(c: Column) -> Column:
+def split_authors(c: str) -> str:
     """Authors of a byline; every 'By ' is dropped."""
-    return _author_list(F.replace(clean_text(c), F.lit("By "), F.lit("")))
+    return _author_list(f"replace({clean_text(c)}, 'By ', '')")
 
 
-def split_authors_loose(c: Column) -> Column:
+def split_authors_loose(c: str) -> str:
     """Authors of an unmarked byline; only one leading 'by ' (any case) is dropped."""
-    return _author_list(F.regexp_replace(clean_text(c), "^(?i:by )", ""))
+    return _author_list(f"regexp_replace({clean_text(c)}, {quote('^(?i:by )')}, '')")
 
 
-def join_tags(items: Column, sep: str = ", ") -> Column:
+def join_tags(items: str, sep: str = ", ") -> str:
     """Cleaned tags as one text."""
-    return F.array_join(F.transform(items, clean_text), sep)
+    return f"array_join({transform(items, clean_text)}, {quote(sep)})"
 
 
-def first_text(*cols: Column, missing: tuple[str, ...] = ("", "none", "N/A"), default: str | None = None) -> Column:
-    """First column that is neither null nor one of the ``missing`` marks."""
-    kept = [F.when(~c.isin(*missing), c) for c in cols]
-    return F.coalesce(*kept, F.lit(default))
+def first_text(*texts: str, missing: tuple[str, ...] = ("", "none", "N/A"), default: str | None = None) -> str:
+    """First text that is neither null nor one of the ``missing`` marks."""
+    marks = ", ".join(map(quote, missing))
+    kept = [let(c, lambda x: f"CASE WHEN {x} NOT IN ({marks}) THEN {x} END") for c in texts]
+    return f"coalesce({', '.join(kept)}, {'NULL' if default is None else quote(default)})"
 
 
 def year_window(as_of: dt.date, years: int = WINDOW_YEARS) -> tuple[int, int]:
@@ -155,9 +152,7 @@ def year_window(as_of: dt.date, years: int = WINDOW_YEARS) -> tuple[int, int]:
     return as_of.year - years, as_of.year - 1
 
 
-def in_window(date: Column, window: tuple[int, int]) -> Column:
+def in_window(date: str, window: tuple[int, int]) -> str:
     """Date inside the window, as literal bounds so that the scan can use them."""
     start, end = window
-    return (date >= F.lit(f"{start}-01-01").cast("timestamp_ntz")) & (
-        date < F.lit(f"{end + 1}-01-01").cast("timestamp_ntz")
-    )
+    return f"({date} >= TIMESTAMP_NTZ '{start}-01-01' AND {date} < TIMESTAMP_NTZ '{end + 1}-01-01')"

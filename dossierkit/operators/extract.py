@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dossierkit.functions import html as H
-from dossierkit.functions.binding import every, let, named, tail
 from dossierkit.functions.jsonx import indicator_points
+from dossierkit.functions.sqltext import at, before, col, cols, keep, let, matches, name, quote, tail, transform
 from dossierkit.functions.text import (
     clean_text,
     date_items,
@@ -18,22 +18,27 @@ from dossierkit.functions.text import (
     posted,
     split_authors,
     split_authors_loose,
+    strip,
     updated,
 )
 
 
-def _header_texts(chunk: Column) -> Column:
-    cells = tail(F.split(chunk, r"<(?i:th)(?=[\s>])[^>]*>"))
-    return F.transform(cells, lambda c: H.stripped_text(F.get(F.split(c, r"</(?i:t[hr])[\s>]", 2), F.lit(0))))
+def _others(df: DataFrame, column: str) -> list[str]:
+    return [c for c in df.columns if c != column]
 
 
-def _has_headers(chunk: Column, headers: list[str]) -> Column:
-    wanted = F.array(*[F.lit(h) for h in headers])
-    return F.size(F.array_except(wanted, _header_texts(chunk))) == 0
+def _header_texts(chunk: str) -> str:
+    cells = tail(f"split({chunk}, {quote(r'<(?i:th)(?=[\s>])[^>]*>')})")
+    return transform(cells, lambda c: H.stripped_text(before(c, r"</(?i:t[hr])[\s>]")))
 
 
-def _section(chunk: Column, name: str) -> Column:
-    return H.element(chunk, H.open_tag(name))["inner"]
+def _has_headers(chunk: str, headers: Sequence[str]) -> str:
+    wanted = f"array({', '.join(map(quote, headers))})"
+    return f"size(array_except({wanted}, {_header_texts(chunk)})) = 0"
+
+
+def _section(chunk: str, tag: str) -> str:
+    return f"{H.element(chunk, H.open_tag(tag))}.inner"
 
 
 def html_table_rows(
@@ -43,8 +48,8 @@ def html_table_rows(
     min_cells: int,
     table_id: str | None = None,
     table_class: str | None = None,
-    headers: list[str] | None = None,
-    fallback_headers: list[str] | None = None,
+    headers: Sequence[str] | None = None,
+    fallback_headers: Sequence[str] | None = None,
     body_only: bool = False,
     skip_first: bool = False,
 ) -> DataFrame:
@@ -55,41 +60,39 @@ def html_table_rows(
     ``min_cells`` cells are left out.
     """
 
-    def wanted(chunk: Column) -> Column:
-        test = F.lit(True)
+    def wanted(chunk: str) -> str:
+        tests = ["true"]
         if table_id:
-            test = test & F.rlike(chunk, F.lit(rf"""^<[^>]*?\s(?i:id)\s*=\s*["']?{table_id}["'\s>]"""))
+            tests.append(matches(chunk, rf"""^<[^>]*?\s(?i:id)\s*=\s*["']?{table_id}["'\s>]"""))
         if table_class:
-            test = test & F.rlike(chunk, F.lit("^" + H.open_tag("table", table_class)))
+            tests.append(matches(chunk, "^" + H.open_tag("table", table_class)))
         if headers:
-            test = test & _has_headers(chunk, headers)
-        return test
+            tests.append(_has_headers(chunk, headers))
+        return " AND ".join(tests)
 
-    def choose(chunks: Column) -> Column:
-        first = F.get(F.filter(chunks, wanted), F.lit(0))
+    def choose(chunks: str) -> str:
+        first = at(keep(chunks, wanted), 0)
         if not fallback_headers:
             return first
-        by_head = F.filter(chunks, lambda c: _has_headers(F.coalesce(_section(c, "thead"), F.lit("")), fallback_headers))
-        return F.coalesce(first, F.get(by_head, F.lit(0)))
+        by_head = keep(chunks, lambda c: _has_headers(f"coalesce({_section(c, 'thead')}, '')", fallback_headers))
+        return f"coalesce({first}, {at(by_head, 0)})"
 
-    page = F.concat(F.lit(" "), H.drop_noise(named(html)))
-    chunks = F.transform(
-        tail(F.split(page, r"(?=<(?i:table)[\s>])")), lambda c: F.get(F.split(c, r"</(?i:table)[\s>]", 2), F.lit(0))
-    )
-    table = let(chunks, choose)
+    page = f"' ' || {H.drop_noise(name(html))}"
+    chunks = tail(f"split({page}, {quote(r'(?=<(?i:table)[\s>])')})")
+    table = let(transform(chunks, lambda c: before(c, r"</(?i:table)[\s>]")), choose)
     if body_only:
         table = let(table, lambda t: _section(t, "tbody"))
-    rows = tail(F.split(table, r"<(?i:tr)(?:\s[^>]*)?>"))
+    rows = tail(f"split({table}, {quote(r'<(?i:tr)(?:\s[^>]*)?>')})")
     if skip_first:
         rows = tail(rows)
-    cells = F.transform(
-        tail(F.split(F.get(F.split("row_html", r"</(?i:tr)[\s>]", 2), F.lit(0)), r"<(?i:td)(?:\s[^>]*)?>")),
-        lambda c: H.stripped_text(F.get(F.split(c, r"</(?i:td)[\s>]", 2), F.lit(0))),
+    cells = transform(
+        tail(f"split({before('row_html', r'</(?i:tr)[\s>]')}, {quote(r'<(?i:td)(?:\s[^>]*)?>')})"),
+        lambda c: H.stripped_text(before(c, r"</(?i:td)[\s>]")),
     )
-    kept = [c for c in df.columns if c != html]
+    kept = cols(_others(df, html))
     return (
-        df.select(*every(kept), F.posexplode(rows).alias("row_no", "row_html"))
-        .select(*every(kept), "row_no", cells.alias("cells"))
+        df.select(*kept, F.posexplode(F.expr(rows)).alias("row_no", "row_html"))
+        .select(*kept, "row_no", F.expr(cells).alias("cells"))
         .filter(F.size("cells") >= min_cells)
     )
 
@@ -98,26 +101,26 @@ def html_cards(
     df: DataFrame,
     html: str,
     card: str,
-    fields: dict[str, Callable[[Column], Column]],
+    fields: Mapping[str, str],
     *,
     required: str | None = None,
     pattern: str | None = None,
 ) -> DataFrame:
     """One row per card of a page: the other columns, ``card_no`` and the fields.
 
-    ``card`` is the opening-tag regex of a card; each field is a function of the card, a
-    ``STRUCT<open, inner>``. Cards whose ``required`` field is null, empty or (with ``pattern``)
-    does not match are left out.
+    ``card`` is the opening-tag regex of a card; each field is an expression over ``card.open`` and
+    ``card.inner``. Cards whose ``required`` field is null, empty or (with ``pattern``) does not
+    match are left out.
     """
-    kept = [c for c in df.columns if c != html]
-    cards = H.elements(H.drop_noise(named(html)), card)
-    out = df.select(*every(kept), F.posexplode(cards).alias("card_no", "card")).select(
-        *every(kept), "card_no", *[build(F.col("card")).alias(name) for name, build in fields.items()]
+    kept = cols(_others(df, html))
+    cards = F.expr(H.elements(H.drop_noise(name(html)), card))
+    out = df.select(*kept, F.posexplode(cards).alias("card_no", "card")).select(
+        *kept, "card_no", *[F.expr(field).alias(title) for title, field in fields.items()]
     )
     if required:
-        out = out.filter(named(required) != "")
+        out = out.filter(col(required) != "")
         if pattern:
-            out = out.filter(F.rlike(named(required), F.lit(pattern)))
+            out = out.filter(F.rlike(col(required), F.lit(pattern)))
     return out
 
 
@@ -135,85 +138,72 @@ CARD_AUTHOR = H.open_tag("span", "byline-text")
 CARD_DEK = H.open_tag("p", "card-post-dek")
 
 
-def _card_link(card: Column) -> Column:
-    """The link element: the title link, else the image link."""
-    return F.coalesce(*[H.element(card["inner"], p) for p in CARD_LINKS])
-
-
-def _card_title(card: Column) -> Column:
-    in_link = H.element(_card_link(card)["inner"], CARD_TITLE)["inner"]
-    return H.joined_text(F.coalesce(in_link, H.element(card["inner"], CARD_TITLE)["inner"]))
-
+def _texts(items: str) -> str:
+    return transform(items, lambda e: H.joined_text(f"{e}.inner"))
 
-def _inner_texts(items: Column) -> Column:
-    return F.transform(items, lambda e: H.joined_text(e["inner"]))
 
+def _card_section() -> str:
+    scoped = _texts(H.elements_within("card.inner", CARD_SECTION_SCOPE, CARD_SECTION))
+    loose = _texts(H.elements("card.inner", CARD_SECTION_LOOSE))
+    return join_tags(let(scoped, lambda s: f"CASE WHEN size({s}) > 0 THEN {s} ELSE {loose} END"))
 
-def _card_section(card: Column) -> Column:
-    scoped = _inner_texts(H.elements_within(card["inner"], CARD_SECTION_SCOPE, CARD_SECTION))
-    loose = _inner_texts(H.elements(card["inner"], CARD_SECTION_LOOSE))
-    return join_tags(let(scoped, lambda s: F.when(F.size(s) > 0, s).otherwise(loose)))
 
-
-def _card_dates(card: Column) -> Column:
-    return date_items(_inner_texts(H.elements_within(card["inner"], CARD_META_SCOPE, CARD_META)))
-
-
-def _card_authors(card: Column) -> Column:
-    marked = _inner_texts(H.elements_within(card["inner"], CARD_BYLINE, CARD_AUTHOR))
-    byline = H.joined_text(H.element(card["inner"], CARD_BYLINE)["inner"])
+def _card_authors() -> str:
+    marked = _texts(H.elements_within("card.inner", CARD_BYLINE, CARD_AUTHOR))
+    loose = split_authors_loose(H.joined_text(f"{H.element('card.inner', CARD_BYLINE)}.inner"))
     return let(
-        marked,
-        lambda m: F.when(F.size(m) > 0, F.flatten(F.transform(m, split_authors))).otherwise(
-            split_authors_loose(byline)
-        ),
+        marked, lambda m: f"CASE WHEN size({m}) > 0 THEN flatten({transform(m, split_authors)}) ELSE {loose} END"
     )
 
 
-ARTICLE_FIELDS: dict[str, Callable[[Column], Column]] = {
-    "Section": _card_section,
-    "Title": _card_title,
-    "Link": lambda c: clean_text(H.attribute(_card_link(c)["open"], "href")),
-    "Author(s)": _card_authors,
-    "Date Posted": lambda c: F.coalesce(last_found(_card_dates(c), posted), F.lit("")),
-    "Date Updated": lambda c: F.coalesce(last_found(_card_dates(c), updated), F.lit("")),
-    "Updates": lambda c: H.joined_text(H.element(c["inner"], CARD_DEK)["inner"]),
-}
-
-
 def article_cards(df: DataFrame, html: str) -> DataFrame:
-    """Article records of listing pages, without the full text."""
-    return html_cards(df, html, CARD, ARTICLE_FIELDS, required="Link")
+    """Article records of listing pages, without the full text.
+
+    The link is the title link, else the image link; the title is in the link, else in the card.
+    """
+    links = ", ".join(H.element("card.inner", p) for p in CARD_LINKS)
+    parts = {
+        "link": f"coalesce({links})",
+        "items": date_items(_texts(H.elements_within("card.inner", CARD_META_SCOPE, CARD_META))),
+        "card": "card",
+    }
+    title = f"coalesce({H.element('link.inner', CARD_TITLE)}.inner, {H.element('card.inner', CARD_TITLE)}.inner)"
+    fields = {
+        "Section": _card_section(),
+        "Title": H.joined_text(title),
+        "Link": strip(H.attribute("link.open", "href")),
+        "Author(s)": _card_authors(),
+        "Date Posted": f"coalesce({last_found('items', posted)}, '')",
+        "Date Updated": f"coalesce({last_found('items', updated)}, '')",
+        "Updates": H.joined_text(f"{H.element('card.inner', CARD_DEK)}.inner"),
+    }
+    found = html_cards(df, html, CARD, parts)
+    out = found.select(*cols(_others(df, html)), "card_no", *[F.expr(f).alias(title) for title, f in fields.items()])
+    return out.filter(col("Link") != "")
 
 
 # Where the parts of a metric block are.
-BLOCK = r"<(?i:a)\s[^>]*?(?i:href)\s*=\s*[\"'][^\"'>]*country-military-strength-detail[^>]*>"
+BLOCK = r"""<(?i:a)\s[^>]*?(?i:href)\s*=\s*["'][^"'>]*country-military-strength-detail[^>]*>"""
 BLOCK_NAME = H.open_tag("div", "longFormName")
 BLOCK_VALUE = H.open_tag("div", "valueContainer")
 SPAN = H.open_tag("span")
 
 
-def _block_name(block: Column) -> Column:
-    name = H.element(block["inner"], BLOCK_NAME)["inner"]
-    return H.strip(H.unescape(F.regexp_replace(H.element(name, SPAN)["inner"], H.TAG, "")))
-
-
-def _block_value(block: Column) -> Column:
-    def text(fragment: Column) -> Column:
-        return H.strip(H.unescape(F.regexp_replace(fragment, H.TAG, "")))
-
-    def last_span(inner: Column) -> Column:
-        return F.coalesce(F.try_element_at(H.elements(inner, SPAN), F.lit(-1))["inner"], inner)
-
-    return F.coalesce(text(let(H.element(block["inner"], BLOCK_VALUE)["inner"], last_span)), F.lit(""))
-
-
 def metric_blocks(df: DataFrame, html: str) -> DataFrame:
-    """Country and raw value of every block of a metric page."""
-    out = html_cards(
-        df, html, BLOCK, {"country": _block_name, "raw_value": _block_value, "link": lambda b: H.attribute(b["open"], "href")}
-    )
-    return out.filter(F.col("country").isNotNull())
+    """Country, raw value and link of every block of a metric page; blocks without a name are left out."""
+    spans = H.elements("value", SPAN)
+    parts = {
+        "title": let(f"{H.element('card.inner', BLOCK_NAME)}.inner", lambda n: f"{H.element(n, SPAN)}.inner"),
+        "value": f"{H.element('card.inner', BLOCK_VALUE)}.inner",
+        "open": "card.open",
+    }
+    fields = {
+        "country": strip(H.bare_text("title")),
+        "raw_value": f"coalesce({strip(H.bare_text(f'coalesce(try_element_at({spans}, -1).inner, value)'))}, '')",
+        "link": H.attribute("open", "href"),
+    }
+    found = html_cards(df, html, BLOCK, parts).filter("title IS NOT NULL")
+    return found.select(*cols(_others(df, html)), "card_no", *[F.expr(f).alias(title) for title, f in fields.items()])
 
 
 # Where labels and values of a detail page are.
@@ -224,7 +214,7 @@ LABEL_VALUE = H.open_tag("span", exact_cls="textWhite textShadow")
 def label_values(
     df: DataFrame,
     html: str,
-    labels: dict[str, str],
+    labels: Mapping[str, str],
     container: str = LABEL_CONTAINER,
     value: str = LABEL_VALUE,
 ) -> DataFrame:
@@ -233,41 +223,31 @@ def label_values(
     The first container with a span that holds the label counts, and the first value span in it;
     a label without a container or without a value gives no row.
     """
-    kept = [c for c in df.columns if c != html]
 
-    def found(containers: Column, shape: str) -> Column:
-        title = F.lit(rf"<(?i:span)(?:\s[^>]*)?>[^<]*{shape}[^<]*</(?i:span)")
-        hit = F.get(F.filter(containers, lambda c: F.rlike(c["inner"], title)), F.lit(0))["inner"]
-        return H.strip(H.unescape(F.regexp_replace(H.element(hit, value)["inner"], H.TAG, "")))
+    def pairs(containers: str) -> str:
+        def hit(shape: str) -> str:
+            title = rf"<(?i:span)(?:\s[^>]*)?>[^<]*{shape}[^<]*</(?i:span)"
+            return f"{at(keep(containers, lambda c: matches(f'{c}.inner', title)), 0)}.inner"
 
-    def pairs(containers: Column) -> Column:
-        return F.array(
-            *[
-                F.struct(F.lit(field).alias("field"), found(containers, shape).alias("raw_value"))
-                for field, shape in labels.items()
-            ]
-        )
+        return f"array({', '.join(f'struct({quote(f)} AS field, {hit(s)} AS html)' for f, s in labels.items())})"
 
-    values = let(H.elements(H.drop_noise(named(html)), container), pairs)
-    return df.select(*every(kept), F.inline(F.filter(values, lambda v: v["raw_value"].isNotNull())))
+    kept = cols(_others(df, html))
+    hits = F.expr(let(H.elements(H.drop_noise(name(html)), container), pairs))
+    found = df.select(*kept, F.inline(hits).alias("field", "_hit"))
+    spans = found.select(*kept, "field", F.expr(f"{H.element('_hit', value)}.inner").alias("_value"))
+    values = F.expr(strip(H.bare_text("_value"))).alias("raw_value")
+    return spans.filter("_value IS NOT NULL").select(*kept, "field", values)
 
 
 def indicator_rows(df: DataFrame, payload: str, window: tuple[int, int]) -> DataFrame:
     """Long rows of indicator payloads: the other columns, ``pos``, ``year`` and ``value``."""
-    kept = [c for c in df.columns if c != payload]
-    points = F.filter(indicator_points(named(payload)), lambda p: p["year"].between(*window))
-    return df.select(*every(kept), F.inline(points))
+    start, end = window
+    points = keep(indicator_points(name(payload)), lambda p: f"{p}.year BETWEEN {start} AND {end}")
+    return df.select(*cols(_others(df, payload)), F.inline(F.expr(points)))
 
 
 def page_links(df: DataFrame, html: str, pattern: str | None = None) -> DataFrame:
     """Links of a page: the other columns, ``link_no``, ``href`` and ``label``."""
-    kept = [c for c in df.columns if c != html]
-    links = html_cards(
-        df.select(*every(kept), named(html)),
-        html,
-        H.open_tag("a"),
-        {"href": lambda a: H.attribute(a["open"], "href"), "label": lambda a: H.joined_text(a["inner"])},
-        required="href",
-        pattern=pattern,
-    )
+    fields = {"href": H.attribute("card.open", "href"), "label": H.joined_text("card.inner")}
+    links = html_cards(df, html, H.open_tag("a"), fields, required="href", pattern=pattern)
     return links.withColumnRenamed("card_no", "link_no")

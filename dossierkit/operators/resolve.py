@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossierkit.functions.binding import every, named
+from dossierkit.functions.sqltext import col, cols, name as quoted
 from dossierkit.functions.text import country_key, entities
 
 # A key with more rows than this on the left of a join is spread over several tasks.
@@ -22,8 +22,8 @@ def last_wins(df: DataFrame, keys: Sequence[str], ordinal: Sequence[str]) -> Dat
     more than any other.
     """
     rest = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*every(rest)), F.struct(*every(ordinal))).alias("last")
-    return df.groupBy(*every(keys)).agg(last).select(*every(keys), "last.*")
+    last = F.max_by(F.struct(*cols(rest)), F.struct(*cols(ordinal))).alias("last")
+    return df.groupBy(*cols(keys)).agg(last).select(*cols(keys), "last.*")
 
 
 def first_available(df: DataFrame, keys: Sequence[str], priority: Sequence[str], ok: Column) -> DataFrame:
@@ -32,8 +32,8 @@ def first_available(df: DataFrame, keys: Sequence[str], priority: Sequence[str],
     Misses come out of the same aggregate (their order is null), so there is no join back.
     """
     rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*every(rest)), F.when(ok, F.struct(*every(priority)))).alias("first")
-    return df.groupBy(*every(keys)).agg(first).select(*every(keys), "first.*")
+    first = F.min_by(F.struct(*cols(rest)), F.when(ok, F.struct(*cols(priority)))).alias("first")
+    return df.groupBy(*cols(keys)).agg(first).select(*cols(keys), "first.*")
 
 
 def candidates(df: DataFrame, *dims: tuple[str, Sequence[str]]) -> DataFrame:
@@ -46,30 +46,30 @@ def candidates(df: DataFrame, *dims: tuple[str, Sequence[str]]) -> DataFrame:
     return df
 
 
-def candidate_urls(df: DataFrame, template: str, *cols: str, name: str = "url") -> DataFrame:
+def candidate_urls(df: DataFrame, template: str, *parts: str, name: str = "url") -> DataFrame:
     """URL column from a printf template and the columns that fill it."""
-    return df.withColumn(name, F.format_string(template, *every(cols)))
+    return df.withColumn(name, F.format_string(template, *cols(parts)))
 
 
 def explode_entities(df: DataFrame, c: str, name: str = "entity") -> DataFrame:
     """One row per name in a shared cell, with ``entity_no`` and the join key ``<name>_key``."""
     rest = [x for x in df.columns if x != c]
-    out = df.select(*every(rest), F.posexplode(entities(named(c))).alias(f"{name}_no", name))
-    return out.withColumn(f"{name}_key", country_key(F.col(name)))
+    out = df.select(*cols(rest), F.posexplode(F.expr(entities(quoted(c)))).alias(f"{name}_no", name))
+    return out.withColumn(f"{name}_key", F.expr(country_key(quoted(name))))
 
 
 def distinct_codes(df: DataFrame, codes: str, name: str = "code") -> DataFrame:
     """Distinct union of code lists."""
-    return df.select(F.explode(named(codes)).alias(name)).distinct()
+    return df.select(F.explode(col(codes)).alias(name)).distinct()
 
 
 def alias_join(
     df: DataFrame, key: str, aliases: DataFrame, alias: str, target: str, row_id: Sequence[str]
 ) -> DataFrame:
     """Replace ``key`` by its target in an alias table; unknown keys stay."""
-    pairs = aliases.groupBy(named(alias).alias(key)).agg(F.max(named(target)).alias("_target"))
+    pairs = aliases.groupBy(col(alias).alias(key)).agg(F.max(col(target)).alias("_target"))
     joined = skew_left_join(df, pairs, key, row_id)
-    return joined.select(*[F.coalesce("_target", named(c)).alias(c) if c == key else named(c) for c in df.columns])
+    return joined.select(*[F.coalesce("_target", col(c)).alias(c) if c == key else col(c) for c in df.columns])
 
 
 def skew_left_join(
@@ -84,18 +84,18 @@ def skew_left_join(
     one part.
     """
     hot = (
-        left.groupBy(named(key).alias("_hot"))
+        left.groupBy(col(key).alias("_hot"))
         .agg(F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("_parts"))
         .filter((F.col("_parts") > 1) & F.col("_hot").isNotNull())
     )
     parts = F.coalesce("_parts", F.lit(1))
     spread = (
-        left.join(F.broadcast(hot), named(key) == F.col("_hot"), "left")
-        .withColumn("_part", F.pmod(F.xxhash64(*every(row_id)), parts).cast("int"))
+        left.join(F.broadcast(hot), col(key) == F.col("_hot"), "left")
+        .withColumn("_part", F.pmod(F.xxhash64(*cols(row_id)), parts).cast("int"))
         .drop("_hot", "_parts")
     )
     copies = (
-        right.join(F.broadcast(hot), named(key) == F.col("_hot"), "left")
+        right.join(F.broadcast(hot), col(key) == F.col("_hot"), "left")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_hot", "_parts")
     )
@@ -126,22 +126,22 @@ def enrich(spine: DataFrame, keys: Sequence[Column], sources: dict[str, Source])
             new = new & ~F.coalesce(key == earlier, F.lit(False))
         options.append(F.when(new, F.struct(F.lit(i).alias("_ord"), key.alias("_key"))))
     tried = F.filter(F.array(*options), lambda o: o.isNotNull())
-    keyed = spine.select("*", F.explode_outer(tried).alias("_c")).select(*every(spine.columns), "_c._ord", "_c._key")
+    keyed = spine.select("*", F.explode_outer(tried).alias("_c")).select(*cols(spine.columns), "_c._ord", "_c._key")
     joined = skew_left_join(keyed, _merged(sources), "_key", spine.columns)
     # a candidate equal to an earlier one was dropped, and the earlier one lies within any depth it has
     hit = [
         F.min_by(name, F.when(F.col(name).isNotNull() & (F.col("_ord") < s.depth), F.col("_ord"))).alias(name)
         for name, s in sources.items()
     ]
-    return joined.groupBy(*every(spine.columns)).agg(*hit)
+    return joined.groupBy(*cols(spine.columns)).agg(*hit)
 
 
 def _merged(sources: dict[str, Source]) -> DataFrame:
     """All sources by key, each as one struct column."""
     wide = None
     for name, s in sources.items():
-        one = s.df.filter(named(s.key).isNotNull()).select(
-            named(s.key).alias("_key"), F.struct(*every(c for c in s.df.columns if c != s.key)).alias(name)
+        one = s.df.filter(col(s.key).isNotNull()).select(
+            col(s.key).alias("_key"), F.struct(*cols(c for c in s.df.columns if c != s.key)).alias(name)
         )
         wide = one if wide is None else wide.unionByName(one, allowMissingColumns=True)
     return wide.groupBy("_key").agg(*[F.any_value(name, True).alias(name) for name in sources])

@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dossierkit.functions.binding import every, named
+from dossierkit.functions.sqltext import col, cols
+from dossierkit.functions.sqltext import name as quoted
 from dossierkit.functions.text import strip
 
 if TYPE_CHECKING:
@@ -41,7 +42,7 @@ def compose_document() -> Column:
     """Text of an article record: its fields as labelled lines, then the full text."""
 
     def field(name: str) -> Column:
-        return F.coalesce(named(name), F.lit(""))
+        return F.coalesce(col(name), F.lit(""))
 
     authors = F.coalesce(F.array_join("`Author(s)`", ","), F.lit(""))
     return F.concat(
@@ -124,11 +125,11 @@ def chunk_text(
     def split_long(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else split_text(t, size, overlap, separators))
 
-    c = named(text)
-    short = F.filter(F.array(strip(c)), lambda t: t != "")
+    c = col(text)
+    short = F.expr(f"filter(array({strip(quoted(text))}), t -> t != '')")
     long = split_long(F.when(F.length(c) > size, c))
     kept = [x for x in df.columns if x != text]
-    return df.select(*every(kept), F.posexplode(F.when(F.length(c) > size, long).otherwise(short)).alias("chunk_no", "chunk"))
+    return df.select(*cols(kept), F.posexplode(F.when(F.length(c) > size, long).otherwise(short)).alias("chunk_no", "chunk"))
 
 
 def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from dossierkit.functions.binding import every, named
+from dossierkit.functions.sqltext import col, cols
+from dossierkit.functions.sqltext import name as quoted
 from dossierkit.functions.text import clean_numeric
 
 
@@ -29,18 +30,18 @@ def indicator_pivot(
     """
 
     def cell(name: str, y: int) -> Column:
-        here = (named(indicator) == name) & (named(year) == y)
-        return F.max_by(named(value), F.when(here, named(ordinal))).alias(f"{name} {y}")
+        here = (col(indicator) == name) & (col(year) == y)
+        return F.max_by(col(value), F.when(here, col(ordinal))).alias(f"{name} {y}")
 
-    return df.groupBy(*every(keys)).agg(*[cell(name, y) for name in indicators for y in years])
+    return df.groupBy(*cols(keys)).agg(*[cell(name, y) for name in indicators for y in years])
 
 
 def year_sums(
     df: DataFrame, key: str, date: Column, value: Column, name: str, years: Sequence[int]
 ) -> DataFrame:
     """Sum of a value per key and year as columns ``"<name> <year>"``; years without rows are null."""
-    flat = df.select(named(key), F.year(date).alias("_year"), value.alias("_value"))
-    return flat.groupBy(named(key)).agg(*[F.sum(F.when(F.col("_year") == y, F.col("_value"))).alias(f"{name} {y}") for y in years])
+    flat = df.select(col(key), F.year(date).alias("_year"), value.alias("_value"))
+    return flat.groupBy(col(key)).agg(*[F.sum(F.when(F.col("_year") == y, F.col("_value"))).alias(f"{name} {y}") for y in years])
 
 
 def outer_merge(
@@ -58,8 +59,8 @@ def outer_merge(
     of tables, and a key occurs once however many rows it has. A key with only null values keeps
     its row; the last value of a cell wins.
     """
-    cells = [F.max_by(named(value), F.when(named(metric) == m, named(ordinal))).alias(m) for m in metrics]
-    return df.groupBy(named(key)).agg(*cells)
+    cells = [F.max_by(col(value), F.when(col(metric) == m, col(ordinal))).alias(m) for m in metrics]
+    return df.groupBy(col(key)).agg(*cells)
 
 
 def outer_join_pair(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -69,18 +70,18 @@ def outer_join_pair(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def to_numeric(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """All columns but ``keep`` as DOUBLE; what is not a number becomes null."""
-    return df.select(*[named(c) if c in keep else named(c).try_cast("double").alias(c) for c in df.columns])
+    return df.select(*[col(c) if c in keep else col(c).try_cast("double").alias(c) for c in df.columns])
 
 
 def clean_columns(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """First number of every column but ``keep``; numbers pass through as DOUBLE."""
 
     def clean(name: str) -> Column:
-        c = named(name)
+        c = col(name)
         if name in keep:
             return c
         number = isinstance(df.schema[name].dataType, NumericType)
-        return (c.cast("double") if number else clean_numeric(c)).alias(name)
+        return (c.cast("double") if number else F.expr(clean_numeric(quoted(name)))).alias(name)
 
     return df.select(*[clean(c) for c in df.columns])
 
@@ -89,14 +90,14 @@ def reconcile(df: DataFrame, declared: Sequence[str], drop: Sequence[str] = ())
     """Columns in declared order as far as present, then the others sorted."""
     present = set(df.columns) - set(drop)
     order = [c for c in declared if c in present]
-    return df.select(*every(order + sorted(present - set(declared))))
+    return df.select(*cols(order + sorted(present - set(declared))))
 
 
 def has_name(df: DataFrame, name: str) -> DataFrame:
     """Records that have a name."""
-    return df.filter(named(name) != "")
+    return df.filter(col(name) != "")
 
 
 def order_by_key(df: DataFrame, key: str) -> DataFrame:
     """Sorted by key in code-point order."""
-    return df.orderBy(named(key))
+    return df.orderBy(col(key))

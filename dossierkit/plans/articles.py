@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossierkit.functions.binding import every
 from dossierkit.functions.html import main_text
+from dossierkit.functions.sqltext import cols
 from dossierkit.operators.extract import article_cards
 from dossierkit.operators.resolve import last_wins, skew_left_join
 from dossierkit.operators.retrieve import chunk_text, compose_document
@@ -40,11 +40,11 @@ def articles(listing: DataFrame, details: DataFrame) -> DataFrame:
     counts, and a URL that many cards name is spread over tasks.
     """
     cards = article_cards(listing.select("page_id", "html"), "html")
-    pages = details.select(F.col("url").alias("Link"), "ordinal", main_text(F.col("html")).alias("Full Article"))
+    pages = details.select(F.col("url").alias("Link"), "ordinal", F.expr(main_text("html")).alias("Full Article"))
     texts = last_wins(pages, ["Link"], ["ordinal"]).drop("ordinal")
     joined = skew_left_join(cards, texts, "Link", ["page_id", "card_no"])
     full = F.coalesce("`Full Article`", F.lit(""))
-    return joined.withColumn("Full Article", full).select("page_id", "card_no", *every(ARTICLE_COLUMNS))
+    return joined.withColumn("Full Article", full).select("page_id", "card_no", *cols(ARTICLE_COLUMNS))
 
 
 def article_chunks(records: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossierkit.functions.binding import every, named
 from dossierkit.functions.jsonx import json_text, latest_year_text
 from dossierkit.functions.shares import parse_shares, share_slots
+from dossierkit.functions.sqltext import col, cols, name
 from dossierkit.functions.text import country_key, first_text, lookup, normalise_name, year_window
 from dossierkit.operators.extract import html_table_rows, indicator_rows
 from dossierkit.operators.resolve import Source, enrich, explode_entities, first_available, last_wins
@@ -72,7 +72,7 @@ KEEP = [*IDENTITY, *CURRENCY, FACTBOOK_NAME, RELIGIONS]
 
 
 def _cells(first: int, names: list[str]) -> list[Column]:
-    return [F.get("cells", F.lit(first + i)).alias(name) for i, name in enumerate(names)]
+    return [F.get("cells", F.lit(first + i)).alias(n) for i, n in enumerate(names)]
 
 
 def currency_table(pages: DataFrame) -> DataFrame:
@@ -86,9 +86,9 @@ def currency_table(pages: DataFrame) -> DataFrame:
 
 
 def _named_rows(rows: DataFrame, names: list[str]) -> DataFrame:
-    name = normalise_name(F.get("cells", F.lit(1)), PAGE_ALIASES)
-    keyed = rows.select(F.lower(name).alias("key"), "ordinal", "row_no", *_cells(2, names))
-    return last_wins(keyed, ["key"], ["ordinal", "row_no"]).select("key", *every(names))
+    country = normalise_name("get(cells, 1)", PAGE_ALIASES)
+    keyed = rows.select(F.expr(f"lower({country})").alias("key"), "ordinal", "row_no", *_cells(2, names))
+    return last_wins(keyed, ["key"], ["ordinal", "row_no"]).select("key", *cols(names))
 
 
 def population_table(pages: DataFrame) -> DataFrame:
@@ -127,26 +127,25 @@ def factbook_table(log: DataFrame) -> DataFrame:
     answered = first_available(log, ["code"], ["region_no"], fetched(F.col("status")))
     objects = answered.filter(F.rlike("body", F.lit(r"^\s*\{")))
     parsed = objects.withColumn("v", F.try_parse_json("body")).filter(F.col("v").isNotNull())
-    v, body = F.col("v"), F.col("body")
 
-    def text(*keys: str, default: str | None = "N/A") -> Column:
-        return json_text(v, *keys, default=default, source=body)
+    def text(*keys: str, default: str | None = "N/A") -> str:
+        return json_text("v", *keys, default=default, source="body")
 
-    def latest(field: str) -> Column:
-        return latest_year_text(v, "Economy", field, base=field)
+    def latest(field: str) -> str:
+        return latest_year_text("v", "Economy", field, base=field)
 
-    def total(*keys: str) -> Column:
-        return F.coalesce(F.nullif(text(*keys, "total"), F.lit("N/A")), text(*keys))
+    def total(*keys: str) -> str:
+        return f"coalesce(nullif({text(*keys, 'total')}, 'N/A'), {text(*keys)})"
 
     people, economy = "People and Society", "Economy"
     sectors = "GDP - composition, by sector of origin"
-    name = first_text(
+    country_name = first_text(
         text("Government", "Country name", "conventional short form", default=None),
         text("Government", "Country name", "conventional long form", default=None),
         default="Unknown",
     )
     fields = {
-        FACTBOOK_NAME: normalise_name(name, FACTBOOK_ALIASES),
+        FACTBOOK_NAME: normalise_name(country_name, FACTBOOK_ALIASES),
         RELIGIONS: text(people, "Religions"),
         "Population (Factbook)": total(people, "Population"),
         "Population Growth Rate (Factbook)": text(people, "Population growth rate"),
@@ -163,9 +162,9 @@ def factbook_table(log: DataFrame) -> DataFrame:
         "GDP Comp. - Industry % (Factbook)": text(economy, sectors, "industry"),
         "GDP Comp. - Services % (Factbook)": text(economy, sectors, "services"),
     }
-    records = parsed.select("code", "region_no", *[c.alias(n) for n, c in fields.items()])
-    keyed = records.withColumn("key", F.lower(named(FACTBOOK_NAME)))
-    return last_wins(keyed, ["key"], ["region_no", "code"]).select("key", *every(fields))
+    records = parsed.select("code", "region_no", *[F.expr(e).alias(n) for n, e in fields.items()])
+    keyed = records.withColumn("key", F.lower(col(FACTBOOK_NAME)))
+    return last_wins(keyed, ["key"], ["region_no", "code"]).select("key", *cols(fields))
 
 
 def indicator_table(payloads: DataFrame, as_of: dt.date) -> DataFrame:
@@ -173,7 +172,7 @@ def indicator_table(payloads: DataFrame, as_of: dt.date) -> DataFrame:
     window = year_window(as_of)
     landed = payloads.filter(fetched(F.col("status")) & F.col("indicator").isin(*INDICATORS))
     rows = indicator_rows(landed.select("country_code", "indicator", "body"), "body", window)
-    named = rows.withColumn("indicator", normalise_name(F.col("indicator"), INDICATORS))
+    named = rows.withColumn("indicator", F.expr(normalise_name("indicator", INDICATORS)))
     return indicator_pivot(named, ["country_code"], list(INDICATORS.values()), range(window[0], window[1] + 1))
 
 
@@ -191,9 +190,9 @@ class Landed:
 
 def country_profile(landed: Landed, as_of: dt.date) -> DataFrame:
     """One row per country of the spine: the flat columns, the religion text and the parsed shares."""
-    spine = has_name(landed.spine.select(*every(IDENTITY)), "Country")
-    raw = country_key(F.col("Country"))
-    keys = [normalise_name(raw, MATCH_ALIASES), raw, normalise_name(raw, CURRENCY_ALIASES)]
+    spine = has_name(landed.spine.select(*cols(IDENTITY)), "Country")
+    raw = country_key("Country")
+    keys = [F.expr(k) for k in (normalise_name(raw, MATCH_ALIASES), raw, normalise_name(raw, CURRENCY_ALIASES))]
     sources = {
         "currency": Source(currency_table(landed.currency_pages), "key", 3),
         "population": Source(population_table(landed.population_pages), "key", 2),
@@ -201,7 +200,7 @@ def country_profile(landed: Landed, as_of: dt.date) -> DataFrame:
         "factbook": Source(factbook_table(landed.factbook_log), "key", 2),
     }
     found = enrich(spine, keys, sources)
-    code = F.coalesce(lookup(F.col("Country"), CODE_OVERRIDES), named("Alpha-3"))
+    code = F.coalesce(F.expr(lookup("Country", CODE_OVERRIDES)), col("Alpha-3"))
     indicators = indicator_table(landed.indicator_payloads, as_of)
     joined = found.withColumn("country_code", code).join(indicators, "country_code", "left")
     years = [c for c in indicators.columns if c != "country_code"]
@@ -210,18 +209,18 @@ def country_profile(landed: Landed, as_of: dt.date) -> DataFrame:
         return F.col(source)[name]
 
     wide = joined.select(
-        *every(IDENTITY),
+        *cols(IDENTITY),
         *[F.coalesce(field("currency", c), F.lit("N/A")).alias(c) for c in CURRENCY],
-        *every(years),
+        *cols(years),
         *[field("population", c).alias(c) for c in POPULATION],
         *[field("life", c).alias(c) for c in LIFE],
         *[field("factbook", c).alias(c) for c in [FACTBOOK_NAME, RELIGIONS, *FACTBOOK]],
     )
     clean = clean_columns(wide, KEEP)
-    return clean.withColumn(RELIGIONS_PARSED, parse_shares(named(RELIGIONS)))
+    return clean.withColumn(RELIGIONS_PARSED, F.expr(parse_shares(name(RELIGIONS))))
 
 
 def profile_table(profile: DataFrame) -> DataFrame:
     """The flat table: declared columns in order, shares as slots."""
     flat = [c for c in profile.columns if c not in (RELIGIONS, RELIGIONS_PARSED)]
-    return profile.select(*every(flat), *share_slots(named(RELIGIONS_PARSED)))
+    return profile.select(*cols(flat), *[F.expr(s) for s in share_slots(name(RELIGIONS_PARSED))])

@@ -33,7 +33,7 @@ def strength_matrix(metric_pages: DataFrame, detail_pages: DataFrame) -> DataFra
         "country", F.col("field").alias("metric"), "raw_value", F.struct("ordinal", F.lit(0).alias("card_no")).alias("ordinal")
     )
     long = metrics.unionByName(details).select(
-        F.col("country").alias("Country"), "metric", parse_value(F.col("raw_value")).alias("value"), "ordinal"
+        F.col("country").alias("Country"), "metric", F.expr(parse_value("raw_value")).alias("value"), "ordinal"
     )
     wide = outer_merge(long, "Country", FIELDS)
     return order_by_key(to_numeric(wide, ["Country"]), "Country")

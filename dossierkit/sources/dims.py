@@ -6,8 +6,7 @@ caller lands: a country table, and the fetch log itself.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from dossierkit.functions.text import lookup, normalise_name
 
@@ -156,10 +155,9 @@ MAP_NAMES = {
 }
 
 
-def map_name(country: Column) -> Column:
+def map_name(country: str) -> str:
     """Name of a country in a map URL."""
-    named = normalise_name(country, MAP_NAMES)
-    return F.lower(F.replace(named, F.lit(" "), F.lit("-")))
+    return f"lower(replace({normalise_name(country, MAP_NAMES)}, ' ', '-'))"
 
 
 def metric_dim(spark: SparkSession) -> DataFrame:
@@ -170,9 +168,9 @@ def metric_dim(spark: SparkSession) -> DataFrame:
     )
 
 
-def metric_of(url: Column) -> Column:
+def metric_of(url: str) -> str:
     """Metric of a page URL; null for other pages."""
-    return lookup(F.substring_index(url, "/", -1), METRIC_PAGES)
+    return lookup(f"substring_index({url}, '/', -1)", METRIC_PAGES)
 
 
 def country_dim(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierkit.functions.binding import named
+from dossierkit.functions.sqltext import col
 
 LIST_SEPARATOR = "; "
 
@@ -23,7 +23,7 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "err
     """CSV with header in the given column order; null is empty, lists are joined."""
 
     def flat(name: str):
-        c = named(name)
+        c = col(name)
         is_list = df.schema[name].dataType.typeName() == "array"
         return F.array_join(c, LIST_SEPARATOR).alias(name) if is_list else c
 
