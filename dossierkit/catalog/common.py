@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossierkit.functions.text import WS, year_window
+from dossierkit.functions.text import year_window
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -26,6 +26,10 @@ def text(c: str) -> str:
     return f"cast({c} as string)"
 
 
+# White space as DuckDB's regex engine writes it.
+WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
 def squeeze(c: str) -> str:
     """White space to one space, in DuckDB."""
     return f"trim(regexp_replace({c}, '{WS}+', ' ', 'g'))"

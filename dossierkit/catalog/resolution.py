@@ -16,8 +16,7 @@ from dossierkit.sources.landed import fetched
 def indicator_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order value per nation and year. Orders are cut to one row per customer before any join."""
     orders = table(spark, sf_dir, "orders").filter(in_window("o_orderdate", WINDOW))
-    value = F.expr(cents("o_totalprice"))
-    per_customer = shape.year_sums(orders, "o_custkey", F.col("o_orderdate"), value, "Order Value", YEARS)
+    per_customer = shape.year_sums(orders, "o_custkey", "o_orderdate", cents("o_totalprice"), "Order Value", YEARS)
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     names = [f"Order Value {y}" for y in YEARS]
     per_nation = (

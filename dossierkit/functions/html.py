@@ -9,12 +9,13 @@ is never text. Entities need their ';'.
 from __future__ import annotations
 
 from html.entities import name2codepoint
+from typing import NamedTuple
 
-from dossierkit.functions.sqltext import at, before, let, matches, quote, tail, transform, transform_at
+from dossierkit.functions.sqltext import at, before, from_first, let, matches, quote, split_on, tail, transform, transform_at
 from dossierkit.functions.text import clean_text, strip
 
 TAG = r"<[A-Za-z/!?][^>]*>"
-_NOISE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?-->"
+_NOISE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?-->|\x00"
 # Stands for removed content, so that the texts on its two sides stay apart.
 _GAP = "<!>"
 
@@ -71,11 +72,18 @@ def joined_text(html: str) -> str:
 
 def stripped_text(html: str) -> str:
     """Text parts of a fragment, each stripped, joined without a separator."""
-    return f"array_join({transform(f'split({html}, {quote(TAG)})', lambda p: strip(unescape(p)))}, '')"
+    return f"array_join({transform(split_on(html, TAG), lambda p: strip(unescape(p)))}, '')"
 
 
-def open_tag(tag: str | None = None, cls: str | None = None, exact_cls: str | None = None) -> str:
-    """Regex of an opening tag, by element name, by class token, or by the whole class text."""
+class Tag(NamedTuple):
+    """Opening tag: its regex, and the element name where that is fixed."""
+
+    pattern: str
+    name: str | None = None
+
+
+def open_tag(tag: str | None = None, cls: str | None = None, exact_cls: str | None = None) -> Tag:
+    """Opening tag by element name, by class token, or by the whole class text."""
     element_name = rf"(?i:{tag})(?=[\s>/])" if tag else r"[A-Za-z][A-Za-z0-9]*(?=[\s>/])"
     attrs = ""
     if cls:
@@ -85,7 +93,7 @@ def open_tag(tag: str | None = None, cls: str | None = None, exact_cls: str | No
         )
     elif exact_cls:
         attrs = rf"""[^>]*?\s(?i:class)\s*=\s*["']{exact_cls}["']"""
-    return rf"<{element_name}{attrs}[^>]*>"
+    return Tag(rf"<{element_name}{attrs}[^>]*>", tag)
 
 
 def attribute(tag_text: str, attr: str) -> str:
@@ -102,60 +110,60 @@ def _until_close(rest: str, tag: str) -> str:
     tag is the match; otherwise a fold over the tags of that name keeps the depth and the size of
     what was passed.
     """
-    tail_of = quote(r")[\s>/]")
 
-    def shape(start: str, end: str = tail_of) -> str:
-        return f"concat({quote(start)}, {tag}, {end})"
+    def shape(start: str, end: str = r")[\s>/]") -> str:
+        return f"concat({quote(start)}, {tag}, {quote(end)})"
 
     def step(state: str, part: str) -> str:
-        depth = (
-            f"CASE WHEN startswith({part}, '</') THEN {state}.depth - 1 "
-            f"WHEN regexp_like({part}, {shape('^<(?i:')}) THEN {state}.depth + 1 ELSE {state}.depth END"
-        )
         grown = let(
-            depth,
+            f"{state}.depth + CASE WHEN startswith({part}, '</') THEN -1 ELSE 1 END",
             lambda d: f"named_struct('depth', {d}, 'size', "
             f"{state}.size + CASE WHEN {d} = 0 THEN 0 ELSE length({part}) END)",
         )
         return f"CASE WHEN {state}.depth = 0 THEN {state} ELSE {grown} END"
 
-    edges = shape("(?=</?(?i:", quote(r")[\s>/])"))
-    start = "named_struct('depth', 1, 'size', 0)"
-    size = f"aggregate(split({rest}, {edges}), {start}, (s, p) -> {step('s', 'p')}).size"
-    first = at(f"split({rest}, {shape('</(?i:')}, 2)", 0)
+    def nested(parts: str) -> str:
+        start = f"named_struct('depth', 1, 'size', length({at(parts, 0)}))"
+        size = f"aggregate({tail(parts)}, {start}, (s, p) -> {step('s', 'p')}).size"
+        return f"substring({rest}, 1, {size})"
+
+    edges = shape("(?=</?(?i:", r")[\s>/])")
+    parts = f"split(regexp_replace({rest}, {edges}, '\\u0000'), '\\u0000')"
+    first = f"regexp_replace({rest}, {shape('(?s)</(?i:', r')[\s>/].*')}, '')"
     return let(
         first,
-        lambda f: f"CASE WHEN regexp_like({f}, {shape('<(?i:')}) THEN substring({rest}, 1, {size}) ELSE {f} END",
+        lambda f: f"CASE WHEN regexp_like({f}, {shape('<(?i:')}) THEN {let(parts, nested)} ELSE {f} END",
     )
 
 
-def _element(chunk: str) -> str:
+def _element(chunk: str, tag: Tag) -> str:
     """Struct of opening tag and inner HTML, for a text that starts with an opening tag."""
 
     def build(opening: str) -> str:
-        tag = f"regexp_extract({opening}, {quote('^<([A-Za-z][A-Za-z0-9]*)')}, 1)"
         rest = f"substring({chunk}, length({opening}) + 1)"
-        inner = let(f"struct({tag} AS tag, {rest} AS rest)", lambda x: _until_close(f"{x}.rest", f"{x}.tag"))
+        if tag.name:
+            inner = let(rest, lambda r: _until_close(r, quote(tag.name)))
+        else:
+            found = f"regexp_extract({opening}, '^<([A-Za-z0-9]+)', 1)"
+            inner = let(f"struct({found} AS tag, {rest} AS rest)", lambda x: _until_close(f"{x}.rest", f"{x}.tag"))
         return f"struct({opening} AS open, {inner} AS inner)"
 
     return let(f"regexp_extract({chunk}, '^<[A-Za-z][^>]*>', 0)", build)
 
 
-# A leading space keeps the split from treating a match at the very start as no match.
-def elements(html: str, pattern: str) -> str:
+def elements(html: str, tag: Tag) -> str:
     """All elements whose opening tag matches, in page order, as ``ARRAY<STRUCT<open, inner>>``."""
-    return transform(tail(f"split(' ' || {html}, {quote(f'(?={pattern})')})"), _element)
+    return transform(tail(split_on(html, f"(?={tag.pattern})")), lambda c: _element(c, tag))
 
 
-def element(html: str, pattern: str) -> str:
+def element(html: str, tag: Tag) -> str:
     """First element whose opening tag matches, as ``STRUCT<open, inner>``; null when absent."""
-    chunk = at(f"split(' ' || {html}, {quote(f'(?={pattern})')}, 2)", 1)
-    return let(chunk, lambda c: f"CASE WHEN {c} IS NOT NULL THEN {_element(c)} END")
+    return let(from_first(html, tag.pattern), lambda c: f"CASE WHEN {c} IS NOT NULL THEN {_element(c, tag)} END")
 
 
-def elements_within(html: str, scope: str, pattern: str) -> str:
+def elements_within(html: str, scope: Tag, tag: Tag) -> str:
     """All matching elements inside elements of a scope."""
-    return f"flatten({transform(elements(html, scope), lambda s: elements(f'{s}.inner', pattern))})"
+    return f"flatten({transform(elements(html, scope), lambda s: elements(f'{s}.inner', tag))})"
 
 
 # Elements whose end also ends a paragraph that was opened inside them.
@@ -172,10 +180,10 @@ def paragraphs(html: str) -> str:
         inside = let(before(part, r"</(?i:p)\s*>"), lambda c: _until_close(c, quote(_BLOCKS)))
         return spaced_text(inside)
 
-    return transform(tail(f"split({html}, {quote(r'<(?i:p)(?:\s[^>]*)?>')})"), body)
+    return transform(tail(split_on(html, r"<(?i:p)(?:\s[^>]*)?>")), body)
 
 
-def main_text(html: str, container: str = open_tag("div", "entry-content")) -> str:
+def main_text(html: str, container: Tag = open_tag("div", "entry-content")) -> str:
     """Paragraphs of the container joined by spaces; of the whole page when there is no container."""
 
     def build(page: str) -> str:

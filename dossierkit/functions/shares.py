@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from dossierkit.functions.sqltext import at, keep, let, matches, quote, transform
 from dossierkit.functions.text import WS, strip
@@ -28,24 +28,37 @@ NO_SHARES = ("n/a", "none", "")
 MIN_SHARE = 0.01
 SLOTS = 5
 
-_PERCENT = quote(rf"(\d{{1,3}}(?:\.\d+)?){WS}*%")
+_PERCENT = rf"(\d{{1,3}}(?:\.\d+)?){WS}*%"
 _NOTHING = "CAST(array() AS array<struct<name:string,pct:double>>)"
 
 
 def _group_of(entry_name: str, rules: Mapping[str, list[str]]) -> str:
-    """Position of the first rule with a word that occurs in the name; null when there is none."""
-    cases = " ".join(
-        f"WHEN {matches(entry_name, r'(?U)\b(?:' + '|'.join(map(re.escape, words)) + r')\b')} THEN {i}"
-        for i, words in enumerate(rules.values())
-    )
-    return f"CASE {cases} END"
+    """Position of the first rule with a word that occurs in the name; null when there is none.
+
+    All words are found in one pass. That is only right when no word hides another, so rules with
+    such words are tried one by one.
+    """
+    words = {w: i for i, group in reversed(list(enumerate(rules.values()))) for w in group}
+    hidden = any(re.search(rf"\b{re.escape(w)}\b", other) for w in words for other in words if w != other)
+    if hidden:
+        cases = " ".join(
+            f"WHEN {matches(entry_name, _any_word(group))} THEN {i}" for i, group in enumerate(rules.values())
+        )
+        return f"CASE {cases} END"
+    ranks = "map(" + ", ".join(f"{quote(w)}, {i}" for w, i in sorted(words.items(), key=lambda x: x[1])) + ")"
+    found = f"regexp_extract_all({entry_name}, {quote(_any_word(words))}, 0)"
+    return f"array_min({transform(found, lambda w: f'try_element_at({ranks}, {w})')})"
+
+
+def _any_word(words: Iterable[str]) -> str:
+    return r"(?U)\b(?:" + "|".join(map(re.escape, words)) + r")\b"
 
 
 def _entry(entry: str, rules: Mapping[str, list[str]]) -> str:
     """Group and share of one entry; the name is what stands before and behind the percentage."""
-    share = f"try_cast(regexp_extract({entry}, {_PERCENT}, 1) AS double)"
-    glued = let(f"split({entry}, {_PERCENT}, 2)", lambda p: f"{strip(at(p, 0))} || {strip(at(p, 1))}")
-    group = let(strip(f"replace({glued}, '%', '')"), lambda n: _group_of(n, rules))
+    share = f"CASE WHEN contains({entry}, '%') THEN try_cast(regexp_extract({entry}, {quote(_PERCENT)}, 1) AS double) END"
+    around = quote(rf"(?s)^(.*?){WS}*{_PERCENT}{WS}*(.*)$")
+    group = let(f"replace(regexp_replace({entry}, {around}, '$1$3'), '%', '')", lambda n: _group_of(n, rules))
     return let(share, lambda s: f"CASE WHEN {s} > 0 THEN struct({group} AS grp, {s} AS pct) END")
 
 
@@ -55,23 +68,25 @@ def parse_shares(c: str, rules: Mapping[str, list[str]] = RELIGION_RULES, thresh
     One text is one row all the way, so no shuffle is needed.
     """
     bare = strip(f"regexp_replace({c}, {quote(r'(?d)\(.*?\)')}, '')")
-    entries = transform(f"split({bare}, '[;\\n,]')", lambda e: f"lower({strip(e)})")
+    entries = transform(f"split(translate({bare}, ';\\n', ',,'), ',')", lambda e: f"lower({strip(e)})")
     kept = keep(entries, lambda e: f"{e} != '' AND NOT startswith({e}, 'note:')")
     parsed = keep(transform(kept, lambda e: _entry(e, rules)), lambda e: f"{e}.grp IS NOT NULL")
 
-    def total(found: str, i: int, group: str) -> str:
-        hits = keep(found, lambda e: f"{e}.grp = {i}")
+    titles = f"array({', '.join(map(quote, rules))})"
+
+    def total(found: str, group: str) -> str:
+        hits = keep(found, lambda e: f"{e}.grp = {group}")
         pct = f"aggregate({hits}, 0D, (a, e) -> a + e.pct)"
         return let(
             pct,
             lambda p: f"CASE WHEN {p} > {threshold}D THEN "
-            f"struct(-round({p}, 2) AS falling, {i} AS rule, {quote(group)} AS name, round({p}, 2) AS pct) END",
+            f"struct(-round({p}, 2) AS falling, {group} AS rule, round({p}, 2) AS pct) END",
         )
 
     def ranked(found: str) -> str:
-        sums = f"array({', '.join(total(found, i, group) for i, group in enumerate(rules))})"
+        sums = transform(f"array_distinct({transform(found, lambda e: f'{e}.grp')})", lambda g: total(found, g))
         ordered = f"array_sort({keep(sums, lambda s: f'{s} IS NOT NULL')})"
-        return transform(ordered, lambda s: f"struct({s}.name AS name, {s}.pct AS pct)")
+        return transform(ordered, lambda s: f"struct(get({titles}, {s}.rule) AS name, {s}.pct AS pct)")
 
     marks = ", ".join(map(quote, NO_SHARES))
     return f"CASE WHEN lower({c}) IN ({marks}) THEN {_NOTHING} ELSE coalesce({let(parsed, ranked)}, {_NOTHING}) END"

@@ -56,9 +56,27 @@ def tail(items: str) -> str:
     return f"slice({items}, 2, {2**30})"
 
 
+# Stands between pieces while a text is split; pages are free of it after noise is dropped.
+_CUT = "\\u0000"
+
+
+def split_on(text: str, pattern: str) -> str:
+    """Text split at a regex.
+
+    ``split`` compiles a regex anew for every row, ``regexp_replace`` only once; a single character
+    needs no regex at all.
+    """
+    return f"split(regexp_replace({text}, {quote(pattern)}, '{_CUT}'), '{_CUT}')"
+
+
 def before(text: str, pattern: str) -> str:
     """What stands before the first match of a regex; the whole text when there is none."""
-    return at(f"split({text}, {quote(pattern)}, 2)", 0)
+    return f"regexp_replace({text}, {quote(f'(?s)(?:{pattern}).*')}, '')"
+
+
+def from_first(text: str, pattern: str) -> str:
+    """The text from the first match of a regex on; null when there is none."""
+    return f"nullif(regexp_extract({text}, {quote(f'(?s)(?:{pattern}).*')}, 0), '')"
 
 
 def matches(text: str, pattern: str) -> str:

@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 
-from dossierkit.functions.sqltext import keep, let, literal_map, quote, transform
+from dossierkit.functions.sqltext import keep, let, literal_map, quote, split_on, transform
 
-# The characters that count as white space, as a regex class and as text.
-WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The characters that count as white space, as a regex and as text.
+WS = r"(?U:[\x1c-\x1f\s])"
 WHITESPACE = "".join(
     map(
         chr,
@@ -82,7 +82,7 @@ def normalise_name(c: str, aliases: Mapping[str, str]) -> str:
 def entities(c: str) -> str:
     """Names that share one cell: footnotes cut, split at ', ' and ' and ', leading 'the ' cut."""
     footnote, the = quote(r"(?d)\[.*?\]"), quote("^(?i:the )")
-    parts = f"split({strip(f"regexp_replace({c}, {footnote}, '')")}, ', | and ')"
+    parts = split_on(strip(f"regexp_replace({c}, {footnote}, '')"), ", | and ")
     names = keep(transform(parts, strip), lambda x: f"{x} != ''")
     return transform(names, lambda x: f"regexp_replace({x}, {the}, '')")
 
@@ -121,7 +121,7 @@ def last_found(items: str, find: Callable[[str], str]) -> str:
 
 
 def _author_list(text: str) -> str:
-    parts = f"split({text}, {quote(r'(?U)[,&]|\band\b')})"
+    parts = split_on(text, r"(?U)[,&]|\band\b")
     return keep(transform(parts, clean_text), lambda x: f"{x} != ''")
 
 

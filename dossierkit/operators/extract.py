@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dossierkit.functions import html as H
 from dossierkit.functions.jsonx import indicator_points
-from dossierkit.functions.sqltext import at, before, col, cols, keep, let, matches, name, quote, tail, transform
+from dossierkit.functions.sqltext import at, before, col, cols, keep, let, matches, name, quote, split_on, tail, transform
 from dossierkit.functions.text import (
     clean_text,
     date_items,
@@ -28,7 +28,7 @@ def _others(df: DataFrame, column: str) -> list[str]:
 
 
 def _header_texts(chunk: str) -> str:
-    cells = tail(f"split({chunk}, {quote(r'<(?i:th)(?=[\s>])[^>]*>')})")
+    cells = tail(split_on(chunk, r"<(?i:th)(?=[\s>])[^>]*>"))
     return transform(cells, lambda c: H.stripped_text(before(c, r"</(?i:t[hr])[\s>]")))
 
 
@@ -65,7 +65,7 @@ def html_table_rows(
         if table_id:
             tests.append(matches(chunk, rf"""^<[^>]*?\s(?i:id)\s*=\s*["']?{table_id}["'\s>]"""))
         if table_class:
-            tests.append(matches(chunk, "^" + H.open_tag("table", table_class)))
+            tests.append(matches(chunk, "^" + H.open_tag("table", table_class).pattern))
         if headers:
             tests.append(_has_headers(chunk, headers))
         return " AND ".join(tests)
@@ -77,16 +77,15 @@ def html_table_rows(
         by_head = keep(chunks, lambda c: _has_headers(f"coalesce({_section(c, 'thead')}, '')", fallback_headers))
         return f"coalesce({first}, {at(by_head, 0)})"
 
-    page = f"' ' || {H.drop_noise(name(html))}"
-    chunks = tail(f"split({page}, {quote(r'(?=<(?i:table)[\s>])')})")
+    chunks = tail(split_on(H.drop_noise(name(html)), r"(?=<(?i:table)[\s>])"))
     table = let(transform(chunks, lambda c: before(c, r"</(?i:table)[\s>]")), choose)
     if body_only:
         table = let(table, lambda t: _section(t, "tbody"))
-    rows = tail(f"split({table}, {quote(r'<(?i:tr)(?:\s[^>]*)?>')})")
+    rows = tail(split_on(table, r"<(?i:tr)(?:\s[^>]*)?>"))
     if skip_first:
         rows = tail(rows)
     cells = transform(
-        tail(f"split({before('row_html', r'</(?i:tr)[\s>]')}, {quote(r'<(?i:td)(?:\s[^>]*)?>')})"),
+        tail(split_on(before("row_html", r"</(?i:tr)[\s>]"), r"<(?i:td)(?:\s[^>]*)?>")),
         lambda c: H.stripped_text(before(c, r"</(?i:td)[\s>]")),
     )
     kept = cols(_others(df, html))
@@ -100,7 +99,7 @@ def html_table_rows(
 def html_cards(
     df: DataFrame,
     html: str,
-    card: str,
+    card: H.Tag,
     fields: Mapping[str, str],
     *,
     required: str | None = None,
@@ -108,7 +107,7 @@ def html_cards(
 ) -> DataFrame:
     """One row per card of a page: the other columns, ``card_no`` and the fields.
 
-    ``card`` is the opening-tag regex of a card; each field is an expression over ``card.open`` and
+    ``card`` is the opening tag of a card; each field is an expression over ``card.open`` and
     ``card.inner``. Cards whose ``required`` field is null, empty or (with ``pattern``) does not
     match are left out.
     """
@@ -183,7 +182,7 @@ def article_cards(df: DataFrame, html: str) -> DataFrame:
 
 
 # Where the parts of a metric block are.
-BLOCK = r"""<(?i:a)\s[^>]*?(?i:href)\s*=\s*["'][^"'>]*country-military-strength-detail[^>]*>"""
+BLOCK = H.Tag(r"""<(?i:a)\s[^>]*?(?i:href)\s*=\s*["'][^"'>]*country-military-strength-detail[^>]*>""", "a")
 BLOCK_NAME = H.open_tag("div", "longFormName")
 BLOCK_VALUE = H.open_tag("div", "valueContainer")
 SPAN = H.open_tag("span")
@@ -215,8 +214,8 @@ def label_values(
     df: DataFrame,
     html: str,
     labels: Mapping[str, str],
-    container: str = LABEL_CONTAINER,
-    value: str = LABEL_VALUE,
+    container: H.Tag = LABEL_CONTAINER,
+    value: H.Tag = LABEL_VALUE,
 ) -> DataFrame:
     """Value of each label on a detail page: the other columns, ``field`` and ``raw_value``.
 

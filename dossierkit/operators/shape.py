@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from dossierkit.functions.sqltext import col, cols
+from dossierkit.functions.sqltext import col, cols, quote
 from dossierkit.functions.sqltext import name as quoted
 from dossierkit.functions.text import clean_numeric
 
@@ -29,19 +29,21 @@ def indicator_pivot(
     One conditional aggregate, so one exchange; cells that never occur are null columns.
     """
 
-    def cell(name: str, y: int) -> Column:
-        here = (col(indicator) == name) & (col(year) == y)
-        return F.max_by(col(value), F.when(here, col(ordinal))).alias(f"{name} {y}")
+    def cell(title: str, y: int) -> Column:
+        here = f"{quoted(indicator)} = {quote(title)} AND {quoted(year)} = {y}"
+        last = f"max_by({quoted(value)}, CASE WHEN {here} THEN {quoted(ordinal)} END)"
+        return F.expr(last).alias(f"{title} {y}")
 
     return df.groupBy(*cols(keys)).agg(*[cell(name, y) for name in indicators for y in years])
 
 
 def year_sums(
-    df: DataFrame, key: str, date: Column, value: Column, name: str, years: Sequence[int]
+    df: DataFrame, key: str, date: str, value: str, name: str, years: Sequence[int]
 ) -> DataFrame:
     """Sum of a value per key and year as columns ``"<name> <year>"``; years without rows are null."""
-    flat = df.select(col(key), F.year(date).alias("_year"), value.alias("_value"))
-    return flat.groupBy(col(key)).agg(*[F.sum(F.when(F.col("_year") == y, F.col("_value"))).alias(f"{name} {y}") for y in years])
+    flat = df.select(col(key), F.expr(f"year({date})").alias("_year"), F.expr(value).alias("_value"))
+    sums = [F.expr(f"sum(_value) FILTER (WHERE _year = {y})").alias(f"{name} {y}") for y in years]
+    return flat.groupBy(col(key)).agg(*sums)
 
 
 def outer_merge(
@@ -59,8 +61,11 @@ def outer_merge(
     of tables, and a key occurs once however many rows it has. A key with only null values keeps
     its row; the last value of a cell wins.
     """
-    cells = [F.max_by(col(value), F.when(col(metric) == m, col(ordinal))).alias(m) for m in metrics]
-    return df.groupBy(col(key)).agg(*cells)
+    def cell(m: str) -> Column:
+        here = f"CASE WHEN {quoted(metric)} = {quote(m)} THEN {quoted(ordinal)} END"
+        return F.expr(f"max_by({quoted(value)}, {here})").alias(m)
+
+    return df.groupBy(col(key)).agg(*[cell(m) for m in metrics])
 
 
 def outer_join_pair(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
