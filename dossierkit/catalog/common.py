@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from dossierkit.functions.text import year_window
+from dossierkit.sources.landed import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -18,8 +19,10 @@ AS_OF = dt.date(2002, 6, 30)
 WINDOW = year_window(AS_OF)
 YEARS = range(WINDOW[0], WINDOW[1] + 1)
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, heavy_by: str | None = None) -> DataFrame:
+    """A driver table; ``heavy_by`` is its key where the work per row is heavy."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, heavy_by) if heavy_by else df
 
 
 def text(c: str) -> str:

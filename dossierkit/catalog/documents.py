@@ -16,7 +16,7 @@ from dossierkit.sources.sinks import read_csv, shared_folder, write_csv, write_j
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article records with whole documents as full text; some fields are missing."""
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         F.col("lang").alias("Section"),
         F.expr("case when doc_id % 7 <> 0 then 'Document ' || cast(doc_id as string) end").alias("Title"),
         F.expr("'/d/' || cast(doc_id as string)").alias("Link"),
@@ -52,13 +52,13 @@ def compose_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     return retrieve.chunk_text(documents, "text")
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A card per page, and the text of the page it links to; some links lead nowhere."""
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages", "page_id")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
     card = F.concat(
         F.lit('<div class="card-post"><a class="card-post-title-link" href="'),

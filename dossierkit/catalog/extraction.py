@@ -27,7 +27,7 @@ _TABLE_PAGE = (
 
 
 def html_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_TABLE_PAGE).alias("html"))
+    pages = table(spark, sf_dir, "customer", "c_custkey").select("c_custkey", F.expr(_TABLE_PAGE).alias("html"))
     rows = extract.html_table_rows(
         pages, "html", table_class="wikitable", headers=CURRENCY_HEADERS, min_cells=4, skip_first=True
     )
@@ -56,7 +56,7 @@ _CARD_PAGE = (
 
 
 def html_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "part").select("p_partkey", F.expr(_CARD_PAGE).alias("html"))
+    pages = table(spark, sf_dir, "part", "p_partkey").select("p_partkey", F.expr(_CARD_PAGE).alias("html"))
     cards = extract.article_cards(pages, "html")
     return cards.select(
         "p_partkey",
@@ -99,26 +99,26 @@ _DETAIL_PAGE = " || ".join(
 
 
 def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "part").select("p_partkey", F.expr(_DETAIL_PAGE).alias("html"))
+    pages = table(spark, sf_dir, "part", "p_partkey").select("p_partkey", F.expr(_DETAIL_PAGE).alias("html"))
     return extract.label_values(pages, "html", DETAIL_LABELS)
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = table(spark, sf_dir, "pages", "page_id").select("page_id", "html")
     links = extract.page_links(pages, "html", pattern="^/.*[a-z]$")
     return links.select("page_id", F.col("link_no").cast("bigint").alias("link_no"), "href", "label")
 
 
 def join_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Navigation labels of a page as one text, beside its title."""
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages", "page_id")
     labels = transform(H.elements("html", H.open_tag("a")), lambda a: H.joined_text(f"{a}.inner"))
     title = H.joined_text(f"{H.element('html', H.open_tag('title'))}.inner")
     return pages.selectExpr("page_id", f"{joined_tags(labels)} AS tags", f"{title} AS title")
 
 
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages", "page_id")
     return pages.select("page_id", F.expr(H.main_text("html", H.open_tag("article"))).alias("text"))
 
 

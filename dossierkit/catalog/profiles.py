@@ -173,7 +173,7 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_sources(spark: SparkSession, sf_dir: str) -> profile.Landed:
-    customer = table(spark, sf_dir, "customer")
+    customer = table(spark, sf_dir, "customer", "c_custkey")
     spine = customer.select(
         F.expr(f"case when {_K} % 97 = 0 then '' else c_name end").alias("Country"),
         F.expr("substr(c_mktsegment, 1, 2)").alias("Alpha-2"),
@@ -290,7 +290,7 @@ def strength_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     names = F.array(*[F.lit(m) for m in METRIC_NAMES])
     metric_pages = (
-        table(spark, sf_dir, "customer")
+        table(spark, sf_dir, "customer", "c_custkey")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.get(names, (F.col("c_custkey") % len(METRIC_NAMES)).cast("int")).alias("metric"),
@@ -299,7 +299,7 @@ def strength_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     detail_pages = (
-        table(spark, sf_dir, "supplier")
+        table(spark, sf_dir, "supplier", "s_suppkey")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(F.col("n_name").alias("country"), F.col("s_suppkey").alias("ordinal"), F.expr(_DETAIL_PAGE).alias("html"))
     )

@@ -49,7 +49,7 @@ def indicator_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderkey").alias("pos"),
         )
     )
-    return shape.indicator_pivot(long, ["o_custkey"], PRIORITIES, YEARS)
+    return shape.indicator_pivot(long, ["o_custkey"], PRIORITIES, YEARS, ordinal="pos")
 
 
 _LATEST = ", ".join(
@@ -62,8 +62,8 @@ _LATEST = ", ".join(
 
 def last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    last = resolve.last_wins(events, ["user_id"], ["ts", "event_id"])
-    return last.select("user_id", "event_id", "event_type", "value", "props")
+    rows = events.withColumn("order", F.col("event_id"))
+    return resolve.last_wins(rows.select("user_id", "event_id", "event_type", "value", "props", "ts", "order"), ["user_id"], ["ts", "order"])
 
 
 def first_available(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from dossierkit.operators.resolve import explode_entities as names_of_cell
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents", "doc_id")
     return documents.select("doc_id", F.expr(T.clean_text("text")).alias("text"))
 
 
@@ -27,13 +27,13 @@ _NUMERIC = f"""case when l_orderkey % 7 = 0 then 'N/A' when l_orderkey % 11 = 0
 
 
 def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = table(spark, sf_dir, "lineitem", "l_orderkey")
     return lineitem.select("l_orderkey", "l_linenumber", F.expr(T.clean_numeric(_NUMERIC)).alias("number"))
 
 
 def clean_numeric_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First number of whole documents."""
-    documents = table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents", "doc_id")
     return documents.select("doc_id", F.expr(T.clean_numeric("text")).alias("number"))
 
 
@@ -43,7 +43,7 @@ _VALUE = f"""case when l_orderkey % 2 = 0 then '$' else '' end || {grouped(whole
 
 
 def parse_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = table(spark, sf_dir, "lineitem", "l_orderkey")
     raw = lineitem.select("l_orderkey", "l_linenumber", F.expr(_VALUE).alias("raw"))
     return raw.select("l_orderkey", "l_linenumber", F.expr(T.parse_value("raw")).alias("amount"))
 
@@ -57,7 +57,7 @@ _SECOND = "case when o_orderkey % 5 = 0 then 'Updated Today' else 'Posted on ' |
 
 def posted_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates of two byline items per order; the later item wins."""
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
     texts = transform(f"array({_PHRASE}, {_SECOND})", T.clean_text)
     items = orders.select("o_orderkey", F.expr(T.date_items(texts)).alias("items"))
     return items.select(
@@ -73,7 +73,7 @@ _BYLINE = f"""case when c_custkey % 10 = 9 then ' , & ' else
 
 def split_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     authors = F.expr(T.split_authors(_BYLINE))
-    return table(spark, sf_dir, "customer").select(
+    return table(spark, sf_dir, "customer", "c_custkey").select(
         "c_custkey", F.array_join(authors, "; ").alias("authors"), F.size(authors).cast("bigint").alias("n")
     )
 
@@ -82,7 +82,7 @@ _CELL = f"'The ' || c_name || '[a], Isle ' || {text('c_custkey')} || ' and  the
 
 
 def explode_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_CELL).alias("cell"))
+    cells = table(spark, sf_dir, "customer", "c_custkey").select("c_custkey", F.expr(_CELL).alias("cell"))
     return names_of_cell(cells, "cell").withColumn("entity_no", F.col("entity_no").cast("bigint"))
 
 
@@ -102,7 +102,7 @@ _PROFILE = f"""'{{"People and Society":{{"Population":' ||
 
 def json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population and name with their fallbacks."""
-    profiles = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_PROFILE).alias("body"))
+    profiles = table(spark, sf_dir, "customer", "c_custkey").select("c_custkey", F.expr(_PROFILE).alias("body"))
     parsed = profiles.withColumn("v", F.try_parse_json("body"))
     people = ("People and Society", "Population")
     total = f"nullif({jsonx.json_text('v', *people, 'total', source='body')}, 'N/A')"
@@ -119,7 +119,7 @@ def json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profiles = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_PROFILE).alias("body"))
+    profiles = table(spark, sf_dir, "customer", "c_custkey").select("c_custkey", F.expr(_PROFILE).alias("body"))
     field = "Real GDP per capita"
     latest = jsonx.latest_year_text("try_parse_json(body)", "Economy", field, base=field)
     return profiles.selectExpr("c_custkey", f"{latest} AS gdp").selectExpr("*", f"{T.clean_numeric('gdp')} AS number")
@@ -127,7 +127,7 @@ def latest_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON texts as they are: a number is no text, an object is its JSON."""
-    events = table(spark, sf_dir, "events").withColumn("v", F.try_parse_json("props"))
+    events = table(spark, sf_dir, "events", "event_id").withColumn("v", F.try_parse_json("props"))
     whole_text = jsonx.json_text("v", source="props")
     return events.selectExpr(
         "event_id", f"{jsonx.json_text('v', 'k')} AS k", f"{T.clean_numeric(whole_text)} AS number"
@@ -165,12 +165,12 @@ _SHARES = f"""case when o_orderkey % 13 = 0 then 'None' else 'Muslim ' || {text(
 
 def parse_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = F.expr(let(_SHARES, shares.parse_shares))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.posexplode(parsed).alias("rank", "share"))
+    orders = table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", F.posexplode(parsed).alias("rank", "share"))
     return orders.select("o_orderkey", (F.col("rank") + 1).cast("bigint").alias("rank"), "share.name", "share.pct")
 
 
 def share_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
     parsed = orders.select("o_orderkey", F.expr(let(_SHARES, shares.parse_shares)).alias("shares"))
     return parsed.selectExpr("o_orderkey", *shares.share_slots("shares"))
 

@@ -15,7 +15,9 @@ from dossierkit.functions.sqltext import at, before, from_first, let, matches, q
 from dossierkit.functions.text import clean_text, strip
 
 TAG = r"<[A-Za-z/!?][^>]*>"
-_NOISE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?-->|\x00"
+_NOISE = (
+    r"(?s)<(?:!--.*?-->|(?i:script)\b.*?(?:</(?i:script)\s*>|\z)|(?i:style)\b.*?(?:</(?i:style)\s*>|\z))|\x00"
+)
 # Stands for removed content, so that the texts on its two sides stay apart.
 _GAP = "<!>"
 

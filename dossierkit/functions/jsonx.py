@@ -67,7 +67,7 @@ def indicator_points(payload: str) -> str:
     """Year and value pairs of a ``[meta, rows]`` payload, as ``ARRAY<STRUCT<pos, year, value>>``.
 
     Null when the payload is not of that form, or when one date is not a year: such a payload is
-    dropped whole.
+    dropped whole. Of several entries for a year the last one stays.
     """
     rows = f"try_variant_get(try_parse_json({payload}), '$[1]', 'array<struct<date:string,value:variant>>')"
 
@@ -78,6 +78,8 @@ def indicator_points(payload: str) -> str:
     def point(r: str, i: str) -> str:
         return f"struct({i} AS pos, try_cast(trim({r}.date) AS int) AS year, {number(f'{r}.value')} AS value)"
 
-    return let(
-        transform_at(rows, point), lambda points: f"CASE WHEN NOT exists({points}, p -> p.year IS NULL) THEN {points} END"
-    )
+    def checked(points: str) -> str:
+        last = keep(points, lambda p: f"NOT exists({points}, q -> q.year = {p}.year AND q.pos > {p}.pos)")
+        return f"CASE WHEN NOT exists({points}, q -> q.year IS NULL) THEN {last} END"
+
+    return let(transform_at(rows, point), checked)

@@ -16,13 +16,16 @@ ROWS_PER_TASK = 1_000_000
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], ordinal: Sequence[str]) -> DataFrame:
-    """The record with the greatest ordinal of each key.
+    """The record with the greatest ordinal of each key, without the ordinal.
 
     An aggregate, not a window: each task first cuts a key to one record, so a hot key costs no
     more than any other.
     """
-    rest = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*cols(rest)), F.struct(*cols(ordinal))).alias("last")
+    rest = [c for c in df.columns if c not in [*keys, *ordinal]]
+    order = col(ordinal[0]) if len(ordinal) == 1 else F.struct(*cols(ordinal))
+    if len(rest) == 1:
+        return df.groupBy(*cols(keys)).agg(F.max_by(col(rest[0]), order).alias(rest[0]))
+    last = F.max_by(F.struct(*cols(rest)), order).alias("last")
     return df.groupBy(*cols(keys)).agg(last).select(*cols(keys), "last.*")
 
 

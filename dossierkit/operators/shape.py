@@ -22,19 +22,30 @@ def indicator_pivot(
     indicator: str = "indicator",
     year: str = "year",
     value: str = "value",
-    ordinal: str = "pos",
+    ordinal: str | None = None,
 ) -> DataFrame:
-    """Long indicator rows to columns ``"<indicator> <year>"``; the last value of a cell wins.
+    """Long indicator rows to columns ``"<indicator> <year>"``; cells that never occur are null.
 
-    One conditional aggregate, so one exchange; cells that never occur are null columns.
+    One conditional aggregate, so one exchange. With ``ordinal`` the last value of a cell wins;
+    without, a cell must have one value. Rows are numbered by cell first, so that an aggregate
+    compares an integer.
     """
+    cells = [(title, y) for title in indicators for y in years]
+    first, last = min(years), max(years)
+    place = f"array_position(array({', '.join(map(quote, indicators))}), {quoted(indicator)})"
+    number = f"CAST(({place} - 1) * {last - first + 1} + {quoted(year)} - {first} AS int)"
+    inside = df.filter(F.expr(f"{place} > 0 AND {quoted(year)} BETWEEN {first} AND {last}"))
+    numbered = inside.select(*cols(keys), F.expr(number).alias("_cell"), *cols([value, *([ordinal] if ordinal else [])]))
 
     def cell(title: str, y: int) -> Column:
-        here = f"{quoted(indicator)} = {quote(title)} AND {quoted(year)} = {y}"
-        last = f"max_by({quoted(value)}, CASE WHEN {here} THEN {quoted(ordinal)} END)"
-        return F.expr(last).alias(f"{title} {y}")
+        here = f"_cell = {list(indicators).index(title) * (last - first + 1) + y - first}"
+        if ordinal:
+            found = f"max_by({quoted(value)}, CASE WHEN {here} THEN {quoted(ordinal)} END)"
+        else:
+            found = f"max({quoted(value)}) FILTER (WHERE {here})"
+        return F.expr(found).alias(f"{title} {y}")
 
-    return df.groupBy(*cols(keys)).agg(*[cell(name, y) for name in indicators for y in years])
+    return numbered.groupBy(*cols(keys)).agg(*[cell(title, y) for title, y in cells])
 
 
 def year_sums(
@@ -47,23 +58,17 @@ def year_sums(
 
 
 def outer_merge(
-    df: DataFrame,
-    key: str,
-    metrics: Sequence[str],
-    *,
-    metric: str = "metric",
-    value: str = "value",
-    ordinal: str = "ordinal",
+    df: DataFrame, key: str, metrics: Sequence[str], *, metric: str = "metric", value: str = "value"
 ) -> DataFrame:
     """Full outer merge of many two-column tables in long form, one column per metric.
 
     One conditional aggregate in place of a chain of full outer joins: one exchange for any number
-    of tables, and a key occurs once however many rows it has. A key with only null values keeps
-    its row; the last value of a cell wins.
+    of tables. A key with only null values keeps its row. Key and metric must be unique, as they
+    are after ``last_wins``; with one buffer per metric the aggregate stays in generated code.
     """
+
     def cell(m: str) -> Column:
-        here = f"CASE WHEN {quoted(metric)} = {quote(m)} THEN {quoted(ordinal)} END"
-        return F.expr(f"max_by({quoted(value)}, {here})").alias(m)
+        return F.expr(f"max({quoted(value)}) FILTER (WHERE {quoted(metric)} = {quote(m)})").alias(m)
 
     return df.groupBy(col(key)).agg(*[cell(m) for m in metrics])
 

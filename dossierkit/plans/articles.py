@@ -41,7 +41,7 @@ def articles(listing: DataFrame, details: DataFrame) -> DataFrame:
     """
     cards = article_cards(listing.select("page_id", "html"), "html")
     pages = details.select(F.col("url").alias("Link"), "ordinal", F.expr(main_text("html")).alias("Full Article"))
-    texts = last_wins(pages, ["Link"], ["ordinal"]).drop("ordinal")
+    texts = last_wins(pages, ["Link"], ["ordinal"])
     joined = skew_left_join(cards, texts, "Link", ["page_id", "card_no"])
     full = F.coalesce("`Full Article`", F.lit(""))
     return joined.withColumn("Full Article", full).select("page_id", "card_no", *cols(ARTICLE_COLUMNS))

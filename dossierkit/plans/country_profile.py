@@ -82,13 +82,13 @@ def currency_table(pages: DataFrame) -> DataFrame:
     )
     named = rows.select("ordinal", "row_no", F.get("cells", F.lit(0)).alias("cell"), *_cells(1, CURRENCY))
     each = explode_entities(named, "cell").withColumnRenamed("entity_key", "key")
-    return last_wins(each.drop("entity"), ["key"], ["ordinal", "row_no", "entity_no"]).select("key", *CURRENCY)
+    return last_wins(each.drop("entity"), ["key"], ["ordinal", "row_no", "entity_no"])
 
 
 def _named_rows(rows: DataFrame, names: list[str]) -> DataFrame:
     country = normalise_name("get(cells, 1)", PAGE_ALIASES)
     keyed = rows.select(F.expr(f"lower({country})").alias("key"), "ordinal", "row_no", *_cells(2, names))
-    return last_wins(keyed, ["key"], ["ordinal", "row_no"]).select("key", *cols(names))
+    return last_wins(keyed, ["key"], ["ordinal", "row_no"])
 
 
 def population_table(pages: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def factbook_table(log: DataFrame) -> DataFrame:
     }
     records = parsed.select("code", "region_no", *[F.expr(e).alias(n) for n, e in fields.items()])
     keyed = records.withColumn("key", F.lower(col(FACTBOOK_NAME)))
-    return last_wins(keyed, ["key"], ["region_no", "code"]).select("key", *cols(fields))
+    return last_wins(keyed, ["key"], ["region_no", "code"])
 
 
 def indicator_table(payloads: DataFrame, as_of: dt.date) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dossierkit.functions.text import parse_value
 from dossierkit.operators.extract import label_values, metric_blocks
+from dossierkit.operators.resolve import last_wins
 from dossierkit.operators.shape import order_by_key, outer_merge, to_numeric
 from dossierkit.sources.dims import DETAIL_LABELS, METRIC_NAMES
 
@@ -23,8 +24,8 @@ def detail_links(listing: DataFrame, site: str) -> DataFrame:
 def strength_matrix(metric_pages: DataFrame, detail_pages: DataFrame) -> DataFrame:
     """``metric_pages(metric, ordinal, html)`` and ``detail_pages(country, ordinal, html)`` to a matrix.
 
-    Both become long rows; one aggregate keeps the last value per country and field and makes the
-    columns. All fields are there whatever was landed.
+    Both become long rows; one aggregate keeps the last value per country and field, another makes
+    the columns. All fields are there whatever was landed.
     """
     metrics = metric_blocks(metric_pages, "html").select(
         "country", "metric", "raw_value", F.struct("ordinal", "card_no").alias("ordinal")
@@ -35,5 +36,5 @@ def strength_matrix(metric_pages: DataFrame, detail_pages: DataFrame) -> DataFra
     long = metrics.unionByName(details).select(
         F.col("country").alias("Country"), "metric", F.expr(parse_value("raw_value")).alias("value"), "ordinal"
     )
-    wide = outer_merge(long, "Country", FIELDS)
+    wide = outer_merge(last_wins(long, ["Country", "metric"], ["ordinal"]), "Country", FIELDS)
     return order_by_key(to_numeric(wide, ["Country"]), "Country")

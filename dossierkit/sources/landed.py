@@ -18,6 +18,15 @@ def fetched(status: Column) -> Column:
     return status == OK
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores when the scan has fewer partitions than there are cores.
+
+    For work that is heavy per row. A large table has more partitions than that and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed pages that were fetched."""
     return spark.read.parquet(path).filter(fetched(F.col("status")))
