@@ -80,10 +80,12 @@ def _container(label: str, value: str) -> str:
     )
 
 
-# A detail page per part: a decoy container behind the first, a label without a value, missing labels.
+# A detail page per part: a decoy container behind the first, a label without a value, missing
+# labels, and on every fifth page a label outside of any container in front of the others.
 _DETAIL_PAGE = " || ".join(
     [
-        "'<html><span>Army Personnel</span><span class=\"textWhite textShadow\">9</span>'",
+        "'<html>' || case when p_partkey % 5 = 0 then "
+        "'<span>Army Personnel</span><span class=\"textWhite textShadow\">9</span>' else '' end",
         _container("Army Personnel", f"'<span class=\"textWhite textShadow\"> ' || {_AMOUNT} || ' </span>'"),
         _container("Army Personnel", "'<span class=\"textWhite textShadow\">7</span>'"),
         _container("Navy Personnel", "'<span class=\"textWhite\">8</span>'"),
@@ -169,7 +171,7 @@ ORACLE = {
         from part
     """,
     "label_values": f"""
-        select p_partkey, 'army_personnel' as field, {_AMOUNT} as raw_value from part
+        select p_partkey, 'army_personnel' as field, {_AMOUNT} as raw_value from part where p_partkey % 5 <> 0
         union all
         select p_partkey, 'mobilization_year_4_plus', '$' || cast(p_size as varchar) || ' M' from part
         union all

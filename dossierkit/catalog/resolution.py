@@ -9,6 +9,7 @@ from dossierkit.catalog.common import TABLES, WINDOW, YEARS, cents, money, table
 from dossierkit.functions.text import country_key, in_window
 from dossierkit.operators import resolve, shape
 from dossierkit.operators.counts import load_counts as count_tables
+from dossierkit.plans import maps
 from dossierkit.sources.dims import MAP_EXTENSIONS, MAP_TYPES
 from dossierkit.sources.landed import fetched
 
@@ -63,7 +64,7 @@ _LATEST = ", ".join(
 def last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     rows = events.withColumn("order", F.col("event_id"))
-    return resolve.last_wins(rows.select("user_id", "event_id", "event_type", "value", "props", "ts", "order"), ["user_id"], ["ts", "order"])
+    return resolve.last_wins(rows, ["user_id"], ["ts", "order"])
 
 
 def first_available(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +78,24 @@ def first_available(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("entity", "map_type", "extension", "url")
 
 
+def map_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as countries: map requests against a fetch log that knows half of them."""
+    customer = table(spark, sf_dir, "customer")
+    requests = maps.map_requests(customer.select(F.expr("replace(c_name, '#', ' ')").alias("country")))
+    stem = "'https://srv1.worldometers.info/img/maps/' || lower(replace(c_name, '#', '-')) || "
+    log = customer.select(
+        F.inline(
+            F.expr(
+                f"""array(
+                    struct({stem} '_physical_map.gif' AS url, if(c_custkey % 3 = 0, 200, 404) AS status),
+                    struct({stem} '_physical_map.png' AS url, if(c_custkey % 2 = 0, 200, 500) AS status),
+                    struct({stem} '_political_map.png' AS url, 200 AS status))"""
+            )
+        )
+    )
+    return maps.map_files(requests, log)
+
+
 def distinct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(F.split("p_name", " ").alias("codes"))
     return resolve.distinct_codes(part, "codes")
@@ -168,6 +187,7 @@ QUERIES = {
     "indicator_latest": indicator_latest,
     "last_wins": last_wins,
     "first_available": first_available,
+    "map_files": map_files,
     "distinct_codes": distinct_codes,
     "load_counts": load_counts,
     "alias_join": alias_join,
@@ -210,6 +230,18 @@ ORACLE = {
                '/img/maps/' || cast(ranked.entity as varchar) || '_' || ranked.map_type || '_map.' || extension as url
         from keys left join ranked on keys.entity = ranked.entity and keys.map_type = ranked.map_type and n = 1
     """,
+    "map_files": """
+        with found as (
+            select replace(c_name, '#', ' ') as country, map_type, case when map_type = 'political' then 'png'
+                when c_custkey % 3 = 0 then 'gif' when c_custkey % 2 = 0 then 'png' end as extension
+            from customer, (values ('physical'), ('political')) as t(map_type)
+        )
+        select country, map_type, extension,
+            'https://srv1.worldometers.info/img/maps/' || lower(replace(country, ' ', '-')) || '_' || map_type
+                || '_map.' || extension as url,
+            'country_maps/' || country || '/' || country || '_' || map_type || '_map.' || extension as path
+        from found
+    """,
     "distinct_codes": "select distinct unnest(string_split(p_name, ' ')) as code from part",
     "load_counts": " union all ".join(f"select '{t}' as source, count(*) as n from {t}" for t in TABLES),
     "alias_join": f"""

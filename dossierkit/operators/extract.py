@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dossierkit.functions import html as H
 from dossierkit.functions.jsonx import indicator_points
-from dossierkit.functions.sqltext import at, before, col, cols, keep, let, matches, name, quote, split_on, tail, transform
+from dossierkit.functions.sqltext import at, before, col, cols, from_first, keep, let, matches, name, quote, split_on, tail, transform
 from dossierkit.functions.text import (
     clean_text,
     date_items,
@@ -219,19 +219,25 @@ def label_values(
 ) -> DataFrame:
     """Value of each label on a detail page: the other columns, ``field`` and ``raw_value``.
 
-    The first container with a span that holds the label counts, and the first value span in it;
-    a label without a container or without a value gives no row.
+    The first span of the page that holds the label counts, and the first value span of the
+    container around it; a label outside of a container or without a value gives no row.
     """
 
-    def pairs(containers: str) -> str:
-        def hit(shape: str) -> str:
-            title = rf"<(?i:span)(?:\s[^>]*)?>[^<]*{shape}[^<]*</(?i:span)"
-            return f"{at(keep(containers, lambda c: matches(f'{c}.inner', title)), 0)}.inner"
+    def pair(page: str, containers: str, field: str, shape: str) -> str:
+        title = rf"<(?i:span)(?:\s[^>]*)?>[^<]*{shape}[^<]*</(?i:span)"
+        hit = f"{at(keep(containers, lambda c: matches(f'{c}.inner', title)), 0)}.inner"
+        first = f"startswith({from_first(page, title)}, {from_first('{0}', title)})"
+        around = let(hit, lambda h: f"CASE WHEN {first.replace('{0}', h)} THEN {h} END")
+        return f"struct({quote(field)} AS field, {around} AS html)"
 
-        return f"array({', '.join(f'struct({quote(f)} AS field, {hit(s)} AS html)' for f, s in labels.items())})"
+    def pairs(page: str) -> str:
+        return let(
+            H.elements(page, container),
+            lambda c: f"array({', '.join(pair(page, c, f, s) for f, s in labels.items())})",
+        )
 
     kept = cols(_others(df, html))
-    hits = F.expr(let(H.elements(H.drop_noise(name(html)), container), pairs))
+    hits = F.expr(let(H.drop_noise(name(html)), pairs))
     found = df.select(*kept, F.inline(hits).alias("field", "_hit"))
     spans = found.select(*kept, "field", F.expr(f"{H.element('_hit', value)}.inner").alias("_value"))
     values = F.expr(strip(H.bare_text("_value"))).alias("raw_value")

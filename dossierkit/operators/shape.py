@@ -26,6 +26,8 @@ def indicator_pivot(
 ) -> DataFrame:
     """Long indicator rows to columns ``"<indicator> <year>"``; cells that never occur are null.
 
+    Other indicators and years do not count, so a key that only has those gives no row.
+
     One conditional aggregate, so one exchange. With ``ordinal`` the last value of a cell wins;
     without, a cell must have one value. Rows are numbered by cell first, so that an aggregate
     compares an integer.

@@ -39,10 +39,14 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below the checkpoint folder that the cluster names.
 
-    Only a session without that setting gets a folder of its own, which is meant for tests.
+    Only a local session without that setting gets a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="dossierkit-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(base)
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,0 +1,62 @@
+import json
+
+from dossierkit.functions import jsonx as J
+
+
+def test_json_text(evaluate):
+    doc = {
+        "total": {"text": "5 m"},
+        "number": 3,
+        "list": [1],
+        "plain": "str",
+        "empty": {},
+        "deep": {"z": {"q": 7}, "b": 2},
+        "big": {"text": 1e10},
+        "none": {"text": None},
+        "a (b), c - d": {"text": "odd key"},
+        "null": None,
+    }
+    body = [json.dumps({"P": doc}, separators=(",", ":"))]
+
+    def text(*keys, **options):
+        return evaluate(J.json_text("try_parse_json(x)", "P", *keys, source="x", **options), body)[0]
+
+    assert text("total") == "5 m"
+    assert text("plain") == "str"
+    assert text("a (b), c - d") == "odd key"
+    assert text("deep") == '{"z":{"q":7},"b":2}'
+    assert float(text("big")) == 1e10
+    assert text("none") is None
+    assert [text(k) for k in ("number", "list", "empty", "null", "absent")] == ["N/A"] * 5
+    assert text("plain", "further") == "N/A"
+    assert text("absent", default=None) is None
+
+
+def test_latest_year(evaluate):
+    bodies = [
+        {"E": {"GDP (x) 2021": {"text": "a"}, "GDP (x) 2023 est": {"text": "b"}, "GDP (x)2025": "no", "x GDP (x) 2026": "no"}},
+        {"E": {"GDP (x) 2023": {"n": 1}, "GDP (x) 2022": "older"}},
+        {"E": {"GDP (x) 2023": 5, "GDP (x) 2022": "older"}},
+        {"E": 3},
+    ]
+    latest = J.latest_year_text("try_parse_json(x)", "E", base="GDP (x)")
+    assert evaluate(latest, [*map(json.dumps, bodies), "bad", None]) == ["b", '{"n":1}', "N/A", "N/A", "N/A", "N/A"]
+
+
+def test_indicator_points(evaluate):
+    payloads = {
+        '[{"p":1},[{"date":"2021","value":1.5},{"date":2020,"value":null},{"date":"2019","value":"12,3"}]]': [
+            (0, 2021, 1.5),
+            (1, 2020, None),
+            (2, 2019, 123.0),
+        ],
+        '[{},[{"date":"2021","value":1},{"date":"2021","value":2e3}]]': [(1, 2021, 2000.0)],
+        '[{},[{"date":"2021","value":1},{"date":"2020Q1","value":2}]]': None,
+        '[{},[{"value":1}]]': None,
+        '[{"p":1}]': None,
+        '[{"p":1},null]': None,
+        "junk": None,
+        "[{},[]]": [],
+    }
+    found = evaluate(J.indicator_points("x"), list(payloads))
+    assert [None if f is None else [tuple(p) for p in f] for f in found] == list(payloads.values())
