@@ -76,7 +76,7 @@ def lookup(c: str, values: Mapping[str, str]) -> str:
 
 def normalise_name(c: str, aliases: Mapping[str, str]) -> str:
     """Replace a name by its alias in a short fixed list; other names stay."""
-    return f"coalesce({lookup(c, aliases)}, {c})"
+    return let(c, lambda x: f"coalesce({lookup(x, aliases)}, {x})")
 
 
 def entities(c: str) -> str:

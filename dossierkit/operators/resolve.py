@@ -32,11 +32,14 @@ def last_wins(df: DataFrame, keys: Sequence[str], ordinal: Sequence[str]) -> Dat
 def first_available(df: DataFrame, keys: Sequence[str], priority: Sequence[str], ok: Column) -> DataFrame:
     """Per key the first candidate that is ``ok``; a key without one keeps its row, with nulls.
 
-    Misses come out of the same aggregate (their order is null), so there is no join back.
+    Misses come out of the same aggregate (their order is null), so there is no join back; what
+    they brought is dropped before it is sorted or shuffled.
     """
     rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*cols(rest)), F.when(ok, F.struct(*cols(priority)))).alias("first")
-    return df.groupBy(*cols(keys)).agg(first).select(*cols(keys), "first.*")
+    found = F.when(ok, F.struct(*cols(rest))).alias("_found")
+    tried = df.select(*cols(keys), found, F.when(ok, F.struct(*cols(priority))).alias("_order"))
+    first = F.min_by("_found", "_order").alias("first")
+    return tried.groupBy(*cols(keys)).agg(first).select(*cols(keys), "first.*")
 
 
 def candidates(df: DataFrame, *dims: tuple[str, Sequence[str]]) -> DataFrame:
@@ -84,7 +87,7 @@ def skew_left_join(
     a number of parts; left rows pick a part by the hash of ``row_id`` (so a task that runs again
     picks the same), and the one right row is copied to each part. The list of hot keys has at most
     rows / ``rows_per_task`` entries, which is what makes it safe to broadcast. Every other key has
-    one part.
+    one part. The left side is read twice, the first time only for its key.
     """
     hot = (
         left.groupBy(col(key).alias("_hot"))
