@@ -10,6 +10,7 @@ from dossierkit.catalog.extraction import NOISE, decoded, paragraphs_sql
 from dossierkit.functions import html as H
 from dossierkit.operators import retrieve
 from dossierkit.plans import articles as flow
+from dossierkit.plans.answers import answers as answer_questions
 from dossierkit.sources.landed import read_articles
 from dossierkit.sources.sinks import read_csv, shared_folder, write_csv, write_json
 
@@ -121,6 +122,27 @@ def list_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("idx", F.col("idx").cast("bigint"))
 
 
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context length and sources per topic, with documents as chunks."""
+    documents = table(spark, sf_dir, "documents")
+    chunks = (
+        table(spark, sf_dir, "embeddings")
+        .join(documents, F.col("vec_id") == F.col("doc_id"))
+        .select(
+            F.col("vec_id").alias("chunk_id"),
+            F.expr("'/d/' || cast(doc_id as string)").alias("link"),
+            F.expr("case when doc_id % 2 = 0 then 'Document ' || cast(doc_id as string) end").alias("title"),
+            F.col("text").alias("chunk"),
+            F.col("embedding").alias("vector"),
+        )
+    )
+    questions = _topics(spark, sf_dir).select(F.col("label").alias("question_id"), F.col("question").alias("vector"))
+    found = answer_questions(chunks, questions)
+    return found.select(
+        "question_id", "context", F.inline("sources")
+    ).select("question_id", "context", F.col("idx").cast("bigint").alias("idx"), "title", "url")
+
+
 def articles_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written as JSON and read back; missing fields are filled."""
     path = shared_folder(spark, "articles")
@@ -144,6 +166,7 @@ QUERIES = {
     "knn_top3": knn_top3,
     "assemble_context": assemble_context,
     "list_sources": list_sources,
+    "answers": answers,
     "articles_roundtrip": articles_roundtrip,
     "csv_roundtrip": csv_roundtrip,
 }
@@ -187,6 +210,14 @@ ORACLE = {
             {squeeze(decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)"))}, 'No title found') as title,
             coalesce(url, 'No link found') as url
         from hits left join pages on vec_id = page_id""",
+    "answers": _HITS.replace("from topics, embeddings", "from topics, embeddings where vec_id in (select doc_id from documents)")
+    + """, found as (select label, rank, doc_id, text from hits join documents on vec_id = doc_id),
+        contexts as (
+            select label, string_agg(text, chr(10) || chr(10) order by rank) as context from found group by label)
+        select label as question_id, context, rank as idx,
+            case when doc_id % 2 = 0 then 'Document ' || cast(doc_id as varchar) else 'No title found' end as title,
+            '/d/' || cast(doc_id as varchar) as url
+        from found join contexts using (label)""",
     "articles_roundtrip": f"select {_fields_sql()} from documents",
     "csv_roundtrip": f"select {_fields_sql('null')} from documents",
 }
