@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dossierkit.catalog.common import squeeze, table
 from dossierkit.catalog.extraction import NOISE, decoded, paragraphs_sql
 from dossierkit.functions import html as H
+from dossierkit.functions.text import WHITESPACE
 from dossierkit.operators import retrieve
 from dossierkit.plans import articles as flow
 from dossierkit.plans.answers import answers as answer_questions
@@ -41,11 +42,15 @@ _FIELDS = {
 }
 
 
-def _fields_sql(empty: str = "''") -> str:
-    return ", ".join(
-        f'{sql.format("; ") if empty == chr(39) * 2 else f"nullif({sql.format(chr(59) + chr(32))}, {chr(39) * 2})"} as "{name}"'
-        for name, sql in _FIELDS.items()
-    )
+def _fields_sql(form: str = "{}") -> str:
+    columns = {name: form.format(sql.format("; ")) for name, sql in _FIELDS.items()}
+    return ", ".join(f'{sql} as "{name}"' for name, sql in columns.items())
+
+
+_DOCUMENT = f"""'TITLE: ' || {_FIELDS["Title"]} || chr(10) || 'LINK: ' || {_FIELDS["Link"]} || chr(10)
+    || 'DATE_POSTED: ' || {_FIELDS["Date Posted"]} || chr(10) || 'DATE_UPDATED: ' || chr(10)
+    || 'AUTHORS: ' || {_FIELDS["Author(s)"].format(",")} || chr(10) || 'SECTION: ' || {_FIELDS["Section"]} || chr(10)
+    || 'UPDATES: ' || {_FIELDS["Updates"]} || chr(10) || chr(10) || text"""
 
 
 def compose_document(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +176,52 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
 }
 
+
+
+def chunk_sql(source: str, size: int = 1000, overlap: int = 100) -> str:
+    """Chunks of ``source(id, text)`` as a CTE ``chunks(id, chunk_no, chunk)``.
+
+    Level by level, long pieces are cut at the next separator; neighbouring short pieces are a run.
+    The recursion then goes chunk by chunk through all runs at once: a chunk ends before the first
+    piece that does not fit, and the next starts where the overlap and that piece fit.
+    """
+    ctes = [f"texts as ({source})", "long0 as (select id, 0 as start, text as piece from texts)"]
+    for level, sep in enumerate(("chr(10) || chr(10)", "chr(10)", "' '", "''")):
+        ctes.append(f"""cut{level} as (
+            select id, start as segment, i, case when i = 1 then part else {sep} || part end as piece from (
+                select id, start, unnest(string_split(piece, {sep})) as part,
+                    generate_subscripts(string_split(piece, {sep}), 1) as i from long{level}))""")
+        ctes.append(f"""placed{level} as (
+            select *, segment + sum(length(piece)) over w - length(piece) as start,
+                sum(case when length(piece) >= {size} then 1 else 0 end) over w as run
+            from cut{level} where piece <> '' window w as (partition by id, segment order by i))""")
+        ctes.append(f"long{level + 1} as (select id, start, piece from placed{level} where length(piece) >= {size})")
+    ctes.append(
+        "runs as ("
+        + " union all ".join(
+            f"select id, list(start order by i) as starts, list(start + length(piece) order by i) as stops "
+            f"from placed{level} where length(piece) < {size} group by id, segment, run"
+            for level in range(4)
+        )
+        + ")"
+    )
+    ctes.append(f"""steps as (
+        select id, starts, stops, 1 as front, 1 as i, cast(null as bigint) as a, cast(null as bigint) as b from runs
+        union all
+        select id, starts, stops, front + len(list_filter(starts[front:j - 1],
+                lambda s: starts[j] - s > {overlap} or stops[j] - s > {size})), j,
+            starts[front], case when j > len(stops) then stops[-1] else starts[j] end
+        from (
+            select *, i + 1 + len(list_filter(stops[i + 1:], lambda s: s - starts[front] <= {size})) as j
+            from steps where i <= len(stops)))""")
+    ctes.append(f"""chunks as (
+        select id, cast(row_number() over (partition by id order by a) - 1 as integer) as chunk_no, chunk from (
+            select id, a, trim(substr(text, a + 1, b - a), '{WHITESPACE}') as chunk
+            from steps join texts using (id) where b is not null)
+        where chunk <> '')""")
+    return "with recursive " + ", ".join(ctes) + " "
+
+
 _HITS = """
     with coords as (
         select label, cast(unnest(embedding) as double) as x, generate_subscripts(embedding, 1) as pos from embeddings
@@ -194,13 +245,12 @@ ORACLE = {
             case when page_id % 6 = 0 then '' else {paragraphs_sql("body")} end as text
         from clean
     """,
-    "compose_document": f"""
-        select {_FIELDS["Link"]} as link, 'TITLE: ' || {_FIELDS["Title"]} || chr(10) || 'LINK: ' || {_FIELDS["Link"]}
-            || chr(10) || 'DATE_POSTED: ' || {_FIELDS["Date Posted"]} || chr(10) || 'DATE_UPDATED: ' || chr(10)
-            || 'AUTHORS: ' || {_FIELDS["Author(s)"].format(",")} || chr(10) || 'SECTION: ' || {_FIELDS["Section"]}
-            || chr(10) || 'UPDATES: ' || {_FIELDS["Updates"]} || chr(10) || chr(10) || text as document
-        from documents
-    """,
+    "compose_document": f'select {_FIELDS["Link"]} as link, {_DOCUMENT} as document from documents',
+    "chunk_text": chunk_sql("select doc_id as id, text from documents")
+    + "select id as doc_id, chunk_no, chunk from chunks",
+    "article_chunks": chunk_sql(f"select doc_id as id, {_DOCUMENT} as text from documents")
+    + f"""select {_FIELDS["Link"]} as link, {_FIELDS["Title"]} as title, chunk_no, chunk
+        from chunks join documents on id = doc_id""",
     "knn_top3": _HITS + "select label, rank, vec_id, round(distance, 4) as distance from hits",
     "assemble_context": _HITS
     + """select label, string_agg(text, chr(10) || chr(10) order by rank) as context
@@ -219,5 +269,5 @@ ORACLE = {
             '/d/' || cast(doc_id as varchar) as url
         from found join contexts using (label)""",
     "articles_roundtrip": f"select {_fields_sql()} from documents",
-    "csv_roundtrip": f"select {_fields_sql('null')} from documents",
+    "csv_roundtrip": f"select {_fields_sql("nullif({}, '')")} from documents",
 }

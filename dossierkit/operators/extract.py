@@ -11,7 +11,6 @@ from dossierkit.functions import html as H
 from dossierkit.functions.jsonx import indicator_points
 from dossierkit.functions.sqltext import at, before, col, cols, from_first, keep, let, matches, name, quote, split_on, tail, transform
 from dossierkit.functions.text import (
-    clean_text,
     date_items,
     join_tags,
     last_found,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossierkit.functions.sqltext import col, cols, name as quoted
-from dossierkit.functions.text import country_key, entities
+from dossierkit.functions.text import entities
 
 # A key with more rows than this on the left of a join is spread over several tasks.
 ROWS_PER_TASK = 1_000_000
@@ -58,10 +58,10 @@ def candidate_urls(df: DataFrame, template: str, *parts: str, name: str = "url")
 
 
 def explode_entities(df: DataFrame, c: str, name: str = "entity") -> DataFrame:
-    """One row per name in a shared cell, with ``entity_no`` and the join key ``<name>_key``."""
+    """One row per name in a shared cell, with ``<name>_no`` and the join key ``<name>_key``."""
     rest = [x for x in df.columns if x != c]
     out = df.select(*cols(rest), F.posexplode(F.expr(entities(quoted(c)))).alias(f"{name}_no", name))
-    return out.withColumn(f"{name}_key", F.expr(country_key(quoted(name))))
+    return out.withColumn(f"{name}_key", F.lower(col(name)))
 
 
 def distinct_codes(df: DataFrame, codes: str, name: str = "code") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossierkit.functions.jsonx import json_text, latest_year_text
-from dossierkit.functions.shares import parse_shares, share_slots
+from dossierkit.functions.shares import parse_shares, share_slots, shares_map
 from dossierkit.functions.sqltext import col, cols, name
 from dossierkit.functions.text import country_key, first_text, lookup, normalise_name, year_window
 from dossierkit.operators.extract import html_table_rows, indicator_rows
@@ -220,6 +220,11 @@ def country_profile(landed: Landed, as_of: dt.date) -> DataFrame:
     return clean.withColumn(RELIGIONS_PARSED, F.expr(parse_shares(name(RELIGIONS))))
 
 
+def profile_records(profile: DataFrame) -> DataFrame:
+    """The nested records for JSON: shares as a map, greatest first."""
+    return profile.withColumn(RELIGIONS_PARSED, F.expr(shares_map(name(RELIGIONS_PARSED))))
+
+
 def profile_table(profile: DataFrame) -> DataFrame:
     """The flat table: declared columns in order, shares as slots."""
     flat = [c for c in profile.columns if c not in (RELIGIONS, RELIGIONS_PARSED)]
