@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dossierkit.catalog import documents, extraction, profiles, resolution, values
 
-_PARTS = (profiles, resolution, values, extraction, documents)
+_PARTS = (resolution, values, extraction, documents, profiles)
 
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}

@@ -182,7 +182,8 @@ def landed_sources(spark: SparkSession, sf_dir: str) -> profile.Landed:
     )
 
     def pages(html: str, missing: str) -> DataFrame:
-        return customer.filter(f"not ({missing})").select(F.col(_K).alias("ordinal"), F.expr(html).alias("html"))
+        page = F.expr(f"case when {missing} then '<p>no table</p>' else {html} end")
+        return customer.select(F.col(_K).alias("ordinal"), page.alias("html"))
 
     tries = customer.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("region_no"))
     log = tries.select(

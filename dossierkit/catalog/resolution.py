@@ -135,25 +135,25 @@ def alias_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outer_join_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer and supplier balances per nation where both sides miss some nations."""
+    """Debts of customers against thin balances of suppliers, per nation; either side may be missing."""
 
-    def balances(name: str, p: str, low: int, out: str) -> DataFrame:
-        rows = table(spark, sf_dir, name)
+    def balances(name: str, p: str, limit: int, out: str) -> DataFrame:
+        rows = table(spark, sf_dir, name).filter(F.col(f"{p}_acctbal") < limit)
         sums = rows.groupBy(F.col(f"{p}_nationkey").cast("bigint").alias("nationkey")).agg(
-            F.sum(F.expr(cents(f"{p}_acctbal"))).alias("total"), F.min(f"{p}_acctbal").alias("least")
+            F.sum(F.expr(cents(f"{p}_acctbal"))).alias("total")
         )
-        return sums.filter(F.col("nationkey") % 5 != low).select("nationkey", (F.col("total") / 100).alias(out))
+        return sums.select("nationkey", (F.col("total") / 100).alias(out))
 
     return shape.outer_join_pair(
-        balances("customer", "c", 1, "customer_total"), balances("supplier", "s", 2, "supplier_total"), "nationkey"
+        balances("customer", "c", -900, "customer_total"), balances("supplier", "s", 1000, "supplier_total"), "nationkey"
     )
 
 
-def _balance_sql(name: str, p: str, low: int, out: str) -> str:
+def _balance_sql(name: str, p: str, limit: int, out: str) -> str:
     return (
         f"select cast({p}_nationkey as bigint) as nationkey, "
         f"cast(sum({cents(f'{p}_acctbal')}) as double) / cast(100 as double) as {out} from {name} "
-        f"where {p}_nationkey % 5 <> {low} group by 1"
+        f"where {p}_acctbal < {limit} group by 1"
     )
 
 
@@ -259,8 +259,8 @@ ORACLE = {
         left join target s on regexp_replace(spine.raw, '^republic of ', '') = s.key
     """,
     "outer_join_pair": f"""
-        with a as ({_balance_sql("customer", "c", 1, "customer_total")}),
-             b as ({_balance_sql("supplier", "s", 2, "supplier_total")})
+        with a as ({_balance_sql("customer", "c", -900, "customer_total")}),
+             b as ({_balance_sql("supplier", "s", 1000, "supplier_total")})
         select nationkey, customer_total, supplier_total from a full join b using (nationkey)
     """,
     "to_numeric": f"""

@@ -62,6 +62,25 @@ def _entry(entry: str, rules: Mapping[str, list[str]]) -> str:
     return let(share, lambda s: f"CASE WHEN {s} > 0 THEN struct({group} AS grp, {s} AS pct) END")
 
 
+def round_cents(p: str) -> str:
+    """A non-negative number to two digits, half to even, judged by its exact binary value.
+
+    ``round`` judges by the shortest decimal text instead: 2.675 is a little less than that, and
+    becomes 2.67. The fraction has at most 60 binary digits from 2**-7 on, so as an integer it is
+    exact, and decimals compare it exactly.
+    """
+    unit = 2**60
+    fraction = f"CAST(CAST(({p} - floor({p})) * {unit}D AS bigint) AS decimal(19,0)) * 100"
+
+    def up(f: str) -> str:
+        cents = f"({f} div {unit})"
+        twice = f"2 * ({f} - CAST({cents} AS decimal(3,0)) * {unit})"
+        half_up = f"CASE WHEN {twice} > {unit} OR ({twice} = {unit} AND {cents} % 2 = 1) THEN 1 ELSE 0 END"
+        return f"CAST(CAST(floor({p}) AS bigint) * 100 + {cents} + {half_up} AS double) / 100D"
+
+    return let(fraction, up)
+
+
 def parse_shares(c: str, rules: Mapping[str, list[str]] = RELIGION_RULES, threshold: float = MIN_SHARE) -> str:
     """Summed share per group, greatest first, ties in rule order: ``ARRAY<STRUCT<name, pct>>``.
 
@@ -80,7 +99,8 @@ def parse_shares(c: str, rules: Mapping[str, list[str]] = RELIGION_RULES, thresh
         return let(
             pct,
             lambda p: f"CASE WHEN {p} > {threshold}D THEN "
-            f"struct(-round({p}, 2) AS falling, {group} AS rule, round({p}, 2) AS pct) END",
+            + let(round_cents(p), lambda r: f"struct(-{r} AS falling, {group} AS rule, {r} AS pct)")
+            + " END",
         )
 
     def ranked(found: str) -> str:

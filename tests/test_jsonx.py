@@ -60,3 +60,7 @@ def test_indicator_points(evaluate):
     }
     found = evaluate(J.indicator_points("x"), list(payloads))
     assert [None if f is None else [tuple(p) for p in f] for f in found] == list(payloads.values())
+
+
+def test_repeated_keys_keep_the_last(evaluate):
+    assert evaluate(J.json_text("try_parse_json(x)", "a"), ['{"a":"1","a":"2"}']) == ["2"]

@@ -62,6 +62,13 @@ def test_against_brute_force(evaluate, seed):
     assert [[tuple(s) for s in f] for f in found] == [brute(t) for t in texts]
 
 
+def test_rounding_is_that_of_binary_numbers(evaluate):
+    rng = random.Random(4)
+    numbers = [2.675, 0.125, 0.375, 1.005, 0.015, 0.025, 99.995, 100.0, 12.5, 1234.565, 0.1 + 0.2, 0.0100001]
+    numbers += [rng.randrange(2, 400000) / 2000 for _ in range(2000)] + [rng.random() * 300 + 0.01 for _ in range(500)]
+    assert evaluate(S.round_cents("x"), numbers, "double") == [round(n, 2) for n in numbers]
+
+
 def test_words_that_hide_one_another_are_tried_in_order(evaluate):
     rules = {"B": ["black tea"], "T": ["tea"], "C": ["black"]}
     found = evaluate(S.parse_shares("x", rules), ["black tea 5%, tea 2%, black 1%"])
