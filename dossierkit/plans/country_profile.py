@@ -176,6 +176,12 @@ def indicator_table(payloads: DataFrame, as_of: dt.date) -> DataFrame:
     return indicator_pivot(named, ["country_code"], list(INDICATORS.values()), range(window[0], window[1] + 1))
 
 
+# The pages that hold the three tables.
+CURRENCY_URL = "https://en.wikipedia.org/wiki/List_of_circulating_currencies"
+POPULATION_URL = "https://www.worldometers.info/world-population/population-by-country/"
+LIFE_URL = "https://www.worldometers.info/demographics/life-expectancy/"
+
+
 @dataclass(frozen=True)
 class Landed:
     """The landed tables that a profile is built from."""
@@ -188,6 +194,15 @@ class Landed:
     factbook_log: DataFrame
 
 
+def landed_pages(spine: DataFrame, pages: DataFrame, payloads: DataFrame, log: DataFrame) -> Landed:
+    """Sources out of one table ``pages(url, ordinal, html)``, the indicator payloads and the fetch log."""
+
+    def of(url: str) -> DataFrame:
+        return pages.filter(F.col("url") == url).select("ordinal", "html")
+
+    return Landed(spine, of(CURRENCY_URL), payloads, of(POPULATION_URL), of(LIFE_URL), log)
+
+
 def country_profile(landed: Landed, as_of: dt.date) -> DataFrame:
     """One row per country of the spine: the flat columns, the religion text and the parsed shares."""
     spine = has_name(landed.spine.select(*cols(IDENTITY)), "Country")

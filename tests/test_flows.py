@@ -128,6 +128,20 @@ def test_country_profile(spark):
     assert kosovo["Factbook Country Name"] is None
 
 
+def test_sources_out_of_one_page_table(spark):
+    one = landed(spark)
+    urls = {C.CURRENCY_URL: one.currency_pages, C.POPULATION_URL: one.population_pages, C.LIFE_URL: one.life_pages}
+    rows = [(url, r.ordinal, r.html) for url, df in urls.items() for r in df.collect()]
+    pages = spark.createDataFrame(rows + [("https://h/", 1, "x")], "url string, ordinal int, html string")
+    other = C.landed_pages(one.spine, pages, one.indicator_payloads, one.factbook_log)
+    expected = C.country_profile(one, AS_OF).orderBy("Country").collect()
+    found = C.country_profile(other, AS_OF)
+    assert found.orderBy("Country").collect() == expected
+    us = C.profile_records(found).filter("Country = 'United States'")
+    shares = us.selectExpr("to_json(`Religions Parsed`) AS shares").first().shares
+    assert list(json.loads(shares).items()) == [("Protestant", 46.5), ("Unaffiliated", 22.8), ("Catholic", 20.8), ("Jewish", 1.9)]
+
+
 def test_table_by_headers_when_the_id_is_missing(spark):
     rows = [("1", "Chad", *map(str, range(10)))]
     html = table("", ["x"], rows) + table("", C.POPULATION_HEADERS, [("1", "Mali", *map(str, range(10)))])
@@ -179,8 +193,19 @@ def test_strength_matrix(spark):
         {},
         {},
     ]
-    links = S.detail_links(spark.createDataFrame([(block("Chad", ""),)], "html string"), "https://h/").first()
-    assert tuple(links) == ("Chad", "https://h/country-military-strength-detail.php?country_id=Chad&x=1")
+
+
+def test_matrix_of_a_whole_site(spark):
+    shown = '<div class="specsGenContainers"><span>Army Personnel</span><span class="textWhite textShadow">7</span></div>'
+    pages = [
+        ("https://h/navy-ships.php", 1, block("Chad", "<span>3</span>")),
+        ("https://h/countries-listing.php", 2, block("Chad", "") + block("Mali", "")),
+        ("https://h/country-military-strength-detail.php?country_id=Mali&x=1", 3, shown),
+        ("https://h/other.php", 4, block("Niger", "<span>3</span>")),
+    ]
+    matrix = S.matrix_of_pages(spark.createDataFrame(pages, "url string, ordinal int, html string"), "https://h/")
+    rows = [{k: v for k, v in r.asDict().items() if v is not None} for r in matrix.collect()]
+    assert rows == [{"Country": "Chad", "naval_fleet_strength": 3.0}, {"Country": "Mali", "army_personnel": 7.0}]
 
 
 def test_labels_need_a_value_span_of_the_whole_class(spark):
