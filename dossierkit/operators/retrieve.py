@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from typing import TYPE_CHECKING
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ from dossierkit.functions.text import strip
 if TYPE_CHECKING:
     from pyspark.sql.types import DataType
 
+# Tasks get the helpers of this module with their function: executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Length of a chunk, overlap of chunks, separators in the order in which they are
 # tried, and number of chunks per question.
 CHUNK_SIZE = 1000

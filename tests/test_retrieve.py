@@ -1,9 +1,12 @@
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 
 from dossierkit.operators import retrieve as R
 from dossierkit.plans.answers import answers
@@ -161,3 +164,10 @@ def test_list_sources_keeps_hits_without_a_page(spark):
     pages = spark.createDataFrame([(5, "T", "/t")], "id int, title string, link string")
     found = R.list_sources(hits, pages, query_id="q", corpus_id="id", title="title", link="link")
     assert sorted(map(tuple, found.collect())) == [(1, 1, "T", "/t"), (1, 2, "No title found", "No link found")]
+
+
+def test_tasks_need_no_installed_package(tmp_path):
+    (tmp_path / "split.bin").write_bytes(cloudpickle.dumps(R.split_text))
+    code = "import pickle; print(pickle.load(open('split.bin', 'rb'))('ab cd', 3, 0))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=False)
+    assert done.stdout.strip() == "['ab', 'cd']", done.stderr
