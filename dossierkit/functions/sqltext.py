@@ -93,5 +93,6 @@ def col(column: str) -> Column:
     return F.col(name(column))
 
 
-def cols(columns: Iterable[str]) -> list[Column]:
-    return [col(c) for c in columns]
+def cols(columns: Iterable[str]) -> list[str]:
+    """References by exact name, for ``select``, ``groupBy`` and functions."""
+    return [name(c) for c in columns]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DataType, NumericType
 
 from dossierkit.functions.sqltext import col, cols, quote
 from dossierkit.functions.sqltext import name as quoted
@@ -82,20 +82,20 @@ def outer_join_pair(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def to_numeric(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """All columns but ``keep`` as DOUBLE; what is not a number becomes null."""
-    return df.select(*[col(c) if c in keep else col(c).try_cast("double").alias(c) for c in df.columns])
+    names = [(quoted(c), c in keep) for c in df.columns]
+    return df.selectExpr(*[c if kept else f"try_cast({c} AS double) AS {c}" for c, kept in names])
 
 
 def clean_columns(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """First number of every column but ``keep``; numbers pass through as DOUBLE."""
 
-    def clean(name: str) -> Column:
-        c = col(name)
-        if name in keep:
-            return c
-        number = isinstance(df.schema[name].dataType, NumericType)
-        return (c.cast("double") if number else F.expr(clean_numeric(quoted(name)))).alias(name)
+    def clean(c: str, kind: DataType) -> str:
+        number = f"CAST({c} AS double)" if isinstance(kind, NumericType) else clean_numeric(c)
+        return f"{number} AS {c}"
 
-    return df.select(*[clean(c) for c in df.columns])
+    return df.selectExpr(
+        *[quoted(f.name) if f.name in keep else clean(quoted(f.name), f.dataType) for f in df.schema.fields]
+    )
 
 
 def reconcile(df: DataFrame, declared: Sequence[str], drop: Sequence[str] = ()) -> DataFrame:

@@ -220,16 +220,16 @@ def country_profile(landed: Landed, as_of: dt.date) -> DataFrame:
     joined = found.withColumn("country_code", code).join(indicators, "country_code", "left")
     years = [c for c in indicators.columns if c != "country_code"]
 
-    def field(source: str, name: str) -> Column:
-        return F.col(source)[name]
+    def field(source: str, column: str) -> str:
+        return f"{source}.{name(column)} AS {name(column)}"
 
-    wide = joined.select(
+    wide = joined.selectExpr(
         *cols(IDENTITY),
-        *[F.coalesce(field("currency", c), F.lit("N/A")).alias(c) for c in CURRENCY],
+        *[f"coalesce(currency.{name(c)}, 'N/A') AS {name(c)}" for c in CURRENCY],
         *cols(years),
-        *[field("population", c).alias(c) for c in POPULATION],
-        *[field("life", c).alias(c) for c in LIFE],
-        *[field("factbook", c).alias(c) for c in [FACTBOOK_NAME, RELIGIONS, *FACTBOOK]],
+        *[field("population", c) for c in POPULATION],
+        *[field("life", c) for c in LIFE],
+        *[field("factbook", c) for c in [FACTBOOK_NAME, RELIGIONS, *FACTBOOK]],
     )
     clean = clean_columns(wide, KEEP)
     return clean.withColumn(RELIGIONS_PARSED, F.expr(parse_shares(name(RELIGIONS))))
@@ -243,4 +243,4 @@ def profile_records(profile: DataFrame) -> DataFrame:
 def profile_table(profile: DataFrame) -> DataFrame:
     """The flat table: declared columns in order, shares as slots."""
     flat = [c for c in profile.columns if c not in (RELIGIONS, RELIGIONS_PARSED)]
-    return profile.select(*cols(flat), *[F.expr(s) for s in share_slots(name(RELIGIONS_PARSED))])
+    return profile.selectExpr(*cols(flat), *share_slots(name(RELIGIONS_PARSED)))
