@@ -67,7 +67,7 @@ def round_cents(p: str) -> str:
 
     ``round`` judges by the shortest decimal text instead: 2.675 is a little less than that, and
     becomes 2.67. The fraction has at most 60 binary digits from 2**-7 on, so as an integer it is
-    exact, and decimals compare it exactly.
+    exact, and decimals compare it exactly. That is only done close to a half.
     """
     unit = 2**60
     fraction = f"CAST(CAST(({p} - floor({p})) * {unit}D AS bigint) AS decimal(19,0)) * 100"
@@ -78,7 +78,8 @@ def round_cents(p: str) -> str:
         half_up = f"CASE WHEN {twice} > {unit} OR ({twice} = {unit} AND {cents} % 2 = 1) THEN 1 ELSE 0 END"
         return f"CAST(CAST(floor({p}) AS bigint) * 100 + {cents} + {half_up} AS double) / 100D"
 
-    return let(fraction, up)
+    near_half = f"abs(pmod({p} * 200D, 2D) - 1D) < 1e-6D"
+    return f"CASE WHEN {near_half} THEN {let(fraction, up)} ELSE floor({p} * 100D + 0.5D) / 100D END"
 
 
 def parse_shares(c: str, rules: Mapping[str, list[str]] = RELIGION_RULES, threshold: float = MIN_SHARE) -> str:
