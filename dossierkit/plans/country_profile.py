@@ -176,6 +176,9 @@ def indicator_table(payloads: DataFrame, as_of: dt.date) -> DataFrame:
     return indicator_pivot(named, ["country_code"], list(INDICATORS.values()), range(window[0], window[1] + 1))
 
 
+# Stands in front of codes where names and codes are keys of one join.
+CODE_MARK = "'\\u0001'"
+
 # The pages that hold the three tables.
 CURRENCY_URL = "https://en.wikipedia.org/wiki/List_of_circulating_currencies"
 POPULATION_URL = "https://www.worldometers.info/world-population/population-by-country/"
@@ -204,29 +207,34 @@ def landed_pages(spine: DataFrame, pages: DataFrame, payloads: DataFrame, log: D
 
 
 def country_profile(landed: Landed, as_of: dt.date) -> DataFrame:
-    """One row per country of the spine: the flat columns, the religion text and the parsed shares."""
+    """One row per country of the spine: the flat columns, the religion text and the parsed shares.
+
+    All five sources come in by one join: four by names, the indicators by code.
+    """
     spine = has_name(landed.spine.select(*cols(IDENTITY)), "Country")
     raw = country_key("Country")
-    keys = [F.expr(k) for k in (normalise_name(raw, MATCH_ALIASES), raw, normalise_name(raw, CURRENCY_ALIASES))]
+    code = f"coalesce({lookup('Country', CODE_OVERRIDES)}, {name('Alpha-3')})"
+    names = [normalise_name(raw, MATCH_ALIASES), raw, normalise_name(raw, CURRENCY_ALIASES)]
+    keys = [F.expr(k) for k in (*names, f"{CODE_MARK} || {code}")]
+    marked = landed.indicator_payloads.withColumn("country_code", F.expr(f"{CODE_MARK} || country_code"))
+    indicators = indicator_table(marked, as_of)
+    years = [c for c in indicators.columns if c != "country_code"]
     sources = {
         "currency": Source(currency_table(landed.currency_pages), "key", 3),
         "population": Source(population_table(landed.population_pages), "key", 2),
         "life": Source(life_table(landed.life_pages), "key", 2),
         "factbook": Source(factbook_table(landed.factbook_log), "key", 2),
+        "indicators": Source(indicators, "country_code", 4),
     }
     found = enrich(spine, keys, sources)
-    code = F.coalesce(F.expr(lookup("Country", CODE_OVERRIDES)), col("Alpha-3"))
-    indicators = indicator_table(landed.indicator_payloads, as_of)
-    joined = found.withColumn("country_code", code).join(indicators, "country_code", "left")
-    years = [c for c in indicators.columns if c != "country_code"]
 
     def field(source: str, column: str) -> str:
         return f"{source}.{name(column)} AS {name(column)}"
 
-    wide = joined.selectExpr(
+    wide = found.selectExpr(
         *cols(IDENTITY),
         *[f"coalesce(currency.{name(c)}, 'N/A') AS {name(c)}" for c in CURRENCY],
-        *cols(years),
+        *[field("indicators", c) for c in years],
         *[field("population", c) for c in POPULATION],
         *[field("life", c) for c in LIFE],
         *[field("factbook", c) for c in [FACTBOOK_NAME, RELIGIONS, *FACTBOOK]],
