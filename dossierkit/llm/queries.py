@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierkit.llm import licenses, sharding, tokens
+from dossierkit.llm import licenses, sharding, substrings, tokens
 from dossierkit.llm.licenses import THRESHOLD
 from dossierkit.llm import oracles
 
@@ -29,6 +29,12 @@ def sharding_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", [1.0] * SHARDS, 1.0, order=("size", "text_crc32"))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 50-word windows that an earlier document holds."""
+    cleaned = substrings.remove_repeats(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document."""
     import public_tokenizers
@@ -63,6 +69,7 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_rendezvous_sharding": sharding_rendezvous,
+    "op2_substring_dedup": substring_dedup,
     "op7_token_counts": token_counts,
     "op9_license_scan": license_scan,
 }
