@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierkit.llm import licenses, sharding, substrings, tokens
+from dossierkit.llm import licenses, minhash, sharding, substrings, tokens
 from dossierkit.llm.licenses import THRESHOLD
 from dossierkit.llm import oracles
 
@@ -44,6 +44,11 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by two-word shingles."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", shingle=2)
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices of every document; ``score`` is the best containment of a notice."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,6 +76,7 @@ QUERIES = {
     "op1_rendezvous_sharding": sharding_rendezvous,
     "op2_substring_dedup": substring_dedup,
     "op7_token_counts": token_counts,
+    "op8_minhash_near_dedup": minhash_dedup,
     "op9_license_scan": license_scan,
 }
 ORACLE = {
