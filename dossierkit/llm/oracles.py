@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dossierkit.llm import licenses, sharding
+from dossierkit.llm import embeddings, licenses, sharding
 
 _BYTES = "list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint)"
 
@@ -80,3 +80,17 @@ SELECT d.doc_id, len(d.w)::bigint AS n_words, coalesce(b.n, 0)::bigint AS n_base
        coalesce(m.best, 0.0)::double AS score
 FROM words d LEFT JOIN base b USING (doc_id) LEFT JOIN method m USING (doc_id)
 """
+
+
+EMBEDDINGS = f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::double[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {embeddings.COSINE}),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id)::bigint AS n_links, r.low AS component_id, r.low = e.vec_id AS kept
+FROM embeddings e JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) r ON r.a = e.vec_id
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierkit.llm import licenses, minhash, sharding, substrings, tokens
+from dossierkit.llm import embeddings, licenses, minhash, sharding, substrings, tokens
 from dossierkit.llm.licenses import THRESHOLD
 from dossierkit.llm import oracles
 
@@ -35,6 +35,11 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all vectors among those with the same label."""
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document."""
     import public_tokenizers
@@ -75,11 +80,13 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_rendezvous_sharding": sharding_rendezvous,
     "op2_substring_dedup": substring_dedup,
+    "op5_embedding_near_dedup": embedding_dedup,
     "op7_token_counts": token_counts,
     "op8_minhash_near_dedup": minhash_dedup,
     "op9_license_scan": license_scan,
 }
 ORACLE = {
     "op1_rendezvous_sharding": oracles.SHARDING,
+    "op5_embedding_near_dedup": oracles.EMBEDDINGS,
     "op9_license_scan": oracles.LICENSES,
 }
