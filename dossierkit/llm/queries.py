@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierkit.llm import embeddings, licenses, minhash, sharding, substrings, tokens
+from dossierkit.llm import contamination, embeddings, licenses, minhash, sharding, substrings, tokens, toxicity
 from dossierkit.llm.licenses import THRESHOLD
 from dossierkit.llm import oracles
 
 SHARDS = 16
 TOKEN_LIMIT = 2048
+TOXIC = 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,30 @@ def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
 
 
+def _held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Fitted on labelled documents that are not held out."""
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~_held_out())
+    return toxicity.fit(_table(spark, sf_dir, "documents"), labels, "doc_id", "text", "toxic")
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    model = toxicity_model(spark, sf_dir)
+    scored = _table(spark, sf_dir, "documents").select("doc_id", _held_out().alias("held_out"), toxicity.score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
+
+
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark items they hold."""
+    docs, items = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
+    found = contamination.with_items(docs, "text", items, "item_id", "text").select("doc_id", F.explode("found").alias("f"))
+    return found.select("doc_id", F.col("f.item").alias("item_id"), F.col("f.n_words"), F.col("f.errors"), F.col("f.end").alias("end_word"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document."""
     import public_tokenizers
@@ -81,9 +106,11 @@ QUERIES = {
     "op1_rendezvous_sharding": sharding_rendezvous,
     "op2_substring_dedup": substring_dedup,
     "op5_embedding_near_dedup": embedding_dedup,
+    "op6_toxicity": toxicity_scores,
     "op7_token_counts": token_counts,
     "op8_minhash_near_dedup": minhash_dedup,
     "op9_license_scan": license_scan,
+    "op10_decontamination": decontamination,
 }
 ORACLE = {
     "op1_rendezvous_sharding": oracles.SHARDING,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,17 +20,26 @@ FINISH = np.uint64(0xBF58476D1CE4E5B9)
 SECOND = np.uint64(0x94D049BB133111EB)
 
 
-@lru_cache(maxsize=16)
-def _powers(base: int, bits: int) -> np.ndarray:
-    n = 1 << bits
-    out = np.full(n, base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+class _Kept(dict):
+    """Tables that a process has made; they do not travel to tasks."""
+
+    def __reduce__(self):
+        return _Kept, ()
+
+
+_KEPT = _Kept()
 
 
 def powers(base: int, n: int) -> np.ndarray:
     """``base ** 0 .. n - 1`` modulo 2**64."""
-    return _powers(base, max(16, int(n).bit_length()))[:n]
+    if base not in _KEPT or len(_KEPT[base]) < n:
+        out = np.full(1 << max(16, int(n).bit_length()), base, dtype=np.uint64)
+        out[0] = 1
+        out = np.cumprod(out, dtype=np.uint64)
+        if len(out) > 4 * GROUP_BYTES:  # for one long text only
+            return out[:n]
+        _KEPT[base] = out
+    return _KEPT[base][:n]
 
 
 def inverse(base: int) -> int:
@@ -47,7 +55,6 @@ def finished(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@lru_cache(maxsize=1)
 def _byte_values() -> np.ndarray:
     return finished(np.arange(1, 257, dtype=np.uint64) * FINISH)
 
@@ -67,7 +74,17 @@ def is_separator() -> np.ndarray:
     return table
 
 
-def is_upper() -> np.ndarray:
+def is_no_letter(digits: bool) -> np.ndarray:
+    """Of each byte: ASCII other than letters, and than digits if those count as letters."""
+    table = np.zeros(256, dtype=bool)
+    table[:128] = True
+    table[65:91] = table[97:123] = False
+    table[48:58] = not digits
+    return table
+
+
+def lowered() -> np.ndarray:
+    """Of each byte: A to Z in lower case."""
     table = np.arange(256, dtype=np.uint8)
     table[65:91] += 32
     return table
@@ -76,16 +93,28 @@ def is_upper() -> np.ndarray:
 class Words:
     """Words of a run of texts: ``hashes``, and for text ``i`` those from ``first[i]`` to ``first[i + 1]``."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(
+        self,
+        data: np.ndarray,
+        offsets: np.ndarray,
+        lower: bool = False,
+        between: np.ndarray | None = None,
+        prefixes: tuple[int, ...] = (),
+    ):
         self.n = len(offsets) - 1
+        self.between = is_separator() if between is None else between
+        self.lengths = prefixes
         found = [self._cut(data, offsets, lower)] if len(data) <= 2 * GROUP_BYTES else list(self._pieces(data, offsets, lower))
-        self.hashes = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.uint64)
-        self.doc = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
+        none = np.zeros(0, np.uint64)
+        self.hashes = np.concatenate([f[0] for f in found]) if found else none
+        self.doc = np.concatenate([f[1] for f in found]) if found else none.astype(np.int64)
+        # Hashes of the first bytes of words, 0 where a word is no longer than that.
+        self.prefixes = {k: np.concatenate([f[2][i] for f in found]) if found else none for i, k in enumerate(prefixes)}
         self.first = np.searchsorted(self.doc, np.arange(self.n + 1))
 
     def _pieces(self, data, offsets, lower):
         """One long text, cut at separators."""
-        separator = is_separator()
+        separator = self.between
         start = 0
         while start < len(data):
             end = min(start + GROUP_BYTES, len(data))
@@ -97,8 +126,9 @@ class Words:
     def _cut(self, data, offsets, lower):
         n = len(data)
         if not n:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        gap = is_separator()[data]
+            none = np.zeros(0, np.uint64)
+            return none, none.astype(np.int64), [none for _ in self.lengths]
+        gap = self.between[data]
         begins = np.ones(n, dtype=bool)
         begins[1:] = gap[:-1]
         begins[offsets[:-1][offsets[:-1] < n]] = True
@@ -107,9 +137,15 @@ class Words:
         ends[offsets[1:][offsets[1:] > 0] - 1] = True
         starts = np.flatnonzero(begins & ~gap)
         stops = np.flatnonzero(ends & ~gap) + 1
-        values = _byte_values()[is_upper()[data] if lower else data]
+        values = _byte_values()[lowered()[data] if lower else data]
         hashes = finished(ranges_sum(values, starts, stops, BYTE_BASE))
-        return hashes, np.searchsorted(offsets, starts, side="right") - 1
+        short = []
+        for length in self.lengths:
+            longer = np.flatnonzero(stops - starts > length)
+            part = np.zeros(len(starts), np.uint64)
+            part[longer] = finished(ranges_sum(values, starts[longer], starts[longer] + length, BYTE_BASE) + np.uint64(length))
+            short.append(part)
+        return hashes, np.searchsorted(offsets, starts, side="right") - 1, short
 
 
 def text_groups(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
