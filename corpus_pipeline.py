@@ -1,12 +1,74 @@
-"""The corpus pipeline (its stages follow)."""
+"""The corpus pipeline: every stage takes documents and hands on what it decides to keep.
+
+``STAGES`` are applied in order, each to the Parquet files that the one before left. All but the last
+return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dossierkit.llm import contamination, minhash, mixing, sharding, toxicity
+from dossierkit.llm.queries import DOMAINS, SHARDS, TOXIC, domain_labels, training_labels
+from dossierkit.llm.shared import shared_folder
+
+# Target shares of the tokens of each domain.
+TARGETS = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score of ``TOXIC`` or more go; documents without text stay."""
+    model = toxicity.fit(docs, training_labels(spark, sf_dir), "doc_id", "text", "toxic")
+    return docs.filter(toxicity.score(model, F.col("text")) < TOXIC)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-duplicates (shingles of five words, similarity 0.8) the one with the smallest id stays."""
+    found = minhash.near_duplicates(docs, "doc_id", "text")
+    return docs.join(found.filter("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with up to 15 % of its words changed, go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contamination.without_items(docs, "text", items, "item_id", "text")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its rate says, so that the domains reach ``TARGETS``."""
+    labels = domain_labels(spark, sf_dir)
+    model = mixing.fit_classifier(docs, "doc_id", "text", labels, "domain", DOMAINS)
+    mixed = mixing.mixed(docs, "doc_id", "text", model, [TARGETS[d] for d in DOMAINS])
+    columns = [f"`{c}`" for c in docs.columns]
+    return mixed.filter("copies > 0").withColumn("_copy", F.expr("explode(sequence(1L, copies))")).select(*columns)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and their slot in it."""
+    return sharding.assign_shards(docs, "doc_id", [1.0] * SHARDS)
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
-STAGES: list = []
+# A fitted classifier, connected components and edit distances are beyond SQL; tests hold each
+# stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages, with Parquet files in the shared folder between them."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = shared_folder(spark, f"pipeline-{uuid.uuid4().hex}")
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

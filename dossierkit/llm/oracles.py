@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dossierkit.llm import embeddings, licenses, sharding
+from dossierkit.llm import embeddings, licenses, preferences, sharding
 
 _BYTES = "list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint)"
 
@@ -94,3 +94,47 @@ reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a,
 SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id)::bigint AS n_links, r.low AS component_id, r.low = e.vec_id AS kept
 FROM embeddings e JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) r ON r.a = e.vec_id
 """
+
+
+def _text(value: str) -> str:
+    return _sql(value).replace("\n", "' || chr(10) || '")
+
+
+_HEAD = f"{_text(preferences.OPEN)} || coalesce(role, '') || {_text(preferences.AFTER_ROLE)}"
+_BODY = f"coalesce(text, '') || {_text(preferences.CLOSE)}"
+
+
+def _side(name: str) -> str:
+    """Rendered completion and mask of a side, behind the common turns."""
+    return f"""
+  SELECT s.conv_id, string_agg(head || body, '' ORDER BY pos) AS whole,
+         coalesce(string_agg((begun + length(head))::varchar || '-' || (begun + length(head) + length(body))::varchar, ','
+                  ORDER BY pos) FILTER (role = '{preferences.LEARNED}'), '') AS mask
+  FROM (SELECT {name}.conv_id, pos, role, {_HEAD} AS head, {_BODY} AS body,
+               coalesce(sum(length({_HEAD}) + length({_BODY})) OVER (
+                 PARTITION BY {name}.conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS begun
+        FROM {name} JOIN prefix USING (conv_id) WHERE pos > n) s GROUP BY s.conv_id"""
+
+
+_ORDER = "row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos"
+PREFERENCES = f"""
+WITH replies AS (
+  SELECT conv_id, max({{'turn': turn, 'text': text}}) AS last FROM conversations WHERE role = '{preferences.LEARNED}' GROUP BY conv_id),
+changed AS (
+  SELECT c.conv_id, turn, role,
+         CASE WHEN role = '{preferences.LEARNED}' AND r.last.turn IS NOT DISTINCT FROM turn AND r.last.text IS NOT DISTINCT FROM text
+              THEN coalesce(o.last.text, '') ELSE text END AS text
+  FROM conversations c LEFT JOIN replies r ON r.conv_id = c.conv_id LEFT JOIN replies o ON o.conv_id = c.conv_id + 1),
+a AS (SELECT conv_id, role, text, {_ORDER} FROM conversations WHERE conv_id IS NOT NULL),
+b AS (SELECT conv_id, role, text, {_ORDER} FROM changed WHERE conv_id IS NOT NULL),
+prefix AS (
+  SELECT a.conv_id, coalesce(min(a.pos) FILTER (a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text), max(a.pos) + 1) - 1 AS n
+  FROM a JOIN b ON a.conv_id = b.conv_id AND a.pos = b.pos GROUP BY a.conv_id),
+prompts AS (
+  SELECT conv_id, string_agg({_HEAD} || {_BODY}, '' ORDER BY pos) AS prompt FROM a JOIN prefix USING (conv_id) WHERE pos <= n GROUP BY conv_id),
+ca AS ({_side("a")}),
+cb AS ({_side("b")})
+SELECT p.conv_id, n::bigint AS n_prompt_turns, coalesce(prompt, '') AS prompt, coalesce(ca.whole, '') AS chosen,
+       coalesce(cb.whole, '') AS rejected, coalesce(ca.mask, '') AS chosen_mask, coalesce(cb.mask, '') AS rejected_mask
+FROM prefix p LEFT JOIN prompts USING (conv_id) LEFT JOIN ca ON ca.conv_id = p.conv_id LEFT JOIN cb ON cb.conv_id = p.conv_id
+"""

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierkit.llm import contamination, embeddings, licenses, minhash, sharding, substrings, tokens, toxicity
-from dossierkit.llm.licenses import THRESHOLD
+from dossierkit.llm import contamination, embeddings, licenses, minhash, mixing, preferences, sharding, substrings, tokens, toxicity
 from dossierkit.llm import oracles
+from dossierkit.llm.shared import checkpointed
 
 SHARDS = 16
 TOKEN_LIMIT = 2048
 TOXIC = 0.7
 
+# Domains of documents, and the share of all tokens that each is to have.
+DOMAINS = ("good", "poor", "toxic")
+SHARES = (0.7, 0.2, 0.1)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,6 +40,36 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with the next one's last reply."""
+    turns = _table(spark, sf_dir, "conversations")
+    other = preferences.with_reply_of_next(turns, "conv_id", "turn", "role", "text")
+    pairs = preferences.preference_pairs(turns, other, "conv_id", "turn", "role", "text")
+
+    def spans(name: str) -> Column:
+        return F.array_join(F.transform(name, lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias(name)
+
+    columns = ("conv_id", "n_prompt_turns", "prompt", "chosen", "rejected")
+    return pairs.select(*columns, spans("chosen_mask"), spans("rejected_mask"))
+
+
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domains of labelled documents."""
+    domain = F.expr("CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' WHEN quality = 0 THEN 'poor' END")
+    return _table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+
+
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posteriors, rates and copies of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = mixing.fit_classifier(docs, "doc_id", "text", domain_labels(spark, sf_dir), "domain", DOMAINS)
+    judged = checkpointed(model.posteriors(docs, "text").drop("text"))
+    rates = mixing.fit_rates(judged, SHARES)
+    out = mixing.with_copies(judged, "doc_id", rates.rate())
+    posteriors = [F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)]
+    return out.select("doc_id", "n_tokens", *posteriors, "rate", "copies")
+
+
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all vectors among those with the same label."""
     return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
@@ -45,10 +79,13 @@ def _held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity labels of documents that are not held out."""
+    return _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~_held_out())
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
-    """Fitted on labelled documents that are not held out."""
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~_held_out())
-    return toxicity.fit(_table(spark, sf_dir, "documents"), labels, "doc_id", "text", "toxic")
+    return toxicity.fit(_table(spark, sf_dir, "documents"), training_labels(spark, sf_dir), "doc_id", "text", "toxic")
 
 
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +120,7 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices of every document; ``score`` is the best containment of a notice."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     base = licenses.phrase_places(docs, "text").drop("text")
-    blocks = licenses.license_blocks(docs, "doc_id", "text", threshold=THRESHOLD)
+    blocks = licenses.license_blocks(docs, "doc_id", "text")
     found = blocks.groupBy(F.col("doc_id").alias("_id")).agg(
         F.collect_set(licenses.label_of(F.col("template"))).alias("_more"), F.max("containment").alias("_best")
     )
@@ -105,6 +142,8 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_rendezvous_sharding": sharding_rendezvous,
     "op2_substring_dedup": substring_dedup,
+    "op3_preference_pairs": preference_pairs,
+    "op4_source_mixing": source_mixing,
     "op5_embedding_near_dedup": embedding_dedup,
     "op6_toxicity": toxicity_scores,
     "op7_token_counts": token_counts,
@@ -114,6 +153,7 @@ QUERIES = {
 }
 ORACLE = {
     "op1_rendezvous_sharding": oracles.SHARDING,
+    "op3_preference_pairs": oracles.PREFERENCES,
     "op5_embedding_near_dedup": oracles.EMBEDDINGS,
     "op9_license_scan": oracles.LICENSES,
 }

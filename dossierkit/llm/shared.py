@@ -6,7 +6,7 @@ import sys
 from collections.abc import Sequence
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -15,16 +15,20 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Rows written to the folder that ``spark.checkpoint.dir`` names, with their lineage cut.
+def shared_folder(spark: SparkSession, name: str = "") -> str:
+    """The folder that ``spark.checkpoint.dir`` names, or a folder in it.
 
-    Only a session that names no folder gets one below its warehouse, which is shared as well.
+    Only a session that names none gets one below its warehouse, which is shared as well.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+    return f"{folder.rstrip('/')}/{name}" if name else folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Rows written to the shared folder, with their lineage cut."""
+    context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
