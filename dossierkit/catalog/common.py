@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from dossierkit.functions.text import year_window
-from dossierkit.sources.landed import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -19,6 +18,16 @@ AS_OF = dt.date(2002, 6, 30)
 WINDOW = year_window(AS_OF)
 YEARS = range(WINDOW[0], WINDOW[1] + 1)
 
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores when the scan has fewer partitions than there are cores.
+
+    For the driver tables, each of which is one file; a landed table has more partitions than that.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, heavy_by: str | None = None) -> DataFrame:
     """A driver table; ``heavy_by`` is its key where the work per row is heavy."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")

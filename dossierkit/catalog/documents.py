@@ -25,7 +25,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("case when doc_id % 5 <> 0 then array(source, 'Desk ' || lang) end").alias("Author(s)"),
         F.expr("case when doc_id % 3 = 0 then 'Jan ' || cast(1 + doc_id % 28 as string) end").alias("Date Posted"),
         F.lit("").alias("Date Updated"),
-        F.expr("'\"quoted\", and; split' || chr(10) || source").alias("Updates"),
+        F.expr("'  \"quoted\", and; split' || chr(10) || source || chr(9)").alias("Updates"),
         F.col("text").alias("Full Article"),
     )
 
@@ -37,7 +37,7 @@ _FIELDS = {
     "Author(s)": "case when doc_id % 5 <> 0 then source || '{}Desk ' || lang else '' end",
     "Date Posted": "case when doc_id % 3 = 0 then 'Jan ' || cast(1 + doc_id % 28 as varchar) else '' end",
     "Date Updated": "''",
-    "Updates": "'\"quoted\", and; split' || chr(10) || source",
+    "Updates": "'  \"quoted\", and; split' || chr(10) || source || chr(9)",
     "Full Article": "text",
 }
 
@@ -111,8 +111,32 @@ def knn_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# One vector in five is damaged, each in one of five ways.
+_DAMAGED = """
+    case vec_id % 25 when 0 then slice(embedding, 1, 63) when 5 then concat(embedding, array(cast(0 as float)))
+    when 10 then transform(embedding, (x, i) -> if(i = 3, cast('NaN' as float), x))
+    when 15 then transform(embedding, (x, i) -> if(i = 3, null, x)) when 20 then cast(null as array<float>) else embedding end
+"""
+
+
+def knn_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest of the usable vectors; questions go round in blocks of four."""
+    corpus = table(spark, sf_dir, "embeddings").select("vec_id", F.expr(_DAMAGED).alias("vector"))
+    found = retrieve.knn(
+        corpus, _topics(spark, sf_dir), corpus_id="vec_id", corpus_vector="vector", query_id="label", query_vector="question", query_limit=4
+    )
+    return found.select("label", F.col("rank").cast("bigint").alias("rank"), "vec_id", F.round("distance", 4).alias("distance"))
+
+
+def vector_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the damaged vectors a search leaves out."""
+    corpus = table(spark, sf_dir, "embeddings").select("vec_id", F.expr(_DAMAGED).alias("vector"))
+    return retrieve.unusable_vectors(corpus, "vector", 64)
+
+
 def assemble_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    """Contexts of the hits; a third of the documents have no text."""
+    documents = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0").select(F.col("doc_id").alias("vec_id"), "text")
     return retrieve.assemble_context(
         hits(spark, sf_dir), documents, query_id="label", corpus_id="vec_id", text="text"
     )
@@ -128,11 +152,11 @@ def list_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Context length and sources per topic, with documents as chunks."""
-    documents = table(spark, sf_dir, "documents")
+    """Context and sources per topic, with documents as chunks; a vector without a document is a chunk without a text."""
+    documents = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0")
     chunks = (
         table(spark, sf_dir, "embeddings")
-        .join(documents, F.col("vec_id") == F.col("doc_id"))
+        .join(documents, F.col("vec_id") == F.col("doc_id"), "left")
         .select(
             F.col("vec_id").alias("chunk_id"),
             F.expr("'/d/' || cast(doc_id as string)").alias("link"),
@@ -169,6 +193,8 @@ QUERIES = {
     "chunk_text": chunk_text,
     "article_chunks": article_chunks,
     "knn_top3": knn_top3,
+    "knn_damaged": knn_damaged,
+    "vector_report": vector_report,
     "assemble_context": assemble_context,
     "list_sources": list_sources,
     "answers": answers,
@@ -253,21 +279,24 @@ ORACLE = {
         from chunks join documents on id = doc_id""",
     "knn_top3": _HITS + "select label, rank, vec_id, round(distance, 4) as distance from hits",
     "assemble_context": _HITS
-    + """select label, string_agg(text, chr(10) || chr(10) order by rank) as context
-        from hits join documents on vec_id = doc_id group by label""",
+    + """select label, string_agg(coalesce(text, ''), chr(10) || chr(10) order by rank) as context
+        from hits left join documents on vec_id = doc_id and doc_id % 3 <> 0 group by label""",
     "list_sources": _HITS
     + f"""select label, rank as idx, coalesce(
             {squeeze(decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)"))}, 'No title found') as title,
             coalesce(url, 'No link found') as url
         from hits left join pages on vec_id = page_id""",
-    "answers": _HITS.replace("from topics, embeddings", "from topics, embeddings where vec_id in (select doc_id from documents)")
-    + """, found as (select label, rank, doc_id, text from hits join documents on vec_id = doc_id),
+    "answers": _HITS
+    + """, found as (select label, rank, doc_id, coalesce(text, '') as text from hits left join documents on vec_id = doc_id and doc_id % 3 <> 0),
         contexts as (
             select label, string_agg(text, chr(10) || chr(10) order by rank) as context from found group by label)
         select label as question_id, context, rank as idx,
             case when doc_id % 2 = 0 then 'Document ' || cast(doc_id as varchar) else 'No title found' end as title,
-            '/d/' || cast(doc_id as varchar) as url
+            coalesce('/d/' || cast(doc_id as varchar), 'No link found') as url
         from found join contexts using (label)""",
+    "knn_damaged": _HITS.replace("from topics, embeddings", "from topics, embeddings where vec_id % 5 <> 0")
+    + "select label, rank, vec_id, round(distance, 4) as distance from hits",
+    "vector_report": "select count(*) as n, count(*) filter (where vec_id % 5 = 0) as unusable from embeddings",
     "articles_roundtrip": f"select {_fields_sql()} from documents",
     "csv_roundtrip": f"select {_fields_sql("nullif({}, '')")} from documents",
 }

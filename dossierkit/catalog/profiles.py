@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossierkit.catalog.common import AS_OF, WINDOW, YEARS, cents, grouped, money, table, text, whole
 from dossierkit.functions.shares import RELIGION_RULES
 from dossierkit.plans import country_profile as profile
 from dossierkit.plans import strength_matrix as strength
-from dossierkit.sources.dims import DETAIL_LABELS, INDICATORS, METRIC_NAMES
+from dossierkit.sources.dims import DETAIL_LABELS, INDICATORS, METRIC_NAMES, country_dim
+from dossierkit.sources.sinks import read_csv, shared_folder, write_csv, write_json
 
 # Customers stand for countries: every source grows with the customer and order tables.
 _K = "c_custkey"
@@ -135,8 +138,13 @@ _LIFE_PAGE = (
     "'<table class=\"table table-striped\"><tbody><tr><td>#</td><td>' || c_name || '</td><td>0</td><td>0</td><td>0</td></tr>"
     "<tr><td>1</td><td>' || c_name || '</td>' || " + _cells(v[0] for v in _LIFE.values()) + " || '</tr></tbody></table>'"
 )
-# Three indicators have data; one of them never answers with 200.
-_PAYLOADS = {"NY.GDP.MKTP.CD": 200, "SP.POP.TOTL": 200, "SL.UEM.TOTL.ZS": 500}
+# Three indicators have data; one of them never answers with 200, and one was fetched twice.
+_PAYLOADS = [
+    ("NY.GDP.MKTP.CD", 200, 1, "value"),
+    ("SP.POP.TOTL", 200, 1, "n"),
+    ("SP.POP.TOTL", 200, 0, "older"),
+    ("SL.UEM.TOTL.ZS", 500, 1, "n"),
+]
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,6 +161,7 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "y",
                 F.expr(f"{date} case when n % 4 = 3 then 'null' else {money('cents')} end || '}}'").alias("value"),
                 F.expr(f"{date} {text('n')} || '}}'").alias("n"),
+                F.expr(f"{date} {text('n + 9')} || '}}'").alias("older"),
             )
         )
     )
@@ -161,11 +170,12 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = F.array_join(F.transform("entries", lambda e: e[field]), ",")
         return F.concat(F.lit('[{"page":1},['), rows, F.lit("]]"))
 
-    fields = {"NY.GDP.MKTP.CD": "value", "SP.POP.TOTL": "n", "SL.UEM.TOTL.ZS": "n"}
     landed = F.array(
         *[
-            F.struct(F.lit(code).alias("indicator"), F.lit(status).alias("status"), body(fields[code]).alias("body"))
-            for code, status in _PAYLOADS.items()
+            F.struct(
+                F.lit(code).alias("indicator"), F.lit(status).alias("status"), F.lit(ordinal).alias("ordinal"), body(field).alias("body")
+            )
+            for code, status, ordinal, field in _PAYLOADS
         ]
     )
     per_customer = yearly.groupBy("o_custkey").agg(entries.alias("entries"))
@@ -181,10 +191,20 @@ def landed_sources(spark: SparkSession, sf_dir: str) -> profile.Landed:
         F.expr(f"lpad({text(_K)}, 9, '0')").alias("Numeric Code"),
     )
 
-    def pages(html: str, missing: str) -> DataFrame:
-        page = F.expr(f"case when {missing} then '<p>no table</p>' else {html} end")
-        return customer.select(F.col(_K).alias("ordinal"), page.alias("html"))
-
+    def page(url: str, html: str, missing: str) -> Column:
+        """A page, and a later fetch of it that failed."""
+        shown = F.expr(f"case when {missing} then '<p>no table</p>' else {html} end")
+        failed = F.struct(F.lit(url).alias("url"), F.lit(404).alias("status"), (F.col(_K) + 10**9).alias("ordinal"), F.expr(f"replace({html}, '<td>', '<td>9')").alias("html"))
+        return F.array(F.struct(F.lit(url).alias("url"), F.lit(200).alias("status"), F.col(_K).alias("ordinal"), shown.alias("html")), failed)
+
+    shown = F.flatten(
+        F.array(
+            page(profile.CURRENCY_URL, _CURRENCY_PAGE, f"{_K} % 5 = 0"),
+            page(profile.POPULATION_URL, _POPULATION_PAGE, f"{_K} % 7 = 0"),
+            page(profile.LIFE_URL, _LIFE_PAGE, f"{_K} % 4 = 0"),
+        )
+    )
+    pages = customer.select(F.inline(shown))
     tries = customer.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("region_no"))
     log = tries.select(
         F.expr(f"'C' || {text(_K)}").alias("code"),
@@ -192,14 +212,7 @@ def landed_sources(spark: SparkSession, sf_dir: str) -> profile.Landed:
         F.expr(f"case when {_K} % 6 = 5 or (region_no = 0 and {_K} % 2 = 0) then 404 else 200 end").alias("status"),
         F.expr(f"case when {_K} % 11 = 0 then '{{oops' else {_BODY} end").alias("body"),
     )
-    return profile.Landed(
-        spine=spine,
-        currency_pages=pages(_CURRENCY_PAGE, f"{_K} % 5 = 0"),
-        indicator_payloads=_payloads(spark, sf_dir),
-        population_pages=pages(_POPULATION_PAGE, f"{_K} % 7 = 0"),
-        life_pages=pages(_LIFE_PAGE, f"{_K} % 4 = 0"),
-        factbook_log=log,
-    )
+    return profile.landed_pages(spine, pages, _payloads(spark, sf_dir), log)
 
 
 def country_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +220,56 @@ def country_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.profile_table(profile.country_profile(landed_sources(spark, sf_dir), AS_OF))
 
 
+def profile_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile written as CSV and JSON, and the CSV read back; the countries come out of a CSV file."""
+    landed = landed_sources(spark, sf_dir)
+    path = shared_folder(spark, "profile")
+    write_csv(landed.spine, f"{path}/countries", landed.spine.columns)
+    built = profile.country_profile(replace(landed, spine=country_dim(spark, f"{path}/countries")), AS_OF)
+    profile.export_profile(built, f"{path}/json", f"{path}/csv")
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in profile.profile_table(built).schema.fields]
+    return read_csv(spark, f"{path}/csv", ", ".join(columns))
+
+
+def profile_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The religion texts and shares of the profile, written as JSON and read back."""
+    path = shared_folder(spark, "profile-json")
+    records = profile.profile_records(profile.country_profile(landed_sources(spark, sf_dir), AS_OF))
+    write_json(records, path)
+    back = spark.read.schema("`Country` string, `Religions (Factbook)` string, `Religions Parsed` map<string,double>").json(path)
+    shares = F.map_entries("`Religions Parsed`")
+    return back.select(
+        F.col("Country").alias("country"),
+        F.col("`Religions (Factbook)`").alias("religions"),
+        F.array_join(F.transform(shares, lambda e: F.concat_ws("=", e["key"], F.format_number(e["value"], 2))), ";").alias("shares"),
+    )
+
+
+def source_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many payloads and records of the profile's sources could not be read."""
+    return profile.bad_sources(landed_sources(spark, sf_dir))
+
+
+def _shares_sql() -> str:
+    """Shares of each customer, greatest first."""
+    group = {name: i for i, name in enumerate(RELIGION_RULES)}
+    return f"""
+        entries as (
+            select c_custkey as id, unnest([
+                {{'grp': {group['Catholic']}, 'name': 'Catholic', 'pct': cast(c_custkey % 29 as double)}},
+                {{'grp': {group['Muslim']}, 'name': 'Muslim', 'pct': c_custkey % 61 + cast(0.5 as double)}},
+                {{'grp': {group['Folk Religion']}, 'name': 'Folk Religion', 'pct': cast(0.25 as double)}},
+                {{'grp': {group['Other']}, 'name': 'Other', 'pct': cast(c_custkey % 7 as double)}}], recursive := true)
+            from customer where {_KNOWN}
+        ), ranked as (
+            select *, row_number() over (partition by id order by pct desc, grp) as rank from entries where pct > 0.01
+        )"""
+
+
+# Customers whose factbook record was found and can be read.
+_KNOWN = "(c_custkey % 6 <> 5 and c_custkey % 11 <> 0)"
+
+
 def _profile_sql() -> str:
     columns = {
         "Country": "c_name",
@@ -230,7 +293,7 @@ def _profile_sql() -> str:
         columns[name] = f"case when c_custkey % 7 <> 0 then {number} end"
     for name, (_, number) in _LIFE.items():
         columns[name] = f"case when c_custkey % 4 <> 0 then {number} end"
-    known = "(c_custkey % 6 <> 5 and c_custkey % 11 <> 0)"
+    known = _KNOWN
     columns[profile.FACTBOOK_NAME] = f"case when {known} then c_name end"
     for name in profile.FACTBOOK:
         number = _FACTBOOK.get(name, ("", "cast(null as double)"))[1]
@@ -238,7 +301,6 @@ def _profile_sql() -> str:
     for i in range(1, 6):
         columns[f"Religion {i} Name"] = f"shares.name{i}"
         columns[f"Religion {i} Percentage"] = f"shares.pct{i}"
-    group = {name: i for i, name in enumerate(RELIGION_RULES)}
     slots = ", ".join(
         f"max(name) filter (where rank = {i}) as name{i}, max(pct) filter (where rank = {i}) as pct{i}" for i in range(1, 6)
     )
@@ -247,16 +309,7 @@ def _profile_sql() -> str:
             select o_custkey, year(o_orderdate) as y, sum({cents('o_totalprice')}) as cents, count(*) as n
             from orders where year(o_orderdate) between {WINDOW[0]} and {WINDOW[1]} group by all
         ), indicators as (select o_custkey, {sums} from yearly group by o_custkey),
-        entries as (
-            select c_custkey as id, unnest([
-                {{'grp': {group['Catholic']}, 'name': 'Catholic', 'pct': cast(c_custkey % 29 as double)}},
-                {{'grp': {group['Muslim']}, 'name': 'Muslim', 'pct': c_custkey % 61 + cast(0.5 as double)}},
-                {{'grp': {group['Folk Religion']}, 'name': 'Folk Religion', 'pct': cast(0.25 as double)}},
-                {{'grp': {group['Other']}, 'name': 'Other', 'pct': cast(c_custkey % 7 as double)}}], recursive := true)
-            from customer where {known}
-        ), ranked as (
-            select *, row_number() over (partition by id order by pct desc, grp) as rank from entries where pct > 0.01
-        ), shares as (select id, {slots} from ranked group by id)
+        {_shares_sql()}, shares as (select id, {slots} from ranked group by id)
         select {", ".join(f'{sql} as "{name}"' for name, sql in columns.items())}
         from customer
         left join indicators on o_custkey = c_custkey
@@ -327,6 +380,67 @@ def _matrix_sql() -> str:
     )
 
 
-QUERIES = {"country_profile": country_profile, "strength_matrix": strength_matrix}
+SITE = "https://h.example/"
 
-ORACLE = {"country_profile": _profile_sql(), "strength_matrix": _matrix_sql()}
+
+def site_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same matrix out of one table of a whole site's pages, written as CSV and read back.
+
+    Each page has a later fetch that failed; the listing page has a block per nation.
+    """
+    nation = table(spark, sf_dir, "nation")
+    requests = strength.metric_requests(spark, SITE)
+    names = F.array(*[F.lit(m) for m in METRIC_NAMES])
+    customer = table(spark, sf_dir, "customer", "c_custkey").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    named = customer.withColumn("metric", F.get(names, (F.col("c_custkey") % len(METRIC_NAMES)).cast("int")))
+    metric_pages = named.join(F.broadcast(requests), "metric").select("url", F.col("c_custkey").alias("ordinal"), F.expr(_METRIC_PAGE).alias("html"))
+    block = (
+        "'<a href=\"country-military-strength-detail.php?id=' || n_name || '\"><div class=\"longFormName\"><span>' || n_name || "
+        "'</span></div><div class=\"valueContainer\"></div></a>'"
+    )
+    listing = nation.select(
+        F.lit(SITE + strength.LISTING).alias("url"), F.col("n_nationkey").cast("bigint").alias("ordinal"), F.expr(block).alias("html")
+    )
+    supplier = table(spark, sf_dir, "supplier", "s_suppkey").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    details = supplier.select(
+        F.concat(F.lit(f"{SITE}country-military-strength-detail.php?id="), "n_name").alias("url"), F.col("s_suppkey").alias("ordinal"), F.expr(_DETAIL_PAGE).alias("html")
+    )
+    pages = metric_pages.unionByName(listing).unionByName(details)
+    failed = F.struct(F.lit(500).alias("status"), (F.col("ordinal") + 10**9).alias("ordinal"), F.expr("replace(html, '1', '2')").alias("html"))
+    both = pages.select("url", F.inline(F.array(F.struct(F.lit(200).alias("status"), "ordinal", "html"), failed)))
+    matrix = strength.matrix_of_pages(both, SITE)
+    path = shared_folder(spark, "matrix")
+    write_csv(matrix, path, matrix.columns)
+    return read_csv(spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in matrix.schema.fields))
+
+
+QUERIES = {
+    "country_profile": country_profile,
+    "strength_matrix": strength_matrix,
+    "profile_export": profile_export,
+    "profile_json": profile_json,
+    "source_report": source_report,
+    "site_matrix": site_matrix,
+}
+
+ORACLE = {
+    "country_profile": _profile_sql(),
+    "strength_matrix": _matrix_sql(),
+    "profile_export": _profile_sql(),
+    "profile_json": f"""
+        with {_shares_sql()},
+        shares as (select id, string_agg(name || '=' || printf('%.2f', pct), ';' order by rank) as shares from ranked group by id)
+        select c_name as country, case when {_KNOWN} then 'Muslim ' || cast(c_custkey % 61 as varchar) || '.5%, Roman Catholic '
+                   || cast(c_custkey % 29 as varchar) || '% (2020 est.); other ' || cast(c_custkey % 7 as varchar)
+                   || '%, folk religion 0.25 %' end as religions, coalesce(shares, '') as shares
+        from customer left join shares on id = c_custkey where c_custkey % 97 <> 0
+    """,
+    "source_report": """
+        with payloads as (select count(distinct o_custkey) as n from orders),
+        records as (select c_custkey % 11 = 0 as bad from customer, (values (0), (1)) as t(region_no)
+                    where not (c_custkey % 6 = 5 or (region_no = 0 and c_custkey % 2 = 0)))
+        select 'indicator payloads' as source, cast(3 * n as bigint) as n, cast(0 as bigint) as n_bad from payloads
+        union all select 'factbook records', count(*), count(*) filter (where bad) from records
+    """,
+    "site_matrix": _matrix_sql(),
+}

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierkit.catalog.common import TABLES, WINDOW, YEARS, cents, money, table, text
+from dossierkit.catalog.common import AS_OF, TABLES, WINDOW, YEARS, cents, money, table, text
 from dossierkit.functions.text import country_key, in_window
 from dossierkit.operators import resolve, shape
 from dossierkit.operators.counts import load_counts as count_tables
+from dossierkit.plans import country_profile as profile
 from dossierkit.plans import maps
-from dossierkit.sources.dims import MAP_EXTENSIONS, MAP_TYPES
+from dossierkit.sources.dims import INDICATORS, MAP_EXTENSIONS, MAP_TYPES, REGIONS
 from dossierkit.sources.landed import fetched
 
 
@@ -113,11 +114,16 @@ _SPELLING = (
 
 
 def alias_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Region of a customer by a nation name in varying spelling: alias, raw key, short form, 'N/A'."""
+    """Region of a customer by a nation name in varying spelling: alias, raw key, short form, 'N/A'.
+
+    Every third customer is there twice, and every seventh has no name.
+    """
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     named = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    spine = named.select("c_custkey", F.expr(country_key(_SPELLING)).alias("raw"))
+    twice = F.explode(F.expr("if(c_custkey % 3 = 0, array(1, 2), array(1))")).alias("_copy")
+    raw = F.expr(f"if(c_custkey % 7 = 0, null, {country_key(_SPELLING)})").alias("raw")
+    spine = named.select("c_custkey", raw, twice).drop("_copy")
     aliases = nation.select(
         F.expr(f"'n-' || {text('n_nationkey')}").alias("alias"), F.lower("n_name").alias("target")
     )
@@ -135,36 +141,38 @@ def alias_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outer_join_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Debts of customers against thin balances of suppliers, per nation; either side may be missing."""
+    """Balances of customers against those of suppliers, by nation and key; either side may be missing.
 
-    def balances(name: str, p: str, limit: int, out: str) -> DataFrame:
-        rows = table(spark, sf_dir, name).filter(F.col(f"{p}_acctbal") < limit)
-        sums = rows.groupBy(F.col(f"{p}_nationkey").cast("bigint").alias("nationkey")).agg(
-            F.sum(F.expr(cents(f"{p}_acctbal"))).alias("total")
-        )
-        return sums.select("nationkey", (F.col("total") / 100).alias(out))
+    A customer's key runs over three times a supplier's, so many keys are on one side only.
+    """
+
+    def balances(name: str, p: str, parts: int, key: str, out: str) -> DataFrame:
+        nation = F.col(f"{p}_nationkey").cast("bigint") * 1000 + F.col(key) % parts
+        sums = table(spark, sf_dir, name).groupBy(nation.alias("place")).agg(F.sum(F.expr(cents(f"{p}_acctbal"))).alias("total"))
+        return sums.select("place", (F.col("total") / 100).alias(out))
 
     return shape.outer_join_pair(
-        balances("customer", "c", -900, "customer_total"), balances("supplier", "s", 1000, "supplier_total"), "nationkey"
+        balances("customer", "c", 90, "c_custkey", "customer_total"), balances("supplier", "s", 120, "s_suppkey", "supplier_total"), "place"
     )
 
 
-def _balance_sql(name: str, p: str, limit: int, out: str) -> str:
+def _balance_sql(name: str, p: str, parts: int, key: str, out: str) -> str:
     return (
-        f"select cast({p}_nationkey as bigint) as nationkey, "
-        f"cast(sum({cents(f'{p}_acctbal')}) as double) / cast(100 as double) as {out} from {name} "
-        f"where {p}_acctbal < {limit} group by 1"
+        f"select cast({p}_nationkey as bigint) * 1000 + {key} % {parts} as place, "
+        f"cast(sum({cents(f'{p}_acctbal')}) as double) / cast(100 as double) as {out} from {name} group by 1"
     )
 
 
 # Amounts as text, some of them not numbers.
 _AMOUNT = f"case when o_orderkey % 9 = 0 then 'n/a' else {money(cents('o_totalprice'))} end"
+# Among them what a Java parser takes for numbers, and numbers between blanks.
+_LITERAL = f"case o_orderkey % 11 when 0 then '12d' when 1 then '1.5f' when 2 then '0x1p3' when 3 then ' 7.5 ' when 4 then '-2e3' else {_AMOUNT} end"
 
 
 def to_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     raw = orders.select(
-        F.expr(text("o_orderkey")).alias("order"), F.expr(_AMOUNT).alias("amount"), F.expr(text("o_custkey")).alias("customer")
+        F.expr(text("o_orderkey")).alias("order"), F.expr(_LITERAL).alias("amount"), F.expr(text("o_custkey")).alias("customer")
     )
     return shape.to_numeric(raw, ["order"])
 
@@ -182,7 +190,33 @@ def clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.reconcile(shape.clean_columns(raw, ["order", "o_orderpriority"]), ["order", "absent", "amount"])
 
 
+def indicator_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as countries: the URL of every indicator's payload."""
+    codes = table(spark, sf_dir, "customer").select(F.expr(f"'C' || {text('c_custkey')}").alias("country_code"))
+    return profile.indicator_requests(codes, AS_OF)
+
+
+# Which region has a code's record, and a fetch that fails before.
+_REGION = "c_custkey % 10"
+_FAILED = "c_custkey % 4"
+
+
+def factbook_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as codes: the first region that has a record; a third have none, others fail at first."""
+    customer = table(spark, sf_dir, "customer")
+    requests = profile.factbook_requests(customer.select(F.expr(f"'c' || {text('c_custkey')}").alias("code")))
+    regions = F.array(*[F.lit(r) for r in REGIONS])
+    url = F.format_string(profile.FACTBOOK_URL, F.col("region"), F.concat(F.lit("c"), "c_custkey"))
+    tried = customer.select("c_custkey", F.posexplode(regions).alias("no", "region")).filter(f"no = {_REGION} OR no = {_FAILED}")
+    status = F.expr(f"case when no = {_REGION} and c_custkey % 3 <> 0 then 200 else 404 end")
+    found = profile.answers_of(requests, tried.select(url.alias("url"), status.alias("status")))
+    first = resolve.first_available(found, ["code"], ["region_no"], fetched(F.col("status")))
+    return first.select("code", "region", "url")
+
+
 QUERIES = {
+    "indicator_requests": indicator_requests,
+    "factbook_files": factbook_files,
     "indicator_pivot": indicator_pivot,
     "indicator_latest": indicator_latest,
     "last_wins": last_wins,
@@ -196,7 +230,20 @@ QUERIES = {
     "clean_columns": clean_columns,
 }
 
+_FACTBOOK = "https://raw.githubusercontent.com/factbook/factbook.json/master/"
 ORACLE = {
+    "indicator_requests": f"""
+        select 'C' || cast(c_custkey as varchar) as country_code, indicator,
+               'http://api.worldbank.org/v2/country/C' || cast(c_custkey as varchar) || '/indicator/' || indicator
+                   || '?format=json&date={WINDOW[0] - 1}:{WINDOW[1]}&per_page=100' as url
+        from customer, (values {", ".join(f"('{i}')" for i in INDICATORS)}) as t(indicator)
+    """,
+    "factbook_files": f"""
+        with regions as (select unnest([{", ".join(f"'{r}'" for r in REGIONS)}]) as region, unnest(range(10)) as no),
+        found as (select 'c' || cast(c_custkey as varchar) as code, case when c_custkey % 3 <> 0 then {_REGION} end as no from customer)
+        select code, region, case when region is not null then '{_FACTBOOK}' || region || '/' || code || '.json' end as url
+        from found left join regions using (no)
+    """,
     "indicator_pivot": f"""
         with sums as (
             select c_nationkey, {_YEAR_SUMS}
@@ -246,8 +293,9 @@ ORACLE = {
     "load_counts": " union all ".join(f"select '{t}' as source, count(*) as n from {t}" for t in TABLES),
     "alias_join": f"""
         with spine as (
-            select c_custkey, trim(lower({_SPELLING})) as raw
-            from customer join nation on c_nationkey = n_nationkey
+            select c_custkey, case when c_custkey % 7 <> 0 then trim(lower({_SPELLING})) end as raw
+            from customer join nation on c_nationkey = n_nationkey, (values (1), (2)) as t(copy)
+            where copy = 1 or c_custkey % 3 = 0
         ), target as (
             select lower(n_name) as key, n_nationkey, r_name from nation join region on n_regionkey = r_regionkey
         )
@@ -259,12 +307,13 @@ ORACLE = {
         left join target s on regexp_replace(spine.raw, '^republic of ', '') = s.key
     """,
     "outer_join_pair": f"""
-        with a as ({_balance_sql("customer", "c", -900, "customer_total")}),
-             b as ({_balance_sql("supplier", "s", 1000, "supplier_total")})
-        select nationkey, customer_total, supplier_total from a full join b using (nationkey)
+        with a as ({_balance_sql("customer", "c", 90, "c_custkey", "customer_total")}),
+             b as ({_balance_sql("supplier", "s", 120, "s_suppkey", "supplier_total")})
+        select place, customer_total, supplier_total from a full join b using (place)
     """,
     "to_numeric": f"""
-        select cast(o_orderkey as varchar) as "order", try_cast({_AMOUNT} as double) as amount,
+        select cast(o_orderkey as varchar) as "order", case o_orderkey % 11 when 0 then null when 1 then null when 2 then null
+                   when 3 then cast(7.5 as double) when 4 then cast(-2000 as double) else try_cast({_AMOUNT} as double) end as amount,
                cast(o_custkey as double) as customer from orders
     """,
     "clean_columns": f"""

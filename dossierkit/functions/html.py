@@ -8,7 +8,7 @@ is never text. Entities need their ';'.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 from typing import NamedTuple
 
 from dossierkit.functions.sqltext import at, before, from_first, let, matches, quote, split_on, tail, transform, transform_at
@@ -24,21 +24,26 @@ _GAP = "<!>"
 # Named entities as one text, which the optimizer folds to a map; the five that every page uses
 # come first because look-up is a scan.
 _COMMON = ("amp", "lt", "gt", "quot", "nbsp")
-_CHARS = {n: chr(name2codepoint[n]) for n in (*_COMMON, *sorted(name2codepoint))} | {"apos": "'"}
+_CHARS = {n: html5[f"{n};"] for n in (*_COMMON, *sorted(n[:-1] for n in html5 if n.endswith(";")))}
 _NAMED = "str_to_map({}, '\\u0001', '\\u0002')".format(
     quote("\x01".join(f"{name}\x02{char}" for name, char in _CHARS.items()))
 )
 
 
+# What browsers read numbers 128 to 159 as: the characters of windows-1252, as far as it has them.
+_WINDOWS = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160))
+
+
 def drop_noise(html: str) -> str:
     """HTML without scripts, styles and comments."""
     return f"regexp_replace({html}, {quote(_NOISE)}, '{_GAP}')"
 
 
 def _char(code: str) -> str:
-    """Character of a code point; the replacement character when there is none."""
+    """Character of a reference by number; the replacement character when there is none."""
     valid = f"({code} BETWEEN 1 AND {0xD7FF} OR {code} BETWEEN {0xE000} AND {0x10FFFF})"
-    return f"CASE WHEN {valid} THEN decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32') ELSE '�' END"
+    windows = f"{code} BETWEEN 128 AND 159 THEN substring({quote(_WINDOWS)}, int({code}) - 127, 1)"
+    return f"CASE WHEN {windows} WHEN {valid} THEN decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32') ELSE '�' END"
 
 
 def unescape(c: str) -> str:

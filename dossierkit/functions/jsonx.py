@@ -17,9 +17,18 @@ def _text(default: str | None) -> str:
 
 
 def _scalar_text(v: str) -> str:
-    """Text of a scalar; a double is written without an exponent so that its digits can be read."""
-    plain = f"CAST(try_variant_get({v}, '$', 'decimal(38,10)') AS string)"
-    return f"CASE WHEN schema_of_variant({v}) = 'DOUBLE' THEN {plain} ELSE try_variant_get({v}, '$', 'string') END"
+    """Text of a scalar; a double is written without an exponent so that its digits can be read.
+
+    The decimal has as many digits behind the point as fit beside those in front of it.
+    """
+
+    def plain(d: str) -> str:
+        kinds = f"CASE WHEN abs({d}) < 10 THEN string(cast({d} AS decimal(38,37))) WHEN abs({d}) < 1e18D THEN string(cast({d} AS decimal(38,20))) "
+        kinds += f"WHEN abs({d}) < 1e37D THEN string(cast({d} AS decimal(38,0))) ELSE string({d}) END"
+        return f"regexp_replace({kinds}, '(\\\\.[0-9]*?)0+$', '$1')"
+
+    double = let(f"try_variant_get({v}, '$', 'double')", lambda d: f"regexp_replace({plain(d)}, '\\\\.$', '')")
+    return f"CASE WHEN schema_of_variant({v}) = 'DOUBLE' THEN {double} ELSE try_variant_get({v}, '$', 'string') END"
 
 
 def _node_text(node: str, default: str | None, raw: str) -> str:
@@ -50,15 +59,25 @@ def json_text(v: str, *keys: str, default: str | None = "N/A", source: str | Non
     )
 
 
-def latest_year_text(v: str, *keys: str, base: str, default: str | None = "N/A") -> str:
-    """Text of the entry ``"<base> YYYY…"`` with the greatest year; of equal years the first key."""
+def latest_year_text(v: str, *keys: str, base: str, default: str | None = "N/A", source: str | None = None) -> str:
+    """Text of the entry ``"<base> YYYY…"`` with the greatest year; of equal years the first key.
+
+    With ``source``, the unparsed document, an object without ``text`` keeps the order of its keys.
+    """
     shape = quote(rf"^{re.escape(base)}{WS}+(\d{{4}})")
 
     def pick(entries: str) -> str:
         dated = keep(f"map_keys({entries})", lambda k: f"regexp_like({k}, {shape})")
         years = transform(dated, lambda k: f"struct(-CAST(regexp_extract({k}, {shape}, 1) AS int) AS age, {k} AS key)")
-        node = f"try_element_at({entries}, array_min({years}).key)"
-        return let(node, lambda n: _node_text(n, default, f"to_json({n})"))
+        found = let(f"array_min({years}).key", lambda k: f"struct({k} AS key, try_element_at({entries}, {k}) AS node)")
+        return let(found, lambda x: _node_text(f"{x}.node", default, raw(x)))
+
+    def raw(x: str) -> str:
+        sorted_keys = f"to_json({x}.node)"
+        if not source:
+            return sorted_keys
+        path = f"concat({json_path(*keys)}, '[\\'', {x}.key, '\\']')"
+        return f"coalesce(get_json_object({source}, {path}), {sorted_keys})"
 
     return let(f"try_variant_get({v}, {json_path(*keys)}, 'map<string,variant>')", pick)
 

@@ -110,11 +110,6 @@ def updated(c: str) -> str:
     return _date_phrase(clean_text(c), "Updated")
 
 
-def date_value(c: str) -> str:
-    """Typed date beside the kept text, for the two spellings 'Jan 22, 2025' and '2025-01-22'."""
-    return f"coalesce(try_to_date({c}, 'MMM d, yyyy'), try_to_date({c}, 'yyyy-MM-dd'))"
-
-
 def last_found(items: str, find: Callable[[str], str]) -> str:
     """``find`` over every item of an array; the last non-null answer."""
     return f"try_element_at({keep(transform(items, find), lambda x: f'{x} IS NOT NULL')}, -1)"

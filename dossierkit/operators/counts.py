@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,15 @@ def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def bad_records(tables: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """One row per table: ``source``, ``n`` and ``n_bad``, the rows for which its condition is not false."""
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(bad, F.lit(True))).alias("n_bad")).select(F.lit(name).alias("source"), "n", "n_bad")
+        for name, (df, bad) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def observed(df: DataFrame, name: str, **checks) -> tuple[DataFrame, Observation]:
     """The same rows with a count (and counts of further conditions) taken on the way to a sink."""
     seen = Observation(name)

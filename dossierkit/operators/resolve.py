@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from dossierkit.functions.sqltext import col, cols, name as quoted
 from dossierkit.functions.text import entities
 
-# A key with more rows than this on the left of a join is spread over several tasks.
-ROWS_PER_TASK = 1_000_000
+# Parts over which rows without a key are dealt.
+NULL_PARTS = 1024
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], ordinal: Sequence[str]) -> DataFrame:
@@ -78,34 +78,18 @@ def alias_join(
     return joined.select(*[F.coalesce("_target", col(c)).alias(c) if c == key else col(c) for c in df.columns])
 
 
-def skew_left_join(
-    left: DataFrame, right: DataFrame, key: str, row_id: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Left join to a table with unique keys that stays even when one key holds much of the left.
+def skew_left_join(left: DataFrame, right: DataFrame, key: str, row_id: Sequence[str]) -> DataFrame:
+    """Left join to a table with unique keys that stays even when one key, or none, holds much of the left.
 
-    Keys with more than ``rows_per_task`` left rows are counted first (a partial aggregate) and get
-    a number of parts; left rows pick a part by the hash of ``row_id`` (so a task that runs again
-    picks the same), and the one right row is copied to each part. The list of hot keys has at most
-    rows / ``rows_per_task`` entries, which is what makes it safe to broadcast. Every other key has
-    one part. The left side is read twice, the first time only for its key.
+    Rows without a key find nothing; they are dealt over ``NULL_PARTS`` parts by the hash of
+    ``row_id``, which is the same when a task runs again. A partition with a hot key is split by the
+    adaptive skew join, which copies the one right row to each piece. The left side is read once.
     """
-    hot = (
-        left.groupBy(col(key).alias("_hot"))
-        .agg(F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("_parts"))
-        .filter((F.col("_parts") > 1) & F.col("_hot").isNotNull())
-    )
-    parts = F.coalesce("_parts", F.lit(1))
-    spread = (
-        left.join(F.broadcast(hot), col(key) == F.col("_hot"), "left")
-        .withColumn("_part", F.pmod(F.xxhash64(*cols(row_id)), parts).cast("int"))
-        .drop("_hot", "_parts")
-    )
-    copies = (
-        right.join(F.broadcast(hot), col(key) == F.col("_hot"), "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("_hot", "_parts")
-    )
-    return spread.join(copies, [key, "_part"], "left").drop("_part")
+    part = F.when(col(key).isNull(), F.pmod(F.xxhash64(*cols(row_id)), F.lit(NULL_PARTS)) + 1).otherwise(F.lit(0))
+    dealt = left.withColumn("_part", part.cast("int"))
+    # Always 0, but no literal: the planner would turn that into a filter and deal rows by the key alone.
+    known = right.filter(col(key).isNotNull()).withColumn("_part", F.pmod(F.xxhash64(col(key)), F.lit(1)).cast("int"))
+    return dealt.join(known, [key, "_part"], "left").drop("_part")
 
 
 @dataclass(frozen=True)
@@ -122,8 +106,8 @@ def enrich(spine: DataFrame, keys: Sequence[Column], sources: dict[str, Source])
 
     The candidates of all sources are exploded once to ``(row, ord, key)``; the sources are merged
     to one table by key first (one aggregate), so there is one join, and one aggregate back to
-    rows. An ``or`` over keys in a join condition would be a nested loop instead. Spine rows must
-    differ in some column.
+    rows. An ``or`` over keys in a join condition would be a nested loop instead. Equal spine rows
+    have equal candidates, so their number is that of the joined rows over that of the candidates.
     """
     options = []
     for i, key in enumerate(keys):
@@ -132,14 +116,19 @@ def enrich(spine: DataFrame, keys: Sequence[Column], sources: dict[str, Source])
             new = new & ~F.coalesce(key == earlier, F.lit(False))
         options.append(F.when(new, F.struct(F.lit(i).alias("_ord"), key.alias("_key"))))
     tried = F.filter(F.array(*options), lambda o: o.isNotNull())
-    keyed = spine.select("*", F.explode_outer(tried).alias("_c")).select(*cols(spine.columns), "_c._ord", "_c._key")
+    numbered = spine.withColumn("_tried", tried)
+    keyed = numbered.select(*cols(spine.columns), F.greatest(F.size("_tried"), F.lit(1)).alias("_of"), F.explode_outer("_tried").alias("_c"))
+    keyed = keyed.select(*cols(spine.columns), "_of", "_c._ord", "_c._key")
     joined = skew_left_join(keyed, _merged(sources), "_key", spine.columns)
     # a candidate equal to an earlier one was dropped, and the earlier one lies within any depth it has
     hit = [
         F.min_by(name, F.when(F.col(name).isNotNull() & (F.col("_ord") < s.depth), F.col("_ord"))).alias(name)
         for name, s in sources.items()
     ]
-    return joined.groupBy(*cols(spine.columns)).agg(*hit)
+    rows = F.expr("count(*) div max(_of)").alias("_rows")
+    found = joined.groupBy(*cols(spine.columns)).agg(rows, *hit)
+    each = found.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), "_rows")))
+    return each.drop("_rows", "_row")
 
 
 def _merged(sources: dict[str, Source]) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
-from typing import TYPE_CHECKING
 
 import numpy as np
 import pandas as pd
@@ -17,9 +16,6 @@ from dossierkit.functions.sqltext import col, cols
 from dossierkit.functions.sqltext import name as quoted
 from dossierkit.functions.text import strip
 
-if TYPE_CHECKING:
-    from pyspark.sql.types import DataType
-
 # Tasks get the helpers of this module with their function: executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -35,14 +31,16 @@ CONTEXT_SEPARATOR = "\n\n"
 NO_TITLE = "No title found"
 NO_LINK = "No link found"
 
-# Up to this many question vectors travel to every task; more are joined cell by cell.
+# Question vectors that travel to the tasks at a time, and their bytes.
 QUERY_LIMIT = 4096
-# Corpus rows of one cell.
-CELL_ROWS = 100_000
+QUERY_BYTES = 32 << 20
+# Hits up to this number are sent to every task of a join.
+BROADCAST_ROWS = 100_000
 # Questions scored at a time within a batch.
 SLICE = 256
 
 
+# Fixed values in it: the labels of the fields.
 def compose_document() -> Column:
     """Text of an article record: its fields as labelled lines, then the full text."""
 
@@ -62,11 +60,14 @@ def compose_document() -> Column:
     )
 
 
-def _pieces(text: str, lo: int, hi: int, separators: Sequence[str]) -> tuple[list[int], Sequence[str]]:
-    """Start offsets of the pieces of ``text[lo:hi]``, each led by its separator, and what is left to try."""
+def _pieces(text: str, lo: int, hi: int, separators: Sequence[str]) -> tuple[list[int] | None, Sequence[str]]:
+    """Start offsets of the pieces of ``text[lo:hi]``, each led by its separator, and what is left to try.
+
+    None stands for single characters, which need no list.
+    """
     for i, sep in enumerate(separators):
         if sep == "":
-            return list(range(lo, hi)), ()
+            return None, ()
         at = text.find(sep, lo, hi)
         if at >= 0:
             starts = [lo] if at > lo else []
@@ -77,6 +78,19 @@ def _pieces(text: str, lo: int, hi: int, separators: Sequence[str]) -> tuple[lis
     return [lo], ()
 
 
+def _characters(lo: int, hi: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """Chunks of a text without separators: all full, each with the overlap of the one before."""
+    if size <= 1:
+        yield from ((i, i + 1) for i in range(lo, hi))
+        return
+    step = max(size - overlap, 1)
+    while hi - lo > size:
+        yield lo, lo + size
+        lo += step
+    if lo < hi:
+        yield lo, hi
+
+
 def _spans(
     text: str, lo: int, hi: int, size: int, overlap: int, separators: Sequence[str]
 ) -> Iterator[tuple[int, int]]:
@@ -87,6 +101,9 @@ def _spans(
     that is too long by itself is split by the remaining separators.
     """
     starts, rest = _pieces(text, lo, hi, separators)
+    if starts is None:
+        yield from _characters(lo, hi, size, overlap)
+        return
     front = 0
     for i, (start, stop) in enumerate(zip(starts, [*starts[1:], hi])):
         if stop - start >= size:
@@ -137,11 +154,18 @@ def chunk_text(
     return df.select(*cols(kept), F.posexplode(F.when(F.length(c) > size, long).otherwise(short)).alias("chunk_no", "chunk"))
 
 
-def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Matrix of a list column, in double precision."""
+def usable_vector(column: str, size: int) -> Column:
+    """Whether a list has ``size`` numbers, none of them null or not finite."""
+    c = quoted(column)
+    finite = f"forall({c}, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
+    return F.expr(f"coalesce(size({c}) = {size} AND {finite}, false)")
+
+
+def _vectors(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
+    """Matrix of a list column with ``size`` numbers in each row, in double precision."""
     flat = pa.chunked_array([column]) if isinstance(column, pa.Array) else column
     values = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in flat.chunks] or [np.empty(0)])
-    return values.astype(np.float64).reshape(len(column), -1) if len(column) else np.empty((0, 0))
+    return values.astype(np.float64).reshape(len(column), size)
 
 
 class _Nearest:
@@ -210,86 +234,94 @@ def knn(
     query_id: str,
     query_vector: str,
     query_limit: int = QUERY_LIMIT,
-    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Exact nearest neighbours by squared L2 distance: ``query_id, rank, corpus_id, distance``.
 
-    Ties go to the smaller id. Each task keeps ``k`` rows per question, and only those are
-    shuffled. Question vectors travel to the tasks when there are at most ``query_limit`` (checked
-    here); beyond that, hashed blocks of questions meet hashed blocks of the corpus, and every cell
-    is of bounded size. Result and exactness are the same.
+    Ties go to the smaller id. Questions travel to the tasks in blocks of up to ``query_limit`` rows
+    and ``QUERY_BYTES``; the corpus stays where it is and is passed once per block. Each task keeps
+    ``k`` rows per question, and only those are shuffled.
+
+    Corpus rows without an id, or whose vector is null, holds a null or a number that is not finite,
+    or is not as long as the questions, are left out (``unusable_vectors`` counts them). A question
+    like that raises an error; questions without an id or vector are left out.
     """
-    left = corpus.filter(F.col(corpus_vector).isNotNull()).select(corpus_id, corpus_vector)
-    right = queries.filter(F.col(query_vector).isNotNull()).select(query_id, query_vector)
-    head = right.limit(query_limit + 1).toArrow()
-    small = head.num_rows <= query_limit
-    near = _per_task(left, head, k) if small else _per_cell(left, right, k, query_limit, cell_rows)
-    order = Window.partitionBy(query_id).orderBy("distance", corpus_id)
+    right = queries.filter(col(query_vector).isNotNull() & col(query_id).isNotNull()).select(*cols([query_id, query_vector]))
+    shape = right.select(F.size(col(query_vector)).alias("n")).first()
+    size = shape["n"] if shape else 0
+    if right.filter(~usable_vector(query_vector, size)).limit(1).count():
+        raise ValueError(f"every question needs {size} finite numbers")
+    left = corpus.filter(col(corpus_id).isNotNull() & usable_vector(corpus_vector, size)).select(*cols([corpus_id, corpus_vector]))
+    limit = max(1, min(query_limit, QUERY_BYTES // (8 * max(size, 1))))
+    names = [query_id, corpus_id, "distance"]
+    near, asked = None, 0
+    for block in _blocks(right, limit):
+        asked += block.num_rows
+        found = left.mapInArrow(_per_task(names, block, k, size), _schema(left, right, names))
+        near = found if near is None else near.union(found)
+    if near is None:
+        near = left.limit(0).mapInArrow(lambda batches: iter(()), _schema(left, right, names))
+    order = Window.partitionBy(col(query_id)).orderBy("distance", col(corpus_id))
     top = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    top = top.select(query_id, "rank", corpus_id, "distance")
-    return top.hint("broadcast") if small else top
+    top = top.select(*cols([query_id, "rank", corpus_id, "distance"]))
+    # Rows of three numbers, or of short ids.
+    return top.hint("broadcast") if asked * k <= BROADCAST_ROWS else top
 
 
-def _schemas(left: DataFrame, question_type: DataType, names: list[str]) -> str:
-    corpus_type = left.schema[0].dataType.simpleString()
-    return f"`{names[0]}` {question_type.simpleString()}, `{names[1]}` {corpus_type}, `distance` double"
+def unusable_vectors(corpus: DataFrame, vector: str, size: int) -> DataFrame:
+    """How many corpus rows a search with ``size`` numbers leaves out: ``n``, ``unusable``."""
+    return corpus.agg(F.count(F.lit(1)).alias("n"), F.count_if(~usable_vector(vector, size)).alias("unusable"))
 
 
-def _per_task(left: DataFrame, head: pa.Table, k: int) -> DataFrame:
-    from pyspark.sql.pandas.types import from_arrow_type
+def _blocks(questions: DataFrame, limit: int) -> Iterator[pa.Table]:
+    """The questions in tables of up to ``limit`` rows; the driver holds one at a time.
 
-    corpus_id, corpus_vector = left.columns
-    names = [head.column_names[0], corpus_id, "distance"]
+    Dealt by a hash of the id, so a block has about ``limit`` rows.
+    """
+    total = questions.count()
+    parts = max(1, -(-total // limit))
+    if parts == 1:
+        if total:
+            yield questions.toArrow()
+        return
+    part = F.pmod(F.xxhash64(col(questions.columns[0])), F.lit(parts))
+    for i in range(parts):
+        block = questions.filter(part == i).toArrow()
+        if block.num_rows:
+            yield block
+
+
+def _schema(left: DataFrame, right: DataFrame, names: list[str]) -> str:
+    kinds = [right.schema[0].dataType.simpleString(), left.schema[0].dataType.simpleString(), "double"]
+    return ", ".join(f"{quoted(n)} {kind}" for n, kind in zip(names, kinds))
+
+
+def _per_task(names: list[str], head: pa.Table, k: int, size: int):
+    corpus_id = names[1]
     question_ids = head.column(0).combine_chunks()
-    questions = _vectors(head.column(1))
+    questions = _vectors(head.column(1), size)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nearest = _Nearest(questions, k)
         schema = None
         for batch in batches:
             schema = batch.schema
-            ids = batch.column(corpus_id).to_numpy(zero_copy_only=False)
-            nearest.add(ids, _vectors(batch.column(corpus_vector)))
+            nearest.add(batch.column(0).to_numpy(zero_copy_only=False), _vectors(batch.column(1), size))
         if nearest.ids is not None:
-            fields = pa.schema([(names[0], question_ids.type), schema.field(corpus_id), ("distance", pa.float64())])
+            fields = pa.schema([(names[0], question_ids.type), schema.field(0).with_name(corpus_id), ("distance", pa.float64())])
             yield from _table(names, nearest, question_ids, fields).to_batches()
 
-    return left.mapInArrow(scan, _schemas(left, from_arrow_type(question_ids.type), names))
-
-
-def _per_cell(left: DataFrame, right: DataFrame, k: int, query_limit: int, cell_rows: int) -> DataFrame:
-    corpus_id, corpus_vector = left.columns
-    query_id, query_vector = right.columns
-    names = [query_id, corpus_id, "distance"]
-    parts = max(1, -(-left.count() // cell_rows))
-    blocks = max(1, -(-right.count() // query_limit))
-
-    def each(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    def bucket(c: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-
-    cells = left.select("*", bucket(corpus_id, parts).alias("_part"), each(blocks).alias("_block"))
-    asked = right.select("*", each(parts).alias("_part"), bucket(query_id, blocks).alias("_block"))
-
-    def meet(rows: pa.Table, questions: pa.Table) -> pa.Table:
-        nearest = _Nearest(_vectors(questions.column(query_vector)), k)
-        if rows.num_rows:
-            nearest.add(rows.column(corpus_id).to_numpy(), _vectors(rows.column(corpus_vector)))
-        fields = pa.schema([questions.schema.field(query_id), rows.schema.field(corpus_id), ("distance", pa.float64())])
-        return _table(names, nearest, questions.column(query_id).combine_chunks(), fields)
-
-    cell = ["_part", "_block"]
-    pairs = cells.groupBy(*cell).cogroup(asked.groupBy(*cell))
-    return pairs.applyInArrow(meet, _schemas(left, right.schema[0].dataType, names))
+    return scan
 
 
 def assemble_context(
     hits: DataFrame, corpus: DataFrame, *, query_id: str, corpus_id: str, text: str, sep: str = CONTEXT_SEPARATOR
 ) -> DataFrame:
-    """One row per question: the retrieved texts in rank order. A group holds at most k rows."""
-    found = hits.join(corpus.select(corpus_id, text), corpus_id)
+    """One row per question: the retrieved texts in rank order. A group holds at most k rows.
+
+    A hit without a text stands as an empty one. Corpus rows are cut to the retrieved ones first.
+    """
+    wanted = corpus.select(corpus_id, text).join(hits.select(corpus_id), corpus_id, "left_semi")
+    found = hits.join(wanted, corpus_id, "left").select(query_id, "rank", F.coalesce(text, F.lit("")).alias(text))
     ordered = F.array_sort(F.collect_list(F.struct("rank", text)))
     return found.groupBy(query_id).agg(F.array_join(F.transform(ordered, lambda r: r[text]), sep).alias("context"))
 

@@ -80,10 +80,21 @@ def outer_join_pair(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right, key, "full")
 
 
+# A decimal number, with or without an exponent, and blanks around it.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def to_numeric(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """All columns but ``keep`` as DOUBLE; what is not a number becomes null."""
-    names = [(quoted(c), c in keep) for c in df.columns]
-    return df.selectExpr(*[c if kept else f"try_cast({c} AS double) AS {c}" for c, kept in names])
+    """All columns but ``keep`` as DOUBLE; what is not a decimal number becomes null."""
+
+    def number(c: str, kind: DataType) -> str:
+        if isinstance(kind, NumericType):
+            return f"CAST({c} AS double) AS {c}"
+        return f"CASE WHEN regexp_like({c}, {quote(_NUMBER)}) THEN try_cast(trim({c}) AS double) END AS {c}"
+
+    return df.selectExpr(
+        *[quoted(f.name) if f.name in keep else number(quoted(f.name), f.dataType) for f in df.schema.fields]
+    )
 
 
 def clean_columns(df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -11,12 +11,14 @@ from dossierkit.operators.retrieve import CONTEXT_SEPARATOR, NO_LINK, NO_TITLE,
 def answers(chunks: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
     """``chunks(chunk_id, link, title, chunk, vector)`` and ``questions(question_id, vector)``.
 
-    One row per question: ``context`` (chunks in rank order) and ``sources`` (``idx, title, url``).
+    One row per question with hits: ``context`` (chunks in rank order) and ``sources`` (``idx, title,
+    url``). Texts are looked up for the hits only; a hit without one stands as an empty text.
     """
     hits = knn(
         chunks, questions, k, corpus_id="chunk_id", corpus_vector="vector", query_id="question_id", query_vector="vector"
     )
-    found = hits.join(chunks.select("chunk_id", "link", "title", "chunk"), "chunk_id")
+    wanted = chunks.select("chunk_id", "link", "title", "chunk").join(hits.select("chunk_id"), "chunk_id", "left_semi")
+    found = hits.join(wanted, "chunk_id", "left").withColumn("chunk", F.coalesce("chunk", F.lit("")))
     # a group holds at most k rows
     ordered = F.array_sort(F.collect_list(F.struct("rank", "chunk", "title", "link")))
     lists = found.groupBy("question_id").agg(ordered.alias("hits"))

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from dossierkit.functions.html import main_text
 from dossierkit.functions.sqltext import cols
-from dossierkit.operators.extract import article_cards
+from dossierkit.functions.text import strip
+from dossierkit.operators.extract import article_cards, page_links
 from dossierkit.operators.resolve import last_wins, skew_left_join
 from dossierkit.operators.retrieve import chunk_text, compose_document
 
+# Columns of an article record, and their order in a CSV file.
 ARTICLE_COLUMNS = [
     "Section",
     "Title",
@@ -37,11 +39,13 @@ def articles(listing: DataFrame, details: DataFrame) -> DataFrame:
     """``listing(page_id, html)`` and ``details(url, ordinal, html)`` to article records.
 
     One row per card; a card without a detail page has an empty full text. The last fetch of a URL
-    counts, and a URL that many cards name is spread over tasks.
+    counts. Only pages that a listing links to are read: the others go before their text is
+    extracted, by a cheap pass for the links alone.
     """
     cards = article_cards(listing.select("page_id", "html"), "html")
-    pages = details.select(F.col("url").alias("Link"), "ordinal", F.expr(main_text("html")).alias("Full Article"))
-    texts = last_wins(pages, ["Link"], ["ordinal"])
+    linked = page_links(listing.select("html"), "html").select(F.expr(strip("href")).alias("Link")).distinct()
+    fetched = details.select(F.col("url").alias("Link"), "ordinal", "html").join(linked, "Link", "left_semi")
+    texts = last_wins(fetched, ["Link"], ["ordinal"]).select("Link", F.expr(main_text("html")).alias("Full Article"))
     joined = skew_left_join(cards, texts, "Link", ["page_id", "card_no"])
     full = F.coalesce("`Full Article`", F.lit(""))
     return joined.withColumn("Full Article", full).select("page_id", "card_no", *cols(ARTICLE_COLUMNS))

@@ -5,15 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from dossierkit.functions.jsonx import json_text, latest_year_text
+from dossierkit.functions.jsonx import indicator_points, json_text, latest_year_text
 from dossierkit.functions.shares import parse_shares, share_slots, shares_map
 from dossierkit.functions.sqltext import col, cols, name
 from dossierkit.functions.text import country_key, first_text, lookup, normalise_name, year_window
+from dossierkit.operators.counts import bad_records, observed
 from dossierkit.operators.extract import html_table_rows, indicator_rows
-from dossierkit.operators.resolve import Source, enrich, explode_entities, first_available, last_wins
+from dossierkit.operators.resolve import Source, candidate_urls, candidates, distinct_codes, enrich, explode_entities, first_available, last_wins
 from dossierkit.operators.shape import clean_columns, has_name, indicator_pivot
 from dossierkit.sources.dims import (
     CODE_OVERRIDES,
@@ -22,8 +23,10 @@ from dossierkit.sources.dims import (
     INDICATORS,
     MATCH_ALIASES,
     PAGE_ALIASES,
+    REGIONS,
 )
-from dossierkit.sources.landed import fetched
+from dossierkit.sources.landed import fetched, fetched_pages
+from dossierkit.sources.sinks import write_csv, write_json
 
 # Columns of the profile, and the headers that mark the source tables.
 IDENTITY = ["Country", "Alpha-2", "Alpha-3", "Numeric Code"]
@@ -122,8 +125,9 @@ def factbook_table(log: DataFrame) -> DataFrame:
     """``log(code, region_no, status, body)`` to the last factbook record of each name.
 
     The first region that answered counts, even when its body is not JSON: such a code gives no
-    record.
+    record. An object that repeats a key keeps the last one, so the session is set to read it.
     """
+    log.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     answered = first_available(log, ["code"], ["region_no"], fetched(F.col("status")))
     objects = answered.filter(F.rlike("body", F.lit(r"^\s*\{")))
     parsed = objects.withColumn("v", F.try_parse_json("body")).filter(F.col("v").isNotNull())
@@ -132,11 +136,12 @@ def factbook_table(log: DataFrame) -> DataFrame:
         return json_text("v", *keys, default=default, source="body")
 
     def latest(field: str) -> str:
-        return latest_year_text("v", "Economy", field, base=field)
+        return latest_year_text("v", "Economy", field, base=field, source="body")
 
     def total(*keys: str) -> str:
         return f"coalesce(nullif({text(*keys, 'total')}, 'N/A'), {text(*keys)})"
 
+    # Where the fields of a record are.
     people, economy = "People and Society", "Economy"
     sectors = "GDP - composition, by sector of origin"
     country_name = first_text(
@@ -168,12 +173,42 @@ def factbook_table(log: DataFrame) -> DataFrame:
 
 
 def indicator_table(payloads: DataFrame, as_of: dt.date) -> DataFrame:
-    """``payloads(country_code, indicator, status, body)`` to one row per code with year columns."""
+    """``payloads(country_code, indicator, ordinal, status, body)`` to one row per code with year columns.
+
+    The last payload that has a value for a cell counts; a null value counts as well.
+    """
     window = year_window(as_of)
     landed = payloads.filter(fetched(F.col("status")) & F.col("indicator").isin(*INDICATORS))
-    rows = indicator_rows(landed.select("country_code", "indicator", "body"), "body", window)
+    rows = indicator_rows(landed.select("country_code", "indicator", "ordinal", "body"), "body", window)
     named = rows.withColumn("indicator", F.expr(normalise_name("indicator", INDICATORS)))
-    return indicator_pivot(named, ["country_code"], list(INDICATORS.values()), range(window[0], window[1] + 1))
+    years = range(window[0], window[1] + 1)
+    return indicator_pivot(named, ["country_code"], list(INDICATORS.values()), years, ordinal="ordinal")
+
+
+# Where payloads and records are fetched from, and the years asked for before the window.
+INDICATOR_URL = "http://api.worldbank.org/v2/country/%s/indicator/%s?format=json&date=%s:%s&per_page=100"
+FACTBOOK_URL = "https://raw.githubusercontent.com/factbook/factbook.json/master/%s/%s.json"
+YEARS_BEFORE = 1
+
+
+def indicator_requests(codes: DataFrame, as_of: dt.date) -> DataFrame:
+    """``codes(country_code)`` to the URL of each indicator's payload: ``country_code, indicator, url``."""
+    first, last = year_window(as_of)
+    tried = candidates(codes.select("country_code"), ("indicator", list(INDICATORS)))
+    asked = tried.withColumns({"_first": F.lit(first - YEARS_BEFORE), "_last": F.lit(last)})
+    urls = candidate_urls(asked, INDICATOR_URL, "country_code", "indicator", "_first", "_last")
+    return urls.select("country_code", "indicator", "url")
+
+
+def factbook_requests(codes: DataFrame) -> DataFrame:
+    """``codes(code)`` to every URL that may hold its record: ``code, region, region_no, url``."""
+    tried = candidates(distinct_codes(codes.select(F.array("code").alias("codes")), "codes"), ("region", REGIONS))
+    return candidate_urls(tried, FACTBOOK_URL, "region", "code").select("code", "region", "region_no", "url")
+
+
+def answers_of(requests: DataFrame, fetches: DataFrame) -> DataFrame:
+    """Requests with what ``fetches(url, status, ...)`` brought; a URL that was not fetched has no status."""
+    return requests.join(fetches, "url", "left")
 
 
 # Stands in front of codes where names and codes are keys of one join.
@@ -198,10 +233,11 @@ class Landed:
 
 
 def landed_pages(spine: DataFrame, pages: DataFrame, payloads: DataFrame, log: DataFrame) -> Landed:
-    """Sources out of one table ``pages(url, ordinal, html)``, the indicator payloads and the fetch log."""
+    """Sources out of one table ``pages(url, status, ordinal, html)``, the indicator payloads and the fetch log."""
+    found = fetched_pages(pages)
 
     def of(url: str) -> DataFrame:
-        return pages.filter(F.col("url") == url).select("ordinal", "html")
+        return found.filter(F.col("url") == url).select("ordinal", "html")
 
     return Landed(spine, of(CURRENCY_URL), payloads, of(POPULATION_URL), of(LIFE_URL), log)
 
@@ -252,3 +288,25 @@ def profile_table(profile: DataFrame) -> DataFrame:
     """The flat table: declared columns in order, shares as slots."""
     flat = [c for c in profile.columns if c not in (RELIGIONS, RELIGIONS_PARSED)]
     return profile.selectExpr(*cols(flat), *share_slots(name(RELIGIONS_PARSED)))
+
+
+def bad_sources(landed: Landed) -> DataFrame:
+    """``source, n, n_bad``: fetched payloads and records that the profile leaves out because they cannot be read."""
+    payloads = landed.indicator_payloads.filter(fetched(F.col("status")))
+    records = landed.factbook_log.filter(fetched(F.col("status")))
+    points = F.expr(indicator_points("body"))
+    return bad_records(
+        {
+            "indicator payloads": (payloads, points.isNull()),
+            "factbook records": (records, ~F.rlike("body", F.lit(r"^\s*\{")) | F.try_parse_json("body").isNull()),
+        }
+    )
+
+
+def export_profile(profile: DataFrame, json_path: str, csv_path: str) -> Observation:
+    """Nested records as JSON and the flat table as CSV; counts of what was written, and of countries without a record."""
+    table = profile_table(profile)
+    watched, seen = observed(table, "profile", no_factbook=col(FACTBOOK_NAME).isNull())
+    write_csv(watched, csv_path, table.columns)
+    write_json(profile_records(profile), json_path)
+    return seen

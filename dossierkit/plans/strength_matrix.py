@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossierkit.functions.text import parse_value
 from dossierkit.operators.extract import label_values, metric_blocks
 from dossierkit.operators.resolve import last_wins
 from dossierkit.operators.shape import order_by_key, outer_merge, to_numeric
-from dossierkit.sources.dims import DETAIL_LABELS, METRIC_NAMES, metric_of
+from dossierkit.sources.dims import DETAIL_LABELS, METRIC_NAMES, metric_dim, metric_of
+from dossierkit.sources.landed import fetched_pages
 
 FIELDS = METRIC_NAMES + list(DETAIL_LABELS)
 
@@ -26,8 +27,14 @@ def detail_links(listing: DataFrame, site: str) -> DataFrame:
     return last_wins(links, ["country"], ["ordinal", "card_no"])
 
 
+def metric_requests(spark: SparkSession, site: str) -> DataFrame:
+    """``metric, url`` of every metric page of a site."""
+    return metric_dim(spark).select("metric", F.concat(F.lit(site), "page").alias("url"))
+
+
 def matrix_of_pages(pages: DataFrame, site: str) -> DataFrame:
-    """``pages(url, ordinal, html)`` of a whole site to the matrix: metric, listing and detail pages."""
+    """``pages(url, status, ordinal, html)`` of a whole site to the matrix: metric, listing and detail pages."""
+    pages = fetched_pages(pages).select("url", "ordinal", "html")
     metrics = pages.withColumn("metric", F.expr(metric_of("url"))).filter("metric IS NOT NULL")
     listing = pages.filter(F.substring_index("url", "/", -1) == LISTING).drop("url")
     details = pages.join(detail_links(listing, site), "url").select("country", "ordinal", "html")

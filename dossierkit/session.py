@@ -8,8 +8,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # a JSON object that repeats a key keeps the last one, instead of being no JSON
-    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

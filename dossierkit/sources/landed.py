@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 OK = 200
 
+# Fields of an article record.
 ARTICLE_SCHEMA = (
     "`Section` string, `Title` string, `Link` string, `Author(s)` array<string>, `Date Posted` string, "
     "`Date Updated` string, `Updates` string, `Full Article` string"
@@ -18,31 +19,39 @@ def fetched(status: Column) -> Column:
     return status == OK
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores when the scan has fewer partitions than there are cores.
-
-    For work that is heavy per row. A large table has more partitions than that and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+def fetched_pages(pages: DataFrame) -> DataFrame:
+    """Pages that were fetched."""
+    return pages.filter(fetched(F.col("status")))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed pages that were fetched."""
-    return spark.read.parquet(path).filter(fetched(F.col("status")))
+    return fetched_pages(spark.read.parquet(path))
+
+
+BAD_RECORD = "_bad_record"
 
 
 def read_articles(spark: SparkSession, path: str, one_array: bool = False) -> DataFrame:
-    """Article records; missing fields become '' or an empty list.
+    """Article records; missing fields become '' or an empty list, records that are no JSON are left out.
 
     ``one_array`` is for a file that is a single JSON array, which one task must read; JSON Lines
-    (the default) splits.
+    (the default) splits. ``landed_articles`` keeps the bad records.
     """
-    raw = spark.read.schema(ARTICLE_SCHEMA).option("multiLine", one_array).json(path)
+    raw = landed_articles(spark, path, one_array)
+    return raw.filter(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
+
+
+def landed_articles(spark: SparkSession, path: str, one_array: bool = False) -> DataFrame:
+    """The same with all records, and the text of a bad one in ``_bad_record``."""
+    schema = f"{ARTICLE_SCHEMA}, {BAD_RECORD} string"
+    raw = spark.read.schema(schema).options(multiLine=one_array, columnNameOfCorruptRecord=BAD_RECORD).json(path)
     empty = F.array().cast("array<string>")
-    return raw.select(
-        *[F.coalesce(f"`{c}`", empty if c == "Author(s)" else F.lit("")).alias(c) for c in raw.columns]
-    )
+
+    def filled(c: str):
+        return F.col(c) if c == BAD_RECORD else F.coalesce(f"`{c}`", empty if c == "Author(s)" else F.lit("")).alias(c)
+
+    return raw.select(*[filled(c) for c in raw.columns])
 
 
 def asset_catalog(spark: SparkSession, path: str) -> DataFrame:

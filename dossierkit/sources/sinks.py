@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -19,34 +18,32 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+# Bytes of a CSV file are bounded by its rows: a file with line breaks in fields is read by one task.
+CSV_FILE_ROWS = 200_000
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "errorifexists") -> None:
-    """CSV with header in the given column order; null is empty, lists are joined."""
+    """CSV with header in the given column order; null is empty, lists are joined, blanks stay."""
 
     def flat(name: str):
         c = col(name)
         is_list = df.schema[name].dataType.typeName() == "array"
         return F.array_join(c, LIST_SEPARATOR).alias(name) if is_list else c
 
-    out = df.select(*[flat(c) for c in columns]).write.mode(mode)
-    out.option("header", True).option("nullValue", "").option("emptyValue", "").option("escape", '"').csv(path)
+    out = df.select(*[flat(c) for c in columns]).write.mode(mode).option("maxRecordsPerFile", CSV_FILE_ROWS)
+    out.options(**_CSV, nullValue="", emptyValue="").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """What ``write_csv`` wrote."""
-    return spark.read.schema(schema).options(header=True, multiLine=True, escape='"').csv(path)
+    return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name below the checkpoint folder that the cluster names.
+    """A new folder name below the folder that ``spark.checkpoint.dir`` names.
 
-    Only a local session without that setting gets a folder of its own.
+    A session that names none has it below its warehouse, which executors share as well.
     """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="dossierkit-")
-        context.setCheckpointDir(base)
-        base = context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -83,15 +83,16 @@ def landed(spark):
     ]
     payload = '[{"page":1},[{"date":"2024","value":2.5},{"date":"2023","value":null},{"date":"2016","value":9}]]'
     payloads = [
-        ("USA", "NY.GDP.MKTP.CD", 200, payload),
-        ("USA", "SP.POP.TOTL", 500, payload),
-        ("XKX", "MS.MIL.XPND.GD.ZS", 200, payload),
-        ("CZE", "NY.GDP.MKTP.CD", 200, '[{},[{"date":"2024Q1","value":1}]]'),
+        ("USA", "NY.GDP.MKTP.CD", 2, 200, payload),
+        ("USA", "NY.GDP.MKTP.CD", 1, 200, payload.replace("2.5", "9")),
+        ("USA", "SP.POP.TOTL", 1, 500, payload),
+        ("XKX", "MS.MIL.XPND.GD.ZS", 1, 200, payload),
+        ("CZE", "NY.GDP.MKTP.CD", 1, 200, '[{},[{"date":"2024Q1","value":1}]]'),
     ]
     return C.Landed(
         spark.createDataFrame(spine, "Country string, `Alpha-2` string, `Alpha-3` string, `Numeric Code` string"),
         spark.createDataFrame([(1, decoy + currency)], page),
-        spark.createDataFrame(payloads, "country_code string, indicator string, status int, body string"),
+        spark.createDataFrame(payloads, "country_code string, indicator string, ordinal int, status int, body string"),
         spark.createDataFrame([(1, population)], page),
         spark.createDataFrame([(1, life)], page),
         spark.createDataFrame(log, "code string, region_no int, status int, body string"),
@@ -131,8 +132,9 @@ def test_country_profile(spark):
 def test_sources_out_of_one_page_table(spark):
     one = landed(spark)
     urls = {C.CURRENCY_URL: one.currency_pages, C.POPULATION_URL: one.population_pages, C.LIFE_URL: one.life_pages}
-    rows = [(url, r.ordinal, r.html) for url, df in urls.items() for r in df.collect()]
-    pages = spark.createDataFrame(rows + [("https://h/", 1, "x")], "url string, ordinal int, html string")
+    rows = [(url, 200, r.ordinal, r.html) for url, df in urls.items() for r in df.collect()]
+    rows += [(url, 404, 99, html.replace("<td> ", "<td> 9")) for url, _, _, html in rows]
+    pages = spark.createDataFrame(rows + [("https://h/", 200, 1, "x")], "url string, status int, ordinal int, html string")
     other = C.landed_pages(one.spine, pages, one.indicator_payloads, one.factbook_log)
     expected = C.country_profile(one, AS_OF).orderBy("Country").collect()
     found = C.country_profile(other, AS_OF)
@@ -198,12 +200,13 @@ def test_strength_matrix(spark):
 def test_matrix_of_a_whole_site(spark):
     shown = '<div class="specsGenContainers"><span>Army Personnel</span><span class="textWhite textShadow">7</span></div>'
     pages = [
-        ("https://h/navy-ships.php", 1, block("Chad", "<span>3</span>")),
-        ("https://h/countries-listing.php", 2, block("Chad", "") + block("Mali", "")),
-        ("https://h/country-military-strength-detail.php?country_id=Mali&x=1", 3, shown),
-        ("https://h/other.php", 4, block("Niger", "<span>3</span>")),
+        ("https://h/navy-ships.php", 200, 1, block("Chad", "<span>3</span>")),
+        ("https://h/navy-ships.php", 500, 9, block("Chad", "<span>4</span>")),
+        ("https://h/countries-listing.php", 200, 2, block("Chad", "") + block("Mali", "")),
+        ("https://h/country-military-strength-detail.php?country_id=Mali&x=1", 200, 3, shown),
+        ("https://h/other.php", 200, 4, block("Niger", "<span>3</span>")),
     ]
-    matrix = S.matrix_of_pages(spark.createDataFrame(pages, "url string, ordinal int, html string"), "https://h/")
+    matrix = S.matrix_of_pages(spark.createDataFrame(pages, "url string, status int, ordinal int, html string"), "https://h/")
     rows = [{k: v for k, v in r.asDict().items() if v is not None} for r in matrix.collect()]
     assert rows == [{"Country": "Chad", "naval_fleet_strength": 3.0}, {"Country": "Mali", "army_personnel": 7.0}]
 

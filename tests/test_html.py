@@ -7,6 +7,8 @@ def test_unescape(evaluate):
         "&#8364;&#x20AC; &copy;&apos;": "€€ ©'",
         "&bogus; & x &nbsp;|": "&bogus; & x \xa0|",
         "&#0;&#xFFFFFFF;&#55296;": "���",
+        "&lpar;&rpar; &NotEqualTilde; &hearts;": "() ≂̸ ♥",
+        "it&#146;s 1&#150;2 &#x80; &#129;": "it’s 1–2 € \x81",
         "&": "&",
     }
     assert evaluate(H.unescape("x"), list(texts)) == list(texts.values())

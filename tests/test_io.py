@@ -1,5 +1,6 @@
 import json
 
+from dossierkit.catalog import common
 from dossierkit.plans.articles import CSV_COLUMNS
 from dossierkit.sources import dims, landed, sinks
 
@@ -41,6 +42,21 @@ def test_csv(spark, tmp_path):
     assert back.asDict() == {**RECORD, "Author(s)": "X; Y"}
 
 
+def test_csv_keeps_blanks(spark, tmp_path):
+    texts = ["  lead", "trail  ", "\tx", " both "]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    sinks.write_csv(df.coalesce(1), str(tmp_path / "csv"), ["x"])
+    assert [r.x for r in sinks.read_csv(spark, str(tmp_path / "csv"), "x string").collect()] == texts
+
+
+def test_bad_records_are_told_apart(spark, tmp_path):
+    (tmp_path / "lines.json").write_text('{"Title":"a"}\n{"Title":\n{"Title":"b"}\nnot json\n', "utf-8")
+    path = str(tmp_path / "lines.json")
+    assert sorted(r.Title for r in landed.read_articles(spark, path).collect()) == ["a", "b"]
+    bad = landed.landed_articles(spark, path).filter("_bad_record IS NOT NULL")
+    assert sorted(r._bad_record for r in bad.collect()) == ["not json", '{"Title":']
+
+
 def test_asset_catalog(spark, tmp_path):
     folder = tmp_path / "country_maps" / "Antigua and Barbuda"
     folder.mkdir(parents=True)
@@ -52,7 +68,7 @@ def test_asset_catalog(spark, tmp_path):
 
 def test_shared_folder_is_below_the_checkpoint_folder(spark):
     one, two = sinks.shared_folder(spark, "t"), sinks.shared_folder(spark, "t")
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
     assert one != two and one.startswith(f"{base}/t-")
 
 
@@ -67,5 +83,5 @@ def test_dims(spark, evaluate, tmp_path):
 
 
 def test_spread(spark):
-    assert landed.spread(spark.range(10).coalesce(1), "id").rdd.getNumPartitions() == 8
-    assert landed.spread(spark.range(10, numPartitions=20), "id").rdd.getNumPartitions() == 20
+    assert common.spread(spark.range(10).coalesce(1), "id").rdd.getNumPartitions() == 8
+    assert common.spread(spark.range(10, numPartitions=20), "id").rdd.getNumPartitions() == 20

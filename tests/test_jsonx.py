@@ -43,6 +43,19 @@ def test_latest_year(evaluate):
     assert evaluate(latest, [*map(json.dumps, bodies), "bad", None]) == ["b", '{"n":1}', "N/A", "N/A", "N/A", "N/A"]
 
 
+def test_numbers_keep_their_digits(evaluate):
+    numbers = ["1e-12", "1.23456789012345e-3", "-2.5e3", "1e20", "7.5e-7", "1.5", "0", "12345678901234567890", "1e300"]
+    found = evaluate(J.json_text("try_parse_json(x)", "a"), [f'{{"a":{{"text":{n}}}}}' for n in numbers])
+    assert [float(f) for f in found] == [float(n) for n in numbers]
+    assert found[:5] == ["0.000000000001", "0.00123456789012345", "-2500", "100000000000000000000", "0.00000075"]
+
+
+def test_latest_year_keeps_the_order_of_keys(evaluate):
+    latest = J.latest_year_text("try_parse_json(x)", "E", base="GDP (x)", source="x")
+    bodies = ['{"E":{"GDP (x) 2020":"no","GDP (x) 2021 est.":{"zeta":"11 x","alpha":"22 y"}}}', '{"E":{"GDP (x) 2021":{"text":"t"}}}']
+    assert evaluate(latest, bodies) == ['{"zeta":"11 x","alpha":"22 y"}', "t"]
+
+
 def test_indicator_points(evaluate):
     payloads = {
         '[{"p":1},[{"date":"2021","value":1.5},{"date":2020,"value":null},{"date":"2019","value":"12,3"}]]': [
@@ -62,5 +75,6 @@ def test_indicator_points(evaluate):
     assert [None if f is None else [tuple(p) for p in f] for f in found] == list(payloads.values())
 
 
-def test_repeated_keys_keep_the_last(evaluate):
+def test_repeated_keys_keep_the_last(spark, evaluate):
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     assert evaluate(J.json_text("try_parse_json(x)", "a"), ['{"a":"1","a":"2"}']) == ["2"]

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from dossierkit.operators import resolve as R
@@ -46,23 +47,49 @@ def test_distinct_codes(spark):
     assert rows(R.distinct_codes(df, "codes")) == [("a",), ("b",), ("c",)]
 
 
-def test_skew_left_join_is_a_left_join(spark, plan):
+def test_skew_left_join_is_a_left_join(spark):
     rng = random.Random(3)
     keys = [None if rng.random() < 0.1 else "hot" if rng.random() < 0.4 else f"k{rng.randint(0, 50)}" for _ in range(500)]
     left = spark.createDataFrame(list(enumerate(keys)), "i int, k string")
-    right = spark.createDataFrame([("hot", 0)] + [(f"k{n}", n) for n in range(0, 50, 2)], "k string, v int")
+    right = spark.createDataFrame([("hot", 0), (None, 9)] + [(f"k{n}", n) for n in range(0, 50, 2)], "k string, v int")
     expected = rows(left.join(right, "k", "left").select("i", "k", "v"))
-    for limit in (1, 7, 100, 10**6):
-        assert rows(R.skew_left_join(left, right, "k", ["i"], limit).select("i", "k", "v")) == expected
-
-
-def test_hot_key_is_spread_over_parts(spark):
-    left = spark.range(1000).select(F.col("id").alias("i"), F.lit("hot").alias("k"))
-    right = spark.createDataFrame([("hot", 1)], "k string, v int")
-    spread = R.skew_left_join(left, right, "k", ["i"], 100)
-    keys = spread._jdf.queryExecution().optimizedPlan().toString()
-    assert "_part" in keys
-    assert spread.count() == 1000 and spread.filter("v = 1").count() == 1000
+    assert rows(R.skew_left_join(left, right, "k", ["i"]).select("i", "k", "v")) == expected
+
+
+@pytest.fixture
+def plain_joins(spark):
+    """Shuffled joins without the adaptive planner, which would hide how rows are dealt."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_rows_without_a_key_are_dealt_evenly(spark, plain_joins):
+    key = F.expr("if(id % 10 = 0, concat('k', id % 100), null)").alias("k")
+    left = spark.range(20000).select(F.col("id").alias("i"), key)
+    right = spark.createDataFrame([("k0", 1)], "k string, v int")
+    joined = R.skew_left_join(left, right, "k", ["i"])
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 20000 and len(sizes) == 8 and max(sizes) < 1.5 * 20000 / 8
+
+
+def test_the_left_side_is_read_once(spark, plain_joins, plan):
+    left = spark.range(100).selectExpr("id AS i", "concat('k', id) AS k")
+    aliases = spark.createDataFrame([("k1", "k2")], "alias string, target string")
+    matched = R.alias_join(left, "k", aliases, "alias", "target", ["i"])
+    found = R.enrich(matched, [F.col("k")], {"one": R.Source(spark.createDataFrame([("k2", 1)], "key string, v int"), "key", 1)})
+    assert plan(found).count("Range (") == 1
+
+
+def test_enrich_keeps_equal_rows(spark):
+    spine = spark.createDataFrame([("m", "r")] * 3 + [(None, None)] * 2 + [("x", "x")], "a string, b string")
+    one = spark.createDataFrame([("r", 2)], "key string, v int")
+    found = R.enrich(spine, [F.col("a"), F.col("b")], {"one": R.Source(one, "key", 2)})
+    assert rows(found.select("a", "b", "one.v")) == [("m", "r", 2)] * 3 + [("x", "x", None)] + [(None, None, None)] * 2
 
 
 def test_enrich_takes_the_first_key_that_hits(spark):

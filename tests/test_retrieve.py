@@ -1,6 +1,7 @@
 import re
 import subprocess
 import sys
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -99,36 +100,72 @@ def nearest(vectors, questions, k):
     return out
 
 
-@pytest.mark.parametrize("limit,cell", [(100, 1000), (7, 13), (1, 1000), (100, 13)])
-def test_knn_both_ways(spark, limit, cell):
+NAMES = dict(corpus_id="id", corpus_vector="v", query_id="q", query_vector="u")
+
+
+@pytest.mark.parametrize("limit", [100, 7, 1])
+def test_knn_in_blocks_of_questions(spark, limit):
     rng = np.random.default_rng(5)
     vectors = rng.integers(-2, 3, (120, 4)).astype(float)
     questions = rng.integers(-2, 3, (19, 4)).astype(float)
     corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, v array<float>")
     asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(questions)], "q int, u array<double>")
-    found = R.knn(
-        corpus.repartition(5).unionByName(spark.createDataFrame([(999, None)], corpus.schema)),
-        asked,
-        3,
-        corpus_id="id",
-        corpus_vector="v",
-        query_id="q",
-        query_vector="u",
-        query_limit=limit,
-        cell_rows=cell,
-    )
-    assert {(r.q, r.rank, r.id, round(r.distance, 9)) for r in found.collect()} == nearest(vectors, questions, 3)
+    bad = [[float("nan")] * 4, [0.0, 0.0, 0.0, None], [0.0], [0.0] * 5, None, [float("inf"), 0.0, 0.0, 0.0], []]
+    damaged = [(None, [0.0] * 4), *[(1000 + i, v) for i, v in enumerate(bad)]]
+    # a bad row in every batch of the others
+    mixed = spark.createDataFrame([row for i, v in enumerate(vectors) for row in ((i, v.tolist()), damaged[i % len(damaged)])], corpus.schema)
+    for rows in (corpus.repartition(5), mixed.repartition(3), mixed.coalesce(1)):
+        found = R.knn(rows, asked, 3, query_limit=limit, **NAMES)
+        assert found.schema["id"].dataType.simpleString() == "bigint"
+        assert {(r.q, r.rank, r.id, round(r.distance, 9)) for r in found.collect()} == nearest(vectors, questions, 3)
+    counted = R.unusable_vectors(mixed, "v", 4).first()
+    assert (counted.n, counted.unusable) == (240, sum(i % 8 != 0 for i in range(120)))
+
+
+@pytest.mark.parametrize("bad", [[1.0], [float("nan"), 1.0], [None, 1.0], []])
+def test_bad_questions_raise(spark, bad):
+    corpus = spark.createDataFrame([(1, [1.0, 2.0])], "id int, v array<float>")
+    asked = spark.createDataFrame([(1, [1.0, 2.0]), (2, bad)], "q int, u array<double>").coalesce(1)
+    with pytest.raises(ValueError, match="finite numbers"):
+        R.knn(corpus, asked, 3, **NAMES)
 
 
 def test_knn_with_text_ids_and_few_rows(spark):
     corpus = spark.createDataFrame([("b", [1.0]), ("a", [1.0])], "id string, v array<float>")
-    asked = spark.createDataFrame([("q", [0.0])], "q string, u array<float>")
-    names = dict(corpus_id="id", corpus_vector="v", query_id="q", query_vector="u")
-    for limit in (5, 0):
-        found = R.knn(corpus, asked, 3, query_limit=max(limit, 1) if limit else 1, **names)
+    asked = spark.createDataFrame([("q", [0.0]), (None, [0.0]), ("none", None)], "q string, u array<float>")
+    for limit in (5, 1):
+        found = R.knn(corpus, asked, 3, query_limit=limit, **NAMES)
         assert [tuple(r) for r in found.orderBy("rank").collect()] == [("q", 1, "a", 1.0), ("q", 2, "b", 1.0)]
-    assert R.knn(corpus, asked.limit(0), 3, **names).count() == 0
-    assert R.knn(corpus.limit(0), asked, 3, **names).count() == 0
+    assert R.knn(corpus, asked.limit(0), 3, **NAMES).count() == 0
+    assert R.knn(corpus.limit(0), asked, 3, **NAMES).count() == 0
+
+
+def test_only_few_hits_are_broadcast(spark, monkeypatch, plan):
+    corpus = spark.createDataFrame([(1, [1.0])], "id int, v array<float>")
+    asked = spark.createDataFrame([(i, [0.0]) for i in range(4)], "q int, u array<float>")
+    hint = lambda: "broadcast" in R.knn(corpus, asked, 3, **NAMES)._jdf.queryExecution().logical().toString()
+    assert hint()
+    monkeypatch.setattr(R, "BROADCAST_ROWS", 11)
+    assert not hint()
+
+
+def test_hits_without_a_text_stay(spark):
+    hits = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (2, 1, 7)], "q int, rank int, id int")
+    texts = spark.createDataFrame([(6, "six")], "id int, text string")
+    found = R.assemble_context(hits, texts, query_id="q", corpus_id="id", text="text")
+    assert sorted(map(tuple, found.collect())) == [(1, "\n\nsix"), (2, "")]
+
+
+def test_text_without_separators_is_cut_by_arithmetic():
+    text = "漢" * 10_000_000
+    tracemalloc.start()
+    chunks = R.split_text(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(chunks) == 11111 and {len(c) for c in chunks[:-1]} == {1000} and len(chunks[-1]) == 1000
+    assert peak < 4 * len(text)
+    for size, overlap, n in ((5, 2, 23), (5, 4, 9), (2, 0, 7), (1, 0, 4)):
+        assert R.split_text("abcdefghijklmnopqrstuvwxyz"[:n], size, overlap) == brute_split("abcdefghijklmnopqrstuvwxyz"[:n], size, overlap, SEPARATORS)
 
 
 def test_top_k_cuts_before_the_shuffle(spark, plan):

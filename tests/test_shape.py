@@ -3,7 +3,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from dossierkit.operators import shape as S
-from dossierkit.operators.counts import load_counts, observed
+from dossierkit.operators.counts import bad_records, load_counts, observed
 from dossierkit.operators.resolve import last_wins
 
 
@@ -60,3 +60,17 @@ def test_counts(spark, tmp_path):
     watched, seen = observed(df, "rows", bad=F.col("id") > 6)
     watched.write.parquet(str(tmp_path / "out"))
     assert seen.get == {"n": 10, "bad": 3}
+
+
+def test_only_decimal_numbers_are_numeric(spark):
+    texts = {"12d": None, "1.5f": None, "0x1p3": None, " 7.5 ": 7.5, "-2e3": -2000.0, "+.5": 0.5, "5.": 5.0, "1,5": None, "": None, None: None, "e5": None}
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    found = S.to_numeric(df, ["i"]).orderBy("i").collect()
+    assert [r.x for r in found] == list(texts.values())
+    assert S.to_numeric(spark.createDataFrame([(1, 2)], "i int, x int"), ["i"]).first().x == 2.0
+
+
+def test_bad_records(spark):
+    df = spark.range(10)
+    rows = bad_records({"a": (df, F.col("id") > 6), "b": (df, F.expr("if(id = 0, null, false)"))}).collect()
+    assert sorted(map(tuple, rows)) == [("a", 10, 3), ("b", 10, 1)]

@@ -1,65 +1,73 @@
 import random
-import re
 
 import pytest
 
 from dossierkit.functions import shares as S
 
 
-def brute(text):
-    """The rule entry by entry, in plain Python."""
-    if text is None or text.lower() in S.NO_SHARES:
-        return []
-    sums = dict.fromkeys(S.RELIGION_RULES, 0.0)
-    for entry in re.split(r"[;\n,]", re.sub(r"\(.*?\)", "", text).strip()):
-        entry = entry.strip().lower()
-        hit = re.search(r"(\d{1,3}(?:\.\d+)?)\s*%", entry)
-        if not entry or entry.startswith("note:") or not hit or float(hit[1]) == 0:
-            continue
-        name = (entry[: hit.start()].strip() + entry[hit.end() :].strip()).replace("%", "").strip()
-        group = next(
-            (g for g, words in S.RELIGION_RULES.items() if any(re.search(rf"\b{re.escape(w)}\b", name) for w in words)), None
-        )
-        if group:
-            sums[group] += float(hit[1])
-    kept = [(g, round(v, 2)) for g, v in sums.items() if v > 0.01]
-    return sorted(kept, key=lambda x: -x[1])
-
-
-TEXTS = [
-    "Muslim 90%, Christian 10% (a, b 3%)",
-    "muslim 90% sunni",
-    "<1% other, 1-2% jewish; 1000% hindu\nnote: sunni 4%",
-    "Catholic 20%, Protestant 20%, lutheran 0.5 %, none 0%, x 5%",
-    "jehovah's witnesses 3%, christians 4%, Christian 2%, Jehovah's Witness 1%",
-    "None",
-    "N/A",
-    "",
-    None,
-    "Baháʼí 3%, shi'a 4%, romanian orthodox 5%, Roman Catholic and Muslim 6%, Muslim and Catholic 1%",
-    "5% % folk  religion, folk religion 7%",
-]
+# Texts with their shares, greatest first.
+TEXTS = {
+    "Muslim 90%, Christian 10% (a, b 3%)": [("Muslim", 90.0), ("Other Christian", 10.0)],
+    "muslim 90% sunni": [],  # what stands on both sides of a share is one word
+    "<1% other, 1-2% jewish; 1000% hindu\nnote: sunni 4%": [("Jewish", 2.0), ("Other", 1.0)],
+    "Catholic 20%, Protestant 20%, lutheran 0.5 %, none 0%, x 5%": [("Protestant", 20.5), ("Catholic", 20.0)],
+    "jehovah's witnesses 3%, christians 4%, Christian 2%, Jehovah's Witness 1%": [("Other Christian", 3.0)],
+    "None": [],
+    "N/A": [],
+    "": [],
+    None: [],
+    "Roman Catholic and Muslim 6%, Muslim and Catholic 1%, shi'a 4%, romanian orthodox 5%": [
+        ("Catholic", 7.0), ("Orthodox", 5.0), ("Muslim", 4.0),
+    ],
+    "5% % folk  religion, folk religion 7%": [("Folk Religion", 7.0)],
+    "MUSLIM 50.25 %; Hindu 50.25%": [("Muslim", 50.25), ("Hindu", 50.25)],
+    "buddhist 0.01%, hindu 0.02%": [("Hindu", 0.02)],
+}
+
+
+def shares(evaluate, texts):
+    return [[tuple(s) for s in f] for f in evaluate(S.parse_shares("x"), texts)]
 
 
 def test_known_texts(evaluate):
-    found = evaluate(S.parse_shares("x"), TEXTS)
-    assert [[tuple(s) for s in f] for f in found] == [brute(t) for t in TEXTS]
+    assert shares(evaluate, list(TEXTS)) == list(TEXTS.values())
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_against_brute_force(evaluate, seed):
-    rng = random.Random(seed)
-    words = [w for group in S.RELIGION_RULES.values() for w in group] + ["x", "other", "and", "(est.)", "note:", "%"]
+def entries(rng, n):
+    """Entries that have a share each, with the group they belong to."""
+    words = [(group, w) for group, listed in S.RELIGION_RULES.items() for w in listed]
+    out = []
+    for _ in range(n):
+        group, word = rng.choice(words)
+        share = rng.choice([1, 5, 12.5, 40, 99])
+        text = rng.choice([f"{word} {share}%", f"{share}% {word}", f"{word.title()} {share} % (2020 est.)", f"the {word} {share}%"])
+        out.append((group, share, text))
+    return out
 
-    def entry():
-        parts = [rng.choice(words), f"{rng.choice([0, 1, 5, 12.5, 40, 100, 1234])}{rng.choice(['%', ' %', ''])}"]
-        parts += rng.choices(words, k=rng.randint(0, 2))
-        rng.shuffle(parts)
-        return " ".join(parts).title() if rng.random() < 0.5 else " ".join(parts)
 
-    texts = [rng.choice([", ", "; ", "\n", ","]).join(entry() for _ in range(rng.randint(0, 8))) for _ in range(300)]
-    found = evaluate(S.parse_shares("x"), texts)
-    assert [[tuple(s) for s in f] for f in found] == [brute(t) for t in texts]
+@pytest.mark.parametrize("seed", range(3))
+def test_shares_of_a_group_add_up_in_any_order(evaluate, seed):
+    rng = random.Random(seed)
+    cases = [entries(rng, rng.randint(0, 8)) for _ in range(200)]
+    texts, shuffled = [], []
+    for case in cases:
+        parts = [text for _, _, text in case]
+        texts.append(rng.choice([", ", "; ", "\n", ","]).join(parts))
+        shuffled.append(", ".join(rng.sample(parts, len(parts))))
+    found = shares(evaluate, texts)
+    assert [dict(f) for f in shares(evaluate, shuffled)] == [dict(f) for f in found]
+    for case, one in zip(cases, found):
+        total = {}
+        for group, share, _ in case:
+            total[group] = total.get(group, 0) + share
+        assert dict(one) == total
+        assert [p for _, p in one] == sorted((p for _, p in one), reverse=True)
+
+
+@pytest.mark.parametrize("junk", ["nothing here", "note: sunni 4%", "hindu", "hindu 0%", "(hindu 7%)", "", "tribes 5%"])
+def test_entries_without_a_share_or_group_change_nothing(evaluate, junk):
+    known = "Muslim 60%, Hindu 30%"
+    assert shares(evaluate, [f"{known}, {junk}", f"{junk}; {known}"]) == [shares(evaluate, [known])[0]] * 2
 
 
 def test_rounding_is_that_of_binary_numbers(evaluate):

@@ -91,11 +91,6 @@ def test_dates(evaluate):
     }
     assert evaluate(T.posted("x"), list(phrases)) == [p for p, _ in phrases.values()]
     assert evaluate(T.updated("x"), list(phrases)) == [u for _, u in phrases.values()]
-    assert evaluate(T.date_value("x"), ["Jan 22, 2025", "2025-01-22", "Yesterday"]) == [
-        dt.date(2025, 1, 22),
-        dt.date(2025, 1, 22),
-        None,
-    ]
 
 
 def test_date_items_and_last_found(evaluate):
