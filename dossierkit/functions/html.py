@@ -8,6 +8,7 @@ is never text. Entities need their ';'.
 
 from __future__ import annotations
 
+import re
 from html.entities import html5
 from typing import NamedTuple
 
@@ -59,12 +60,16 @@ def unescape(c: str) -> str:
     def piece(part: str, i: str) -> str:
         return f"CASE WHEN {i} = 0 THEN {part} ELSE {let(f'regexp_extract({part}, {ref}, 1)', lambda r: decoded(part, r))} END"
 
-    return f"array_join({transform_at(f"split({c}, '&')", piece)}, '')"
+    decoded_text = f"array_join({transform_at(f"split({c}, '&')", piece)}, '')"
+    return f"CASE WHEN contains({c}, '&') THEN {decoded_text} ELSE {c} END" if re.fullmatch(r"[\w.`]+", c) else decoded_text
 
 
 def bare_text(html: str, sep: str = "") -> str:
     """Text of a fragment with each tag as ``sep``, white space as it is."""
-    return unescape(f"regexp_replace({html}, {quote(TAG)}, {quote(sep)})")
+    plain = f"regexp_replace({html}, {quote(TAG)}, {quote(sep)})"
+    if not re.fullmatch(r"[\w.`]+", html):
+        return unescape(plain)
+    return f"CASE WHEN contains({html}, '&') THEN {unescape(plain)} ELSE {plain} END"
 
 
 def spaced_text(html: str) -> str:
@@ -83,10 +88,11 @@ def stripped_text(html: str) -> str:
 
 
 class Tag(NamedTuple):
-    """Opening tag: its regex, and the element name where that is fixed."""
+    """Opening tag: its regex, the element name where that is fixed, and a text that it holds."""
 
     pattern: str
     name: str | None = None
+    needle: str | None = None
 
 
 def open_tag(tag: str | None = None, cls: str | None = None, exact_cls: str | None = None) -> Tag:
@@ -100,7 +106,17 @@ def open_tag(tag: str | None = None, cls: str | None = None, exact_cls: str | No
         )
     elif exact_cls:
         attrs = rf"""[^>]*?\s(?i:class)\s*=\s*["']{exact_cls}["']"""
-    return Tag(rf"<{element_name}{attrs}[^>]*>", tag)
+    return Tag(rf"<{element_name}{attrs}[^>]*>", tag, cls or exact_cls)
+
+
+def _if_held(html: str, tag: Tag, found: str, kind: str) -> str:
+    """``found`` only where the text holds the tag's needle: looking for that costs far less than a regex.
+
+    For columns and variables; other texts would be worked out twice.
+    """
+    if not tag.needle or not re.fullmatch(r"[\w.`]+", html):
+        return found
+    return f"CASE WHEN contains({html}, {quote(tag.needle)}) THEN {found} ELSE CAST({kind}) END"
 
 
 def attribute(tag_text: str, attr: str) -> str:
@@ -160,12 +176,14 @@ def _element(chunk: str, tag: Tag) -> str:
 
 def elements(html: str, tag: Tag) -> str:
     """All elements whose opening tag matches, in page order, as ``ARRAY<STRUCT<open, inner>>``."""
-    return transform(tail(split_on(html, f"(?={tag.pattern})")), lambda c: _element(c, tag))
+    found = transform(tail(split_on(html, f"(?={tag.pattern})")), lambda c: _element(c, tag))
+    return _if_held(html, tag, found, "array() AS array<struct<open: string, inner: string>>")
 
 
 def element(html: str, tag: Tag) -> str:
     """First element whose opening tag matches, as ``STRUCT<open, inner>``; null when absent."""
-    return let(from_first(html, tag.pattern), lambda c: f"CASE WHEN {c} IS NOT NULL THEN {_element(c, tag)} END")
+    found = let(from_first(html, tag.pattern), lambda c: f"CASE WHEN {c} IS NOT NULL THEN {_element(c, tag)} END")
+    return _if_held(html, tag, found, "NULL AS struct<open: string, inner: string>")
 
 
 def elements_within(html: str, scope: Tag, tag: Tag) -> str:
