@@ -1,4 +1,4 @@
-"""Connected components of a table of links, by alternating large and small stars."""
+"""Connected components of a table of links, by contraction."""
 
 from __future__ import annotations
 
@@ -8,38 +8,43 @@ from pyspark.sql import functions as F
 from dossierkit.llm.shared import checkpointed
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Count and checksum of a set of edges."""
-    total = F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
-    return tuple(edges.agg(F.count("*"), total).first())
-
-
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
     """``node, component`` for every node of a link; the component is its smallest node.
 
     Nodes are integers. Links may repeat, run in both directions or join a node with itself; a
-    node that has only itself is its own component. Links with a null end are left out. A large
-    star hangs a node's larger neighbours on its smallest one, a small star its smaller ones, so
-    the number of links never grows and the rounds are logarithmic. A hub's links are split by
-    adaptive skew joins; its smallest neighbour comes from a partial aggregate.
+    node that has only itself is its own component. Links with a null end are left out.
+
+    In every round each node moves to that one of itself and its neighbours that has the smallest
+    hash, and links inside one place go. A round leaves a part of the links at most, on average,
+    so the rounds are logarithmic, and chains take no more of them than stars. A hub's links are
+    split by adaptive skew joins; its best neighbour comes from a partial aggregate.
     """
     a, b = F.col(f"`{left}`").cast("bigint"), F.col(f"`{right}`").cast("bigint")
     ends = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(a.isNotNull() & b.isNotNull())
     alone = ends.filter("u = v").select(F.col("u").alias("node"))
     edges = checkpointed(ends.filter("u <> v").distinct())
-    state = _state(edges)
-    while state[0]:
+    place = None
+    turn = 0
+    while not edges.isEmpty():
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        smallest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(smallest, "u").filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        hung = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = checkpointed(least.select("u", F.col("m").alias("v")).union(hung).distinct())
-        before, state = state, _state(edges)
-        if state == before:
-            break
-    tops = edges.select(F.col("v").alias("node")).distinct()
-    own = tops.union(alone).distinct().select("node", F.col("node").alias("component"))
-    found = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(own)
-    return found.groupBy("node").agg(F.min("component").alias("component"))
+
+        def rank(node: str):
+            return F.struct(F.xxhash64(F.lit(turn), node).alias("rank"), F.col(node).alias("to"))
+
+        moved = both.groupBy("u").agg(F.min(rank("v")).alias("best")).select("u", F.least("best", rank("u"))["to"].alias("to"))
+        moved = checkpointed(moved)
+        first = edges.join(moved, "u").select("v", F.col("to").alias("_u"))
+        second = first.join(moved, first["v"] == moved["u"]).select("_u", F.col("to").alias("_v")).filter("_u <> _v")
+        edges = checkpointed(second.select(F.greatest("_u", "_v").alias("u"), F.least("_u", "_v").alias("v")).distinct())
+        if place is None:
+            place = moved.select(F.col("u").alias("node"), "to")
+        else:
+            further = moved.select(F.col("u").alias("to"), F.col("to").alias("_to"))
+            place = checkpointed(place.join(further, "to", "left").select("node", F.coalesce("_to", "to").alias("to")))
+        turn += 1
+    own = alone.distinct().select("node", F.col("node").alias("component"))
+    if place is None:
+        return own
+    smallest = place.groupBy("to").agg(F.min("node").alias("component"))
+    found = place.join(smallest, "to").select("node", "component")
+    return found.union(own).groupBy("node").agg(F.min("component").alias("component"))

@@ -8,8 +8,8 @@ similarity, with the concentration of ``SIZE`` independent ones, at the cost of
 shingle for large sets.
 
 Equal sets are one class. Classes that share a band meet in a bucket. Inside a bucket only what can
-still change the components is verified: every class against the smallest one, and then, as long
-as a bucket holds more than one component, more leaders against the members of other components.
+still change the components is verified: every class against the smallest one, and then, where a
+bucket holds more than one component, the members outside of the largest one against all others.
 """
 
 from __future__ import annotations
@@ -34,9 +34,9 @@ SIZE = 128
 BAND = 4
 SHINGLE = 5
 SIMILARITY = 80
-# Pairs of one leader that a task verifies, and leaders of a bucket in a later round.
+# Pairs of one leader that a task verifies, and members of a block when components of a bucket are compared.
 LEADER_PAIRS = 512
-LEADERS = 64
+BLOCK = 256
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 ROUND = np.uint64(0x9E3779B97F4A7C15)
@@ -187,55 +187,133 @@ def near_duplicates(df: DataFrame, key: str, text: str, shingle: int = SHINGLE,
     sketched = checkpointed(docs.mapInArrow(_sketching(shingle), schema))
     known = sketched.filter("_key IS NOT NULL AND n_shingles > 0")
     classes = known.groupBy("_a", "_b").agg(F.min("_key").alias("_rep"), F.first("_bands").alias("_bands"))
-    buckets = classes.select(F.col("_rep").alias("_key"), F.explode("_bands").alias("_bucket"))
+    classes = checkpointed(classes)
+    buckets = classes.select(F.col("_rep").alias("_key"), F.posexplode("_bands").alias("_band", "_bucket"))
     shared = buckets.groupBy("_bucket").agg(F.min("_key").alias("_lead"), F.max("_key").alias("_last")).filter("_lead < _last")
     members = checkpointed(buckets.join(shared.select("_bucket", "_lead"), "_bucket"))
-    stands = known.join(classes.select("_a", "_b", "_rep"), ["_a", "_b"]).filter("_rep <> _key")
-    copies = stands.select(F.col("_rep").alias("left"), F.col("_key").alias("right"))
+    copies = known.select("_key", "_a", "_b").join(classes.select("_a", "_b", "_rep"), ["_a", "_b"])
+    copies = checkpointed(copies.select("_key", "_rep").filter("_key <> _rep"))
+    # A key that repeats may stand for several classes.
+    twice = copies.groupBy("_key").agg(F.count_distinct("_rep").alias("n")).filter("n > 1").join(copies, "_key")
     pairs = members.filter("_key <> _lead").select("_lead", "_key").distinct()
-    links = checkpointed(_linked(pairs, docs, shingle, percent))
-    links = _rest(links, members, pairs, docs, shingle, percent)
-    found = components(links.union(copies), "left", "right")
-    rows = sketched.join(found, sketched["_key"] == found["node"], "left")
-    component = F.when(F.col("_key").isNotNull(), F.coalesce("component", "_key"))
+    links = checkpointed(_linked(pairs, docs, shingle, percent).union(twice.select("_key", "_rep")))
+    found = checkpointed(components(links, "left", "right"))
+    more = _across(found, members, classes, docs, shingle, percent)
+    if more is not None:
+        found = checkpointed(components(found.select("node", "component").union(more), "node", "component"))
+    by_copy = copies.groupBy("_key").agg(F.min("_rep").alias("_rep"))
+    rows = sketched.select("_key", "n_shingles").join(by_copy, "_key", "left").withColumn("_node", F.coalesce("_rep", "_key"))
+    rows = rows.join(found, rows["_node"] == found["node"], "left")
+    component = F.when(F.col("_key").isNotNull(), F.coalesce("component", "_node"))
     return rows.select(
         F.col("_key").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("_key"), F.lit(True)).alias("kept")
     )
 
 
-def _rest(links: DataFrame, members: DataFrame, tested: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """All links that joining the components inside buckets needs.
+def _across(found: DataFrame, members: DataFrame, classes: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame | None:
+    """Links between the components found so far, ``left`` and ``right``: all that buckets still hold.
 
-    Each round takes up to ``LEADERS`` members of every bucket that still holds several components,
-    outside of its largest one, and verifies them against its members of other components, until
-    every pair of members is verified or in one component.
+    Of two members of a bucket in different components, one at least is outside of the bucket's
+    largest component. So these few meet all members: both are dealt over blocks, a cell holds a
+    block of each, and a task compares a cell's sets by array operations. Rows grow with members
+    times blocks of the few; pairs are never sent. A pair that shares several buckets is compared
+    in the first of them.
     """
-    led = None
-    tested = tested.select(F.least("_lead", "_key").alias("_low"), F.greatest("_lead", "_key").alias("_high"))
-    rest, texts = members.select("_bucket", "_key"), None
-    while True:
-        found = components(links, "left", "right")
-        labelled = rest.join(found, rest["_key"] == found["node"], "left")
-        labelled = labelled.select("_bucket", "_key", F.coalesce("component", "_key").alias("_label"))
-        split = labelled.groupBy("_bucket").agg(F.min("_label").alias("_a"), F.max("_label").alias("_b")).filter("_a < _b")
-        labelled = checkpointed(labelled.join(split.select("_bucket"), "_bucket"))
-        rest = labelled.select("_bucket", "_key")
-        # Two members of different components: one of them is outside the bucket's largest component.
-        sizes = labelled.groupBy("_bucket", "_label").agg(F.count("*").alias("_n"))
-        largest = sizes.groupBy("_bucket").agg(F.max_by("_label", F.struct("_n", "_label")).alias("_top"))
-        free = labelled.join(largest, "_bucket").filter("_label <> _top").select("_bucket", "_key")
-        free = free if led is None else free.join(led, ["_bucket", "_key"], "left_anti")
-        salt = F.expr(f"pmod(xxhash64(_key, 7), {LEADERS})").alias("_s")
-        leaders = checkpointed(free.groupBy("_bucket", salt).agg(F.min("_key").alias("_key")).select("_bucket", "_key"))
-        if leaders.isEmpty():
-            return links
-        led = leaders if led is None else led.union(leaders)
-        ahead = leaders.join(labelled, ["_bucket", "_key"]).select("_bucket", F.col("_key").alias("_lead"), F.col("_label").alias("_own"))
-        pairs = ahead.join(labelled, "_bucket").filter("_own <> _label")
-        pairs = pairs.select(F.least("_lead", "_key").alias("_low"), F.greatest("_lead", "_key").alias("_high")).distinct()
-        pairs = checkpointed(pairs.join(tested, ["_low", "_high"], "left_anti"))
-        if texts is None:  # later rounds need a part of these texts only
-            texts = checkpointed(docs.join(rest.select("_key").distinct(), "_key", "left_semi"))
-        more = _linked(pairs.select(F.col("_low").alias("_lead"), F.col("_high").alias("_key")), texts, length, percent)
-        links = checkpointed(links.union(more))
-        tested = tested.union(pairs)
+    held = members.join(found, members["_key"] == found["node"], "left")
+    held = held.select("_bucket", "_band", "_key", F.coalesce("component", "_key").alias("_label"))
+    # Per bucket and component, then per bucket: partial aggregates of few numbers.
+    sizes = held.groupBy("_bucket", "_label").agg(F.count("*").alias("_n"))
+    tops = sizes.groupBy("_bucket").agg(F.sum("_n").alias("_m"), F.max(F.struct("_n", "_label")).alias("_top"), F.count("*").alias("_labels"))
+    tops = tops.filter("_labels > 1").select(
+        "_bucket",
+        F.col("_top._label").alias("_top"),
+        F.expr(f"int(1 + (_m - _top._n - 1) div {BLOCK})").alias("_few"),
+        F.expr(f"int(1 + (_m - 1) div {BLOCK})").alias("_many"),
+    )
+    marked = checkpointed(held.join(tops, "_bucket"))
+    if marked.isEmpty():
+        return None
+
+    def block(salt: int, blocks: str):
+        return F.expr(f"int(pmod(xxhash64({salt}, _key), {blocks}))")
+
+    def each(blocks: str):
+        return F.expr(f"explode(sequence(0, {blocks} - 1))")
+
+    few = marked.filter("_label <> _top").withColumn("_i", block(1, "_few")).withColumn("_j", each("_many")).withColumn("_role", F.lit(0))
+    many = marked.withColumn("_i", each("_few")).withColumn("_j", block(2, "_many")).withColumn("_role", F.lit(1))
+    columns = ["_bucket", "_band", "_i", "_j", "_role", "_key", "_label", F.expr("_label <> _top").alias("_outside")]
+    wanted = few.select(*columns).union(many.select(*columns))
+    own = classes.select(F.col("_rep").alias("_key"), "_bands").join(marked.select("_key").distinct(), "_key")
+    own = own.groupBy("_key").agg(F.collect_list("_bands").alias("_bands"))
+    texts = checkpointed(docs.join(own, "_key"))
+    full = wanted.join(texts, "_key").repartition(F.col("_bucket"), F.col("_i"), F.col("_j"))
+    full = full.sortWithinPartitions("_bucket", "_i", "_j", "_role")
+    links = full.mapInArrow(_crossing(length, percent), "left bigint, right bigint")
+    return checkpointed(links.distinct())
+
+
+def _crossing(length: int, percent: int):
+    """(left, right): components that a cell links; rows come by cell, those of the few first."""
+
+    def cell(rows: pa.Table) -> set[tuple[int, int]]:
+        role, key, label = (rows.column(c).to_numpy() for c in ("_role", "_key", "_label"))
+        n_few = int((role == 0).sum())
+        if not 0 < n_few < len(role):
+            return set()
+        outside = rows.column("_outside").to_numpy()
+        band = rows.column("_band")[0].as_py()
+        bands = rows.column("_bands").to_pylist()
+        sets: list[np.ndarray] = []
+        for _, _, data, offsets in text_groups(rows.column("_text").combine_chunks()):
+            found = Shingles(Words(data, offsets, lower=True), length)
+            sets += [found.values[a:b] for a, b in zip(found.first, found.first[1:])]
+        size = np.array([len(s) for s in sets])
+        # A key that repeats has the buckets of all its texts; then the first one is not looked for.
+        plain = np.array([len(b) == 1 for b in bands])
+        before = np.array([b[0][:band] for b in bands], np.int64).reshape(len(bands), band)
+        many = np.arange(n_few, len(role))
+        many = many[size[many] > 0]
+        if not len(many):
+            return set()
+        every, codes = np.unique(np.concatenate([sets[m] for m in many]), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(size[many])[:-1]])
+        out: set[tuple[int, int]] = set()
+        for i in range(n_few):
+            need = (label[many] != label[i]) & (~outside[many] | (key[many] > key[i]))
+            need &= 100 * np.minimum(size[many], size[i]) >= percent * np.maximum(size[many], size[i])
+            if plain[i]:
+                need &= ~(plain[many] & (before[many] == before[i]).any(axis=1))
+            if not need.any():
+                continue
+            at = np.minimum(np.searchsorted(every, sets[i]), len(every) - 1)
+            mine = np.zeros(len(every), np.int64)
+            mine[at[every[at] == sets[i]]] = 1
+            common = np.add.reduceat(mine[codes], starts)
+            linked = need & (100 * common >= percent * (size[many] + size[i] - common))
+            out.update((int(label[i]), int(x)) for x in np.unique(label[many][linked]))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        now = None
+
+        def judged() -> pa.RecordBatch:
+            links = sorted(cell(pa.Table.from_batches(waiting)))
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["left", "right"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("_bucket", "_i", "_j")])
+            cuts = [0, *(np.flatnonzero((np.diff(names, axis=1) != 0).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if now != tuple(names[:, a]) and waiting:
+                    yield judged()
+                    waiting = []
+                now = tuple(names[:, a])
+                waiting.append(batch.slice(a, b - a))
+        if waiting:
+            yield judged()
+
+    return run

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Sequence
 
 from pyspark import cloudpickle
@@ -25,11 +26,16 @@ def shared_folder(spark: SparkSession, name: str = "") -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Rows written to the shared folder, with their lineage cut."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Rows written as Parquet to the shared folder and read again, with their lineage cut.
+
+    A table and not ``checkpoint()``: that keeps what the planner knows of a plan, which grows with
+    every round of a loop until planning takes longer than the work. Tables of an application are
+    below ``tables-<application id>`` and can go when it has ended.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, f"tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def quoted(text: str) -> str:

@@ -98,7 +98,7 @@ def test_edges(spark, length):
 def test_chains_and_stars_in_one_bucket(spark, monkeypatch):
     """Neighbours are alike, the ends of a chain are not; leaders have more pairs than one part holds."""
     monkeypatch.setattr(minhash, "LEADER_PAIRS", 3)
-    monkeypatch.setattr(minhash, "LEADERS", 2)
+    monkeypatch.setattr(minhash, "BLOCK", 4)
     base = [f"t{i}" for i in range(30)]
     chain = [(k, " ".join(base[k:] + [f"u{i}" for i in range(k)])) for k in range(0, 31)]
     star = [(100 + k, " ".join(base[::-1][:29] + [f"s{k}"])) for k in range(25)]
