@@ -32,7 +32,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, with up to 15 % of its words changed, go."""
+    """Documents that hold a benchmark item, with up to 20 % of its words changed, go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination.without_items(docs, "text", items, "item_id", "text")
 

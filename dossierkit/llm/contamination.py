@@ -24,7 +24,7 @@ from dossierkit.llm.wordhash import WORD_BASE, Words, is_no_letter, finished, ra
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-RATE = 0.15
+RATE = 0.2
 # Words of a piece that are looked up; shorter pieces are looked up whole.
 LOOKED_UP = 4
 # Bytes of item texts that go to the tasks at a time.
