@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossierkit.llm import contamination, minhash, mixing, sharding, toxicity
-from dossierkit.llm.queries import DOMAINS, SHARDS, TOXIC, domain_labels, training_labels
+from dossierkit.llm.queries import SHARDS, TOXIC, domain_labels, training_labels
 from dossierkit.llm.shared import shared_folder
 
-# Target shares of the tokens of each domain.
-TARGETS = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
+# Target shares of the tokens of each domain that the first stage leaves.
+TARGETS = {"good": 0.9, "poor": 0.1}
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +40,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its rate says, so that the domains reach ``TARGETS``."""
     labels = domain_labels(spark, sf_dir)
-    model = mixing.fit_classifier(docs, "doc_id", "text", labels, "domain", DOMAINS)
-    mixed = mixing.mixed(docs, "doc_id", "text", model, [TARGETS[d] for d in DOMAINS])
+    model = mixing.fit_classifier(docs, "doc_id", "text", labels, "domain", list(TARGETS))
+    mixed = mixing.mixed(docs, "doc_id", "text", model, list(TARGETS.values()))
     columns = [f"`{c}`" for c in docs.columns]
     return mixed.filter("copies > 0").withColumn("_copy", F.expr("explode(sequence(1L, copies))")).select(*columns)
 

@@ -3,10 +3,11 @@
 A classifier of the labelled rows gives every document a posterior over the domains. Every
 document then gets a nonnegative rate, so that the expected domain token totals, the sum over
 documents of rate * tokens * posterior, are as near to the targets as rates can bring them: a
-least-squares problem with one unknown per document, solved by projected gradient steps from rates
-of 1. A step needs the totals of the corpus only, a row of a few sums; it is preconditioned by the
-matrix of posterior products of the documents whose rate is not 0, so that few steps do. A rate is
-the same function of a document's posterior everywhere: the steps travel as numbers in the plan.
+least-squares problem with one unknown per document, solved by (lazily) projected gradient steps
+from rates of 1. A document's gradient is its posterior times a number per domain, so a rate is
+``max(0, 1 + posterior * lean)``, and a step needs the totals of the corpus only, a row of a few
+sums. It is preconditioned by the matrix of posterior products of the documents whose rate is not
+0, so that few steps do.
 
 Everything is DataFrame expressions. The classifier is naive Bayes over binned measures of style
 and over words that mark a domain, fitted on a bounded sample of labelled rows.
@@ -23,13 +24,15 @@ from pyspark.sql import functions as F
 
 from dossierkit.llm.shared import checkpointed, quoted, sampled, string_array, without
 
-# Bounds of the fit: labelled rows, bins of a measure, marking words of a domain.
+# Bounds of the fit: labelled rows, bins of a measure, marking words of a domain, steps, and the part of the
+# loss that a step must take away.
 SAMPLE = 8192
 BINS = 10
 WORDS = 24
 LEAST_ROWS = 8
-STEPS = 40
+STEPS = 30
 TOLERANCE = 1e-7
+LEAST_GAIN = 0.01
 
 # Measures of style, from the words ``_w`` of a text ``_t``; a text without words has 0 in all.
 MEASURES = {
@@ -133,69 +136,72 @@ def fit_classifier(df: DataFrame, key: str, text: str, labels: DataFrame, domain
 
 
 class Rates:
-    """Steps of the fit, and the totals they end with."""
+    """What the fit ends with: a number per domain, and the totals that it gives."""
 
-    def __init__(self, steps: list[list[float]], totals: list[float], targets: list[float]):
-        self.steps, self.totals, self.targets = steps, totals, targets
+    def __init__(self, lean: list[float], totals: list[float], targets: list[float], steps: int):
+        self.lean, self.totals, self.targets, self.steps = lean, totals, targets, steps
 
     def rate(self) -> Column:
         """A document's rate from its ``posterior``."""
-        return F.expr(_rate(self.steps))
+        return F.expr(_rate(self.lean))
 
 
-def _rate(steps: Sequence[Sequence[float]]) -> str:
-    rate = "1D"
-    for step in steps:
-        moved = " + ".join(f"posterior[{k}] * {float(x)!r}D" for k, x in enumerate(step))
-        rate = f"greatest(0D, {rate} + {moved})"
-    return rate
+def _rate(lean: Sequence[float]) -> str:
+    moved = " + ".join(f"posterior[{k}] * {float(x)!r}D" for k, x in enumerate(lean))
+    return f"greatest(0D, 1D + {moved})"
 
 
 def fit_rates(df: DataFrame, shares: Sequence[float], budget: float | None = None) -> Rates:
-    """Rates for rows with ``n_tokens`` and ``posterior``; ``df`` is read once per step.
+    """Rates for rows with ``n_tokens`` and ``posterior``; ``df`` is read once or twice per step.
 
     ``shares`` are the targets' parts of ``budget`` tokens, in the order of the posterior; without a
-    budget it is the number of tokens there are. A domain that no document belongs to stays short
-    of its target. Without tokens all rates stay 1.
+    budget it is the number of tokens there are. Gradients are added up and projected to
+    nonnegative rates together, so the plan does not grow with the steps. A domain that no document
+    belongs to stays short of its target, and a share of 0 is approached only, as far as ``STEPS``
+    steps go: documents belong to all domains a little. Without tokens all rates stay 1.
     """
     if min(shares) < 0 or sum(shares) <= 0:
         raise ValueError("shares must not be negative, nor all 0")
     k = len(shares)
 
-    def sums(steps):
-        rate = f"({_rate(steps)})"
-        mass = [F.expr(f"coalesce(sum(n_tokens * {rate} * posterior[{i}]), 0D)").alias(f"s{i}") for i in range(k)]
-        active = f"if({rate} > 0, n_tokens, 0)"
+    def sums(lean):
+        rows = df.select("n_tokens", "posterior", F.expr(_rate(lean)).alias("_r"))
+        mass = [F.expr(f"coalesce(sum(n_tokens * _r * posterior[{i}]), 0D)").alias(f"s{i}") for i in range(k)]
+        active = "if(_r > 0, n_tokens, 0)"
         gram = [F.expr(f"coalesce(sum({active} * posterior[{i}] * posterior[{j}]), 0D)").alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
-        row = df.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n"), *mass, *gram).first()
+        row = rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n"), *mass, *gram).first()
         g = np.zeros((k, k))
         for i in range(k):
             for j in range(i, k):
                 g[i, j] = g[j, i] = row[f"g{i}_{j}"]
         return float(row["n"]), np.array([row[f"s{i}"] for i in range(k)]), g
 
-    steps: list[list[float]] = []
-    tokens, now, gram = sums(steps)
+    lean, steps = np.zeros(k), 0
+    tokens, now, gram = sums(lean)
     total = tokens if budget is None else float(budget)
     targets = np.array(shares, float) / sum(shares) * total
     scale = max(total, 1.0)
-    for _ in range(STEPS):
-        gap = targets - now
-        if not tokens or np.abs(gap).max() <= TOLERANCE * scale:
-            break
-        step = np.linalg.pinv(gram / scale, rcond=1e-9, hermitian=True) @ (gap / scale)
-        size, better = 1.0, None
-        while size > 1e-3:
-            tried = [*steps, (size * step).tolist()]
-            _, then, there = sums(tried)
-            if np.linalg.norm(targets - then) < np.linalg.norm(gap) * (1 - 1e-6):
-                better = tried, then, there
+    base = np.maximum(now, 1e-9 * scale)
+    held = now > 1e-9 * scale  # other domains have no documents to turn to
+
+    def loss(totals):
+        return float((((targets - totals) / scale) ** 2 / (base / scale))[held].sum())
+
+    while tokens and steps < STEPS and np.abs(targets - now)[held].max(initial=0) > TOLERANCE * scale:
+        gap = np.where(held, targets - now, 0)
+        newton = np.linalg.pinv(gram / scale, rcond=1e-9, hermitian=True) @ (gap / scale)
+        better = None
+        # The plain gradient, by the domains' own totals, where the preconditioned one leads astray.
+        for step in (newton, newton / 4, gap / base):
+            _, then, there = sums(lean + step)
+            if loss(then) < loss(now) * (1 - LEAST_GAIN):
+                better = lean + step, then, there
                 break
-            size /= 4
-        if not better:
+        if better is None:
             break
-        steps, now, gram = better
-    return Rates(steps, now.tolist(), targets.tolist())
+        lean, now, gram = better
+        steps += 1
+    return Rates(lean.tolist(), now.tolist(), targets.tolist(), steps)
 
 
 def with_copies(df: DataFrame, key: str, rate: Column) -> DataFrame:
