@@ -43,7 +43,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = mixing.fit_classifier(docs, "doc_id", "text", labels, "domain", list(TARGETS))
     mixed = mixing.mixed(docs, "doc_id", "text", model, list(TARGETS.values()))
     columns = [f"`{c}`" for c in docs.columns]
-    return mixed.filter("copies > 0").withColumn("_copy", F.expr("explode(sequence(1L, copies))")).select(*columns)
+    # A filter on the copies would be pushed down and work out everything twice and more.
+    each = mixed.withColumn("_copy", F.explode_outer(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return each.filter("_copy IS NOT NULL").select(*columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
