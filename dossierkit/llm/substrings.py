@@ -23,6 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dossierkit.llm.bloom import may_hold
 from dossierkit.llm.shared import checkpointed
 from dossierkit.llm.wordhash import WINDOW_BASE, WORD_BASE, Words, finished, ranges_sum, sliding_min, text_groups
 
@@ -289,11 +290,11 @@ def remove_repeats(df: DataFrame, key: str, text: str, window: int = WINDOW, fir
     docs = df.select(F.col(f"`{key}`").cast("bigint").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
     known = docs.filter("_key IS NOT NULL")
     lengths: list[int] = []
-    candidates = None
+    candidates = may = None
     length = first_length
     while True:
         lengths.append(length)
-        source = known if candidates is None else known.join(candidates.select("_key", "_keys"), "_key")
+        source = known if candidates is None else known.filter(may("_key")).join(candidates.select("_key", "_keys"), "_key")
         # One row per short window and document; the same text pass is made for both uses.
         short = source.mapInArrow(_short_windows(window, lengths), "_short bigint, _key bigint")
         held = short.groupBy("_short").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high"), F.count("*").alias("_docs"))
@@ -302,10 +303,12 @@ def remove_repeats(df: DataFrame, key: str, text: str, window: int = WINDOW, fir
             F.collect_list("_short").alias("_keys"), F.collect_list(F.when(F.col("_hot"), F.col("_short"))).alias("_hot")
         )
         candidates = checkpointed(by_doc)
+        may = may_hold(candidates, "_key")
         length *= 2
         if length >= window or candidates.isEmpty():
             break
-    marked = known.join(candidates, "_key")
+    # Texts without a candidate are not shuffled.
+    marked = known.filter(may("_key")).join(candidates, "_key")
     kinds = "_short bigint, _digest bigint, _part int, _place int, _key bigint, _long array<bigint>"
     rows = marked.mapInArrow(_candidate_rows(window, lengths, True), kinds)
     # Equal contexts become one row before anything is compared; the smallest key stands for them.
@@ -324,6 +327,9 @@ def remove_repeats(df: DataFrame, key: str, text: str, window: int = WINDOW, fir
     )
     hits = hits.filter("_high >= 0")
     found = hits.groupBy("_key").agg(F.collect_list(F.struct("_short", "_digest", "_low", "_high")).alias("_found"))
-    judged_docs = docs.join(found, "_key", "left").select(F.col("_key").alias(key), "_text", "_found")
+    few = docs.filter(F.col("_key").isNotNull() & may("_key")).join(found, "_key", "left")
+    rest = docs.filter(F.col("_key").isNull() | ~may("_key")).withColumn("_found", F.lit(None).cast(found.schema["_found"].dataType))
+    columns = [F.col("_key").alias(key), "_text", "_found"]
     schema = f"`{key}` bigint, n_words bigint, n_removed bigint, kept_text string, removed array<struct<start: bigint, end: bigint>>"
-    return judged_docs.mapInArrow(_cleaning(window, lengths), schema)
+    clean = _cleaning(window, lengths)
+    return few.select(*columns).mapInArrow(clean, schema).union(rest.select(*columns).mapInArrow(clean, schema))
