@@ -21,24 +21,34 @@ BITS = 1 << 24
 HASHES = 3
 
 
-def _places(key: str) -> list[Column]:
-    return [F.pmod(F.xxhash64(F.lit(i), F.col(key)), F.lit(BITS)) for i in range(HASHES)]
-
-
-def may_hold(df: DataFrame, key: str):
-    """A function of a key column's name: whether that key may be among those of ``df``."""
-    places = df.select(F.explode(F.array(*_places(key))).alias("p"))
-    words = places.groupBy(F.expr("p div 64").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(p % 64))")).alias("bits"))
-    found = words.toArrow()  # BITS / 64 rows at most
-    bits = np.zeros(BITS // 64, np.int64)
-    bits[found.column("at").to_numpy()] = found.column("bits").to_numpy()
-
-    @F.arrow_udf("boolean")
-    def held(*columns: pa.Array) -> pa.Array:
-        yes = True
+class Bloom:
+    """The keys of a table, for rows of others to ask after."""
+
+    def __init__(self, df: DataFrame, key: str):
+        places = df.select(F.explode(F.array(*self.places(key))).alias("p"))
+        words = places.groupBy(F.expr("p div 64").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(p % 64))")).alias("bits"))
+        found = words.toArrow()  # BITS / 64 rows at most
+        self.bits = np.zeros(BITS // 64, np.int64)
+        self.bits[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+
+    @staticmethod
+    def places(key: str) -> list[Column]:
+        """Where the bits of a key are."""
+        return [F.pmod(F.xxhash64(F.lit(i), F.col(key)), F.lit(BITS)).alias(f"_place{i}") for i in range(HASHES)]
+
+    def holds(self, columns: list[pa.Array]) -> np.ndarray:
+        """Whether the keys with these places may be among those of the table."""
+        yes = np.ones(len(columns[0]), dtype=bool)
         for c in columns:
             p = c.to_numpy(zero_copy_only=False)
-            yes = ((bits[p >> 6] >> (p & 63)) & 1 == 1) & yes
-        return pa.array(yes)
+            yes &= (self.bits[p >> 6] >> (p & 63)) & 1 == 1
+        return yes
+
+    def may_hold(self, key: str) -> Column:
+        """The same for a key column, by name."""
+
+        @F.arrow_udf("boolean")
+        def held(*columns: pa.Array) -> pa.Array:
+            return pa.array(self.holds(list(columns)))
 
-    return lambda name: held(*_places(name))
+        return held(*self.places(key))

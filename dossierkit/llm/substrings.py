@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossierkit.llm.bloom import may_hold
+from dossierkit.llm.bloom import HASHES, Bloom
 from dossierkit.llm.shared import checkpointed
 from dossierkit.llm.wordhash import WINDOW_BASE, WORD_BASE, Words, finished, ranges_sum, sliding_min, text_groups
 
@@ -255,6 +255,25 @@ def _cleaning(window: int, lengths: list[int]):
     return run
 
 
+def _spacing(bloom: Bloom):
+    """Rows of ``_cleaning`` for texts that lose nothing: those whose key the filter does not hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        for batch in batches:
+            key, places = batch.column(0), [batch.column(f"_place{i}") for i in range(HASHES)]
+            own = np.flatnonzero(~bloom.holds(places) | key.is_null().to_numpy(zero_copy_only=False))
+            for at in range(0, len(own), ROW_WINDOWS):
+                rows = pa.array(own[at : at + ROW_WINDOWS])
+                words = [t.encode().split() for t in batch.column("_text").take(rows).to_pylist()]
+                n = len(words)
+                kept = pa.array([b" ".join(w).decode() for w in words], pa.string())
+                columns = [key.take(rows), pa.array([len(w) for w in words], pa.int64()), pa.array([0] * n, pa.int64()), kept, pa.array([[]] * n, span)]
+                yield pa.RecordBatch.from_arrays(columns, [batch.schema.names[0], "n_words", "n_removed", "kept_text", "removed"])
+
+    return run
+
+
 def _covered(w: Windows, doc: int, found: list[dict], window: int) -> list[dict]:
     """Joined spans of words, from 0, that repeated windows of one text cover."""
     verdict = {(f["_short"], f["_digest"]): (f["_low"], f["_high"]) for f in found}
@@ -290,11 +309,11 @@ def remove_repeats(df: DataFrame, key: str, text: str, window: int = WINDOW, fir
     docs = df.select(F.col(f"`{key}`").cast("bigint").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
     known = docs.filter("_key IS NOT NULL")
     lengths: list[int] = []
-    candidates = may = None
+    candidates = bloom = None
     length = first_length
     while True:
         lengths.append(length)
-        source = known if candidates is None else known.filter(may("_key")).join(candidates.select("_key", "_keys"), "_key")
+        source = known if candidates is None else known.filter(bloom.may_hold("_key")).join(candidates.select("_key", "_keys"), "_key")
         # One row per short window and document; the same text pass is made for both uses.
         short = source.mapInArrow(_short_windows(window, lengths), "_short bigint, _key bigint")
         held = short.groupBy("_short").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high"), F.count("*").alias("_docs"))
@@ -303,12 +322,12 @@ def remove_repeats(df: DataFrame, key: str, text: str, window: int = WINDOW, fir
             F.collect_list("_short").alias("_keys"), F.collect_list(F.when(F.col("_hot"), F.col("_short"))).alias("_hot")
         )
         candidates = checkpointed(by_doc)
-        may = may_hold(candidates, "_key")
+        bloom = Bloom(candidates, "_key")
         length *= 2
         if length >= window or candidates.isEmpty():
             break
     # Texts without a candidate are not shuffled.
-    marked = known.filter(may("_key")).join(candidates, "_key")
+    marked = known.filter(bloom.may_hold("_key")).join(candidates, "_key")
     kinds = "_short bigint, _digest bigint, _part int, _place int, _key bigint, _long array<bigint>"
     rows = marked.mapInArrow(_candidate_rows(window, lengths, True), kinds)
     # Equal contexts become one row before anything is compared; the smallest key stands for them.
@@ -327,9 +346,9 @@ def remove_repeats(df: DataFrame, key: str, text: str, window: int = WINDOW, fir
     )
     hits = hits.filter("_high >= 0")
     found = hits.groupBy("_key").agg(F.collect_list(F.struct("_short", "_digest", "_low", "_high")).alias("_found"))
-    few = docs.filter(F.col("_key").isNotNull() & may("_key")).join(found, "_key", "left")
-    rest = docs.filter(F.col("_key").isNull() | ~may("_key")).withColumn("_found", F.lit(None).cast(found.schema["_found"].dataType))
-    columns = [F.col("_key").alias(key), "_text", "_found"]
     schema = f"`{key}` bigint, n_words bigint, n_removed bigint, kept_text string, removed array<struct<start: bigint, end: bigint>>"
-    clean = _cleaning(window, lengths)
-    return few.select(*columns).mapInArrow(clean, schema).union(rest.select(*columns).mapInArrow(clean, schema))
+    few = docs.filter(F.col("_key").isNotNull() & bloom.may_hold("_key")).join(found, "_key", "left")
+    few = few.select(F.col("_key").alias(key), "_text", "_found").mapInArrow(_cleaning(window, lengths), schema)
+    # The others need no second Python worker for the filter: the task leaves out what the first part has.
+    rest = docs.select(F.col("_key").alias(key), *Bloom.places("_key"), "_text")
+    return few.union(rest.mapInArrow(_spacing(bloom), schema))
