@@ -6,6 +6,11 @@ words. Words are ordered from rare to frequent over all blocks. A block that rea
 threshold must hold one of a template's first ``size - needed + 1`` words in that order (prefix
 filter), must have ``needed`` words at all (length filter), and what follows the first common
 word on either side must suffice (positional filter). What passes is counted in full.
+
+Notices that are wrapped over lines are found by the same join and filters with whole texts as
+blocks. What passes is counted window by window: a notice is a run of words, at most ``SPREAD``
+times as long as the template and wherever its lines end, that reaches the threshold and holds the
+words of the label that the template has, which tell it from its neighbours.
 """
 
 from __future__ import annotations
@@ -53,6 +58,8 @@ TEMPLATES = {
 }
 THRESHOLD = 0.8
 MOST_TEMPLATE_WORDS = 10_000
+# Words of a window over words of its template.
+SPREAD = 2
 
 # Fixed value: what stands between words, with A to Z counted as letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -101,13 +108,20 @@ def phrase_places(df: DataFrame, text: str, phrases: Mapping[str, str] = PHRASES
     return rows.withColumn("places", F.expr(f"array_sort(concat({', '.join(found)}))")).drop("_spaced", "_words")
 
 
-def _blocks(df: DataFrame, key: str, text: str, vocabulary: Sequence[str]) -> DataFrame:
+def _lines(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(f"`{key}`").alias("_key"), F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("block", "line"))
+
+
+def _whole(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(f"`{key}`").alias("_key"), F.lit(0).alias("block"), F.col(f"`{text}`").alias("line"))
+
+
+def _blocks(parts: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     """Blocks that hold a template word: key, block number, text, number of distinct words, template words."""
-    lines = df.select(F.col(f"`{key}`").alias("_key"), F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("block", "line"))
-    words = lines.withColumn("_spaced", F.expr(spaced_words("line")))
-    words = words.withColumn("_words", F.expr(word_list("_spaced")))
-    words = words.withColumn("known", F.expr(f"array_intersect(_words, {string_array(vocabulary)})"))
-    return words.filter("size(known) > 0")
+    # An outer explode, as filters on its result are not pushed down: they would work the words out again.
+    known = f"array_intersect(w, {string_array(vocabulary)})"
+    seen = f"transform(transform(array({spaced_words('line')}), s -> {word_list('s')}), w -> struct({known} AS known, size(array_distinct(w)) AS n_distinct))"
+    return parts.select("*", F.explode_outer(F.expr(seen)).alias("_seen")).select("_key", "block", "line", "_seen.*").filter("size(known) > 0")
 
 
 def _order(blocks: DataFrame, vocabulary: Sequence[str]) -> list[str]:
@@ -120,23 +134,16 @@ def _order(blocks: DataFrame, vocabulary: Sequence[str]) -> list[str]:
     return sorted(vocabulary, key=lambda w: (by_word.get(w, 0), w))
 
 
-def license_blocks(
-    df: DataFrame, key: str, text: str, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD
-) -> DataFrame:
-    """Every block that contains a template: ``key, block, line, template, containment``.
-
-    ``containment`` is the number of common distinct words over the template's distinct words. One
-    row per block and template that reach ``threshold``. Null and empty texts and blocks without
-    words have none; repeated rows give repeated results. No shuffle of texts.
-    """
+def _containing(parts: DataFrame, templates: Mapping[str, str], threshold: float) -> DataFrame:
+    """Pairs of a part (``_key, block, line``) and a ``template``, with ``words, size, needed, _common``."""
     sets = {name: sorted(set(words_of(t)) - {""}) for name, t in templates.items()}
     vocabulary = sorted({w for words in sets.values() for w in words})
     if not 0 < threshold <= 1 or not all(sets.values()) or len(vocabulary) > MOST_TEMPLATE_WORDS:
         raise ValueError("0 < threshold <= 1, and templates of 1 to 10,000 words altogether")
-    blocks = _blocks(df, key, text, vocabulary)
+    blocks = _blocks(parts, vocabulary)
     order = _order(blocks, vocabulary)
     rank = {w: i for i, w in enumerate(order)}
-    spark = df.sparkSession
+    spark = parts.sparkSession
     prefixes = []
     for name, words in sets.items():
         ordered = sorted(words, key=rank.__getitem__)
@@ -149,7 +156,6 @@ def license_blocks(
     ranked = f"filter({string_array(order)}, w -> array_contains(known, w))"
     entries = (
         blocks.filter(F.expr(f"arrays_overlap(known, {starters})"))
-        .withColumn("n_distinct", F.expr("size(array_distinct(_words))"))
         .withColumn("known", F.expr(ranked))
         .select("_key", "block", "line", "n_distinct", "known", F.explode(F.expr(f"array_intersect(known, {starters})")).alias("word"))
     )
@@ -160,12 +166,53 @@ def license_blocks(
     pairs = pairs.filter(room)  # the template's first common word stands for the pair
     pairs = pairs.filter(f"1 + least(size - place - 1, size(known) - ({at}) - 1) >= needed")
     common = F.expr("size(array_intersect(known, words))")
-    verified = pairs.withColumn("_common", common).filter("_common >= needed")
+    return pairs.withColumn("_common", common).filter("_common >= needed")
+
+
+def license_blocks(
+    df: DataFrame, key: str, text: str, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD
+) -> DataFrame:
+    """Every block that contains a template: ``key, block, line, template, containment``.
+
+    ``containment`` is the number of common distinct words over the template's distinct words. One
+    row per block and template that reach ``threshold``. Null and empty texts and blocks without
+    words have none; repeated rows give repeated results. No shuffle of texts.
+    """
+    verified = _containing(_lines(df, key, text), templates, threshold)
     return verified.select(
         F.col("_key").alias(key), "block", "line", "template", (F.col("_common") / F.col("size")).alias("containment")
     )
 
 
+def license_notices(
+    df: DataFrame, key: str, text: str, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD
+) -> DataFrame:
+    """Every text and template of which it holds a notice: ``key, template, containment``.
+
+    A notice is a run of words of the text, wherever its lines end, of at most ``SPREAD`` times the
+    template's words, that holds ``threshold`` of its distinct words, among them those of the label
+    that the template has. ``containment`` is that of the best run. Null and empty texts have none;
+    repeated rows give repeated results. No shuffle of texts.
+    """
+    verified = _containing(_whole(df, key, text), templates, threshold)
+    spans = {name: SPREAD * len([w for w in words_of(t) if w]) for name, t in templates.items()}
+    names = {name: sorted(set(words_of(name.split("/")[0])) & set(words_of(t))) for name, t in templates.items()}
+    span = "CASE template " + " ".join(f"WHEN {quoted(n)} THEN {w}" for n, w in spans.items()) + " END"
+    own = "CASE template " + " ".join(f"WHEN {quoted(n)} THEN {string_array(w)}" for n, w in names.items()) + " END"
+    placed = verified.withColumn("_span", F.expr(span)).withColumn("_own", F.expr(own))
+    placed = placed.withColumn("_spaced", F.expr(spaced_words("line"))).withColumn("_words", F.expr(word_list("_spaced")))
+    at = "filter(transform(_words, (w, i) -> struct(i, w)), x -> array_contains(words, x.w))"
+    # Places are distinct, so a window's words are among the next ``_span`` of them. The places are
+    # bound by a lambda: as a column they would be worked out again for every window.
+    inside = "filter(slice(places, k + 1, _span), y -> y.i < x.i + _span)"
+    runs = f"transform(places, (x, k) -> array_distinct(transform({inside}, y -> y.w)))"
+    best = f"array_max(transform(filter({runs}, r -> size(r) >= needed AND size(array_except(_own, r)) = 0), r -> size(r)))"
+    # A filter on the best window itself would be pushed down and work it out twice.
+    found = placed.select("_key", "template", "size", F.explode_outer(F.expr(f"transform(array({at}), places -> {best})")).alias("_best"))
+    found = found.filter("_best IS NOT NULL")
+    return found.select(F.col("_key").alias(key), "template", (F.col("_best") / F.col("size")).alias("containment"))
+
+
 def label_of(template: Column) -> Column:
     """A template's label: its name up to the slash."""
     return F.substring_index(template, "/", 1)

@@ -120,8 +120,8 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices of every document; ``score`` is the best containment of a notice."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     base = licenses.phrase_places(docs, "text").drop("text")
-    blocks = licenses.license_blocks(docs, "doc_id", "text")
-    found = blocks.groupBy(F.col("doc_id").alias("_id")).agg(
+    notices = licenses.license_notices(docs, "doc_id", "text")
+    found = notices.groupBy(F.col("doc_id").alias("_id")).agg(
         F.collect_set(licenses.label_of(F.col("template"))).alias("_more"), F.max("containment").alias("_best")
     )
     all_rows = base.join(found, base["doc_id"].eqNullSafe(found["_id"]), "left")

@@ -1,6 +1,7 @@
 """Phrase places and the exact join against plain Python, and edge cases."""
 
 import re
+import textwrap
 
 import duckdb
 import pytest
@@ -58,6 +59,54 @@ def test_the_filters_lose_no_block(spark, threshold):
     assert sorted([(r["id"], r.block, r.template, round(r.containment, 12)) for r in rows], key=str) == blocks(CASES, threshold)
 
 
+def notices(rows, threshold):
+    """Best window of each text and template, over all windows."""
+    out = []
+    for key, text in rows:
+        w = words(text)
+        for name, template in licenses.TEMPLATES.items():
+            need, length = set(words(template)), licenses.SPREAD * len(words(template))
+            own = set(words(name.split("/")[0])) & need
+            held = [need & set(w[i : i + length]) for i in range(len(w)) if w[i] in need]
+            best = max([len(h) for h in held if own <= h], default=0)
+            if best and best >= round(threshold * len(need), 9):
+                out.append((key, name, round(best / len(need), 12)))
+    return sorted(out, key=str)
+
+
+WRAPPED = [(i, "# intro\n# " + "\n# ".join(textwrap.wrap(t, 30)) + "\nimport x") for i, t in enumerate(FULL)]
+NO_NOTICES = [
+    (20, " filler".join(f" {w}" + " word" * 40 for w in FULL[6].split())),  # all words of a notice, but scattered
+    (21, "Released under the BSD License. Licensed under the Apple License, Version 2.0."),
+    (22, "This work is licensed under the GNU General Public License,\nversion 2."),
+]
+
+
+def test_wrapped_notices_are_found_and_scattered_words_are_none(spark):
+    df = spark.createDataFrame([*WRAPPED, *NO_NOTICES], "id bigint, body string")
+    rows = licenses.license_notices(df, "id", "body").collect()
+    got = sorted([(r["id"], r.template, round(r.containment, 12)) for r in rows], key=str)
+    assert got == notices([*WRAPPED, *NO_NOTICES], licenses.THRESHOLD)
+    full = {(i, name, 1.0) for i, name in enumerate(licenses.TEMPLATES)}
+    assert full <= set(got) and not {k for k, _, _ in got} & {20, 21, 22}
+
+
+def test_the_query_finds_wrapped_notices(spark, tmp_path):
+    df = spark.createDataFrame([*WRAPPED, *NO_NOTICES], "doc_id bigint, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in queries()["op9_license_scan"](spark, str(tmp_path)).collect()}
+    for i, name in enumerate(licenses.TEMPLATES):
+        assert name.split("/")[0] in rows[i].labels.split(",") and rows[i].score == 1.0
+    assert rows[20].score == rows[21].score == 0.0
+
+
+@pytest.mark.parametrize("threshold", [0.3, 1.0])
+def test_the_filters_lose_no_window(spark, threshold):
+    df = spark.createDataFrame([(*c, 1, "x") for c in CASES], "id bigint, body string, line string, template string")
+    rows = licenses.license_notices(df, "id", "body", threshold=threshold).collect()
+    assert sorted([(r["id"], r.template, round(r.containment, 12)) for r in rows], key=str) == notices(CASES, threshold)
+
+
 def test_no_rows_and_bad_parameters(spark):
     empty = spark.createDataFrame([], "id bigint, body string")
     assert licenses.license_blocks(empty, "id", "body").collect() == [] == licenses.phrase_places(empty, "body").collect()
