@@ -33,7 +33,7 @@ WINDOW = 50
 FIRST_LENGTH = 25
 # Odd base of the hash of a run's windows.
 RUN_BASE = 0xA0761D6478BD642F
-# Windows of one row, and number of documents from which a short window's rows are dealt window by window.
+# Windows of one row (a bit of a 64-bit mask each), and number of documents from which a short window's rows are dealt window by window.
 ROW_WINDOWS = 64
 HOT = 2048
 PARTS = 256
@@ -177,7 +177,7 @@ def _candidate_rows(window: int, lengths: list[int], with_windows: bool):
 
 
 def _repeated_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First and last window of each context that a document with a smaller key holds as well.
+    """Windows of each context that a document with a smaller key holds as well, as a mask: bit = place.
 
     Rows come by (_short, _part); those of the last group wait for the next batch.
     """
@@ -195,14 +195,11 @@ def _repeated_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         known = d > smallest
         place = (np.arange(len(values)) - np.repeat(bounds[:-1], size))[order][known]
         row = row[known]
-        low = np.full(len(short), np.iinfo(np.int32).max, np.int64)
-        high = np.full(len(short), -1, np.int64)
-        np.minimum.at(low, row, place)
-        np.maximum.at(high, row, place)
-        base = table.column("_place").to_numpy()
-        low, high = np.where(high < 0, low, low + base), np.where(high < 0, high, high + base)
-        columns = [pa.array(short), table.column("_digest").combine_chunks(), pa.array(first), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array((base + size).astype(np.int32))]
-        return pa.RecordBatch.from_arrays(columns, ["_short", "_digest", "_first", "_low", "_high", "_size"])
+        base = table.column("_place").to_numpy().astype(np.int64)
+        mask = np.zeros(len(short), np.uint64)
+        np.bitwise_or.at(mask, row, np.uint64(1) << (place + base[row]).astype(np.uint64))
+        columns = [pa.array(short), table.column("_digest").combine_chunks(), pa.array(first), _signed(mask), pa.array((base + size).astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, ["_short", "_digest", "_first", "_mask", "_size"])
 
     waiting: list[pa.RecordBatch] = []
     for batch in batches:
@@ -276,19 +273,21 @@ def _spacing(bloom: Bloom):
 
 def _covered(w: Windows, doc: int, found: list[dict], window: int) -> list[dict]:
     """Joined spans of words, from 0, that repeated windows of one text cover."""
-    verdict = {(f["_short"], f["_digest"]): (f["_low"], f["_high"]) for f in found}
+    verdict = {(f["_short"], f["_digest"]): f["_mask"] for f in found}
     low, high = np.searchsorted(w.doc, [doc, doc + 1])
     short, digest = w.stands[-1].view(np.int64), w.digest.view(np.int64)
     spans: list[dict] = []
     base = int(w.words.first[doc])
     for r in range(low, high):
-        hit = verdict.get((short[r], digest[r]))
-        if hit:
-            a, b = int(w.start[r]) - base + hit[0], int(w.start[r]) - base + hit[1] + window
+        mask = verdict.get((short[r], digest[r]), 0)
+        for place in range(int(w.size[r]) if mask else 0):
+            if not mask >> place & 1:
+                continue
+            a = int(w.start[r]) - base + place
             if spans and a <= spans[-1]["end"]:
-                spans[-1]["end"] = max(b, spans[-1]["end"])
+                spans[-1]["end"] = a + window
             else:
-                spans.append({"start": a, "end": b})
+                spans.append({"start": a, "end": a + window})
     return spans
 
 
@@ -333,19 +332,19 @@ def remove_repeats(df: DataFrame, key: str, text: str, window: int = WINDOW, fir
     # Equal contexts become one row before anything is compared; the smallest key stands for them.
     contexts = rows.groupBy("_short", "_digest", "_part", "_place").agg(F.min("_key").alias("_first"), F.first("_long").alias("_long"))
     contexts = contexts.repartition(F.col("_short"), F.col("_part")).sortWithinPartitions("_short", "_part")
-    judged = contexts.mapInArrow(_repeated_within, "_short bigint, _digest bigint, _first bigint, _low int, _high int, _size int")
+    judged = contexts.mapInArrow(_repeated_within, "_short bigint, _digest bigint, _first bigint, _mask bigint, _size int")
     verdicts = judged.groupBy("_short", "_digest").agg(
-        F.min("_first").alias("_first"), F.min("_low").alias("_low"), F.max("_high").alias("_high"), F.max("_size").alias("_size")
+        F.min("_first").alias("_first"), F.bit_or("_mask").alias("_mask"), F.max("_size").alias("_size")
     )
     holders = marked.mapInArrow(_candidate_rows(window, lengths, False), "_short bigint, _digest bigint, _key bigint")
     later = F.col("_key") > F.col("_first")
     hits = holders.join(verdicts, ["_short", "_digest"]).select(
         "_key", "_short", "_digest",
-        F.when(later, F.lit(0)).otherwise(F.col("_low")).alias("_low"),
-        F.when(later, F.col("_size") - 1).otherwise(F.col("_high")).alias("_high"),
+        # All windows: the lowest ``_size`` bits.
+        F.when(later, F.expr(f"shiftrightunsigned(-1L, {ROW_WINDOWS} - _size)")).otherwise(F.col("_mask")).alias("_mask"),
     )
-    hits = hits.filter("_high >= 0")
-    found = hits.groupBy("_key").agg(F.collect_list(F.struct("_short", "_digest", "_low", "_high")).alias("_found"))
+    hits = hits.filter("_mask <> 0")
+    found = hits.groupBy("_key").agg(F.collect_list(F.struct("_short", "_digest", "_mask")).alias("_found"))
     schema = f"`{key}` bigint, n_words bigint, n_removed bigint, kept_text string, removed array<struct<start: bigint, end: bigint>>"
     few = docs.filter(F.col("_key").isNotNull() & bloom.may_hold("_key")).join(found, "_key", "left")
     few = few.select(F.col("_key").alias(key), "_text", "_found").mapInArrow(_cleaning(window, lengths), schema)

@@ -55,6 +55,18 @@ def test_edges(spark, window, first):
         assert sum(s.end - s.start for s in r.removed) == r.n_removed
 
 
+def test_words_between_repeated_windows_stay(spark):
+    """Recurring short windows join repeated and other windows to one context."""
+    rows = []
+    for i in range(100):
+        rows += [(4 * i, f"a{i} " * 200), (4 * i + 1, f"a{i} " * 60 + "b " + f"a{i} " * 60)]
+        fixed = [f"f{i}x{j}" for j in range(25)]
+        rows += [(4 * i + 2 + k, " ".join(" ".join([*fixed, f"v{i}x{(j * (k + 1)) % 12}"]) for j in range(12))) for k in (0, 1)]
+    df = spark.createDataFrame(rows, "id bigint, body string")
+    got = substrings.remove_repeats(df, "id", "body").collect()
+    assert sorted([(r["id"], r.n_words, r.kept_text) for r in got], key=str) == brute(rows, 50)
+
+
 def test_hot_windows_take_the_same_way(spark, monkeypatch):
     monkeypatch.setattr(substrings, "HOT", 1)
     df = spark.createDataFrame(CASES, "id bigint, body string")
