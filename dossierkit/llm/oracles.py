@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dossierkit.llm import embeddings, licenses, preferences, sharding
+from dossierkit.llm import embeddings, licenses, negatives, preferences, sharding, spelling
 
 _BYTES = "list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint)"
 
@@ -138,3 +138,56 @@ SELECT p.conv_id, n::bigint AS n_prompt_turns, coalesce(prompt, '') AS prompt, c
        coalesce(cb.whole, '') AS rejected, coalesce(ca.mask, '') AS chosen_mask, coalesce(cb.mask, '') AS rejected_mask
 FROM prefix p LEFT JOIN prompts USING (conv_id) LEFT JOIN ca ON ca.conv_id = p.conv_id LEFT JOIN cb ON cb.conv_id = p.conv_id
 """
+
+
+NEGATIVES = f"""
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({negatives.SCALE} * x::double)::bigint) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS anchor, a.label AS own, b.vec_id AS id, b.label, list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::bigint AS score
+  FROM usable a JOIN usable b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positive AS (
+  SELECT anchor, id, score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= {negatives.POSITIVES}),
+found AS (
+  SELECT p.anchor, p.id AS positive, p.score AS positive_score, s.id, s.score,
+         row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id) AS rank
+  FROM positive p JOIN scored s ON s.anchor = p.anchor AND s.label <> s.own
+   AND {negatives.LOW} * p.score <= 100 * s.score AND 100 * s.score <= {negatives.HIGH} * p.score)
+SELECT anchor AS anchor_id, positive AS positive_id, rank::integer AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM found WHERE rank <= {negatives.NEGATIVES}
+"""
+
+
+_A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, {_A_TO_Z}), '[{spelling.LETTERS}]+')) AS run FROM documents),
+hashed AS (
+  SELECT run, {crc32("coalesce(doc_id::varchar, '') || ':' || run")} AS h
+  FROM runs, {CRC_TABLE} WHERE length(run) >= {spelling.SHORTEST}),
+words AS (
+  SELECT CASE WHEN h % {spelling.DAMAGE} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, count(*) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= {spelling.SHORTEST} AND n >= {spelling.LEAST_COUNT}),
+rests AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM words, unnest(range(length(word))) AS t(i)),
+pairs AS (
+  SELECT a.word, b.word AS other FROM rests a JOIN rests b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM rests a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM rests a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT p.word, count(*) AS n_near, min({{'less': -o.n, 'other': p.other}}) AS top
+  FROM pairs p JOIN words o ON o.word = p.other GROUP BY p.word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.less >= {spelling.TIMES} * w.n THEN top.other END AS form,
+         CASE WHEN -top.less >= {spelling.TIMES} * w.n THEN -top.less END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+path AS (
+  SELECT word, word AS at, form AS next FROM formed
+  UNION ALL SELECT path.word, f.word, f.form FROM path JOIN formed f ON f.word = path.next)
+SELECT f.word, f.form, p.at AS root, f.n::bigint AS n, f.n_near::bigint AS n_near, f.form_n::bigint AS form_n
+FROM formed f JOIN path p ON p.word = f.word AND p.next IS NULL
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierkit.llm import contamination, embeddings, licenses, minhash, mixing, preferences, sharding, substrings, tokens, toxicity
+from dossierkit.llm import contamination, embeddings, licenses, minhash, mixing, negatives, packing, preferences, sharding, spelling, substrings, tokens, toxicity
 from dossierkit.llm import oracles
 from dossierkit.llm.shared import checkpointed
 
@@ -139,6 +139,34 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What stands behind every document of a packed sequence.
+END_OF_DOCUMENT = 2
+
+
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 1,024 tokens."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), "text", path, ["doc_id"], end=END_OF_DOCUMENT)
+    order = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    digests = checkpointed(pieces.select(*order[:4], F.crc32("ids").alias("ids_crc32")))
+    return packing.pack(digests, order=order)
+
+
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, where labels of every seventh are moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    rows = checkpointed(negatives.integer_vectors(vectors, "vec_id", "embedding", "label"))
+    return negatives.hard_negatives(rows, rows.filter("_id % 50 = 0"))
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long words of all documents with the words they may be a variant of."""
+    return spelling.spelling_forms(spelling.word_counts(_table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
 QUERIES = {
     "op1_rendezvous_sharding": sharding_rendezvous,
     "op2_substring_dedup": substring_dedup,
@@ -150,10 +178,15 @@ QUERIES = {
     "op8_minhash_near_dedup": minhash_dedup,
     "op9_license_scan": license_scan,
     "op10_decontamination": decontamination,
+    "op11_best_fit_packing": best_fit_packing,
+    "op12_hard_negatives": hard_negatives,
+    "op13_spelling_variants": spelling_variants,
 }
 ORACLE = {
     "op1_rendezvous_sharding": oracles.SHARDING,
     "op3_preference_pairs": oracles.PREFERENCES,
     "op5_embedding_near_dedup": oracles.EMBEDDINGS,
     "op9_license_scan": oracles.LICENSES,
+    "op12_hard_negatives": oracles.NEGATIVES,
+    "op13_spelling_variants": oracles.SPELLING,
 }
