@@ -27,37 +27,58 @@ from dossierkit.llm.shared import checkpointed, without
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 1024
-# Bytes of text that are encoded at a time, and ids of a batch of pieces.
-BATCH_BYTES = 4 << 20
+# Ids of a batch of pieces, and characters of a long text that are encoded at a time.
 BATCH_IDS = 1 << 20
-# Characters of a long text that are split at a time.
 WINDOW = 1 << 20
-# Words whose ids a task remembers, and the longest one kept.
-CACHE_WORDS = 400_000
-CACHE_CHARS = 64
 # Pieces of one length are numbered in cells of so many rows, in so many cells at most.
 CELL_ROWS = 512
 MOST_CELLS = 4096
 # Rows of pieces are numbered by a key of length and number: lengths below the one, numbers below the other.
 _NUMBER_BITS = 40
 
-# A blank before a sign that is no white space begins a token of the byte-level pattern, and what
-# stands before it does not depend on what follows.
+# A blank before a sign that is no white space ends what stands before it: tokens of the byte-level
+# pattern do not reach over it, whatever follows.
 _CUT = re.compile(r"(?= \S)")
-# White space for which ``str.split`` at blanks would cut elsewhere.
-_ODD = re.compile(r" (?:\s|\Z)")
+# White space in a row that the pattern's look-ahead would have to remember place by place.
+_BLANKS = re.compile(r"\s{2000}")
+# Fixed value: the pattern of byte-level tokenizers.
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The signs that stand for bytes in a byte-level vocabulary: printable Latin-1 as it is, others from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or (161 <= b <= 255 and b != 173)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {**{chr(b): b for b in shown}, **{chr(256 + i): b for i, b in enumerate(hidden)}}
+
+
+def merge_ranks(parts: dict) -> dict[bytes, int] | None:
+    """Tokens by id, as bytes, of a tokenizer file that is plain byte-level BPE whose ids follow its merges; else None."""
+    before, model = parts.get("pre_tokenizer") or {}, parts.get("model") or {}
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if parts.get("normalizer") or not plain or model.get("type") != "BPE" or any(model.get(o) for o in odd):
+        return None
+    added = {t["content"] for t in parts.get("added_tokens", [])}
+    letters, ids = byte_alphabet(), {t: i for t, i in model["vocab"].items() if t not in added}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    if sorted(ids, key=ids.__getitem__)[256:] != merged or not set(letters) <= set(ids) or set("".join(ids)) > set(letters):
+        return None
+    return {bytes(letters[c] for c in token): i for token, i in ids.items()}
 
 
 class Encoder:
-    """Ids of texts, little-endian and unsigned, with those of frequent words remembered.
+    """Ids of texts as ``tokenizers`` gives them, little-endian and unsigned.
 
-    Texts are cut at blanks only if the tokenizer file says that it is byte-level with its own
-    pattern and changes no text before; a text that holds an added token is always encoded whole.
+    A plain byte-level BPE file is read by ``tiktoken``, which merges the same pairs in the same order
+    several times as fast; a long text is then cut where that is safe. Other files, and texts that
+    hold an added token or very long white space, are encoded whole by ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
         import json
 
+        import tiktoken
         import tokenizers
 
         self.model = tokenizers.Tokenizer.from_file(path)
@@ -65,26 +86,12 @@ class Encoder:
         self.model.no_padding()
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
-        before = parts.get("pre_tokenizer") or {}
-        self.cuts = (
-            not parts.get("normalizer")
-            and before.get("type") == "ByteLevel"
-            and before.get("use_regex", True)
-            and not before.get("add_prefix_space", True)
-        )
         self.added = [t["content"] for t in parts.get("added_tokens", [])]
-        self.words: dict[str, bytes] = {}
+        ranks = merge_ranks(parts)
+        self.fast = ranks and tiktoken.Encoding(path, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def split(self, text: str) -> list[str]:
-        """Parts of a text that can be encoded apart."""
-        if _ODD.search(text):
-            return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + r for r in rest]]
+    def encoded(self, text: str) -> bytes:
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def windows(self, text: str) -> Iterator[str]:
         """A long text in parts of about ``WINDOW`` characters, each of which begins where it may be cut."""
@@ -98,19 +105,9 @@ class Encoder:
         yield text[start:]
 
     def encode(self, text: str) -> bytes:
-        if not self.cuts or any(a in text for a in self.added):
-            return self.encoded([text])[0]
-        out = []
-        for part in self.windows(text):
-            words = self.split(part)
-            if len(self.words) > CACHE_WORDS:
-                self.words = {}
-            new = list(set(words).difference(self.words))
-            self.words.update(zip(new, self.encoded(new)))
-            out += map(self.words.__getitem__, words)
-            for long in [w for w in new if len(w) > CACHE_CHARS]:
-                del self.words[long]
-        return b"".join(out)
+        if not self.fast or any(a in text for a in self.added) or _BLANKS.search(text):
+            return self.encoded(text)
+        return b"".join(np.array(self.fast.encode_ordinary(part), "<u4").tobytes() for part in self.windows(text))
 
 
 def piece_bounds(length: int, capacity: int) -> list[tuple[int, int]]:
