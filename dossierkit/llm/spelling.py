@@ -3,11 +3,11 @@
 Of two words one edit apart, take the longer (of equally long ones, either). It contributes two
 disjoint chunks, its first and its last half: one edit spoils one of them at most. The other word
 contributes its positional grams of a chunk's length. They meet where a gram equals a chunk and
-stands within one place of it, and are then compared in full.
+stands within one place of it, as far as one edit can move it, and are then compared in full.
 
-A chunk that too many words share gives way to whole words with one place left out: two words that
-share such a rest at the same place, or one that is the rest of another, are one edit apart, and a
-rest has only as many words as there are letters for the place.
+A chunk that too many words share is refined: what is left of its words beside the chunk holds the
+edit, so it is cut into chunks and grams again, until groups are small or one letter is left, when
+a group has no more words than there are letters for the place.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ import sys
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -34,13 +33,11 @@ LEAST_COUNT = 2
 TIMES = 10
 # One in so many runs loses a letter.
 DAMAGE = 31
-# Pairs that a chunk may bring before rests take its place.
+# Pairs that a chunk may bring before it is refined.
 HOT_PAIRS = 1 << 14
 # Characters of a text that are searched at a time, and words that a task counts at a time.
 WINDOW = 1 << 20
 COUNTED = 200_000
-_BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 
 _RUN = re.compile(f"[{LETTERS}]+")
 # Over UTF-8, where letters beyond A to Z hold no byte of theirs.
@@ -108,114 +105,54 @@ def word_counts(
     return counted.groupBy("word").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) & (F.length("word") >= shortest))
 
 
-def _chunks() -> str:
-    """SQL: both chunks of a word as (size, at, part): the word's length, the place, the letters."""
-    q = "(m div 2)"
-    return f"array(struct(m AS size, 0 AS at, left(word, {q}) AS part), struct(m AS size, m - {q} AS at, right(word, {q}) AS part))"
+def _split(rows: DataFrame, level: int) -> DataFrame:
+    """Rows with both halves of what is left of a word as key: ``_key, _rest, _size`` change.
 
+    ``_size`` is the length of the chunk side's rest; of the grams of a word as long, or shorter by
+    one, one edit can leave a chunk's letters only at the begin or at the end. ``_first<level>`` is
+    null behind the first half, else the hash of the half that must differ for the pair to count here.
+    """
+    q = "(_size div 2)"
+    first, last = f"left(_rest, {q})", f"right(_rest, {q})"
+    cut = f"""array(
+        struct(xxhash64(_key, _size, 0, {first}) AS key, substring(_rest, {q} + 1) AS rest, CAST(NULL AS bigint) AS first),
+        struct(xxhash64(_key, _size, 1, {last}) AS key, left(_rest, length(_rest) - {q}) AS rest, xxhash64({first}) AS first))"""
+    kept = [c for c in rows.columns if c not in ("_key", "_rest", "_size")]
+    each = rows.select(*kept, F.expr(f"_size - {q}").alias("_size"), F.explode(F.expr(cut)).alias("_c"))
+    return each.select(*kept, "_size", F.col("_c.key").alias("_key"), F.col("_c.rest").alias("_rest"), F.col("_c.first").alias(f"_first{level}"))
 
-def _grams() -> str:
-    """SQL: grams of a word that a chunk within one place may equal, for words as long or one longer.
 
-    Of all positional grams these are the ones that can meet a chunk at all: chunks stand at the
-    place 0 and at the end.
-    """
-    out = []
-    for more in (0, 1):
-        q = f"((m + {more}) div 2)"
-        for at in ("0", f"m + {more} - {q}"):
-            for shift in (-1, 0, 1):
-                p = f"({at} + {shift})"
-                out.append(f"CASE WHEN {p} BETWEEN 0 AND m - {q} THEN struct(m + {more} AS size, {at} AS at, substring(word, {p} + 1, {q}) AS part) END")
-    return f"filter(array_distinct(array({', '.join(out)})), x -> x IS NOT NULL)"
-
-
-def _hashes(word: str) -> tuple[list[int], int]:
-    """Hash of the word without each of its letters, and of the whole word."""
-    before, powers = [0], [1]
-    for c in word:
-        before.append((before[-1] * _BASE + ord(c) + 1) & _MASK)
-        powers.append(powers[-1] * _BASE & _MASK)
-    whole, n = before[-1], len(word)
-    return [(before[i] * powers[n - 1 - i] + whole - before[i + 1] * powers[n - 1 - i]) & _MASK for i in range(n)], whole
-
-
-def _rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_key, _rest, _place, _word, _chunked) of words in hot chunks: rows of numbers only."""
-
-    def made(keys, rests, places, words, sides) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_())
-        arrays = [pa.array(np.array(rests, np.uint64).astype(np.int64)) if i == 1 else pa.array(x, k) for i, (x, k) in enumerate(zip((keys, rests, places, words, sides), kinds))]
-        return pa.RecordBatch.from_arrays(arrays, ["_key", "_rest", "_place", "_word", "_chunked"])
-
-    for batch in batches:
-        out: tuple[list, ...] = ([], [], [], [], [])
-        for key, word, size, number, chunked in zip(*(batch.column(c).to_pylist() for c in ("_key", "word", "_size", "_id", "_chunked"))):
-            rests, whole = _hashes(word)
-            rows = []
-            if len(word) == size:
-                rows += [(r, i) for i, r in enumerate(rests)]  # equally long words: the same place differs
-            if chunked:
-                rows += [(r, -1) for r in rests]
-            elif len(word) < size:
-                rows.append((whole, -1))
-            for rest, place in rows:
-                for into, x in zip(out, (key, rest, place, number, chunked)):
-                    into.append(x)
-            if len(out[0]) > 1 << 17:
-                yield made(*out)
-                out = ([], [], [], [], [])
-        if out[0]:
-            yield made(*out)
-
-
-def near_words(words: DataFrame) -> DataFrame:
+def near_words(words: DataFrame, hot_pairs: int | None = None) -> DataFrame:
     """``word, n, other, other_n``: each word with each one that differs by one code point; both ways.
 
     ``words`` has ``word`` and ``n``; it is read several times, so it should be a written table, and
-    words are distinct and not null. Words of one letter are not compared. A pair is found by its
-    first chunk or, if only the last one is whole, by that: never twice.
+    words are distinct and not null. Words of one letter are not compared. A pair counts where its
+    first whole chunk meets, at every level, so no pair comes twice.
     """
+    limit = HOT_PAIRS if hot_pairs is None else hot_pairs
     sized = words.select("word", "n", F.length("word").alias("m")).filter("m > 1")
-    number = F.xxhash64(F.lit(1), "word").alias("_id")
-
-    def keyed(parts: str, chunked: bool) -> DataFrame:
-        each = sized.select("word", "n", number, F.explode(F.expr(parts)).alias("_c"))
-        key = F.xxhash64("_c.size", "_c.at", "_c.part").alias("_key")
-        return each.select(key, "word", "n", "_id", F.col("_c.size").alias("_size"), F.col("_c.at").alias("_at"), F.lit(chunked).alias("_chunked"))
-
-    long, short = keyed(_chunks(), True), keyed(_grams(), False)
-    sides = long.select("_key", "_chunked").union(short.select("_key", "_chunked"))
-    pairs = sides.groupBy("_key").agg((F.count_if("_chunked") * F.count_if(~F.col("_chunked"))).alias("_pairs"))
-    hot = checkpointed(pairs.filter(F.col("_pairs") > HOT_PAIRS).select("_key"))
-    # Chunk words are at least as long; of equally long words the smaller one contributes the chunk.
-    a = long.select("_key", F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("_size"), F.col("_at"))
-    b = short.select("_key", F.col("word").alias("b"), F.col("n").alias("b_n"))
-
-    def is_near(x: str, y: str) -> str:
-        return f"({x} <> {y} AND levenshtein({x}, {y}, 1) = 1)"
-
-    ordered = "(length(a) > length(b) OR a < b)"
-    # The last chunk counts only where the first one is spoilt.
-    first = "left(a, _size div 2)"
-    spoilt = f"(_at = 0 OR NOT ({first} = left(b, _size div 2) OR {first} = substring(b, 2, _size div 2)))"
-    found = a.join(hot, "_key", "left_anti").join(b, "_key")
-    found = found.filter(f"{ordered} AND {spoilt} AND {is_near('a', 'b')}").select("a", "a_n", "b", "b_n")
-    if not hot.isEmpty():
-        held = long.unionByName(short).join(hot, "_key")
-        rests = checkpointed(held.select("_key", "word", "_size", "_id", "_chunked").mapInArrow(_rests, "_key bigint, _rest bigint, _place int, _word bigint, _chunked boolean"))
-        met = rests.filter("_chunked").select("_key", "_rest", "_place", F.col("_word").alias("_a"))
-        met = met.join(rests.filter("NOT _chunked").select("_key", "_rest", "_place", F.col("_word").alias("_b")), ["_key", "_rest", "_place"])
-        met = met.filter("_a <> _b").select("_a", "_b").distinct()
-        named = sized.select("word", "n", number)
-        both = met.join(named.select(F.col("_id").alias("_a"), F.col("word").alias("a"), F.col("n").alias("a_n")), "_a")
-        both = both.join(named.select(F.col("_id").alias("_b"), F.col("word").alias("b"), F.col("n").alias("b_n")), "_b")
-        both = both.filter(f"{ordered} AND {is_near('a', 'b')}").select("a", "a_n", "b", "b_n")
-        # A pair may also have met in a chunk that is not hot.
-        found = found.union(both).distinct()
-    found = checkpointed(found)
-    turned = found.select(F.col("b").alias("a"), F.col("b_n").alias("a_n"), F.col("a").alias("b"), F.col("a_n").alias("b_n"))
-    return found.union(turned).toDF("word", "n", "other", "other_n")
+    start = ["word", "n", F.lit(0).alias("_key"), F.col("word").alias("_rest")]
+    long = sized.select(*start, F.col("m").alias("_size"))
+    short = sized.select(*start, F.explode(F.array("m", F.col("m") + 1)).alias("_size"))
+    found, level = None, 0
+    while True:
+        long, short = _split(long, level), _split(short, level)
+        sides = long.select("_key", "_size", F.lit(1).alias("_long")).union(short.select("_key", "_size", F.lit(0)))
+        counts = sides.groupBy("_key").agg((F.sum("_long") * F.sum(1 - F.col("_long"))).alias("_pairs"), F.max("_size").alias("_size"))
+        hot = checkpointed(counts.filter((F.col("_pairs") > limit) & (F.col("_size") > 1)).select("_key"))
+        a, b = long.join(hot, "_key", "left_anti").drop("_rest"), short.drop("_rest", "_size")
+        # Chunk words are at least as long; of equally long words the smaller one contributes the chunk.
+        tests = ["(length(a.word) > length(b.word) OR a.word < b.word)"]
+        tests += [f"coalesce(a._first{i} <> b._first{i}, true)" for i in range(level + 1)]
+        tests += ["a.word <> b.word", "levenshtein(a.word, b.word, 1) = 1"]
+        met = a.alias("a").join(b.alias("b"), F.expr(" AND ".join(["a._key = b._key", *tests])))
+        met = checkpointed(met.selectExpr("a.word AS a", "a.n AS a_n", "b.word AS b", "b.n AS b_n"))
+        found = met if found is None else found.union(met)
+        if hot.isEmpty():
+            break
+        long, short = (checkpointed(side.join(hot, "_key", "left_semi")) for side in (long, short))
+        level += 1
+    return found.union(found.select("b", "b_n", "a", "a_n")).toDF("word", "n", "other", "other_n")
 
 
 def spelling_forms(words: DataFrame, times: int = TIMES) -> DataFrame:
