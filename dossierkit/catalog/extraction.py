@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from dossierkit.catalog.common import squeeze, cents, grouped, table, text, whole
 from dossierkit.functions import html as H
 from dossierkit.functions.sqltext import transform
+from dossierkit.functions.structure import Find, field
 from dossierkit.functions.text import join_tags as joined_tags
 from dossierkit.operators import extract
 from dossierkit.plans.country_profile import CURRENCY_HEADERS
 from dossierkit.sources.dims import DETAIL_LABELS
 
 # A page per customer: decoys in a comment, a script and another table; a short row; entities.
-# Every twentieth page has no such table.
+# A row with a table in a cell, and '>' in attributes. Every twentieth page has no such table.
 _TABLE_PAGE = (
     "'<html><!-- <table class=\"wikitable\"><tr><td>no</td></tr></table> --><script>var t=\"<table>\";</script>"
     '<table class="other"><tr><th>Symbol</th></tr><tr><td>a</td><td>b</td><td>c</td><td>d</td></tr></table>'
@@ -22,7 +23,9 @@ _TABLE_PAGE = (
     + "".join(f"<th> <b>{h}</b></th>" for h in CURRENCY_HEADERS)
     + "</tr><TR><td> <a href=\"x\">The ' || c_name || '</a> [a]</td><td>' || c_mktsegment || ' &amp; Co</td>"
     "<td>&#36;</td><td>' || substr(c_mktsegment, 1, 3) || '</td></TR><tr><td>short</td></tr>"
-    "<tr><td>Isle ' || " + text("c_custkey") + " || '<td>&lt;b&gt;<td> <i>x</i> y <td>&nbsp;Z&nbsp;</tr></table>'"
+    "<tr><td>Isle ' || " + text("c_custkey") + " || '<td>&lt;b&gt;<td> <i>x</i> y <td>&nbsp;Z&nbsp;</tr>"
+    "<tr><td title=\"a > b\">Nest ' || " + text("c_custkey") + " || '</td><td><table class=\"x\"><tr><td>in</td></tr></table></td>"
+    "<td data-x=\"<i>\">e</td></tr></table>'"
 )
 
 
@@ -37,9 +40,9 @@ def html_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # A listing page per part: a full card, a card without a link, a card that needs every fallback.
 _CARD_PAGE = (
-    "'<div class=\"list\"><div class=\"big card-post\"><a class=\"card-post-title-link\" href=\"/p/' || "
+    "'<div class=\"list\"><div data-x=\"a>b\" class=\"big card-post\"><a title=\"1 > 0\" class=\"card-post-title-link\" href=\"/p/' || "
     + text("p_partkey")
-    + " || '?a=1&amp;b=2\"><h3 class=\"card-post-title\"> ' || p_name || ' <br>news </h3></a>"
+    + " || '?a=1&amp;b=2\"><h3 class=\"card-post-title\" title=\"<b>\"> ' || p_name || ' <br alt=\">\">news </h3></a>"
     "<div class=\"post-tax-badges\"><a class=\"cat-name-badge\">' || p_brand || '</a><div>"
     "<span class=\"x cat-name-badge\">' || p_type || '</span></div></div><div class=\"card-post-inline-meta\">"
     '<span class="inline-meta-item">Posted on Jan 2, 2025</span><span class="inline-meta-item">5 Comments</span>'
@@ -113,15 +116,16 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Navigation labels of a page as one text, beside its title."""
-    pages = table(spark, sf_dir, "pages", "page_id")
-    labels = transform(H.elements("html", H.open_tag("a")), lambda a: H.joined_text(f"{a}.inner"))
-    title = H.joined_text(f"{H.element('html', H.open_tag('title'))}.inner")
-    return pages.selectExpr("page_id", f"{joined_tags(labels)} AS tags", f"{title} AS title")
+    pages = table(spark, sf_dir, "pages", "page_id").select("page_id", "html")
+    picks = {"links": field(Find("a"), many=True), "title": field(Find("title"))}
+    found = extract.page_fields(pages, "html", picks)
+    labels = joined_tags(transform("links", H.joined_text))
+    return found.selectExpr("page_id", f"{labels} AS tags", f"{H.joined_text('title')} AS title")
 
 
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages", "page_id")
-    return pages.select("page_id", F.expr(H.main_text("html", H.open_tag("article"))).alias("text"))
+    pages = table(spark, sf_dir, "pages", "page_id").select("page_id", "html")
+    return extract.main_text(pages, "html", "text", Find("article"))
 
 
 QUERIES = {
@@ -159,7 +163,9 @@ ORACLE = {
             select c_custkey, 0 as row_no, 'The ' || c_name || '[a]' as c0, c_mktsegment || ' & Co' as c1, '$' as c2,
                 substr(c_mktsegment, 1, 3) as c3 from customer
             union all
-            select c_custkey, 2, 'Isle ' || cast(c_custkey as varchar), '<b>', 'xy', 'Z' from customer)
+            select c_custkey, 2, 'Isle ' || cast(c_custkey as varchar), '<b>', 'xy', 'Z' from customer
+            union all
+            select c_custkey, 3, 'Nest ' || cast(c_custkey as varchar), 'in', 'in', 'e' from customer)
         where c_custkey % 20 <> 0
     """,
     "html_cards": """

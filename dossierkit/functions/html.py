@@ -1,21 +1,19 @@
-"""Rows and fields out of HTML text.
+"""Text out of HTML fragments, as Spark SQL expressions.
 
-Grammar: attributes hold no '>'; tables do not nest in tables, and a paragraph ends at the next
-one; elements that one selector lists do not nest in one another. Containers are closed at their
-matching end tag, so nested elements of the same name are fine. Script, style and comment content
-is never text. Entities need their ';'.
+Script, style and comment content is never text. Entities need their ';'. '>' inside a quoted
+attribute value does not end a tag. Elements are found by ``functions.structure``.
 """
 
 from __future__ import annotations
 
 import re
 from html.entities import html5
-from typing import NamedTuple
 
-from dossierkit.functions.sqltext import at, before, from_first, let, matches, quote, split_on, tail, transform, transform_at
+from dossierkit.functions.sqltext import let, matches, quote, split_on, transform, transform_at
+from dossierkit.functions.structure import INSIDE
 from dossierkit.functions.text import clean_text, strip
 
-TAG = r"<[A-Za-z/!?][^>]*>"
+TAG = rf"<[A-Za-z/!?]{INSIDE}>"
 _NOISE = (
     r"(?s)<(?:!--.*?-->|(?i:script)\b.*?(?:</(?i:script)\s*>|\z)|(?i:style)\b.*?(?:</(?i:style)\s*>|\z))|\x00"
 )
@@ -85,134 +83,3 @@ def joined_text(html: str) -> str:
 def stripped_text(html: str) -> str:
     """Text parts of a fragment, each stripped, joined without a separator."""
     return f"array_join({transform(split_on(html, TAG), lambda p: strip(unescape(p)))}, '')"
-
-
-class Tag(NamedTuple):
-    """Opening tag: its regex, the element name where that is fixed, and a text that it holds."""
-
-    pattern: str
-    name: str | None = None
-    needle: str | None = None
-
-
-def open_tag(tag: str | None = None, cls: str | None = None, exact_cls: str | None = None) -> Tag:
-    """Opening tag by element name, by class token, or by the whole class text."""
-    element_name = rf"(?i:{tag})(?=[\s>/])" if tag else r"[A-Za-z][A-Za-z0-9]*(?=[\s>/])"
-    attrs = ""
-    if cls:
-        attrs = (
-            rf"""[^>]*?\s(?i:class)\s*=\s*(?:"(?:[^">]*\s)?{cls}(?:\s[^">]*)?"|"""
-            rf"""'(?:[^'>]*\s)?{cls}(?:\s[^'>]*)?'|{cls}(?=[\s>]))"""
-        )
-    elif exact_cls:
-        attrs = rf"""[^>]*?\s(?i:class)\s*=\s*["']{exact_cls}["']"""
-    return Tag(rf"<{element_name}{attrs}[^>]*>", tag, cls or exact_cls)
-
-
-def _if_held(html: str, tag: Tag, found: str, kind: str) -> str:
-    """``found`` only where the text holds the tag's needle: looking for that costs far less than a regex.
-
-    For columns and variables; other texts would be worked out twice.
-    """
-    if not tag.needle or not re.fullmatch(r"[\w.`]+", html):
-        return found
-    return f"CASE WHEN contains({html}, {quote(tag.needle)}) THEN {found} ELSE CAST({kind}) END"
-
-
-def attribute(tag_text: str, attr: str) -> str:
-    """Value of an attribute in an opening tag; '' when absent."""
-    shape = quote(rf"""^<[^>]*?\s(?i:{attr})\s*=\s*("[^">]*"|'[^'>]*'|[^\s>"']+)""")
-    quotes = quote("""^["']|["']$""")
-    return unescape(f"regexp_replace(regexp_extract({tag_text}, {shape}, 1), {quotes}, '')")
-
-
-def _until_close(rest: str, tag: str) -> str:
-    """Inner HTML: from just behind an opening tag up to its matching end tag.
-
-    ``tag`` is SQL text of the element name. Without a nested element of that name, the first end
-    tag is the match; otherwise a fold over the tags of that name keeps the depth and the size of
-    what was passed.
-    """
-
-    def shape(start: str, end: str = r")[\s>/]") -> str:
-        return f"concat({quote(start)}, {tag}, {quote(end)})"
-
-    def step(state: str, part: str) -> str:
-        grown = let(
-            f"{state}.depth + CASE WHEN startswith({part}, '</') THEN -1 ELSE 1 END",
-            lambda d: f"named_struct('depth', {d}, 'size', "
-            f"{state}.size + CASE WHEN {d} = 0 THEN 0 ELSE length({part}) END)",
-        )
-        return f"CASE WHEN {state}.depth = 0 THEN {state} ELSE {grown} END"
-
-    def nested(parts: str) -> str:
-        start = f"named_struct('depth', 1, 'size', length({at(parts, 0)}))"
-        size = f"aggregate({tail(parts)}, {start}, (s, p) -> {step('s', 'p')}).size"
-        return f"substring({rest}, 1, {size})"
-
-    edges = shape("(?=</?(?i:", r")[\s>/])")
-    parts = f"split(regexp_replace({rest}, {edges}, '\\u0000'), '\\u0000')"
-    first = f"regexp_replace({rest}, {shape('(?s)</(?i:', r')[\s>/].*')}, '')"
-    return let(
-        first,
-        lambda f: f"CASE WHEN regexp_like({f}, {shape('<(?i:')}) THEN {let(parts, nested)} ELSE {f} END",
-    )
-
-
-def _element(chunk: str, tag: Tag) -> str:
-    """Struct of opening tag and inner HTML, for a text that starts with an opening tag."""
-
-    def build(opening: str) -> str:
-        rest = f"substring({chunk}, length({opening}) + 1)"
-        if tag.name:
-            inner = let(rest, lambda r: _until_close(r, quote(tag.name)))
-        else:
-            found = f"regexp_extract({opening}, '^<([A-Za-z0-9]+)', 1)"
-            inner = let(f"struct({found} AS tag, {rest} AS rest)", lambda x: _until_close(f"{x}.rest", f"{x}.tag"))
-        return f"struct({opening} AS open, {inner} AS inner)"
-
-    return let(f"regexp_extract({chunk}, '^<[A-Za-z][^>]*>', 0)", build)
-
-
-def elements(html: str, tag: Tag) -> str:
-    """All elements whose opening tag matches, in page order, as ``ARRAY<STRUCT<open, inner>>``."""
-    found = transform(tail(split_on(html, f"(?={tag.pattern})")), lambda c: _element(c, tag))
-    return _if_held(html, tag, found, "array() AS array<struct<open: string, inner: string>>")
-
-
-def element(html: str, tag: Tag) -> str:
-    """First element whose opening tag matches, as ``STRUCT<open, inner>``; null when absent."""
-    found = let(from_first(html, tag.pattern), lambda c: f"CASE WHEN {c} IS NOT NULL THEN {_element(c, tag)} END")
-    return _if_held(html, tag, found, "NULL AS struct<open: string, inner: string>")
-
-
-def elements_within(html: str, scope: Tag, tag: Tag) -> str:
-    """All matching elements inside elements of a scope."""
-    return f"flatten({transform(elements(html, scope), lambda s: elements(f'{s}.inner', tag))})"
-
-
-# Elements whose end also ends a paragraph that was opened inside them.
-_BLOCKS = "(?:article|aside|blockquote|body|div|footer|form|header|html|main|nav|ol|section|table|td|th|ul)"
-
-
-def paragraphs(html: str) -> str:
-    """Texts of the paragraphs of a fragment without noise.
-
-    A paragraph ends at its end tag, at the next paragraph, or at the end of the element around it.
-    """
-
-    def body(part: str) -> str:
-        inside = let(before(part, r"</(?i:p)\s*>"), lambda c: _until_close(c, quote(_BLOCKS)))
-        return spaced_text(inside)
-
-    return transform(tail(split_on(html, r"<(?i:p)(?:\s[^>]*)?>")), body)
-
-
-def main_text(html: str, container: Tag = open_tag("div", "entry-content")) -> str:
-    """Paragraphs of the container joined by spaces; of the whole page when there is no container."""
-
-    def build(page: str) -> str:
-        body = f"coalesce({element(page, container)}.inner, {page})"
-        return f"array_join({paragraphs(body)}, ' ')"
-
-    return let(drop_noise(html), build)

@@ -51,11 +51,6 @@ def at(items: str, i: int) -> str:
     return f"get({items}, {i})"
 
 
-def tail(items: str) -> str:
-    """All elements of an array but the first."""
-    return f"slice({items}, 2, {2**30})"
-
-
 # Stands between pieces while a text is split; pages are free of it after noise is dropped.
 _CUT = "\\u0000"
 
@@ -69,16 +64,6 @@ def split_on(text: str, pattern: str) -> str:
     return f"split(regexp_replace({text}, {quote(pattern)}, '{_CUT}'), '{_CUT}')"
 
 
-def before(text: str, pattern: str) -> str:
-    """What stands before the first match of a regex; the whole text when there is none."""
-    return f"regexp_replace({text}, {quote(f'(?s)(?:{pattern}).*')}, '')"
-
-
-def from_first(text: str, pattern: str) -> str:
-    """The text from the first match of a regex on; null when there is none."""
-    return f"nullif(regexp_extract({text}, {quote(f'(?s)(?:{pattern}).*')}, 0), '')"
-
-
 def matches(text: str, pattern: str) -> str:
     return f"regexp_like({text}, {quote(pattern)})"
 

@@ -1,15 +1,25 @@
-"""Rows out of landed pages and payloads. Everything here is row-local: no shuffle."""
+"""Rows out of landed pages and payloads. Everything here is row-local: no shuffle.
+
+Pages are read through a structural index (``functions.structure``): an Arrow function cuts each page
+once and hands on the raw HTML of rows, cards and fields; their texts are made by Spark expressions.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+import sys
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from dossierkit.functions import html as H
 from dossierkit.functions.jsonx import indicator_points
-from dossierkit.functions.sqltext import at, before, col, cols, from_first, keep, let, matches, name, quote, split_on, tail, transform
+from dossierkit.functions.sqltext import col, cols, keep, let, name, transform
+from dossierkit.functions.structure import Find, Index, Pick, field, plain_text
 from dossierkit.functions.text import (
     date_items,
     join_tags,
@@ -21,23 +31,51 @@ from dossierkit.functions.text import (
     updated,
 )
 
+# Tasks get the helpers of this module with their function: executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Records that are handed on at a time.
+BATCH_ROWS = 2048
+
+_TEXT, _TEXTS = StringType(), ArrayType(StringType())
+_ARROW = {"string": pa.string(), "array": pa.list_(pa.string()), "integer": pa.int32()}
+
 
 def _others(df: DataFrame, column: str) -> list[str]:
     return [c for c in df.columns if c != column]
 
 
-def _header_texts(chunk: str) -> str:
-    cells = tail(split_on(chunk, r"<(?i:th)(?=[\s>])[^>]*>"))
-    return transform(cells, lambda c: H.stripped_text(before(c, r"</(?i:t[hr])[\s>]")))
+def from_index(df: DataFrame, html: str, fields: Sequence[StructField], read: Callable[[Index], Iterator[tuple]]) -> DataFrame:
+    """For each page the records that ``read`` takes from its index, beside the page's other columns."""
+    kept = _others(df, html)
+    clean = F.expr(f"coalesce({H.drop_noise(name(html))}, '')").alias("_html")
+    kinds = [_ARROW[f.dataType.typeName()] for f in fields]
+    titles = [*kept, *[f.name for f in fields]]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[int] = []
+            records: list[tuple] = []
 
-def _has_headers(chunk: str, headers: Sequence[str]) -> str:
-    wanted = f"array({', '.join(map(quote, headers))})"
-    return f"size(array_except({wanted}, {_header_texts(chunk)})) = 0"
+            def made() -> pa.RecordBatch:
+                take = pa.array(rows, pa.int64())
+                same = [batch.column(i).take(take) for i in range(batch.num_columns - 1)]
+                return pa.RecordBatch.from_arrays([*same, *[pa.array(v, k) for v, k in zip(zip(*records), kinds)]], titles)
 
+            for i, page in enumerate(batch.column(batch.num_columns - 1)):
+                for record in read(Index(page.as_py())):
+                    rows.append(i)
+                    records.append(record)
+                if len(rows) >= BATCH_ROWS:
+                    yield made()
+                    rows, records = [], []
+            if rows:
+                yield made()
 
-def _section(chunk: str, tag: str) -> str:
-    return f"{H.element(chunk, H.open_tag(tag))}.inner"
+    same = [StructField(c, df.schema[c].dataType) for c in kept]
+    # Names with dots would be read as fields of structs there.
+    numbered = [col(c).alias(f"_{i}") for i, c in enumerate(kept)]
+    return df.select(*numbered, clean).mapInArrow(run, StructType([*same, *fields]))
 
 
 def html_table_rows(
@@ -56,102 +94,91 @@ def html_table_rows(
 
     The table is the first that meets ``table_id``, ``table_class`` and ``headers`` together; if no
     table does, the first whose head holds all ``fallback_headers``. Rows with fewer than
-    ``min_cells`` cells are left out.
+    ``min_cells`` cells are left out. Rows and cells of tables inside the table count as its own,
+    and a cell's text holds theirs.
     """
-
-    def wanted(chunk: str) -> str:
-        tests = ["true"]
-        if table_id:
-            tests.append(matches(chunk, rf"""^<[^>]*?\s(?i:id)\s*=\s*["']?{table_id}["'\s>]"""))
-        if table_class:
-            tests.append(matches(chunk, "^" + H.open_tag("table", table_class).pattern))
-        if headers:
-            tests.append(_has_headers(chunk, headers))
-        return " AND ".join(tests)
-
-    def choose(chunks: str) -> str:
-        first = at(keep(chunks, wanted), 0)
-        if not fallback_headers:
-            return first
-        by_head = keep(chunks, lambda c: _has_headers(f"coalesce({_section(c, 'thead')}, '')", fallback_headers))
-        return f"coalesce({first}, {at(by_head, 0)})"
-
-    chunks = tail(split_on(H.drop_noise(name(html)), r"(?=<(?i:table)[\s>])"))
-    table = let(transform(chunks, lambda c: before(c, r"</(?i:table)[\s>]")), choose)
-    if body_only:
-        table = let(table, lambda t: _section(t, "tbody"))
-    rows = tail(split_on(table, r"<(?i:tr)(?:\s[^>]*)?>"))
-    if skip_first:
-        rows = tail(rows)
-    cells = transform(
-        tail(split_on(before("row_html", r"</(?i:tr)[\s>]"), r"<(?i:td)(?:\s[^>]*)?>")),
-        lambda c: H.stripped_text(before(c, r"</(?i:td)[\s>]")),
-    )
-    kept = cols(_others(df, html))
-    return (
-        df.select(*kept, F.posexplode(F.expr(rows)).alias("row_no", "row_html"))
-        .select(*kept, "row_no", F.expr(cells).alias("cells"))
-        .filter(F.size("cells") >= min_cells)
-    )
+    wanted = Find("table", table_class, id=table_id)
+    head, fallback = frozenset(headers or ()), frozenset(fallback_headers or ())
+
+    def has(index: Index, within: tuple[int, int], texts: frozenset[str]) -> bool:
+        return texts <= {plain_text(index.inner(n)) for n in index.all(Find("th"), within)}
+
+    def choose(index: Index) -> int | None:
+        for table in index.all(wanted):
+            if not head or has(index, index.inside(table), head):
+                return table
+        for table in index.all(Find("table")) if fallback else ():
+            thead = index.first(Find("thead"), index.inside(table))
+            if thead is not None and has(index, index.inside(thead), fallback):
+                return table
+        return None
+
+    def read(index: Index) -> Iterator[tuple]:
+        table = choose(index)
+        if table is not None and body_only:
+            table = index.first(Find("tbody"), index.inside(table))
+        if table is None:
+            return
+        for row_no, row in enumerate(list(index.all(Find("tr"), index.inside(table)))[skip_first:]):
+            cells = [index.inner(n) for n in index.all(Find("td"), index.inside(row))]
+            if len(cells) >= min_cells:
+                yield row_no, cells
+
+    rows = from_index(df, html, [StructField("row_no", IntegerType()), StructField("cells", _TEXTS)], read)
+    texts = F.expr(transform("cells", H.stripped_text)).alias("cells")
+    return rows.select(*cols(_others(df, html)), "row_no", texts)
 
 
 def html_cards(
     df: DataFrame,
     html: str,
-    card: H.Tag,
-    fields: Mapping[str, str],
+    card: Find,
+    picks: Mapping[str, Pick],
     *,
     required: str | None = None,
     pattern: str | None = None,
 ) -> DataFrame:
-    """One row per card of a page: the other columns, ``card_no`` and the fields.
+    """One row per card of a page: the other columns, ``card_no`` and the raw HTML (or list) of each pick.
 
-    ``card`` is the opening tag of a card; each field is an expression over ``card.open`` and
-    ``card.inner``. Cards whose ``required`` field is null, empty or (with ``pattern``) does not
-    match are left out.
+    Cards do not nest: one inside another belongs to that. Cards whose ``required`` pick is absent,
+    blank or (with ``pattern``, of the decoded text) does not match are left out.
     """
-    kept = cols(_others(df, html))
-    cards = F.expr(H.elements(H.drop_noise(name(html)), card))
-    out = df.select(*kept, F.posexplode(cards).alias("card_no", "card")).select(
-        *kept, "card_no", *[F.expr(field).alias(title) for title, field in fields.items()]
-    )
+
+    def read(index: Index) -> Iterator[tuple]:
+        for card_no, number in enumerate(index.outermost(card)):
+            within = index.inside(number)
+            values = [index.value(p, within, number) for p in picks.values()]
+            if required is None or values[place]:
+                yield card_no, *values
+
+    place = list(picks).index(required) if required else 0
+    fields = [StructField("card_no", IntegerType()), *[StructField(n, _TEXTS if p.many else _TEXT) for n, p in picks.items()]]
+    out = from_index(df, html, fields, read)
     if required:
-        out = out.filter(col(required) != "")
+        value = F.expr(H.unescape(name(required)))
+        out = out.filter(value != "")
         if pattern:
-            out = out.filter(F.rlike(col(required), F.lit(pattern)))
+            out = out.filter(F.rlike(value, F.lit(pattern)))
     return out
 
 
 # Where the parts of an article card are.
-CARD = H.open_tag("div", "card-post")
-CARD_LINKS = [H.open_tag("a", "card-post-title-link"), H.open_tag("a", "card-post-image-link")]
-CARD_TITLE = H.open_tag("h3", "card-post-title")
-CARD_SECTION_SCOPE = H.open_tag(cls="post-tax-badges")
-CARD_SECTION = H.open_tag(cls="cat-name-badge")
-CARD_SECTION_LOOSE = H.open_tag("a", "cat-name-badge")
-CARD_META_SCOPE = H.open_tag(cls="card-post-inline-meta")
-CARD_META = H.open_tag(cls="inline-meta-item")
-CARD_BYLINE = H.open_tag(cls="card-post-byline")
-CARD_AUTHOR = H.open_tag("span", "byline-text")
-CARD_DEK = H.open_tag("p", "card-post-dek")
+CARD = Find("div", "card-post")
+CARD_LINK = (Find("a", "card-post-title-link"), Find("a", "card-post-image-link"))
+CARD_TITLE = Find("h3", "card-post-title")
+CARD_PICKS = {
+    "link": field(CARD_LINK, attribute="href"),
+    "title": Pick(((CARD_LINK, CARD_TITLE), (CARD_TITLE,))),
+    "tags": Pick(((Find(cls="post-tax-badges"), Find(cls="cat-name-badge")), (Find("a", "cat-name-badge"),)), many=True),
+    "items": field(Find(cls="card-post-inline-meta"), Find(cls="inline-meta-item"), many=True),
+    "authors": field(Find(cls="card-post-byline"), Find("span", "byline-text"), many=True),
+    "byline": field(Find(cls="card-post-byline")),
+    "dek": field(Find("p", "card-post-dek")),
+}
 
 
 def _texts(items: str) -> str:
-    return transform(items, lambda e: H.joined_text(f"{e}.inner"))
-
-
-def _card_section() -> str:
-    scoped = _texts(H.elements_within("card.inner", CARD_SECTION_SCOPE, CARD_SECTION))
-    loose = _texts(H.elements("card.inner", CARD_SECTION_LOOSE))
-    return join_tags(let(scoped, lambda s: f"CASE WHEN size({s}) > 0 THEN {s} ELSE {loose} END"))
-
-
-def _card_authors() -> str:
-    marked = _texts(H.elements_within("card.inner", CARD_BYLINE, CARD_AUTHOR))
-    loose = split_authors_loose(H.joined_text(f"{H.element('card.inner', CARD_BYLINE)}.inner"))
-    return let(
-        marked, lambda m: f"CASE WHEN size({m}) > 0 THEN flatten({transform(m, split_authors)}) ELSE {loose} END"
-    )
+    return transform(items, H.joined_text)
 
 
 def article_cards(df: DataFrame, html: str) -> DataFrame:
@@ -159,88 +186,105 @@ def article_cards(df: DataFrame, html: str) -> DataFrame:
 
     The link is the title link, else the image link; the title is in the link, else in the card.
     """
-    links = ", ".join(H.element("card.inner", p) for p in CARD_LINKS)
-    parts = {
-        "link": f"coalesce({links})",
-        "items": date_items(_texts(H.elements_within("card.inner", CARD_META_SCOPE, CARD_META))),
-        "card": "card",
-    }
-    title = f"coalesce({H.element('link.inner', CARD_TITLE)}.inner, {H.element('card.inner', CARD_TITLE)}.inner)"
+    found = html_cards(df, html, CARD, CARD_PICKS)
+    loose = split_authors_loose(H.joined_text("byline"))
+    kept = cols(_others(df, html))
+    # Dates are looked up in the texts of the items twice.
+    parts = found.select(*kept, "card_no", "link", "title", "tags", "authors", "byline", "dek", F.expr(date_items(_texts("items"))).alias("items"))
     fields = {
-        "Section": _card_section(),
-        "Title": H.joined_text(title),
-        "Link": strip(H.attribute("link.open", "href")),
-        "Author(s)": _card_authors(),
+        "Section": join_tags(_texts("tags")),
+        "Title": H.joined_text("title"),
+        "Link": strip(f"coalesce({H.unescape('link')}, '')"),
+        "Author(s)": let(_texts("authors"), lambda m: f"CASE WHEN size({m}) > 0 THEN flatten({transform(m, split_authors)}) ELSE {loose} END"),
         "Date Posted": f"coalesce({last_found('items', posted)}, '')",
         "Date Updated": f"coalesce({last_found('items', updated)}, '')",
-        "Updates": H.joined_text(f"{H.element('card.inner', CARD_DEK)}.inner"),
+        "Updates": H.joined_text("dek"),
     }
-    found = html_cards(df, html, CARD, parts)
-    out = found.select(*cols(_others(df, html)), "card_no", *[F.expr(f).alias(title) for title, f in fields.items()])
+    out = parts.select(*kept, "card_no", *[F.expr(f).alias(title) for title, f in fields.items()])
     return out.filter(col("Link") != "")
 
 
 # Where the parts of a metric block are.
-BLOCK = H.Tag(r"""<(?i:a)\s[^>]*?(?i:href)\s*=\s*["'][^"'>]*country-military-strength-detail[^>]*>""", "a")
-BLOCK_NAME = H.open_tag("div", "longFormName")
-BLOCK_VALUE = H.open_tag("div", "valueContainer")
-SPAN = H.open_tag("span")
+BLOCK = Find("a", held=("href", "country-military-strength-detail"))
+_SPAN, _VALUE = Find("span"), Find("div", "valueContainer")
+BLOCK_PICKS = {
+    "title": field(Find("div", "longFormName"), _SPAN),
+    "span": field(_VALUE, _SPAN, last=True),
+    "value": field(_VALUE),
+    "link": Pick(((),), attribute="href"),
+}
 
 
 def metric_blocks(df: DataFrame, html: str) -> DataFrame:
     """Country, raw value and link of every block of a metric page; blocks without a name are left out."""
-    spans = H.elements("value", SPAN)
-    parts = {
-        "title": let(f"{H.element('card.inner', BLOCK_NAME)}.inner", lambda n: f"{H.element(n, SPAN)}.inner"),
-        "value": f"{H.element('card.inner', BLOCK_VALUE)}.inner",
-        "open": "card.open",
-    }
     fields = {
         "country": strip(H.bare_text("title")),
-        "raw_value": f"coalesce({strip(H.bare_text(f'coalesce(try_element_at({spans}, -1).inner, value)'))}, '')",
-        "link": H.attribute("open", "href"),
+        "raw_value": f"coalesce({strip(H.bare_text('coalesce(span, value)'))}, '')",
+        "link": f"coalesce({H.unescape('link')}, '')",
     }
-    found = html_cards(df, html, BLOCK, parts).filter("title IS NOT NULL")
+    found = html_cards(df, html, BLOCK, BLOCK_PICKS).filter("title IS NOT NULL")
     return found.select(*cols(_others(df, html)), "card_no", *[F.expr(f).alias(title) for title, f in fields.items()])
 
 
 # Where labels and values of a detail page are.
-LABEL_CONTAINER = H.open_tag("div", "specsGenContainers")
-LABEL_VALUE = H.open_tag("span", exact_cls="textWhite textShadow")
+LABEL_CONTAINER = Find("div", "specsGenContainers")
+LABEL_VALUE = Find("span", whole_cls="textWhite textShadow")
 
 
 def label_values(
     df: DataFrame,
     html: str,
     labels: Mapping[str, str],
-    container: H.Tag = LABEL_CONTAINER,
-    value: H.Tag = LABEL_VALUE,
+    container: Find = LABEL_CONTAINER,
+    value: Find = LABEL_VALUE,
 ) -> DataFrame:
     """Value of each label on a detail page: the other columns, ``field`` and ``raw_value``.
 
-    The first span of the page that holds the label counts, and the first value span of the
-    container around it; a label outside of a container or without a value gives no row.
+    ``labels`` are patterns. The first span of the page that holds nothing but text with the label
+    counts, and the first value span of the container around it; a label outside of a container or
+    without a value gives no row.
     """
+    shapes = {title: re.compile(shape) for title, shape in labels.items()}
 
-    def pair(page: str, containers: str, field: str, shape: str) -> str:
-        title = rf"<(?i:span)(?:\s[^>]*)?>[^<]*{shape}[^<]*</(?i:span)"
-        hit = f"{at(keep(containers, lambda c: matches(f'{c}.inner', title)), 0)}.inner"
-        first = f"startswith({from_first(page, title)}, {from_first('{0}', title)})"
-        around = let(hit, lambda h: f"CASE WHEN {first.replace('{0}', h)} THEN {h} END")
-        return f"struct({quote(field)} AS field, {around} AS html)"
+    def read(index: Index) -> Iterator[tuple]:
+        places = list(index.outermost(container))
+        spans = [(n, text) for n in index.all(Find("span")) if "<" not in (text := index.inner(n))]
+        for title, shape in shapes.items():
+            span = next((n for n, text in spans if shape.search(text)), None)
+            around = next((c for c in places if span is not None and c < span < index.after[c]), None)
+            found = None if around is None else index.first(value, index.inside(around))
+            if found is not None:
+                yield title, index.inner(found)
 
-    def pairs(page: str) -> str:
-        return let(
-            H.elements(page, container),
-            lambda c: f"array({', '.join(pair(page, c, f, s) for f, s in labels.items())})",
-        )
+    rows = from_index(df, html, [StructField("field", _TEXT), StructField("_value", _TEXT)], read)
+    return rows.select(*cols(_others(df, html)), "field", F.expr(strip(H.bare_text("_value"))).alias("raw_value"))
 
-    kept = cols(_others(df, html))
-    hits = F.expr(let(H.drop_noise(name(html)), pairs))
-    found = df.select(*kept, F.inline(hits).alias("field", "_hit"))
-    spans = found.select(*kept, "field", F.expr(f"{H.element('_hit', value)}.inner").alias("_value"))
-    values = F.expr(strip(H.bare_text("_value"))).alias("raw_value")
-    return spans.filter("_value IS NOT NULL").select(*kept, "field", values)
+
+def page_fields(df: DataFrame, html: str, picks: Mapping[str, Pick]) -> DataFrame:
+    """One row per page: the other columns and the raw HTML (or list) of each pick."""
+
+    def read(index: Index) -> Iterator[tuple]:
+        yield tuple(index.value(p) for p in picks.values())
+
+    return from_index(df, html, [StructField(n, _TEXTS if p.many else _TEXT) for n, p in picks.items()], read)
+
+
+# Fixed value: the element that holds an article's text.
+MAIN = Find("div", "entry-content")
+
+
+def main_text(df: DataFrame, html: str, text: str, container: Find = MAIN) -> DataFrame:
+    """The other columns and ``text``: paragraphs of the container, of the whole page where there is none.
+
+    Joined by spaces; of null pages it is empty.
+    """
+
+    def read(index: Index) -> Iterator[tuple]:
+        place = index.first(container, None)
+        yield ([index.inner(n) for n in index.all(Find("p"), None if place is None else index.inside(place))],)
+
+    rows = from_index(df, html, [StructField("_paragraphs", _TEXTS)], read)
+    return rows.select(*cols(_others(df, html)), F.expr(f"array_join({transform('_paragraphs', H.spaced_text)}, ' ')").alias(text))
 
 
 def indicator_rows(df: DataFrame, payload: str, window: tuple[int, int]) -> DataFrame:
@@ -252,6 +296,6 @@ def indicator_rows(df: DataFrame, payload: str, window: tuple[int, int]) -> Data
 
 def page_links(df: DataFrame, html: str, pattern: str | None = None) -> DataFrame:
     """Links of a page: the other columns, ``link_no``, ``href`` and ``label``."""
-    fields = {"href": H.attribute("card.open", "href"), "label": H.joined_text("card.inner")}
-    links = html_cards(df, html, H.open_tag("a"), fields, required="href", pattern=pattern)
-    return links.withColumnRenamed("card_no", "link_no")
+    picks = {"href": Pick(((),), attribute="href"), "label": Pick(((),))}
+    links = html_cards(df, html, Find("a"), picks, required="href", pattern=pattern)
+    return links.select(*cols(_others(df, html)), F.col("card_no").alias("link_no"), F.expr(H.unescape("href")).alias("href"), F.expr(H.joined_text("label")).alias("label"))

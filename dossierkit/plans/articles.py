@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossierkit.functions.html import main_text
 from dossierkit.functions.sqltext import cols
 from dossierkit.functions.text import strip
-from dossierkit.operators.extract import article_cards, page_links
+from dossierkit.operators.extract import article_cards, main_text, page_links
 from dossierkit.operators.resolve import last_wins, skew_left_join
 from dossierkit.operators.retrieve import chunk_text, compose_document
 
@@ -45,7 +44,7 @@ def articles(listing: DataFrame, details: DataFrame) -> DataFrame:
     cards = article_cards(listing.select("page_id", "html"), "html")
     linked = page_links(listing.select("html"), "html").select(F.expr(strip("href")).alias("Link")).distinct()
     fetched = details.select(F.col("url").alias("Link"), "ordinal", "html").join(linked, "Link", "left_semi")
-    texts = last_wins(fetched, ["Link"], ["ordinal"]).select("Link", F.expr(main_text("html")).alias("Full Article"))
+    texts = main_text(last_wins(fetched, ["Link"], ["ordinal"]), "html", "Full Article")
     joined = skew_left_join(cards, texts, "Link", ["page_id", "card_no"])
     full = F.coalesce("`Full Article`", F.lit(""))
     return joined.withColumn("Full Article", full).select("page_id", "card_no", *cols(ARTICLE_COLUMNS))
