@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from dossierkit.catalog.common import AS_OF, WINDOW, YEARS, cents, grouped, money, table, text, whole
 from dossierkit.functions.shares import RELIGION_RULES
+from dossierkit.operators.counts import Counts
 from dossierkit.plans import country_profile as profile
 from dossierkit.plans import strength_matrix as strength
 from dossierkit.sources.dims import DETAIL_LABELS, INDICATORS, METRIC_NAMES, country_dim
-from dossierkit.sources.sinks import read_csv, shared_folder, write_csv, write_json
+from dossierkit.sources.sinks import complete_exports, shared_folder, staged, write_csv
 
 # Customers stand for countries: every source grows with the customer and order tables.
 _K = "c_custkey"
@@ -221,21 +222,20 @@ def country_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The profile written as CSV and JSON, and the CSV read back; the countries come out of a CSV file."""
+    """The profile exported as CSV and JSON, and the CSV read back; the countries come out of a CSV file."""
     landed = landed_sources(spark, sf_dir)
     path = shared_folder(spark, "profile")
     write_csv(landed.spine, f"{path}/countries", landed.spine.columns)
-    built = profile.country_profile(replace(landed, spine=country_dim(spark, f"{path}/countries")), AS_OF)
-    profile.export_profile(built, f"{path}/json", f"{path}/csv")
-    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in profile.profile_table(built).schema.fields]
-    return read_csv(spark, f"{path}/csv", ", ".join(columns))
+    landed = replace(landed, spine=country_dim(spark, f"{path}/countries"))
+    done = profile.export_profile(landed, AS_OF, f"{path}/exports")
+    return profile.exported_table(spark, done, AS_OF)
 
 
 def profile_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The religion texts and shares of the profile, written as JSON and read back."""
-    path = shared_folder(spark, "profile-json")
-    records = profile.profile_records(profile.country_profile(landed_sources(spark, sf_dir), AS_OF))
-    write_json(records, path)
+    """The religion texts and shares of the profile's last export, read back from its JSON."""
+    folder = shared_folder(spark, "profile-json")
+    profile.export_profile(landed_sources(spark, sf_dir), AS_OF, folder)
+    path = complete_exports(spark, folder)[-1].path("json")
     back = spark.read.schema("`Country` string, `Religions (Factbook)` string, `Religions Parsed` map<string,double>").json(path)
     shares = F.map_entries("`Religions Parsed`")
     return back.select(
@@ -246,8 +246,11 @@ def profile_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many payloads and records of the profile's sources could not be read."""
-    return profile.bad_sources(landed_sources(spark, sf_dir))
+    """Payloads, records and countries of the profile and how many could not be used, counted by the pass that builds it."""
+    counts = Counts()
+    built = profile.country_profile(landed_sources(spark, sf_dir), AS_OF, counts)
+    staged(counts.watched(built, profile.COUNTRIES, bad=F.col(f"`{profile.FACTBOOK_NAME}`").isNull()))
+    return counts.table(spark)
 
 
 def _shares_sql() -> str:
@@ -437,10 +440,11 @@ ORACLE = {
     """,
     "source_report": """
         with payloads as (select count(distinct o_custkey) as n from orders),
-        records as (select c_custkey % 11 = 0 as bad from customer, (values (0), (1)) as t(region_no)
-                    where not (c_custkey % 6 = 5 or (region_no = 0 and c_custkey % 2 = 0)))
+        records as (select c_custkey % 11 = 0 as bad from customer where c_custkey % 6 <> 5)
         select 'indicator payloads' as source, cast(3 * n as bigint) as n, cast(0 as bigint) as n_bad from payloads
         union all select 'factbook records', count(*), count(*) filter (where bad) from records
+        union all select 'countries', count(*), count(*) filter (where c_custkey % 6 = 5 or c_custkey % 11 = 0)
+            from customer where c_custkey % 97 <> 0
     """,
     "site_matrix": _matrix_sql(),
 }

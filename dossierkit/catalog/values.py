@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossierkit.catalog.common import squeeze, WINDOW, cents, grouped, money, table, text, whole
-from dossierkit.functions import jsonx, shares
+from dossierkit.functions import shares
 from dossierkit.functions import text as T
 from dossierkit.functions.sqltext import let, transform
-from dossierkit.operators.extract import indicator_rows as rows_of_payload
+from dossierkit.operators import records
+from dossierkit.operators.records import indicator_rows as rows_of_payload
 from dossierkit.operators.resolve import explode_entities as names_of_cell
 
 
@@ -103,35 +104,30 @@ _PROFILE = f"""'{{"People and Society":{{"Population":' ||
 def json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population and name with their fallbacks."""
     profiles = table(spark, sf_dir, "customer", "c_custkey").select("c_custkey", F.expr(_PROFILE).alias("body"))
-    parsed = profiles.withColumn("v", F.try_parse_json("body"))
-    people = ("People and Society", "Population")
-    total = f"nullif({jsonx.json_text('v', *people, 'total', source='body')}, 'N/A')"
-    name = T.first_text(
-        jsonx.json_text("v", "Government", "Country name", "conventional short form", default=None),
-        jsonx.json_text("v", "Government", "Country name", "conventional long form", default=None),
-        default="Unknown",
-    )
-    return parsed.selectExpr(
-        "c_custkey",
-        f"coalesce({total}, {jsonx.json_text('v', *people, source='body')}) AS population",
-        f"{name} AS name",
-    )
+    people, names = ("People and Society", "Population"), ("Government", "Country name")
+    fields = {
+        "total": records.json_text(*people, "total"),
+        "all": records.json_text(*people),
+        "short": records.json_text(*names, "conventional short form", default=None),
+        "long": records.json_text(*names, "conventional long form", default=None),
+    }
+    name = T.first_text("short", "long", default="Unknown")
+    found = records.json_fields(profiles, "body", fields)
+    return found.selectExpr("c_custkey", "coalesce(nullif(total, 'N/A'), `all`) AS population", f"{name} AS name")
 
 
 def latest_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = table(spark, sf_dir, "customer", "c_custkey").select("c_custkey", F.expr(_PROFILE).alias("body"))
     field = "Real GDP per capita"
-    latest = jsonx.latest_year_text("try_parse_json(body)", "Economy", field, base=field)
-    return profiles.selectExpr("c_custkey", f"{latest} AS gdp").selectExpr("*", f"{T.clean_numeric('gdp')} AS number")
+    found = records.json_fields(profiles, "body", {"gdp": records.latest_year_text("Economy", field, base=field)})
+    return found.selectExpr("c_custkey", "gdp", f"{T.clean_numeric('gdp')} AS number")
 
 
 def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON texts as they are: a number is no text, an object is its JSON."""
-    events = table(spark, sf_dir, "events", "event_id").withColumn("v", F.try_parse_json("props"))
-    whole_text = jsonx.json_text("v", source="props")
-    return events.selectExpr(
-        "event_id", f"{jsonx.json_text('v', 'k')} AS k", f"{T.clean_numeric(whole_text)} AS number"
-    )
+    events = table(spark, sf_dir, "events", "event_id").select("event_id", "props")
+    found = records.json_fields(events, "props", {"k": records.json_text("k"), "whole": records.json_text()})
+    return found.selectExpr("event_id", "k", f"{T.clean_numeric('whole')} AS number")
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Rows out of landed pages and payloads. Everything here is row-local: no shuffle.
+"""Rows out of landed pages. Everything here is row-local: no shuffle.
 
 Pages are read through a structural index (``functions.structure``): an Arrow function cuts each page
 once and hands on the raw HTML of rows, cards and fields; their texts are made by Spark expressions.
@@ -10,15 +10,12 @@ import re
 import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from dossierkit.functions import html as H
-from dossierkit.functions.jsonx import indicator_points
-from dossierkit.functions.sqltext import col, cols, keep, let, name, transform
+from dossierkit.functions.sqltext import col, cols, let, name, transform
 from dossierkit.functions.structure import Find, Index, Pick, field, plain_text
 from dossierkit.functions.text import (
     date_items,
@@ -30,52 +27,18 @@ from dossierkit.functions.text import (
     strip,
     updated,
 )
+from dossierkit.operators.arrow import records_of
 
 # Tasks get the helpers of this module with their function: executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Records that are handed on at a time.
-BATCH_ROWS = 2048
-
-_TEXT, _TEXTS = StringType(), ArrayType(StringType())
-_ARROW = {"string": pa.string(), "array": pa.list_(pa.string()), "integer": pa.int32()}
-
-
 def _others(df: DataFrame, column: str) -> list[str]:
     return [c for c in df.columns if c != column]
 
 
-def from_index(df: DataFrame, html: str, fields: Sequence[StructField], read: Callable[[Index], Iterator[tuple]]) -> DataFrame:
+def from_index(df: DataFrame, html: str, fields: Sequence[tuple[str, str]], read: Callable[[Index], Iterator[tuple]]) -> DataFrame:
     """For each page the records that ``read`` takes from its index, beside the page's other columns."""
-    kept = _others(df, html)
-    clean = F.expr(f"coalesce({H.drop_noise(name(html))}, '')").alias("_html")
-    kinds = [_ARROW[f.dataType.typeName()] for f in fields]
-    titles = [*kept, *[f.name for f in fields]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[int] = []
-            records: list[tuple] = []
-
-            def made() -> pa.RecordBatch:
-                take = pa.array(rows, pa.int64())
-                same = [batch.column(i).take(take) for i in range(batch.num_columns - 1)]
-                return pa.RecordBatch.from_arrays([*same, *[pa.array(v, k) for v, k in zip(zip(*records), kinds)]], titles)
-
-            for i, page in enumerate(batch.column(batch.num_columns - 1)):
-                for record in read(Index(page.as_py())):
-                    rows.append(i)
-                    records.append(record)
-                if len(rows) >= BATCH_ROWS:
-                    yield made()
-                    rows, records = [], []
-            if rows:
-                yield made()
-
-    same = [StructField(c, df.schema[c].dataType) for c in kept]
-    # Names with dots would be read as fields of structs there.
-    numbered = [col(c).alias(f"_{i}") for i, c in enumerate(kept)]
-    return df.select(*numbered, clean).mapInArrow(run, StructType([*same, *fields]))
+    return records_of(df, html, H.drop_noise(name(html)), fields, lambda page: read(Index(page)))
 
 
 def html_table_rows(
@@ -124,7 +87,7 @@ def html_table_rows(
             if len(cells) >= min_cells:
                 yield row_no, cells
 
-    rows = from_index(df, html, [StructField("row_no", IntegerType()), StructField("cells", _TEXTS)], read)
+    rows = from_index(df, html, [("row_no", "int"), ("cells", "texts")], read)
     texts = F.expr(transform("cells", H.stripped_text)).alias("cells")
     return rows.select(*cols(_others(df, html)), "row_no", texts)
 
@@ -152,7 +115,7 @@ def html_cards(
                 yield card_no, *values
 
     place = list(picks).index(required) if required else 0
-    fields = [StructField("card_no", IntegerType()), *[StructField(n, _TEXTS if p.many else _TEXT) for n, p in picks.items()]]
+    fields = [("card_no", "int"), *[(n, "texts" if p.many else "string") for n, p in picks.items()]]
     out = from_index(df, html, fields, read)
     if required:
         value = F.expr(H.unescape(name(required)))
@@ -256,7 +219,7 @@ def label_values(
             if found is not None:
                 yield title, index.inner(found)
 
-    rows = from_index(df, html, [StructField("field", _TEXT), StructField("_value", _TEXT)], read)
+    rows = from_index(df, html, [("field", "string"), ("_value", "string")], read)
     return rows.select(*cols(_others(df, html)), "field", F.expr(strip(H.bare_text("_value"))).alias("raw_value"))
 
 
@@ -266,7 +229,7 @@ def page_fields(df: DataFrame, html: str, picks: Mapping[str, Pick]) -> DataFram
     def read(index: Index) -> Iterator[tuple]:
         yield tuple(index.value(p) for p in picks.values())
 
-    return from_index(df, html, [StructField(n, _TEXTS if p.many else _TEXT) for n, p in picks.items()], read)
+    return from_index(df, html, [(n, "texts" if p.many else "string") for n, p in picks.items()], read)
 
 
 # Fixed value: the element that holds an article's text.
@@ -283,17 +246,10 @@ def main_text(df: DataFrame, html: str, text: str, container: Find = MAIN) -> Da
         place = index.first(container, None)
         yield ([index.inner(n) for n in index.all(Find("p"), None if place is None else index.inside(place))],)
 
-    rows = from_index(df, html, [StructField("_paragraphs", _TEXTS)], read)
+    rows = from_index(df, html, [("_paragraphs", "texts")], read)
     return rows.select(*cols(_others(df, html)), F.expr(f"array_join({transform('_paragraphs', H.spaced_text)}, ' ')").alias(text))
 
 
-def indicator_rows(df: DataFrame, payload: str, window: tuple[int, int]) -> DataFrame:
-    """Long rows of indicator payloads: the other columns, ``pos``, ``year`` and ``value``."""
-    start, end = window
-    points = keep(indicator_points(name(payload)), lambda p: f"{p}.year BETWEEN {start} AND {end}")
-    return df.select(*cols(_others(df, payload)), F.inline(F.expr(points)))
-
-
 def page_links(df: DataFrame, html: str, pattern: str | None = None) -> DataFrame:
     """Links of a page: the other columns, ``link_no``, ``href`` and ``label``."""
     picks = {"href": Pick(((),), attribute="href"), "label": Pick(((),))}

@@ -5,15 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierkit.functions.jsonx import indicator_points, json_text, latest_year_text
-from dossierkit.functions.shares import parse_shares, share_slots, shares_map
+from dossierkit.functions.shares import SLOTS, parse_shares, share_slots, shares_map
 from dossierkit.functions.sqltext import col, cols, name
 from dossierkit.functions.text import country_key, first_text, lookup, normalise_name, year_window
-from dossierkit.operators.counts import bad_records, observed
-from dossierkit.operators.extract import html_table_rows, indicator_rows
+from dossierkit.operators.counts import Counts
+from dossierkit.operators.extract import html_table_rows
+from dossierkit.operators.records import BAD_RECORD, json_fields, json_text, latest_year_text, payload_points, payload_rows
 from dossierkit.operators.resolve import Source, candidate_urls, candidates, distinct_codes, enrich, explode_entities, first_available, last_wins
 from dossierkit.operators.shape import clean_columns, has_name, indicator_pivot
 from dossierkit.sources.dims import (
@@ -26,7 +26,7 @@ from dossierkit.sources.dims import (
     REGIONS,
 )
 from dossierkit.sources.landed import fetched, fetched_pages
-from dossierkit.sources.sinks import write_csv, write_json
+from dossierkit.sources.sinks import Export, export, read_csv, write_csv, write_json
 
 # Columns of the profile, and the headers that mark the source tables.
 IDENTITY = ["Country", "Alpha-2", "Alpha-3", "Numeric Code"]
@@ -121,66 +121,87 @@ def life_table(pages: DataFrame) -> DataFrame:
     return _named_rows(rows, LIFE)
 
 
-def factbook_table(log: DataFrame) -> DataFrame:
+# Names of the counts that a profile takes on its way.
+PAYLOADS, RECORDS, COUNTRIES = "indicator payloads", "factbook records", "countries"
+
+
+def factbook_table(log: DataFrame, counts: Counts | None = None) -> DataFrame:
     """``log(code, region_no, status, body)`` to the last factbook record of each name.
 
     The first region that answered counts, even when its body is not JSON: such a code gives no
-    record. An object that repeats a key keeps the last one, so the session is set to read it.
+    record, and ``counts`` shows how many of those that answered. Of keys that an object repeats the
+    last one counts.
     """
-    log.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    answered = first_available(log, ["code"], ["region_no"], fetched(F.col("status")))
-    objects = answered.filter(F.rlike("body", F.lit(r"^\s*\{")))
-    parsed = objects.withColumn("v", F.try_parse_json("body")).filter(F.col("v").isNotNull())
-
-    def text(*keys: str, default: str | None = "N/A") -> str:
-        return json_text("v", *keys, default=default, source="body")
-
-    def latest(field: str) -> str:
-        return latest_year_text("v", "Economy", field, base=field, source="body")
+    answered = first_available(log, ["code"], ["region_no"], fetched(F.col("status"))).filter("region_no IS NOT NULL")
 
-    def total(*keys: str) -> str:
-        return f"coalesce(nullif({text(*keys, 'total')}, 'N/A'), {text(*keys)})"
+    def total(name: str) -> str:
+        return f"coalesce(nullif({name}_total, 'N/A'), {name})"
 
     # Where the fields of a record are.
     people, economy = "People and Society", "Economy"
     sectors = "GDP - composition, by sector of origin"
-    country_name = first_text(
-        text("Government", "Country name", "conventional short form", default=None),
-        text("Government", "Country name", "conventional long form", default=None),
-        default="Unknown",
-    )
+    parsed = {
+        "short": json_text("Government", "Country name", "conventional short form", default=None),
+        "long": json_text("Government", "Country name", "conventional long form", default=None),
+        "religions": json_text(people, "Religions"),
+        "population_total": json_text(people, "Population", "total"),
+        "population": json_text(people, "Population"),
+        "growth": json_text(people, "Population growth rate"),
+        "young": json_text(people, "Age structure", "0-14 years"),
+        "adult": json_text(people, "Age structure", "15-64 years"),
+        "old": json_text(people, "Age structure", "65 years and over"),
+        "unemployment_total": json_text(economy, "Unemployment rate", "total"),
+        "unemployment": json_text(economy, "Unemployment rate"),
+        "official": json_text(economy, "GDP (official exchange rate)"),
+        **{part: json_text(economy, sectors, part) for part in ("agriculture", "industry", "services")},
+        **{
+            short: latest_year_text(economy, title, base=title)
+            for short, title in {
+                "ppp": "Real GDP (purchasing power parity)",
+                "real": "Real GDP growth rate",
+                "head": "Real GDP per capita",
+                "inflation": "Inflation rate (consumer prices)",
+            }.items()
+        },
+    }
     fields = {
-        FACTBOOK_NAME: normalise_name(country_name, FACTBOOK_ALIASES),
-        RELIGIONS: text(people, "Religions"),
-        "Population (Factbook)": total(people, "Population"),
-        "Population Growth Rate (Factbook)": text(people, "Population growth rate"),
-        "Age Structure 0-14% (Factbook)": text(people, "Age structure", "0-14 years"),
-        "Age Structure 15-64% (Factbook)": text(people, "Age structure", "15-64 years"),
-        "Age Structure 65+% (Factbook)": text(people, "Age structure", "65 years and over"),
-        "Unemployment Rate (Factbook)": total(economy, "Unemployment rate"),
-        "GDP (PPP) (Factbook)": latest("Real GDP (purchasing power parity)"),
-        "GDP Growth Rate (Factbook)": latest("Real GDP growth rate"),
-        "GDP Per Capita (PPP) (Factbook)": latest("Real GDP per capita"),
-        "GDP (Official Exchange Rate) (Factbook)": text(economy, "GDP (official exchange rate)"),
-        "Inflation Rate (Factbook)": latest("Inflation rate (consumer prices)"),
-        "GDP Comp. - Agriculture % (Factbook)": text(economy, sectors, "agriculture"),
-        "GDP Comp. - Industry % (Factbook)": text(economy, sectors, "industry"),
-        "GDP Comp. - Services % (Factbook)": text(economy, sectors, "services"),
+        FACTBOOK_NAME: normalise_name(first_text("short", "long", default="Unknown"), FACTBOOK_ALIASES),
+        RELIGIONS: "religions",
+        "Population (Factbook)": total("population"),
+        "Population Growth Rate (Factbook)": "growth",
+        "Age Structure 0-14% (Factbook)": "young",
+        "Age Structure 15-64% (Factbook)": "adult",
+        "Age Structure 65+% (Factbook)": "old",
+        "Unemployment Rate (Factbook)": total("unemployment"),
+        "GDP (PPP) (Factbook)": "ppp",
+        "GDP Growth Rate (Factbook)": "real",
+        "GDP Per Capita (PPP) (Factbook)": "head",
+        "GDP (Official Exchange Rate) (Factbook)": "official",
+        "Inflation Rate (Factbook)": "inflation",
+        "GDP Comp. - Agriculture % (Factbook)": "agriculture",
+        "GDP Comp. - Industry % (Factbook)": "industry",
+        "GDP Comp. - Services % (Factbook)": "services",
     }
-    records = parsed.select("code", "region_no", *[F.expr(e).alias(n) for n, e in fields.items()])
+    found = json_fields(answered.select("code", "region_no", "body"), "body", parsed)
+    if counts:
+        found = counts.watched(found, RECORDS, bad=col(BAD_RECORD))
+    records = found.filter(~col(BAD_RECORD)).select("code", "region_no", *[F.expr(e).alias(n) for n, e in fields.items()])
     keyed = records.withColumn("key", F.lower(col(FACTBOOK_NAME)))
     return last_wins(keyed, ["key"], ["region_no", "code"])
 
 
-def indicator_table(payloads: DataFrame, as_of: dt.date) -> DataFrame:
+def indicator_table(payloads: DataFrame, as_of: dt.date, counts: Counts | None = None) -> DataFrame:
     """``payloads(country_code, indicator, ordinal, status, body)`` to one row per code with year columns.
 
-    The last payload that has a value for a cell counts; a null value counts as well.
+    The last payload that has a value for a cell counts; a null value counts as well. ``counts``
+    shows the payloads, and how many cannot be read.
     """
     window = year_window(as_of)
     landed = payloads.filter(fetched(F.col("status")) & F.col("indicator").isin(*INDICATORS))
-    rows = indicator_rows(landed.select("country_code", "indicator", "ordinal", "body"), "body", window)
-    named = rows.withColumn("indicator", F.expr(normalise_name("indicator", INDICATORS)))
+    points = payload_points(landed.select("country_code", "indicator", "ordinal", "body"), "body", window)
+    if counts:
+        points = counts.watched(points, PAYLOADS, rows=F.col("pos") < 0, bad=col(BAD_RECORD))
+    named = payload_rows(points).withColumn("indicator", F.expr(normalise_name("indicator", INDICATORS)))
     years = range(window[0], window[1] + 1)
     return indicator_pivot(named, ["country_code"], list(INDICATORS.values()), years, ordinal="ordinal")
 
@@ -242,10 +263,11 @@ def landed_pages(spine: DataFrame, pages: DataFrame, payloads: DataFrame, log: D
     return Landed(spine, of(CURRENCY_URL), payloads, of(POPULATION_URL), of(LIFE_URL), log)
 
 
-def country_profile(landed: Landed, as_of: dt.date) -> DataFrame:
+def country_profile(landed: Landed, as_of: dt.date, counts: Counts | None = None) -> DataFrame:
     """One row per country of the spine: the flat columns, the religion text and the parsed shares.
 
-    All five sources come in by one join: four by names, the indicators by code.
+    All five sources come in by one join: four by names, the indicators by code. ``counts`` takes
+    how many payloads and records there were, and how many could not be read, in the same pass.
     """
     spine = has_name(landed.spine.select(*cols(IDENTITY)), "Country")
     raw = country_key("Country")
@@ -253,13 +275,13 @@ def country_profile(landed: Landed, as_of: dt.date) -> DataFrame:
     names = [normalise_name(raw, MATCH_ALIASES), raw, normalise_name(raw, CURRENCY_ALIASES)]
     keys = [F.expr(k) for k in (*names, f"{CODE_MARK} || {code}")]
     marked = landed.indicator_payloads.withColumn("country_code", F.expr(f"{CODE_MARK} || country_code"))
-    indicators = indicator_table(marked, as_of)
+    indicators = indicator_table(marked, as_of, counts)
     years = [c for c in indicators.columns if c != "country_code"]
     sources = {
         "currency": Source(currency_table(landed.currency_pages), "key", 3),
         "population": Source(population_table(landed.population_pages), "key", 2),
         "life": Source(life_table(landed.life_pages), "key", 2),
-        "factbook": Source(factbook_table(landed.factbook_log), "key", 2),
+        "factbook": Source(factbook_table(landed.factbook_log, counts), "key", 2),
         "indicators": Source(indicators, "country_code", 4),
     }
     found = enrich(spine, keys, sources)
@@ -284,29 +306,44 @@ def profile_records(profile: DataFrame) -> DataFrame:
     return profile.withColumn(RELIGIONS_PARSED, F.expr(shares_map(name(RELIGIONS_PARSED))))
 
 
+def table_columns(as_of: dt.date) -> list[tuple[str, str]]:
+    """Names and types of the flat table."""
+    first, last = year_window(as_of)
+    years = [f"{i} {y}" for i in INDICATORS.values() for y in range(first, last + 1)]
+    texts, numbers = [*IDENTITY, *CURRENCY], [*years, *POPULATION, *LIFE]
+    slots = [(f"Religion {i} {part}", kind) for i in range(1, SLOTS + 1) for part, kind in (("Name", "string"), ("Percentage", "double"))]
+    return [
+        *[(c, "string") for c in texts],
+        *[(c, "double") for c in numbers],
+        (FACTBOOK_NAME, "string"),
+        *[(c, "double") for c in FACTBOOK],
+        *slots,
+    ]
+
+
 def profile_table(profile: DataFrame) -> DataFrame:
     """The flat table: declared columns in order, shares as slots."""
     flat = [c for c in profile.columns if c not in (RELIGIONS, RELIGIONS_PARSED)]
     return profile.selectExpr(*cols(flat), *share_slots(name(RELIGIONS_PARSED)))
 
 
-def bad_sources(landed: Landed) -> DataFrame:
-    """``source, n, n_bad``: fetched payloads and records that the profile leaves out because they cannot be read."""
-    payloads = landed.indicator_payloads.filter(fetched(F.col("status")))
-    records = landed.factbook_log.filter(fetched(F.col("status")))
-    points = F.expr(indicator_points("body"))
-    return bad_records(
-        {
-            "indicator payloads": (payloads, points.isNull()),
-            "factbook records": (records, ~F.rlike("body", F.lit(r"^\s*\{")) | F.try_parse_json("body").isNull()),
-        }
-    )
+def export_profile(landed: Landed, as_of: dt.date, folder: str) -> Export:
+    """The profile of landed sources as ``json`` (nested records) and ``csv`` (flat table), worked out once.
+
+    Its ``counts`` hold the payloads and records that were read, those that could not be, and the
+    countries without a record.
+    """
+    counts = Counts()
+    profile = counts.watched(country_profile(landed, as_of, counts), COUNTRIES, bad=col(FACTBOOK_NAME).isNull())
+
+    def as_csv(staged: DataFrame, path: str) -> None:
+        table = profile_table(staged)
+        write_csv(table, path, table.columns)
+
+    writers = {"csv": as_csv, "json": lambda staged, path: write_json(profile_records(staged), path)}
+    return export(profile, folder, writers, counts)
 
 
-def export_profile(profile: DataFrame, json_path: str, csv_path: str) -> Observation:
-    """Nested records as JSON and the flat table as CSV; counts of what was written, and of countries without a record."""
-    table = profile_table(profile)
-    watched, seen = observed(table, "profile", no_factbook=col(FACTBOOK_NAME).isNull())
-    write_csv(watched, csv_path, table.columns)
-    write_json(profile_records(profile), json_path)
-    return seen
+def exported_table(spark: SparkSession, exported: Export, as_of: dt.date) -> DataFrame:
+    """The flat table of an export, read back from its CSV files."""
+    return read_csv(spark, exported.path("csv"), ", ".join(f"{name(c)} {kind}" for c, kind in table_columns(as_of)))

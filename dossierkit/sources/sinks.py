@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossierkit.functions.sqltext import col
+from dossierkit.operators.counts import Counts
 
 LIST_SEPARATOR = "; "
 
@@ -47,3 +52,61 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+# Name of what an export writes last.
+MARKER = "complete"
+
+
+@dataclass(frozen=True)
+class Export:
+    """A complete export: where its formats are, and what was counted while it was made."""
+
+    folder: str
+    version: str
+    formats: tuple[str, ...]
+    counts: dict[str, tuple[int, int]] = field(default_factory=dict)
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{self.version}/{name}"
+
+
+def staged(df: DataFrame, name: str = "staged") -> DataFrame:
+    """Rows worked out once: written as Parquet to the shared folder and read again."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def export(
+    df: DataFrame, folder: str, writers: Mapping[str, Callable[[DataFrame, str], None]], counts: Counts | None = None
+) -> Export:
+    """Rows in several formats below ``folder/<version>``, out of one evaluation.
+
+    The rows are staged first, so all formats hold the same. A marker with the counts is written
+    when all formats are there: ``complete_exports`` shows only those, so a reader never sees half
+    an export, and an export that failed or was killed leaves the one before in force. Versions
+    sort by the time they began.
+    """
+    spark = df.sparkSession
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    rows = staged(df)
+    for name, write in writers.items():
+        write(rows, f"{folder}/{version}/{name}")
+    done = Export(folder, version, tuple(writers), counts.read() if counts else {})
+    said = json.dumps({"version": version, "formats": done.formats, "counts": done.counts})
+    spark.createDataFrame([(said,)], "value string").coalesce(1).write.text(f"{folder}/{version}/{MARKER}")
+    return done
+
+
+def complete_exports(spark: SparkSession, folder: str) -> list[Export]:
+    """The complete exports of a folder, the last one last."""
+    try:
+        lines = spark.read.text(f"{folder}/*/{MARKER}").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    found = [json.loads(r["value"]) for r in lines]
+    made = [Export(folder, f["version"], tuple(f["formats"]), {k: tuple(v) for k, v in f["counts"].items()}) for f in found]
+    return sorted(made, key=lambda e: e.version)

@@ -2,7 +2,11 @@
 
 import datetime as dt
 import json
+from dataclasses import replace
 
+from pyspark.sql import functions as F
+
+from dossierkit.operators.counts import Counts
 from dossierkit.operators.extract import article_cards, html_table_rows, label_values, page_links
 from dossierkit.plans import articles as A
 from dossierkit.plans import country_profile as C
@@ -129,6 +133,39 @@ def test_country_profile(spark):
     assert kosovo["Factbook Country Name"] is None
 
 
+def test_profile_counts_and_does_not_depend_on_the_session(spark, tmp_path):
+    """A record with repeated keys is read alike under every setting, and nothing sets one."""
+    setting = "spark.sql.variant.allowDuplicateKeys"
+    one = landed(spark)
+    twice = factbook("Kosovo").replace('{"Government"', '{"Government":{"x":1},"Government"')
+    log = one.factbook_log.filter("code <> 'xx' OR region_no > 0").withColumn("body", F.when(F.col("code") == "xx", F.lit(twice)).otherwise(F.col("body")))
+    log = log.union(spark.createDataFrame([("yy", 0, 200, "{oops"), ("zz", 0, 404, "{oops")], log.schema))
+    before, profiles = spark.conf.get(setting), []
+    for value in ("true", "false"):
+        spark.conf.set(setting, value)
+        counts = Counts()
+        profile = C.country_profile(replace(one, factbook_log=log), AS_OF, counts)
+        rows = profile.orderBy("Country").collect()
+        assert spark.conf.get(setting) == value
+        # fetched: four payloads and of the records one that is no JSON
+        assert counts.read() == {C.PAYLOADS: (4, 1), C.RECORDS: (5, 1)}
+        profiles.append([r.asDict() for r in rows])
+    spark.conf.set(setting, before)
+    assert profiles[0] == profiles[1]
+    assert {r["Country"]: r["Factbook Country Name"] for r in profiles[0]}["Kosovo"] == "Kosovo"
+
+
+def test_export_of_a_profile(spark, plan, tmp_path):
+    one = landed(spark)
+    done = C.export_profile(one, AS_OF, str(tmp_path / "out"))
+    assert done.counts == {C.PAYLOADS: (4, 1), C.RECORDS: (4, 1), C.COUNTRIES: (5, 4)}
+    back = C.exported_table(spark, done, AS_OF)
+    flat = C.profile_table(C.country_profile(one, AS_OF))
+    assert C.table_columns(AS_OF) == [(f.name, f.dataType.simpleString()) for f in flat.schema]
+    assert back.orderBy("Country").collect() == flat.orderBy("Country").collect()
+    assert spark.read.json(done.path("json")).count() == 5
+
+
 def test_sources_out_of_one_page_table(spark):
     one = landed(spark)
     urls = {C.CURRENCY_URL: one.currency_pages, C.POPULATION_URL: one.population_pages, C.LIFE_URL: one.life_pages}

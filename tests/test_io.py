@@ -1,6 +1,10 @@
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from dossierkit.catalog import common
+from dossierkit.operators.counts import Counts
 from dossierkit.plans.articles import CSV_COLUMNS
 from dossierkit.sources import dims, landed, sinks
 
@@ -85,3 +89,35 @@ def test_dims(spark, evaluate, tmp_path):
 def test_spread(spark):
     assert common.spread(spark.range(10).coalesce(1), "id").rdd.getNumPartitions() == 8
     assert common.spread(spark.range(10, numPartitions=20), "id").rdd.getNumPartitions() == 20
+
+
+def test_an_export_is_worked_out_once_and_shown_when_it_is_complete(spark, tmp_path):
+    folder = str(tmp_path / "exports")
+    assert sinks.complete_exports(spark, folder) == []
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    def frame(n):
+        return spark.range(n).mapInArrow(count, "id bigint")
+
+    writers = {"csv": lambda df, path: sinks.write_csv(df, path, ["id"]), "json": sinks.write_json}
+    counts = Counts()
+    first = sinks.export(counts.watched(frame(7), "rows", bad=F.col("id") > 4), folder, writers, counts)
+    assert passed.value == 7
+    assert sinks.complete_exports(spark, folder) == [first] and first.counts == {"rows": (7, 2)}
+
+    def killed(df, path):
+        df.limit(1).write.json(path)
+        raise RuntimeError("killed")
+
+    with pytest.raises(RuntimeError):
+        sinks.export(frame(8), folder, {**writers, "last": killed})
+    assert sinks.complete_exports(spark, folder) == [first]
+    assert spark.read.json(first.path("json")).count() == 7
+    second = sinks.export(frame(9), folder, writers)
+    assert sinks.complete_exports(spark, folder) == [first, second]
+    assert sinks.read_csv(spark, second.path("csv"), "id bigint").count() == 9

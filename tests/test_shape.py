@@ -3,7 +3,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from dossierkit.operators import shape as S
-from dossierkit.operators.counts import bad_records, load_counts, observed
+from dossierkit.operators.counts import Counts, load_counts, observed
 from dossierkit.operators.resolve import last_wins
 
 
@@ -70,7 +70,11 @@ def test_only_decimal_numbers_are_numeric(spark):
     assert S.to_numeric(spark.createDataFrame([(1, 2)], "i int, x int"), ["i"]).first().x == 2.0
 
 
-def test_bad_records(spark):
-    df = spark.range(10)
-    rows = bad_records({"a": (df, F.col("id") > 6), "b": (df, F.expr("if(id = 0, null, false)"))}).collect()
-    assert sorted(map(tuple, rows)) == [("a", 10, 3), ("b", 10, 1)]
+def test_counts_of_several_sources_in_one_action(spark, tmp_path):
+    counts = Counts()
+    one = counts.watched(spark.range(10), "a", bad=F.col("id") > 6)
+    two = counts.watched(spark.range(10), "b", bad=F.expr("if(id = 0, null, false)"), rows=F.col("id") < 4)
+    none = counts.watched(spark.range(0), "c", bad=F.lit(False))
+    one.join(two, "id", "full").join(none, "id", "full").write.parquet(str(tmp_path / "out"))
+    assert counts.read() == {"a": (10, 3), "b": (4, 1), "c": (0, 0)}
+    assert sorted(map(tuple, counts.table(spark).collect())) == [("a", 10, 3), ("b", 4, 1), ("c", 0, 0)]

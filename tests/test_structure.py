@@ -5,7 +5,7 @@ import random
 import pytest
 
 from dossierkit.functions.structure import Find, Index, Pick, attribute, field, plain_text
-from dossierkit.operators import extract
+from dossierkit.operators import arrow, extract
 
 
 def inner(html, *path, **more):
@@ -119,7 +119,7 @@ def test_other_columns_stay_and_pages_without_records_go(spark):
 
 @pytest.mark.parametrize("rows", [1, 3])
 def test_records_come_in_batches(spark, monkeypatch, rows):
-    monkeypatch.setattr(extract, "BATCH_ROWS", rows)
+    monkeypatch.setattr(arrow, "BATCH_ROWS", rows)
     df = spark.createDataFrame([(i, "<a href=x>y</a>" * i) for i in range(6)], "i int, html string")
     got = extract.page_links(df, "html").collect()
     assert sorted((r["i"], r["link_no"]) for r in got) == [(i, j) for i in range(6) for j in range(i)]
