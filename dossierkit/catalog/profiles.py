@@ -13,7 +13,7 @@ from dossierkit.operators.counts import Counts
 from dossierkit.plans import country_profile as profile
 from dossierkit.plans import strength_matrix as strength
 from dossierkit.sources.dims import DETAIL_LABELS, INDICATORS, METRIC_NAMES, country_dim
-from dossierkit.sources.sinks import complete_exports, shared_folder, staged, write_csv
+from dossierkit.sources.sinks import complete_exports, read_csv, shared_folder, staged, write_csv
 
 # Customers stand for countries: every source grows with the customer and order tables.
 _K = "c_custkey"
