@@ -9,7 +9,7 @@ from dossierkit.catalog.common import squeeze, table
 from dossierkit.catalog.extraction import NOISE, decoded, paragraphs_sql
 from dossierkit.functions import html as H
 from dossierkit.functions.text import WHITESPACE
-from dossierkit.operators import retrieve
+from dossierkit.operators import retrieve, vector_index
 from dossierkit.plans import articles as flow
 from dossierkit.plans.answers import answers as answer_questions
 from dossierkit.sources.landed import read_articles
@@ -120,7 +120,7 @@ _DAMAGED = """
 
 
 def knn_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nearest of the usable vectors; questions go round in blocks of four."""
+    """The nearest of the usable vectors; more than four questions stay a table."""
     corpus = table(spark, sf_dir, "embeddings").select("vec_id", F.expr(_DAMAGED).alias("vector"))
     found = retrieve.knn(
         corpus, _topics(spark, sf_dir), corpus_id="vec_id", corpus_vector="vector", query_id="label", query_vector="question", query_limit=4
@@ -128,6 +128,23 @@ def knn_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("label", F.col("rank").cast("bigint").alias("rank"), "vec_id", F.round("distance", 4).alias("distance"))
 
 
+def knn_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same nearest vectors out of an index that is written first."""
+    path = shared_folder(spark, "index")
+    index = vector_index.build(table(spark, sf_dir, "embeddings"), path, corpus_id="vec_id", corpus_vector="embedding")
+    found = vector_index.search(index, _topics(spark, sf_dir), query_id="label", query_vector="question")
+    return found.select("label", F.col("rank").cast("bigint").alias("rank"), "vec_id", F.round("distance", 4).alias("distance"))
+
+
+def knn_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three nearest vectors of every vector, itself first: as many questions as there are rows."""
+    vectors = table(spark, sf_dir, "embeddings")
+    index = vector_index.build(vectors, shared_folder(spark, "index"), corpus_id="vec_id", corpus_vector="embedding")
+    questions = vectors.select(F.col("vec_id").alias("of"), "embedding")
+    found = vector_index.search(index, questions, query_id="of", query_vector="embedding")
+    return found.select("of", F.col("rank").cast("bigint").alias("rank"), "vec_id", F.round("distance", 4).alias("distance"))
+
+
 def vector_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many of the damaged vectors a search leaves out."""
     corpus = table(spark, sf_dir, "embeddings").select("vec_id", F.expr(_DAMAGED).alias("vector"))
@@ -135,8 +152,8 @@ def vector_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assemble_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contexts of the hits; a third of the documents have no text."""
-    documents = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0").select(F.col("doc_id").alias("vec_id"), "text")
+    """Contexts of the hits."""
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
     return retrieve.assemble_context(
         hits(spark, sf_dir), documents, query_id="label", corpus_id="vec_id", text="text"
     )
@@ -153,7 +170,7 @@ def list_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Context and sources per topic, with documents as chunks; a vector without a document is a chunk without a text."""
-    documents = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0")
+    documents = table(spark, sf_dir, "documents")
     chunks = (
         table(spark, sf_dir, "embeddings")
         .join(documents, F.col("vec_id") == F.col("doc_id"), "left")
@@ -195,6 +212,8 @@ QUERIES = {
     "knn_top3": knn_top3,
     "knn_damaged": knn_damaged,
     "vector_report": vector_report,
+    "knn_pruned": knn_pruned,
+    "knn_all": knn_all,
     "assemble_context": assemble_context,
     "list_sources": list_sources,
     "answers": answers,
@@ -278,16 +297,23 @@ ORACLE = {
     + f"""select {_FIELDS["Link"]} as link, {_FIELDS["Title"]} as title, chunk_no, chunk
         from chunks join documents on id = doc_id""",
     "knn_top3": _HITS + "select label, rank, vec_id, round(distance, 4) as distance from hits",
+    "knn_pruned": _HITS + "select label, rank, vec_id, round(distance, 4) as distance from hits",
+    "knn_all": """
+        select of, rank, vec_id, round(distance, 4) as distance from (
+            select *, row_number() over (partition by of order by distance, vec_id) as rank from (
+                select q.vec_id as of, e.vec_id, list_distance(cast(q.embedding as double[]), cast(e.embedding as double[])) ** 2 as distance
+                from embeddings q, embeddings e))
+        where rank <= 3""",
     "assemble_context": _HITS
     + """select label, string_agg(coalesce(text, ''), chr(10) || chr(10) order by rank) as context
-        from hits left join documents on vec_id = doc_id and doc_id % 3 <> 0 group by label""",
+        from hits left join documents on vec_id = doc_id group by label""",
     "list_sources": _HITS
     + f"""select label, rank as idx, coalesce(
             {squeeze(decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)"))}, 'No title found') as title,
             coalesce(url, 'No link found') as url
         from hits left join pages on vec_id = page_id""",
     "answers": _HITS
-    + """, found as (select label, rank, doc_id, coalesce(text, '') as text from hits left join documents on vec_id = doc_id and doc_id % 3 <> 0),
+    + """, found as (select label, rank, doc_id, coalesce(text, '') as text from hits left join documents on vec_id = doc_id),
         contexts as (
             select label, string_agg(text, chr(10) || chr(10) order by rank) as context from found group by label)
         select label as question_id, context, rank as idx,

@@ -31,7 +31,7 @@ CONTEXT_SEPARATOR = "\n\n"
 NO_TITLE = "No title found"
 NO_LINK = "No link found"
 
-# Question vectors that travel to the tasks at a time, and their bytes.
+# Question vectors that travel to the tasks at most, and their bytes.
 QUERY_LIMIT = 4096
 QUERY_BYTES = 32 << 20
 # Hits up to this number are sent to every task of a join.
@@ -178,10 +178,11 @@ class _Nearest:
         self.distance = np.empty(0)
         self.ids = None
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, vectors: np.ndarray, allowed: np.ndarray | None = None) -> None:
+        """``allowed`` tells for each row (down) and question (across) whether they are to be compared."""
         if not len(ids) or not len(self.questions):
             return
-        row, question = self._close(vectors)
+        row, question = self._close(vectors, allowed)
         distance = ((vectors[row] - self.questions[question]) ** 2).sum(axis=1)
         ids = ids[row]
         if self.ids is not None:
@@ -196,19 +197,21 @@ class _Nearest:
         first = place < self.k
         self.question, self.distance, self.ids = question[first], distance[keep], ids[keep]
 
-    def _close(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _close(self, vectors: np.ndarray, allowed: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """Pairs that may be among the nearest: by one matrix product, with room for its rounding."""
         norms = (vectors**2).sum(axis=1)[:, None]
         rows, questions = [], []
         for at in range(0, len(self.questions), SLICE):
             part = slice(at, at + SLICE)
             rough = norms + self.norms[None, part] - 2.0 * vectors @ self.questions[part].T
+            if allowed is not None:
+                rough[~allowed[:, part]] = np.inf
             if len(vectors) > self.k:
                 bound = np.partition(rough, self.k - 1, axis=0)[self.k - 1]
                 room = 1e-9 * (1.0 + norms.max() + self.norms[part])
-                row, question = np.nonzero(rough <= bound + room)
+                row, question = np.nonzero((rough <= bound + room) & (rough < np.inf))
             else:
-                row, question = np.nonzero(np.ones_like(rough, dtype=bool))
+                row, question = np.nonzero(rough < np.inf)
             rows.append(row)
             questions.append(question + at)
         return np.concatenate(rows), np.concatenate(questions)
@@ -237,9 +240,10 @@ def knn(
 ) -> DataFrame:
     """Exact nearest neighbours by squared L2 distance: ``query_id, rank, corpus_id, distance``.
 
-    Ties go to the smaller id. Questions travel to the tasks in blocks of up to ``query_limit`` rows
-    and ``QUERY_BYTES``; the corpus stays where it is and is passed once per block. Each task keeps
-    ``k`` rows per question, and only those are shuffled.
+    Ties go to the smaller id. Up to ``query_limit`` questions and ``QUERY_BYTES`` travel to the
+    tasks, and the corpus stays where it is: each task keeps ``k`` rows per question, and only those
+    are shuffled. More questions stay a table and meet the corpus in the cells of a vector index,
+    which is written to the shared folder first.
 
     Corpus rows without an id, or whose vector is null, holds a null or a number that is not finite,
     or is not as long as the questions, are left out (``unusable_vectors`` counts them). A question
@@ -253,13 +257,17 @@ def knn(
     left = corpus.filter(col(corpus_id).isNotNull() & usable_vector(corpus_vector, size)).select(*cols([corpus_id, corpus_vector]))
     limit = max(1, min(query_limit, QUERY_BYTES // (8 * max(size, 1))))
     names = [query_id, corpus_id, "distance"]
-    near, asked = None, 0
-    for block in _blocks(right, limit):
-        asked += block.num_rows
-        found = left.mapInArrow(_per_task(names, block, k, size), _schema(left, right, names))
-        near = found if near is None else near.union(found)
-    if near is None:
-        near = left.limit(0).mapInArrow(lambda batches: iter(()), _schema(left, right, names))
+    asked = right.count()
+    if asked > limit:
+        from dossierkit.operators import vector_index
+        from dossierkit.sources.sinks import shared_folder
+
+        path = shared_folder(corpus.sparkSession, "index")
+        index = vector_index.build(left, path, corpus_id=corpus_id, corpus_vector=corpus_vector, size=size)
+        top = vector_index.search(index, right, k, query_id=query_id, query_vector=query_vector)
+        return top.hint("broadcast") if asked * k <= BROADCAST_ROWS else top
+    schema = _schema(left, right, names)
+    near = left.mapInArrow(_per_task(names, right.toArrow(), k, size), schema) if asked else left.limit(0).mapInArrow(lambda batches: iter(()), schema)
     order = Window.partitionBy(col(query_id)).orderBy("distance", col(corpus_id))
     top = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     top = top.select(*cols([query_id, "rank", corpus_id, "distance"]))
@@ -272,24 +280,6 @@ def unusable_vectors(corpus: DataFrame, vector: str, size: int) -> DataFrame:
     return corpus.agg(F.count(F.lit(1)).alias("n"), F.count_if(~usable_vector(vector, size)).alias("unusable"))
 
 
-def _blocks(questions: DataFrame, limit: int) -> Iterator[pa.Table]:
-    """The questions in tables of up to ``limit`` rows; the driver holds one at a time.
-
-    Dealt by a hash of the id, so a block has about ``limit`` rows.
-    """
-    total = questions.count()
-    parts = max(1, -(-total // limit))
-    if parts == 1:
-        if total:
-            yield questions.toArrow()
-        return
-    part = F.pmod(F.xxhash64(col(questions.columns[0])), F.lit(parts))
-    for i in range(parts):
-        block = questions.filter(part == i).toArrow()
-        if block.num_rows:
-            yield block
-
-
 def _schema(left: DataFrame, right: DataFrame, names: list[str]) -> str:
     kinds = [right.schema[0].dataType.simpleString(), left.schema[0].dataType.simpleString(), "double"]
     return ", ".join(f"{quoted(n)} {kind}" for n, kind in zip(names, kinds))
