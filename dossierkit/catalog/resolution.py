@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from dossierkit.catalog.common import AS_OF, TABLES, WINDOW, YEARS, cents, money, table, text
 from dossierkit.functions.text import country_key, in_window
-from dossierkit.operators import resolve, shape
+from dossierkit.operators import resolve, shape, state
 from dossierkit.operators.counts import load_counts as count_tables
 from dossierkit.plans import country_profile as profile
 from dossierkit.plans import maps
 from dossierkit.sources.dims import INDICATORS, MAP_EXTENSIONS, MAP_TYPES, REGIONS
 from dossierkit.sources.landed import fetched
+from dossierkit.sources.sinks import shared_folder
 
 
 def indicator_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +215,31 @@ def factbook_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("code", "region", "url")
 
 
+def settled_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as codes over two landings: what the first one settled is not tried again."""
+    log = table(spark, sf_dir, "customer").selectExpr("concat('c', c_custkey) AS code", "c_custkey", "explode(array(0, 1)) AS landing")
+    log = log.selectExpr("*", "explode(array(0, 1)) AS region_no")
+    log = log.selectExpr("code", "landing", "region_no", "if((c_custkey + 3 * landing + region_no) % 4 = 0, 200, 404) AS status", "concat(landing, '/', region_no, '/', c_custkey) AS body")
+    settled = state.State(spark, shared_folder(spark, "settled"), ("code",))
+    for landing in (0, 1):
+        found = state.settle(settled, log.filter(F.col("landing") == landing), ["landing", "region_no"], fetched(F.col("status")))
+    return found.select("code", "landing", "region_no", "body")
+
+
+def merged_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last price and last urgent status of each customer, merged out of two landings of orders."""
+    orders = table(spark, sf_dir, "orders")
+    cells = {"price": (F.lit(True), F.col("o_totalprice")), "urgent": (F.col("o_orderpriority") == PRIORITIES[0], F.col("o_orderstatus"))}
+    merged = state.State(spark, shared_folder(spark, "cells"), ("o_custkey",))
+    early = F.col("o_orderpriority") < PRIORITIES[2]
+    for landing in (orders.filter(early), orders.filter(~early)):
+        found = state.merge_cells(merged, state.cell_states(landing, ["o_custkey"], ["o_orderdate", "o_orderkey"], cells))
+    return state.cell_values(found, ["o_custkey"])
+
+
 QUERIES = {
+    "settled_landings": settled_landings,
+    "merged_last_wins": merged_last_wins,
     "indicator_requests": indicator_requests,
     "factbook_files": factbook_files,
     "indicator_pivot": indicator_pivot,
@@ -290,6 +315,17 @@ ORACLE = {
         from found
     """,
     "distinct_codes": "select distinct unnest(string_split(p_name, ' ')) as code from part",
+    "settled_landings": """
+        select 'c' || cast(c_custkey as varchar) as code, landing, region_no,
+            cast(landing as varchar) || '/' || cast(region_no as varchar) || '/' || cast(c_custkey as varchar) as body
+        from customer, (values (0), (1)) l(landing), (values (0), (1)) r(region_no) where (c_custkey + 3 * landing + region_no) % 4 = 0
+        qualify row_number() over (partition by c_custkey order by landing, region_no) = 1
+    """,
+    "merged_last_wins": f"""
+        select o_custkey, arg_max(o_totalprice, {{'d': o_orderdate, 'k': o_orderkey}}) as price,
+            arg_max(o_orderstatus, {{'d': o_orderdate, 'k': o_orderkey}}) filter (where o_orderpriority = '{PRIORITIES[0]}') as urgent
+        from orders group by o_custkey
+    """,
     "load_counts": " union all ".join(f"select '{t}' as source, count(*) as n from {t}" for t in TABLES),
     "alias_join": f"""
         with spine as (

@@ -68,6 +68,17 @@ def posted_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def typed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date texts of orders beside what they mean; some are no dates."""
+    said = F.expr(
+        "case o_orderkey % 4 when 0 then 'Posted on ' || date_format(o_orderdate, 'MMM d, yyyy') when 1 then 'Posted on ' || date_format(o_orderdate, 'EEE MMMM d yyyy') "
+        "when 2 then 'Posted Yesterday' else 'Posted on Feb 30, 2025' end"
+    )
+    orders = table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", said.alias("item"))
+    found = orders.select("o_orderkey", F.expr(T.posted("item")).alias("date_posted"))
+    return found.select("o_orderkey", "date_posted", F.expr(f"cast({T.typed_date('date_posted')} AS string)").alias("day"))
+
+
 _BYLINE = f"""case when c_custkey % 10 = 9 then ' , & ' else
     'By ' || c_name || ' and Rand' || {text('c_custkey')} || ',  Anderson & ' || c_mktsegment end"""
 
@@ -177,6 +188,7 @@ QUERIES = {
     "clean_numeric_documents": clean_numeric_documents,
     "parse_value": parse_value,
     "posted_updated": posted_updated,
+    "typed_dates": typed_dates,
     "split_authors": split_authors,
     "explode_entities": explode_entities,
     "json_text": json_text,
@@ -222,6 +234,12 @@ ORACLE = {
                 when o_orderkey % 6 = 3 then {_DAY} end as date_updated
         from orders
     """,
+    "typed_dates": """
+        select o_orderkey, case o_orderkey % 4 when 0 then strftime(o_orderdate, '%b %-d, %Y')
+                when 1 then replace(strftime(o_orderdate, '%a %B %-d %Y'), 'on ', '') when 2 then 'Yesterday' else 'Feb 30, 2025' end as date_posted,
+            case when o_orderkey % 4 = 0 or (o_orderkey % 4 = 1 and strftime(o_orderdate, '%a') <> 'Mon') then strftime(o_orderdate, '%Y-%m-%d') end as day
+        from orders
+    """,
     "split_authors": """
         select c_custkey, case when c_custkey % 10 = 9 then '' else
             c_name || '; Rand' || cast(c_custkey as varchar) || '; Anderson; ' || c_mktsegment end as authors,

@@ -110,6 +110,23 @@ def updated(c: str) -> str:
     return _date_phrase(clean_text(c), "Updated")
 
 
+# Fixed value: the first letters of the months, in order.
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
+def typed_date(c: str) -> str:
+    """Date of a date text such as 'Jan 22, 2025' or 'Mon January 6 2025'; null when it is none, or no such day."""
+    shape = quote(r"(?i)(?:^|[^a-z])([a-z]{3})[a-z]*\.?\s+([0-9]{1,2}),?\s+([0-9]{4})(?![0-9])")
+
+    def date(parts: str) -> str:
+        place = f"locate(lower({parts}.m), '{MONTHS}')"
+        iso = f"format_string('%s-%02d-%02d', {parts}.y, ({place} + 2) div 3, cast({parts}.d AS int))"
+        return f"CASE WHEN length({parts}.m) = 3 AND {place} % 3 = 1 THEN try_cast({iso} AS date) END"
+
+    found = ", ".join(f"regexp_extract({c}, {shape}, {i}) AS {n}" for i, n in enumerate("mdy", 1))
+    return let(f"struct({found})", date)
+
+
 def last_found(items: str, find: Callable[[str], str]) -> str:
     """``find`` over every item of an array; the last non-null answer."""
     return f"try_element_at({keep(transform(items, find), lambda x: f'{x} IS NOT NULL')}, -1)"

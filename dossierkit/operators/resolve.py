@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossierkit.functions.sqltext import col, cols, name as quoted
 from dossierkit.functions.text import entities
+from dossierkit.sources.sinks import staged
 
 # Parts over which rows without a key are dealt.
 NULL_PARTS = 1024
+# Candidate keys up to this number are sent to every task to cut sources with.
+REDUCE_KEYS = 200_000
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], ordinal: Sequence[str]) -> DataFrame:
@@ -101,13 +104,17 @@ class Source:
     depth: int
 
 
-def enrich(spine: DataFrame, keys: Sequence[Column], sources: dict[str, Source]) -> DataFrame:
+def enrich(spine: DataFrame, keys: Sequence[Column], sources: dict[str, Source], reduce: bool = False) -> DataFrame:
     """Spine rows with, for each source, the struct found by the first candidate key that hits.
 
     The candidates of all sources are exploded once to ``(row, ord, key)``; the sources are merged
     to one table by key first (one aggregate), so there is one join, and one aggregate back to
     rows. An ``or`` over keys in a join condition would be a nested loop instead. Equal spine rows
     have equal candidates, so their number is that of the joined rows over that of the candidates.
+
+    ``reduce`` is for sources that are much larger than the spine: its candidate keys are staged
+    and, if there are ``REDUCE_KEYS`` at most, cut every source before it is aggregated, so a source
+    is not shuffled whole. With more keys the sources stay as they are.
     """
     options = []
     for i, key in enumerate(keys):
@@ -119,6 +126,10 @@ def enrich(spine: DataFrame, keys: Sequence[Column], sources: dict[str, Source])
     numbered = spine.withColumn("_tried", tried)
     keyed = numbered.select(*cols(spine.columns), F.greatest(F.size("_tried"), F.lit(1)).alias("_of"), F.explode_outer("_tried").alias("_c"))
     keyed = keyed.select(*cols(spine.columns), "_of", "_c._ord", "_c._key")
+    if reduce:
+        wanted = staged(keyed.select("_key").filter("_key IS NOT NULL").distinct(), "keys")
+        if wanted.count() <= REDUCE_KEYS:
+            sources = {n: replace(s, df=_reduced(s, wanted)) for n, s in sources.items()}
     joined = skew_left_join(keyed, _merged(sources), "_key", spine.columns)
     # a candidate equal to an earlier one was dropped, and the earlier one lies within any depth it has
     hit = [
@@ -131,6 +142,11 @@ def enrich(spine: DataFrame, keys: Sequence[Column], sources: dict[str, Source])
     return each.drop("_rows", "_row")
 
 
+def _reduced(source: Source, wanted: DataFrame) -> DataFrame:
+    """Rows of a source with a wanted key. The filter goes below an aggregate by that key."""
+    return source.df.join(F.broadcast(wanted.select(F.col("_key").alias(source.key))), source.key, "left_semi")
+
+
 def _merged(sources: dict[str, Source]) -> DataFrame:
     """All sources by key, each as one struct column."""
     wide = None

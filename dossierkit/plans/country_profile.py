@@ -284,7 +284,7 @@ def country_profile(landed: Landed, as_of: dt.date, counts: Counts | None = None
         "factbook": Source(factbook_table(landed.factbook_log, counts), "key", 2),
         "indicators": Source(indicators, "country_code", 4),
     }
-    found = enrich(spine, keys, sources)
+    found = enrich(spine, keys, sources, reduce=True)
 
     def field(source: str, column: str) -> str:
         return f"{source}.{name(column)} AS {name(column)}"

@@ -117,3 +117,21 @@ def test_alias_join(spark):
     found = R.alias_join(df, "k", aliases, "alias", "target", ["i"])
     assert found.columns == ["i", "k"]
     assert rows(found) == [(1, "united states"), (2, "chad"), (3, None)]
+
+
+def test_a_large_source_is_cut_before_it_is_shuffled(spark, plain_joins, plan, monkeypatch):
+    spine = spark.createDataFrame([(f"k{i}", f"r{i}") for i in range(5)] + [(None, None)], "a string, b string")
+    log = spark.range(5000).selectExpr("concat('r', id % 2000) AS key", "id AS at", "id * 2 AS v")
+    keys = [F.col("a"), F.col("b")]
+
+    def found(**more):
+        return R.enrich(spine, keys, {"one": R.Source(R.last_wins(log, ["key"], ["at"]), "key", 2)}, **more)
+
+    wanted = rows(found().select("a", "one.v"))
+    assert rows(found(reduce=True).select("a", "one.v")) == wanted
+    text = plan(found(reduce=True))
+    # from the bottom of the source: rows, the cut, the partial aggregate, the shuffle
+    below = text[: text.index("Range (")]
+    assert below.rindex("LeftSemi") > below.rindex("Aggregate") > below.rindex("Exchange hashpartitioning")
+    monkeypatch.setattr(R, "REDUCE_KEYS", 3)
+    assert "LeftSemi" not in plan(found(reduce=True)) and rows(found(reduce=True).select("a", "one.v")) == wanted

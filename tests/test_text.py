@@ -138,3 +138,12 @@ def test_names(evaluate):
 
 def test_window():
     assert T.year_window(dt.date(2025, 3, 1)) == (2017, 2024)
+
+
+def test_typed_date(evaluate):
+    texts = {
+        "Jan 22, 2025": dt.date(2025, 1, 22), "MJan 6 2025": None, "Mon January 6, 2025": dt.date(2025, 1, 6), "feb 29, 2024": dt.date(2024, 2, 29),
+        "Feb 30, 2024": None, "Today": None, "Sept. 3, 2024": dt.date(2024, 9, 3), "xyz 3, 2024": None, "anf 3, 2024": None, "Dec 31, 20255": None, "": None,
+        "Jan 22 Updated Mar 3, 2024": dt.date(2024, 3, 3), None: None,
+    }
+    assert evaluate(T.typed_date("x"), list(texts)) == list(texts.values())
