@@ -12,7 +12,7 @@ from dossierkit.operators.counts import load_counts as count_tables
 from dossierkit.plans import country_profile as profile
 from dossierkit.plans import maps
 from dossierkit.sources.dims import INDICATORS, MAP_EXTENSIONS, MAP_TYPES, REGIONS
-from dossierkit.sources.landed import fetched
+from dossierkit.sources.landed import BY_PARTITION, checked_assets, fetched
 from dossierkit.sources.sinks import shared_folder
 
 
@@ -237,7 +237,22 @@ def merged_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.cell_values(found, ["o_custkey"])
 
 
+# What files of suppliers begin with, as Latin-1 text: a GIF, a JPEG, a page in place of an image.
+_CONTENTS = "case (s_suppkey + no) % 3 when 0 then 'GIF89a' when 1 then '\u00ff\u00d8\u00ff\u00e0' else 'html' end"
+
+
+def asset_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image files of suppliers, some of them mislabelled, as the catalog finds them by name and content."""
+    files = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_name", "posexplode(array('gif', 'jpg')) AS (no, extension)")
+    files = files.selectExpr("s_name AS entity", "if(no = 0, 'physical', 'political') AS type", "extension", f"{_CONTENTS} AS content")
+    path = shared_folder(spark, "assets")
+    files.write.partitionBy("entity", "type", "extension").option("encoding", "ISO-8859-1").csv(path)
+    found = checked_assets(spark, path, BY_PARTITION)
+    return found.select("entity", "type", "extension", "kind", "as_named")
+
+
 QUERIES = {
+    "asset_files": asset_files,
     "settled_landings": settled_landings,
     "merged_last_wins": merged_last_wins,
     "indicator_requests": indicator_requests,
@@ -315,6 +330,12 @@ ORACLE = {
         from found
     """,
     "distinct_codes": "select distinct unnest(string_split(p_name, ' ')) as code from part",
+    "asset_files": """
+        with files as (
+            select s_name as entity, type, extension, case (s_suppkey + no) % 3 when 0 then 'gif' when 1 then 'jpg' end as kind
+            from supplier, (values (0, 'physical', 'gif'), (1, 'political', 'jpg')) f(no, type, extension))
+        select *, coalesce(kind = extension, false) as as_named from files
+    """,
     "settled_landings": """
         select 'c' || cast(c_custkey as varchar) as code, landing, region_no,
             cast(landing as varchar) || '/' || cast(region_no as varchar) || '/' || cast(c_custkey as varchar) as body

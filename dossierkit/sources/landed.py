@@ -54,15 +54,50 @@ def landed_articles(spark: SparkSession, path: str, one_array: bool = False) ->
     return raw.select(*[filled(c) for c in raw.columns])
 
 
-def asset_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Image files below ``path/<entity>/<entity>_<type>_map.<extension>``, without their content."""
+# The bytes that image files begin with, and the extensions that go with them.
+SIGNATURES = {"gif": ("474946383761", "474946383961"), "png": ("89504E470D0A1A0A",), "jpg": ("FFD8FF",)}
+EXTENSIONS = {"jpeg": "jpg"}
+
+# Where entity, type and extension stand in a path: the layout of downloaded maps, or of tables by partition.
+BY_NAME = r"([^/]+)/[^/]+_([a-z]+)_map\.([a-z]+)$"
+BY_PARTITION = r"entity=([^/]+)/type=([^/]+)/extension=([^/]+)/[^/]+$"
+
+
+def asset_catalog(spark: SparkSession, path: str, shape: str = BY_NAME) -> DataFrame:
+    """Image files below a folder: ``entity, type, extension, size, path``, without their content.
+
+    ``shape`` finds the first three in a path, such as ``<entity>/<entity>_<type>_map.<extension>``.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return _assets(files, shape).select("entity", "type", "extension", F.col("length").alias("size"), "path")
+
+
+def _assets(files: DataFrame, shape: str) -> DataFrame:
+    parts = {n: F.regexp_extract("path", shape, i) for i, n in enumerate(("entity", "type", "extension"), 1)}
+    # Names may be escaped in paths; one that is no escape stays as it is.
+    parts["entity"] = F.coalesce(F.try_url_decode(F.replace(parts["entity"], F.lit("+"), F.lit("%2B"))), parts["entity"])
+    return files.withColumns(parts).filter(F.col("type") != "")
+
+
+def image_kind(content: Column) -> Column:
+    """What a file is by its first bytes; null when it is none of ``SIGNATURES``."""
+    head = F.hex(F.substring(content, 1, 8))
+    kind = F.lit(None).cast("string")
+    for name, marks in SIGNATURES.items():
+        for mark in marks:
+            kind = F.when(head.startswith(mark), F.lit(name)).otherwise(kind)
+    return kind
+
+
+def checked_assets(spark: SparkSession, path: str, shape: str = BY_NAME) -> DataFrame:
+    """The catalog with ``kind``, what the content is, and ``as_named``, whether the extension says so.
+
+    Files are read whole for it; an empty or broken file has no kind and is not as named.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    name = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
-    shape = r"_([a-z]+)_map\.([a-z]+)$"
-    return files.select(
-        F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("entity"),
-        F.regexp_extract("path", shape, 1).alias("type"),
-        F.regexp_extract("path", shape, 2).alias("extension"),
-        F.col("length").alias("size"),
-        "path",
-    ).filter(F.col("type") != "")
+    found = _assets(files, shape).withColumn("kind", image_kind(F.col("content")))
+    named = F.lower("extension")
+    for other, name in EXTENSIONS.items():
+        named = F.when(named == other, F.lit(name)).otherwise(named)
+    as_named = F.coalesce(F.col("kind") == named, F.lit(False)).alias("as_named")
+    return found.select("entity", "type", "extension", F.col("length").alias("size"), "kind", as_named, "path")

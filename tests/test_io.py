@@ -70,6 +70,25 @@ def test_asset_catalog(spark, tmp_path):
     assert [tuple(r) for r in found] == [("Antigua and Barbuda", "physical", "gif", 3)]
 
 
+def test_assets_are_what_their_names_say(spark, tmp_path):
+    contents = {
+        "a_physical_map.gif": b"GIF89a..", "b_physical_map.gif": b"\x89PNG\r\n\x1a\nxx", "c_political_map.png": b"\x89PNG\r\n\x1a\nxx", "d_political_map.png": b"",
+        "e_political_map.jpeg": b"\xff\xd8\xff\xe0", "f_political_map.gif": b"<html>", "g_political_map.gif": b"GIF",
+    }
+    for name, content in contents.items():
+        folder = tmp_path / "maps" / f"{name[0]} é+%"
+        folder.mkdir(parents=True)
+        (folder / name).write_bytes(content)
+    found = {r.entity[0]: r for r in landed.checked_assets(spark, str(tmp_path / "maps")).collect()}
+    assert {k: (r.kind, r.as_named) for k, r in found.items()} == {
+        "a": ("gif", True), "b": ("png", False), "c": ("png", True), "d": (None, False), "e": ("jpg", True), "f": (None, False), "g": (None, False),
+    }
+    assert found["a"].entity == "a é+%" and found["a"].size == 8
+    # a mislabelled file is not the first available one
+    ok = [(k, r.extension) for k, r in found.items() if r.as_named]
+    assert sorted(ok) == [("a", "gif"), ("c", "png"), ("e", "jpeg")]
+
+
 def test_shared_folder_is_below_the_checkpoint_folder(spark):
     one, two = sinks.shared_folder(spark, "t"), sinks.shared_folder(spark, "t")
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
