@@ -92,7 +92,8 @@ def image_kind(content: Column) -> Column:
 def checked_assets(spark: SparkSession, path: str, shape: str = BY_NAME) -> DataFrame:
     """The catalog with ``kind``, what the content is, and ``as_named``, whether the extension says so.
 
-    Files are read whole for it; an empty or broken file has no kind and is not as named.
+    Files are read whole for it; a broken file has no kind and is not as named. Empty files are not
+    listed.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     found = _assets(files, shape).withColumn("kind", image_kind(F.col("content")))

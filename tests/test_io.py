@@ -81,7 +81,7 @@ def test_assets_are_what_their_names_say(spark, tmp_path):
         (folder / name).write_bytes(content)
     found = {r.entity[0]: r for r in landed.checked_assets(spark, str(tmp_path / "maps")).collect()}
     assert {k: (r.kind, r.as_named) for k, r in found.items()} == {
-        "a": ("gif", True), "b": ("png", False), "c": ("png", True), "d": (None, False), "e": ("jpg", True), "f": (None, False), "g": (None, False),
+        "a": ("gif", True), "b": ("png", False), "c": ("png", True), "e": ("jpg", True), "f": (None, False), "g": (None, False),
     }
     assert found["a"].entity == "a é+%" and found["a"].size == 8
     # a mislabelled file is not the first available one
