@@ -201,14 +201,18 @@ def license_notices(
     own = "CASE template " + " ".join(f"WHEN {quoted(n)} THEN {string_array(w)}" for n, w in names.items()) + " END"
     placed = verified.withColumn("_span", F.expr(span)).withColumn("_own", F.expr(own))
     placed = placed.withColumn("_spaced", F.expr(spaced_words("line"))).withColumn("_words", F.expr(word_list("_spaced")))
-    at = "filter(transform(_words, (w, i) -> struct(i, w)), x -> array_contains(words, x.w))"
-    # Places are distinct, so a window's words are among the next ``_span`` of them. The places are
-    # bound by a lambda: as a column they would be worked out again for every window.
-    inside = "filter(slice(places, k + 1, _span), y -> y.i < x.i + _span)"
-    runs = f"transform(places, (x, k) -> array_distinct(transform({inside}, y -> y.w)))"
-    best = f"array_max(transform(filter({runs}, r -> size(r) >= needed AND size(array_except(_own, r)) = 0), r -> size(r)))"
+    # One pass over the words: where each word of the template stood last tells what the window that
+    # ends here holds. Besides the words themselves nothing grows with the text.
+    last = "transform(s.last, (x, k) -> if(k = p - 1, s.i, x))"
+    held = "size(filter(last, x -> x > s.i - _span))"
+    owned = "forall(_own, o -> get(last, cast(array_position(words, o) as int) - 1) > s.i - _span)"
+    seen = f"transform(array({last}), last -> struct(s.i + 1L AS i, last, greatest(s.best, if({owned}, {held}, 0)) AS best))"
+    step = f"if(p = 0, struct(s.i + 1L AS i, s.last AS last, s.best AS best), get({seen}, 0))"
+    start = f"struct(0L AS i, array_repeat({-(1 << 40)}L, size(words)) AS last, 0 AS best)"
+    at = "transform(_words, w -> array_position(words, w))"
+    best = f"nullif(aggregate({at}, {start}, (s, p) -> {step}, s -> if(s.best >= needed, s.best, 0)), 0)"
     # A filter on the best window itself would be pushed down and work it out twice.
-    found = placed.select("_key", "template", "size", F.explode_outer(F.expr(f"transform(array({at}), places -> {best})")).alias("_best"))
+    found = placed.select("_key", "template", "size", F.explode_outer(F.expr(f"array({best})")).alias("_best"))
     found = found.filter("_best IS NOT NULL")
     return found.select(F.col("_key").alias(key), "template", (F.col("_best") / F.col("size")).alias("containment"))
 

@@ -58,27 +58,38 @@ def _places() -> str:
 
 
 def _templates() -> str:
-    rows = [f"({_sql(n.split('/')[0])}, [{', '.join(map(_sql, sorted(set(licenses.words_of(t)))))}])" for n, t in licenses.TEMPLATES.items()]
-    return f"(VALUES {', '.join(rows)}) AS t(label, need)"
-
-
+    """Label, distinct words, those of the label and the longest window of each template."""
+    rows = []
+    for name, text in licenses.TEMPLATES.items():
+        words, label = [w for w in licenses.words_of(text) if w], name.split("/")[0]
+        own = sorted(set(licenses.words_of(label)) & set(words))
+        lists = ", ".join(f"[{', '.join(map(_sql, x))}]" if x else "[]::varchar[]" for x in (sorted(set(words)), own))
+        rows.append(f"({_sql(label)}, {lists}, {licenses.SPREAD * len(words)})")
+    return f"(VALUES {', '.join(rows)}) AS t(label, need, own, span)"
+
+
+_WINDOW = "list_distinct(w[i:i + span - 1])"
+_HELD = f"CASE WHEN len(list_intersect({_WINDOW}, own)) = len(own) THEN len(list_intersect({_WINDOW}, need)) ELSE 0 END"
 LICENSES = f"""
-WITH words AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
-places AS ({_places()}),
+WITH words AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS.format('text')} AS w FROM documents),
+places AS ({_places().replace("SELECT doc_id", "SELECT id")}),
 base AS (
-  SELECT doc_id, count(*) AS n, min(start) AS lo, max(start) AS hi, list(DISTINCT label) AS labels
-  FROM places GROUP BY doc_id),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
-sets AS (SELECT doc_id, list_distinct({_WORDS.format('line')}) AS w FROM lines WHERE line <> ''),
-blocks AS (
-  SELECT doc_id, label, len(list_intersect(w, need)) / len(need) AS part
-  FROM sets, {_templates()} WHERE len(list_intersect(w, need)) >= {licenses.THRESHOLD} * len(need)),
-method AS (SELECT doc_id, list(DISTINCT label) AS labels, max(part) AS best FROM blocks GROUP BY doc_id)
+  SELECT id, count(*) AS n, min(start) AS lo, max(start) AS hi, list(DISTINCT label) AS labels
+  FROM places GROUP BY id),
+likely AS (
+  SELECT id, w, label, need, own, span FROM words, {_templates()}
+  WHERE len(list_intersect(list_distinct(w), need)) >= {licenses.THRESHOLD} * len(need)),
+windows AS (
+  SELECT id, label, need, list_max(list_transform(list_filter(range(1, len(w) + 1), lambda i: list_contains(need, w[i])), lambda i: {_HELD})) AS best
+  FROM likely),
+method AS (
+  SELECT id, list(DISTINCT label) AS labels, max(best / len(need)) AS best FROM windows
+  WHERE best >= {licenses.THRESHOLD} * len(need) GROUP BY id)
 SELECT d.doc_id, len(d.w)::bigint AS n_words, coalesce(b.n, 0)::bigint AS n_base, b.lo::bigint AS first_word,
        b.hi::bigint AS last_word, coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ','), '') AS labels,
        coalesce(m.best, 0.0)::double AS score
-FROM words d LEFT JOIN base b USING (doc_id) LEFT JOIN method m USING (doc_id)
+FROM words d LEFT JOIN base b USING (id) LEFT JOIN method m USING (id)
 """
 
 

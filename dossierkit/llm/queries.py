@@ -118,13 +118,14 @@ def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices of every document; ``score`` is the best containment of a notice."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    # Rows that repeat an id are told apart by their text; rows alike in both have the same notices.
+    row = F.struct("doc_id", F.xxhash64("text").alias("text"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", row.alias("_row"))
     base = licenses.phrase_places(docs, "text").drop("text")
-    notices = licenses.license_notices(docs, "doc_id", "text")
-    found = notices.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_set(licenses.label_of(F.col("template"))).alias("_more"), F.max("containment").alias("_best")
-    )
-    all_rows = base.join(found, base["doc_id"].eqNullSafe(found["_id"]), "left")
+    notices = licenses.license_notices(docs, "_row", "text").select("_row.*", "template", "containment").toDF("_id", "_text", "template", "containment")
+    found = notices.groupBy("_id", "_text").agg(F.collect_set(licenses.label_of(F.col("template"))).alias("_more"), F.max("containment").alias("_best"))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_row.text") == F.col("_text"))
+    all_rows = base.join(found, same, "left")
     own = F.transform("places", lambda p: p["label"])
     none = F.array().cast("array<string>")
     return all_rows.select(

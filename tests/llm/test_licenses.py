@@ -107,6 +107,24 @@ def test_the_filters_lose_no_window(spark, threshold):
     assert sorted([(r["id"], r.template, round(r.containment, 12)) for r in rows], key=str) == notices(CASES, threshold)
 
 
+def test_rows_of_one_id_have_their_own_results(spark, tmp_path):
+    """The query's SQL agrees on wrapped notices, repeated ids and repeated rows."""
+    texts = [(1, FULL[0]), (1, "nothing here at all"), (1, None), (None, "MIT License"), (None, FULL[1]), (2, FULL[5]), (2, FULL[5])]
+    spark.createDataFrame([*texts, *WRAPPED, *NO_NOTICES], "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    ok, note = check.compare(spark, con, str(tmp_path), "op9_license_scan")
+    assert ok, note
+    rows = queries()["op9_license_scan"](spark, str(tmp_path)).filter("doc_id = 1 AND n_words < 10").collect()
+    assert [(r.labels, r.score) for r in rows] == [("", 0.0)] * 2
+
+
+def test_one_long_notice(spark):
+    text = (FULL[6] + " ") * 20_000
+    rows = licenses.license_notices(spark.createDataFrame([(1, text)], "id int, body string"), "id", "body").collect()
+    assert [(r.template, r.containment) for r in rows] == [("mit/grant", 1.0)]
+
+
 def test_no_rows_and_bad_parameters(spark):
     empty = spark.createDataFrame([], "id bigint, body string")
     assert licenses.license_blocks(empty, "id", "body").collect() == [] == licenses.phrase_places(empty, "body").collect()
