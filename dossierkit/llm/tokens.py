@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from collections.abc import Iterator
@@ -35,14 +36,39 @@ _ODD = re.compile(r"[\x1c-\x1f]")
 _ENDED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%*&#$|)]*)")
 
 
+# What such a pattern ends with.
+_KEPT = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def drops_white_space(path: str) -> bool:
+    """Whether a tokenizer file says that texts may be cut at white space, and letters from the signs behind them.
+
+    So it is if the text is only lower-cased and composed before, and cut by a pattern that keeps
+    runs of letters, single digits and runs of other signs, and nothing else. Other files, and those
+    that cannot be read that way, encode whole texts.
+    """
+    if not path.endswith(".json"):
+        return False
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    before, first = parts.get("normalizer") or {}, parts.get("pre_tokenizer") or {}
+    steps = before.get("normalizers", [before])
+    blanks = {"Regex": r"\s+"}
+    plain = all(s.get("type") in ("NFC", "Lowercase") or (s.get("type") == "Replace" and s.get("pattern") == blanks and s.get("content") == " ") for s in steps)
+    cut = (first.get("pretokenizers") or [first])[0]
+    pattern = (cut.get("pattern") or {}).get("Regex", "")
+    return plain and cut.get("type") == "Split" and cut.get("invert") is True and cut.get("behavior") == "Removed" and pattern.endswith(_KEPT)
+
+
 class Counter:
     """Numbers of tokens of texts, from the counts of the pieces between safe boundaries.
 
-    ``splits`` tells whether the tokenizer drops white space. If not, whole texts are encoded.
+    ``splits`` tells whether texts may be cut there (``drops_white_space``). If not, whole texts are
+    encoded.
     """
 
-    def __init__(self, path: str, splits: bool = True):
-        self.splits = splits
+    def __init__(self, path: str, splits: bool | None = None):
+        self.splits = splits = drops_white_space(path) if splits is None else splits
         self.known: dict[str, int] = {}
         self.words: dict[str, int] = {"": 0}
         if path.endswith(".model"):
@@ -104,7 +130,7 @@ def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def _counting(path: str, splits: bool):
+def _counting(path: str, splits: bool | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -123,11 +149,12 @@ def _counting(path: str, splits: bool):
     return run
 
 
-def count_tokens(df: DataFrame, text: str, tokenizer: str, keep: list[str], splits: bool = True) -> DataFrame:
+def count_tokens(df: DataFrame, text: str, tokenizer: str, keep: list[str], splits: bool | None = None) -> DataFrame:
     """The ``keep`` columns with ``n_bytes`` (UTF-8) and ``n_tokens`` of ``text``; no shuffle.
 
     ``tokenizer`` is the path of a ``.json`` or ``.model`` file on every machine. No begin, end or
-    added tokens are put in; special strings inside a text count as the library takes them. Null
+    added tokens are put in; whether texts may be cut at white space is read from the file, unless
+    ``splits`` says so; special strings inside a text count as the library takes them. Null
     is an empty text, which has 0 tokens. Every row gives one row; columns of ``keep`` that have a
     result's name are replaced. A very long text is cut at white space; without any, it is encoded
     whole, since no cut would be safe.

@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from dossierkit.llm import contamination, mixing, toxicity
@@ -95,3 +96,25 @@ def test_stages_take_nulls_repeats_and_no_rows(spark):
             found = stage(spark, rows, SF).collect()
             assert len(found) <= 3 * n
             assert n == 0 or {900001, 900002} & {r.doc_id for r in found}
+
+
+def test_near_duplicates_go_by_row(spark):
+    """Repeated ids do not take unique texts along, and repeated rows leave one."""
+    t, u, w = (" ".join(f"{x}{i}" for i in range(30)) for x in "tuw")
+    rows = [(1, w), (2, w), (2, u), (3, t), (3, t), (None, t), (4, None), (4, None), (5, ""), (None, "alone " + u[::-1])]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, _row int").withColumn("_ROW_", F.lit("x"))
+    found = corpus_pipeline.one_of_each_group(spark, docs, SF)
+    assert found.columns == docs.columns
+    wanted = [(1, w), (2, u), (3, t), (4, None), (4, None), (5, ""), (None, "alone " + u[::-1])]
+    assert sorted([(r.doc_id, r.text) for r in found.collect()], key=str) == sorted(wanted, key=str)
+
+
+def test_stages_keep_other_columns_whatever_their_names(spark):
+    names = ["n_tokens", "posterior", "rate", "copies", "_copy", "_words", "_label", "shingles", "kept", "component_id", "Rate2", "found", "score"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    odd = docs.select("*", *[F.concat(F.lit(f"{n} of "), "doc_id").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, odd, SF)
+        assert found.columns == odd.columns, name
+        rows = found.collect()
+        assert rows and all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in names), name

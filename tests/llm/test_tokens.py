@@ -56,5 +56,14 @@ def test_sentencepiece_on_whole_texts(spark):
     path = public_tokenizers.path("piece_bpe_32k.model")
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     df = spark.createDataFrame(list(enumerate(ODD)), "id int, body string")
-    got = {r["id"]: r.n_tokens for r in tokens.count_tokens(df, "body", path, ["id"], splits=False).collect()}
+    got = {r["id"]: r.n_tokens for r in tokens.count_tokens(df, "body", path, ["id"]).collect()}
     assert got == {i: len(model.encode(t)) for i, t in enumerate(ODD)}
+
+
+def test_whether_texts_are_cut_is_read_from_the_file():
+    assert tokens.drops_white_space(PATH)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not tokens.drops_white_space(path)
+    model = tokenizers.Tokenizer.from_file(path)
+    texts = [*ODD, "One sentence, as it is written, with   blanks."]
+    assert tokens.Counter(path).count(texts) == [len(model.encode(t, add_special_tokens=False).ids) for t in texts]
