@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dossierkit.llm import contamination, minhash, mixing, sharding, toxicity
 from dossierkit.llm.queries import SHARDS, TOXIC, domain_labels, training_labels
-from dossierkit.llm.shared import shared_folder
+from dossierkit.llm.shared import checkpointed, shared_folder
 
 # Target shares of the tokens of each domain that the first stage leaves.
 TARGETS = {"good": 0.9, "poor": 0.1}
@@ -25,10 +25,29 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return docs.filter(toxicity.score(model, F.col("text")) < TOXIC)
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have, in any letter case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates (shingles of five words, similarity 0.8) the one with the smallest id stays."""
-    found = minhash.near_duplicates(docs, "doc_id", "text")
-    return docs.join(found.filter("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    """Of near-duplicates (shingles of five words, similarity 0.8) the one with the smallest id stays.
+
+    Rows count, not ids: rows that repeat an id are compared like any others, and of rows alike in
+    all one stays. Null ids come last. A document without words is alone, so it stays.
+    """
+    row, group = _unused(docs, "_row"), _unused(docs, "_group")
+    # Numbered in a table that is written, so that every reading has the same numbers.
+    rows = checkpointed(docs.withColumn(row, F.monotonically_increasing_id()))
+    found = minhash.near_duplicates(rows, row, "text").select(row, F.col("component_id").alias(group))
+    members = rows.select(row, "doc_id").join(found, row)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col(row).alias("first")))["first"]
+    best = members.groupBy(group).agg(first.alias("first"))
+    gone = members.join(best, group).filter(F.col(row) != F.col("first"))
+    return rows.join(gone.select(row), row, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,13 +58,15 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its rate says, so that the domains reach ``TARGETS``."""
-    labels = domain_labels(spark, sf_dir)
+    labels, columns = domain_labels(spark, sf_dir), docs.columns
+    # Other columns go by under names of their own: results are called like some of them may be.
+    others = {c: f"_{i}_of_documents" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    docs = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in others.items()])
     model = mixing.fit_classifier(docs, "doc_id", "text", labels, "domain", list(TARGETS))
     mixed = mixing.mixed(docs, "doc_id", "text", model, list(TARGETS.values()))
-    columns = [f"`{c}`" for c in docs.columns]
     # A filter on the copies would be pushed down and work out everything twice and more.
     each = mixed.withColumn("_copy", F.explode_outer(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return each.filter("_copy IS NOT NULL").select(*columns)
+    return each.filter("_copy IS NOT NULL").select(*[F.col(others.get(c, c)).alias(c) for c in columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
