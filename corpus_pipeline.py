@@ -45,9 +45,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = minhash.near_duplicates(rows, row, "text").select(row, F.col("component_id").alias(group))
     members = rows.select(row, "doc_id").join(found, row)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col(row).alias("first")))["first"]
-    best = members.groupBy(group).agg(first.alias("first"))
-    gone = members.join(best, group).filter(F.col(row) != F.col("first"))
-    return rows.join(gone.select(row), row, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    # Every row has a group, so the first rows are all that stays; the join is by row, never by group.
+    stays = members.groupBy(group).agg(first.alias(row)).select(row)
+    return rows.join(stays, row, "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
