@@ -1,8 +1,8 @@
 """A toxicity classifier that does not change its mind when groups of people are swapped.
 
 Texts are bags of words and of word beginnings, which inflected and compound words share. Those
-that part toxic from other labelled texts best, and the identity terms, have weights of a logistic regression, fitted on a bounded sample of labelled
-rows. For every identity term of a labelled text there are counterfactual texts, with the term
+whose part in toxic texts differs from that in others beyond a significance bound, and the identity
+terms, have weights of a logistic regression, fitted on a bounded sample of labelled rows. For every identity term of a labelled text there are counterfactual texts, with the term
 replaced by each other term of its kind and by a word without a weight; the squared changes of the
 score between a text and its counterfactuals are added to the loss. A term that is only mentioned
 more often in toxic texts then loses its weight to the words that make them toxic.
@@ -24,14 +24,17 @@ from dossierkit.llm.wordhash import WORD_BASE, Words, finished, is_no_letter, ra
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Bounds of the fit: labelled rows, words and beginnings with a weight, occurrences that count.
+# Bounds of the fit: labelled rows, and words and beginnings with a weight (the driver holds their
+# product as a matrix). A word counts from a log-likelihood ratio that one in a hundred unrelated
+# words reaches, and from some rows on; its occurrences in a text up to a number.
 SAMPLE = 8192
-VOCABULARY = 64
+VOCABULARY = 2048
+SIGNIFICANCE = 6.63
+LEAST_ROWS = 5
 MOST_COUNT = 5
-# Weight of a counterfactual change and of the sizes of weights, and rows a word must be in.
+# Weight of a counterfactual change and of the sizes of weights.
 SWAP_PENALTY = 1.0
 RIDGE = 0.03
-LEAST_ROWS = 5
 # Bytes of the beginnings of words.
 BEGINNINGS = (4, 5, 6, 7)
 
@@ -75,19 +78,21 @@ def _keys_of(word: str) -> list[int]:
 
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_row, _toxic, _mark): the least hash of three words in a row (of one, if there are fewer).
+    """(_row, _toxic, _least, _most): the ends of the hashes of three words in a row (of one, if fewer).
 
-    Copies of a text with few changes mostly share the mark.
+    Copies of a text with few changes mostly share both; texts that share a passage rarely do.
     """
     for batch in batches:
         for start, end, words in _words(batch.column("_text")):
-            mark = np.full(words.n, np.iinfo(np.int64).max)
+            least, most = np.full(words.n, np.iinfo(np.int64).max), np.full(words.n, np.iinfo(np.int64).min)
             for size in (3, 1):
                 at = np.arange(max(0, len(words.hashes) - size + 1))
                 at = at[(words.doc[at] == words.doc[at + size - 1]) & ((size == 3) | (np.diff(words.first)[words.doc[at]] < 3))]
-                np.minimum.at(mark, words.doc[at], finished(ranges_sum(words.hashes, at, at + size, WORD_BASE)).view(np.int64))
+                mark = finished(ranges_sum(words.hashes, at, at + size, WORD_BASE)).view(np.int64)
+                np.minimum.at(least, words.doc[at], mark)
+                np.maximum.at(most, words.doc[at], mark)
             rest = [batch.column(c).slice(start, end - start) for c in ("_row", "_toxic")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(mark)], ["_row", "_toxic", "_mark"])
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(least), pa.array(most)], ["_row", "_toxic", "_least", "_most"])
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,6 +180,23 @@ def swap_penalty(counts: np.ndarray, kinds: Sequence[Sequence[Sequence[int]]]) -
     return out
 
 
+def _term(seen: Column, expected: Column) -> Column:
+    return F.when(seen > 0, seen * F.ln(seen / expected)).otherwise(0.0)
+
+
+def _ratio(n: int, toxic: int) -> Column:
+    """Log-likelihood ratio of a word in ``c`` rows, ``t`` of them toxic, against the same part of all ``n`` rows.
+
+    Unlike a difference in standard errors it holds for the few rows of rare words.
+    """
+    t, c = F.col("t").cast("double"), F.col("c").cast("double")
+    ratio = F.lit(0.0)
+    for rows, with_word, without_word in ((toxic, t, toxic - t), (n - toxic, c - t, n - toxic - c + t)):
+        part = rows / n
+        ratio = ratio + _term(with_word, c * part) + _term(without_word, (n - c) * part)
+    return 2 * ratio
+
+
 def fit(
     texts: DataFrame,
     labels: DataFrame,
@@ -184,21 +206,25 @@ def fit(
     identity: Sequence[Sequence[str]] = IDENTITY_TERMS,
     swap: float = SWAP_PENALTY,
     sample: int = SAMPLE,
+    significance: float = SIGNIFICANCE,
 ) -> Model:
     """A model of ``labels`` (``key``, ``toxic`` 0 or 1) of ``texts`` (``key``, ``text``).
 
     About ``sample`` labels are used, by a hash of the key, and copies of a text mostly once; other
-    labels than 0 and 1 and null keys are not. Words come from these rows by the difference of their shares in
-    toxic and other rows, in standard errors. Without rows of both labels every text has the share
-    of toxic rows as its score (0.5 without rows).
+    labels than 0 and 1 and null keys are not. Of equal texts with different labels that of the least
+    key counts, and the least label if a key has several. All words and beginnings count whose
+    log-likelihood ratio is ``significance`` or more, the ``VOCABULARY`` highest if there are more.
+    Without rows of both labels every text has the share of toxic rows as its score (0.5 without rows).
     """
     marked = labels.select(F.col(f"`{key}`").cast("bigint").alias("_row"), F.col(f"`{toxic}`").cast("bigint").alias("_toxic"))
     marked = sampled(marked.filter("_toxic IN (0, 1) AND _row IS NOT NULL"), "_row", sample)
     # About ``sample`` rows of two numbers.
     rows = texts.select(F.col(f"`{key}`").cast("bigint").alias("_row"), normal(F.col(f"`{text}`")).alias("_text"))
-    rows = checkpointed(rows.join(F.broadcast(marked), "_row").dropDuplicates(["_text"]).select("_row", "_text", "_toxic"))
+    rows = rows.join(F.broadcast(marked), "_row").groupBy("_text").agg(F.min(F.struct("_row", "_toxic")).alias("_least"))
+    rows = checkpointed(rows.select("_least._row", "_text", "_least._toxic"))
     # One text of a group of copies, and of a key that repeats.
-    firsts = rows.mapInArrow(_marked, "_row bigint, _toxic bigint, _mark bigint").groupBy("_mark", "_toxic").agg(F.min("_row").alias("_row"))
+    marks = rows.mapInArrow(_marked, "_row bigint, _toxic bigint, _least bigint, _most bigint")
+    firsts = marks.groupBy("_least", "_most", "_toxic").agg(F.min("_row").alias("_row"))
     rows = rows.join(F.broadcast(firsts.select("_row", "_toxic").distinct()), ["_row", "_toxic"]).select("_row", "_text", "_toxic")
     words = rows.mapInArrow(_counted, "_row bigint, _toxic bigint, _word bigint, _n bigint")
     totals = rows.groupBy("_toxic").agg(F.count("*").alias("n")).collect()
@@ -207,11 +233,8 @@ def fit(
         share = n.get(1, 0) / max(1, sum(n.values())) if n else 0.5
         return Model({}, float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     by_word = words.groupBy("_word").agg(F.sum("_toxic").alias("t"), F.count("*").alias("c"))
-    t, c = F.col("t").cast("double"), F.col("c").cast("double")
-    both = c / float(n[0] + n[1])
-    error = F.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]) + 1e-12)
-    z = F.abs((t / float(n[1]) - (c - t) / float(n[0])) / error)
-    chosen = by_word.filter(F.col("c") >= LEAST_ROWS).orderBy(z.desc(), "_word").limit(VOCABULARY).collect()
+    rated = by_word.filter(F.col("c") >= LEAST_ROWS).select("_word", _ratio(n[0] + n[1], n[1]).alias("ratio"))
+    chosen = rated.filter(F.col("ratio") >= significance).orderBy(F.desc("ratio"), "_word").limit(VOCABULARY).collect()
     named = [[_keys_of(term) for term in kind] for kind in identity]
     keys = sorted({r["_word"] for r in chosen} | {term[0] for kind in named for term in kind})
     column = {k: i for i, k in enumerate(keys)}
