@@ -149,7 +149,11 @@ def _solved(x: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray:
     now = loss(w)
     for _ in range(50):
         p = 1 / (1 + np.exp(-(x @ w)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(len(w)), x.T @ (p - y) + penalty @ w)
+        curved = penalty + 1e-9 * np.eye(len(w))
+        for i in range(0, len(x), 1024):  # no second matrix of all rows
+            part = slice(i, i + 1024)
+            curved += (x[part] * (p[part] * (1 - p[part]))[:, None]).T @ x[part]
+        step = np.linalg.solve(curved, x.T @ (p - y) + penalty @ w)
         size = 1.0
         while size > 1e-4 and loss(w - size * step) > now:
             size /= 2
@@ -239,18 +243,19 @@ def fit(
     keys = sorted({r["_word"] for r in chosen} | {term[0] for kind in named for term in kind})
     column = {k: i for i, k in enumerate(keys)}
     named = [[[column[k] for k in term if k in column] for term in kind] for kind in named]
-    # About ``sample`` rows with the words that have a weight.
-    wanted = words.filter(F.col("_word").isin(keys)).groupBy("_row", "_toxic").agg(F.collect_list(F.struct("_word", "_n")).alias("w"))
-    held = wanted.collect()
-    x = np.zeros((len(held), len(keys) + 1))
-    y = np.zeros(len(held))
-    for i, r in enumerate(sorted(held, key=lambda r: (r["_row"], r["_toxic"]))):
-        y[i] = r["_toxic"]
-        for w in r["w"]:
-            x[i, column[w["_word"]]] = min(w["_n"], MOST_COUNT)
-    rest = {t: n[t] - int((y == t).sum()) for t in (0, 1)}
-    empty = np.zeros((sum(rest.values()), x.shape[1]))
-    x, y = np.vstack([x, empty]), np.concatenate([y, np.repeat([0.0, 1.0], [rest[0], rest[1]])])
+    # The words with a weight of about ``sample`` rows, as columns: objects would take ten times the room.
+    wanted = words.filter(F.col("_word").isin(keys))
+    held = wanted.select("_row", F.col("_toxic").cast("tinyint"), "_word", F.least("_n", F.lit(MOST_COUNT)).cast("tinyint").alias("_n")).toArrow()
+    row, label, word, times = (held.column(i).to_numpy() for i in range(4))
+    order = np.lexsort((label, row))
+    row, label, word, times = row[order], label[order], word[order], times[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (label[1:] != label[:-1])
+    marked_rows = label[new]
+    rest = {t: n[t] - int((marked_rows == t).sum()) for t in (0, 1)}  # rows without any of the words
+    y = np.concatenate([marked_rows, np.repeat([0, 1], [rest[0], rest[1]])]).astype(float)
+    x = np.zeros((len(y), len(keys) + 1))
+    np.maximum.at(x, (np.cumsum(new) - 1, np.searchsorted(keys, word)), times)
     x[:, -1] = 1
     penalty = RIDGE * np.eye(x.shape[1])
     penalty[-1, -1] = 0
