@@ -85,3 +85,20 @@ def test_a_search_reads_the_cells_it_needs(spark, tmp_path, plan):
     text = plan(V.search(index, asked, 40, query_id="q", query_vector="u"))
     assert re.search(r"PartitionFilters: \[[^\]]*_cell#\d+ (IN|=)", text)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_a_question_is_not_copied_to_every_cell(spark, tmp_path, monkeypatch):
+    kept = []
+
+    def seen(df, name):
+        kept.append((name, keep(df, name)))
+        return kept[-1][1]
+
+    keep = V.staged
+    monkeypatch.setattr(V, "staged", seen)
+    # nothing can be passed over: all vectors are about as far from each other
+    vectors = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(7).standard_normal((400, 48)))]
+    assert found(spark, tmp_path / "i", vectors, vectors, 2) == nearest(vectors, vectors, 2)
+    visits = [df.count() for name, df in kept if name == "visits"]
+    # a row per question, and some that tell the cells of each task
+    assert len(visits) == 2 and max(visits) <= 2 * len(vectors)
