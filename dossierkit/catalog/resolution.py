@@ -243,7 +243,8 @@ _CONTENTS = "case (s_suppkey + no) % 3 when 0 then 'GIF89a' when 1 then '\u00ff\
 
 def asset_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image files of suppliers, some of them mislabelled, as the catalog finds them by name and content."""
-    files = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_name", "posexplode(array('gif', 'jpg')) AS (no, extension)")
+    # A file each: making them is the work, so all cores make some.
+    files = table(spark, sf_dir, "supplier", "s_suppkey").selectExpr("s_suppkey", "s_name", "posexplode(array('gif', 'jpg')) AS (no, extension)")
     files = files.selectExpr("s_name AS entity", "if(no = 0, 'physical', 'political') AS type", "extension", f"{_CONTENTS} AS content")
     path = shared_folder(spark, "assets")
     files.write.partitionBy("entity", "type", "extension").option("encoding", "ISO-8859-1").csv(path)

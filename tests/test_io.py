@@ -1,9 +1,10 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from dossierkit.catalog import common
+from dossierkit.catalog import common, resolution
 from dossierkit.operators.counts import Counts
 from dossierkit.plans.articles import CSV_COLUMNS
 from dossierkit.sources import dims, landed, sinks
@@ -140,3 +141,10 @@ def test_an_export_is_worked_out_once_and_shown_when_it_is_complete(spark, tmp_p
     second = sinks.export(frame(9), folder, writers)
     assert sinks.complete_exports(spark, folder) == [first, second]
     assert sinks.read_csv(spark, second.path("csv"), "id bigint").count() == 9
+
+
+def test_asset_files_are_written_by_all_cores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(resolution, "shared_folder", lambda spark, name: str(tmp_path / name))
+    assert resolution.asset_files(spark, "/root/testdata/sf0.01").count() == 200
+    tasks = [re.match(r"part-(\d+)", f.name)[1] for f in (tmp_path / "assets").rglob("part-*")]
+    assert len(tasks) == 200 and max(map(tasks.count, tasks)) < 100
