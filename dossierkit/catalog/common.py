@@ -18,6 +18,9 @@ AS_OF = dt.date(2002, 6, 30)
 WINDOW = year_window(AS_OF)
 YEARS = range(WINDOW[0], WINDOW[1] + 1)
 
+# Rows of a part, where the work per row is heavy.
+HEAVY_ROWS = 50_000
+
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows over all cores when the scan has fewer partitions than there are cores.
@@ -29,9 +32,16 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, heavy_by: str | None = None) -> DataFrame:
-    """A driver table; ``heavy_by`` is its key where the work per row is heavy."""
+    """A driver table; ``heavy_by`` is its key where the work per row is heavy.
+
+    Such rows come in parts of about ``HEAVY_ROWS``: a file of small rows is one part of a scan, and what
+    a task makes of it would grow with the table.
+    """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, heavy_by) if heavy_by else df
+    if not heavy_by:
+        return df
+    parts = -(-df.count() // HEAVY_ROWS)
+    return df.repartition(parts, heavy_by) if parts > max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism) else spread(df, heavy_by)
 
 
 def text(c: str) -> str:

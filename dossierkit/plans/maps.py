@@ -27,6 +27,7 @@ def map_requests(countries: DataFrame) -> DataFrame:
 def map_files(requests: DataFrame, log: DataFrame) -> DataFrame:
     """First request per country and map type that ``log(url, status)`` has content for; misses stay."""
     seen = log.groupBy("url").agg(F.bool_or(fetched(F.col("status"))).alias("ok"))
-    tried = requests.join(seen, "url", "left")
+    # A log has as many rows as there are requests: it is not to be sent to every task, small as its files may be.
+    tried = requests.join(seen.hint("merge"), "url", "left")
     found = first_available(tried, ["country", "map_type"], ["extension_no"], F.col("ok"))
     return found.select("country", "map_type", "extension", "url", "path")

@@ -148,3 +148,12 @@ def test_asset_files_are_written_by_all_cores(spark, tmp_path, monkeypatch):
     assert resolution.asset_files(spark, "/root/testdata/sf0.01").count() == 200
     tasks = [re.match(r"part-(\d+)", f.name)[1] for f in (tmp_path / "assets").rglob("part-*")]
     assert len(tasks) == 200 and max(map(tasks.count, tasks)) < 100
+
+
+def test_heavy_rows_come_in_parts_of_a_size(spark, monkeypatch, plan):
+    monkeypatch.setattr(common, "HEAVY_ROWS", 10, raising=False)
+    rows = common.table(spark, "/root/testdata/sf0.001", "customer", "c_custkey")
+    assert rows.rdd.getNumPartitions() == -(-rows.count() // 10)
+    # a scan of small rows makes many large ones: they are dealt before, and no log goes to every task
+    text = plan(resolution.map_files(spark, "/root/testdata/sf0.001"))
+    assert "BroadcastHashJoin" not in text and text.count("REPARTITION_BY_NUM") == 2
