@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossierkit.catalog.common import AS_OF, WINDOW, YEARS, cents, grouped, money, table, text, whole
@@ -192,20 +192,16 @@ def landed_sources(spark: SparkSession, sf_dir: str) -> profile.Landed:
         F.expr(f"lpad({text(_K)}, 9, '0')").alias("Numeric Code"),
     )
 
-    def page(url: str, html: str, missing: str) -> Column:
-        """A page, and a later fetch of it that failed."""
+    def page(url: str, html: str, missing: str) -> DataFrame:
+        """A page, and a later fetch of it that failed. As parts of their own: who asks for a page does not make the others."""
         shown = F.expr(f"case when {missing} then '<p>no table</p>' else {html} end")
-        failed = F.struct(F.lit(url).alias("url"), F.lit(404).alias("status"), (F.col(_K) + 10**9).alias("ordinal"), F.expr(f"replace({html}, '<td>', '<td>9')").alias("html"))
-        return F.array(F.struct(F.lit(url).alias("url"), F.lit(200).alias("status"), F.col(_K).alias("ordinal"), shown.alias("html")), failed)
-
-    shown = F.flatten(
-        F.array(
-            page(profile.CURRENCY_URL, _CURRENCY_PAGE, f"{_K} % 5 = 0"),
-            page(profile.POPULATION_URL, _POPULATION_PAGE, f"{_K} % 7 = 0"),
-            page(profile.LIFE_URL, _LIFE_PAGE, f"{_K} % 4 = 0"),
-        )
-    )
-    pages = customer.select(F.inline(shown))
+        failed = F.expr(f"replace({html}, '<td>', '<td>9')")
+        first = customer.select(F.lit(url).alias("url"), F.lit(200).alias("status"), F.col(_K).alias("ordinal"), shown.alias("html"))
+        return first.union(customer.select(F.lit(url).alias("url"), F.lit(404).alias("status"), (F.col(_K) + 10**9).alias("ordinal"), failed.alias("html")))
+
+    pages = page(profile.CURRENCY_URL, _CURRENCY_PAGE, f"{_K} % 5 = 0")
+    pages = pages.union(page(profile.POPULATION_URL, _POPULATION_PAGE, f"{_K} % 7 = 0"))
+    pages = pages.union(page(profile.LIFE_URL, _LIFE_PAGE, f"{_K} % 4 = 0"))
     tries = customer.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("region_no"))
     log = tries.select(
         F.expr(f"'C' || {text(_K)}").alias("code"),

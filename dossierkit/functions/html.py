@@ -81,5 +81,6 @@ def joined_text(html: str) -> str:
 
 
 def stripped_text(html: str) -> str:
-    """Text parts of a fragment, each stripped, joined without a separator."""
-    return f"array_join({transform(split_on(html, TAG), lambda p: strip(unescape(p)))}, '')"
+    """Text parts of a fragment, each stripped, joined without a separator. Without tags and entities it is one part."""
+    parts = f"array_join({transform(split_on(html, TAG), lambda p: strip(unescape(p)))}, '')"
+    return f"CASE WHEN contains({html}, '<') OR contains({html}, '&') THEN {parts} ELSE {strip(html)} END"

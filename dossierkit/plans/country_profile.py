@@ -198,12 +198,13 @@ def indicator_table(payloads: DataFrame, as_of: dt.date, counts: Counts | None =
     """
     window = year_window(as_of)
     landed = payloads.filter(fetched(F.col("status")) & F.col("indicator").isin(*INDICATORS))
-    points = payload_points(landed.select("country_code", "indicator", "ordinal", "body"), "body", window)
+    # Named by payload, not by point.
+    named = landed.select("country_code", F.expr(normalise_name("indicator", INDICATORS)).alias("indicator"), "ordinal", "body")
+    points = payload_points(named, "body", window)
     if counts:
         points = counts.watched(points, PAYLOADS, rows=F.col("pos") < 0, bad=col(BAD_RECORD))
-    named = payload_rows(points).withColumn("indicator", F.expr(normalise_name("indicator", INDICATORS)))
     years = range(window[0], window[1] + 1)
-    return indicator_pivot(named, ["country_code"], list(INDICATORS.values()), years, ordinal="ordinal")
+    return indicator_pivot(payload_rows(points), ["country_code"], list(INDICATORS.values()), years, ordinal="ordinal")
 
 
 # Where payloads and records are fetched from, and the years asked for before the window.

@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from dossierkit.catalog import profiles
 from dossierkit.operators.counts import Counts
 from dossierkit.operators.extract import article_cards, html_table_rows, label_values, page_links
 from dossierkit.plans import articles as A
@@ -314,3 +315,10 @@ def test_maps(spark):
         ("New Zealand", "physical", None),
         ("New Zealand", "political", "country_maps/New Zealand/New Zealand_political_map.png"),
     ]
+
+
+def test_a_page_is_derived_without_the_others(spark, plan):
+    landed = profiles.landed_sources(spark, "/root/testdata/sf0.001")
+    text = plan(landed.currency_pages)
+    assert "wikitable" in text and "main_table_countries_today" not in text and "<td>9" not in text
+    assert landed.currency_pages.count() == 150
