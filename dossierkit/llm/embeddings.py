@@ -8,6 +8,9 @@ sends one row per vector, with its number of links and one of its linked neighbo
 
 A bucket with many vectors is dealt over cells of two blocks each, so that no task has more than
 two blocks. Equal vectors are one class with a count before anything is compared.
+
+Joins are by shuffles, whatever their sides seem to weigh: Spark sizes what an ``explode`` makes as
+its input, a hundredth of it here, and would send all keys of all vectors through the driver.
 """
 
 from __future__ import annotations
@@ -200,22 +203,22 @@ def near_vectors(
     buckets = classes.select("_id", "_tag", "_label", F.length("_unit").alias("_size"), "_keys", every_table)
     buckets = buckets.select("_id", "_tag", "_table", F.xxhash64("_label", "_size", "_table", F.expr(own_key)).alias("_bucket"))
     shared = buckets.groupBy("_bucket").agg(F.count("*").alias("_m")).filter("_m > 1")
-    members = buckets.join(shared, "_bucket").withColumn("_blocks", F.expr(f"cast(1 + (_m - 1) div {BLOCK} as int)"))
+    members = buckets.join(shared.hint("merge"), "_bucket").withColumn("_blocks", F.expr(f"cast(1 + (_m - 1) div {BLOCK} as int)"))
     members = members.withColumn("_block", F.expr("cast(pmod(xxhash64(_tag, 3), _blocks) as int)"))
     # A vector of block b meets all blocks: one cell for each pair of blocks, one for the block itself.
     cells = members.withColumn("_other", F.expr("explode(sequence(0, _blocks - 1))"))
     cells = cells.select("_id", "_tag", "_table", "_bucket", "_block", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"))
-    full = cells.join(classes.select("_id", "_tag", "_count", "_unit", "_keys"), ["_id", "_tag"])
+    full = cells.join(classes.select("_id", "_tag", "_count", "_unit", "_keys").hint("merge"), ["_id", "_tag"])
     full = full.repartition(F.col("_bucket"), F.col("_i"), F.col("_j")).sortWithinPartitions("_bucket", "_i", "_j")
     linked = checkpointed(full.mapInArrow(_compared(cosine, bits), "_id bigint, _tag bigint, _linked bigint, _n bigint"))
-    copies = hashed.select("_label", "_unit", F.col("_id").alias("_row")).join(classes.select("_label", "_unit", "_id", "_tag", "_count"), ["_label", "_unit"])
+    copies = hashed.select("_label", "_unit", F.col("_id").alias("_row")).join(classes.select("_label", "_unit", "_id", "_tag", "_count").hint("merge"), ["_label", "_unit"])
     copies = copies.select("_row", F.col("_id").alias("_class"), F.col("_tag").alias("_own"), "_count")
     links = linked.select("_id", "_linked").union(copies.filter("_count > 1").select(F.col("_class").alias("_id"), F.col("_row").alias("_linked")))
     found = components(links, "_id", "_linked")
     counts = linked.groupBy("_id", "_tag").agg(F.sum("_n").alias("_n"))
-    by_row = copies.join(counts, (copies["_class"] == counts["_id"]) & (copies["_own"] == counts["_tag"]), "left")
+    by_row = copies.join(counts.hint("merge"), (copies["_class"] == counts["_id"]) & (copies["_own"] == counts["_tag"]), "left")
     by_row = by_row.groupBy("_row").agg(F.max(F.coalesce("_n", F.lit(0)) + F.col("_count") - 1).alias("_links"))
-    out = rows.select("_id").join(by_row, rows["_id"] == by_row["_row"], "left").join(found, rows["_id"] == found["node"], "left")
+    out = rows.select("_id").join(by_row.hint("merge"), rows["_id"] == by_row["_row"], "left").join(found.hint("merge"), rows["_id"] == found["node"], "left")
     component = F.when(F.col("_id").isNotNull(), F.coalesce("component", "_id"))
     return out.select(
         F.col("_id").alias(key),

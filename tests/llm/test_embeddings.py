@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from dossierkit.llm import embeddings
+from dossierkit.llm import components, embeddings
 
 NAN, INF = float("nan"), float("inf")
 
@@ -79,3 +79,24 @@ def test_repeated_keys_and_no_rows(spark):
 def test_tables_keep_the_promised_recall():
     same = (1 - np.arccos(0.93) / np.pi) ** embeddings.BITS
     assert (1 - same) ** embeddings.tables_for(0.93, embeddings.BITS, 1e-6) <= 1e-6
+
+
+def test_keys_and_links_do_not_pass_through_the_driver(spark, monkeypatch, plan):
+    # What every table makes of a vector is sized as the vectors themselves: no join may trust that.
+    plans = []
+
+    def seen(df):
+        plans.append(plan(df))
+        return checkpointed(df)
+
+    checkpointed = components.checkpointed
+    monkeypatch.setattr(embeddings, "checkpointed", seen)
+    monkeypatch.setattr(components, "checkpointed", seen)
+    monkeypatch.setattr(components, "SEND", 0, raising=False)
+    rows = [(i, [1.0, i / 1000, 0.0], 0) for i in range(40)] + [(50, [1.0, 0.0, 0.0], 0)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>, lab int")
+    out = embeddings.near_vectors(df, "id", "v", "lab")
+    assert {(r["id"], r.n_links, r.component_id) for r in out.collect()} == {(k, 40, 0) for k, _, _ in rows}
+    plans.append(plan(out))
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 7
+    assert not [p for p in plans if "Broadcast" in p]
