@@ -13,7 +13,7 @@ from dossierkit.plans import country_profile as profile
 from dossierkit.plans import maps
 from dossierkit.sources.dims import INDICATORS, MAP_EXTENSIONS, MAP_TYPES, REGIONS
 from dossierkit.sources.landed import BY_PARTITION, checked_assets, fetched
-from dossierkit.sources.sinks import shared_folder
+from dossierkit.sources.sinks import shared_folder, write_files
 
 
 def indicator_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +247,7 @@ def asset_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "supplier", "s_suppkey").selectExpr("s_suppkey", "s_name", "posexplode(array('gif', 'jpg')) AS (no, extension)")
     files = files.selectExpr("s_name AS entity", "if(no = 0, 'physical', 'political') AS type", "extension", f"{_CONTENTS} AS content")
     path = shared_folder(spark, "assets")
-    files.write.partitionBy("entity", "type", "extension").option("encoding", "ISO-8859-1").csv(path)
+    write_files(files, path, ["entity", "type", "extension"], "content")
     found = checked_assets(spark, path, BY_PARTITION)
     return found.select("entity", "type", "extension", "kind", "as_named")
 

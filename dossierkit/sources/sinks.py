@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import json
+import os
+import sys
 import time
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +20,10 @@ from pyspark.sql import functions as F
 from dossierkit.functions.sqltext import col
 from dossierkit.operators.counts import Counts
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LIST_SEPARATOR = "; "
+LATIN_1 = "ISO-8859-1"
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -54,6 +62,66 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def machine_folder(spark: SparkSession, folder: str) -> str | None:
+    """A folder's path, if it is one of the file system (``file:``) and not of another store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    return path.toUri().getPath() if scheme == "file" else None
+
+
+# How Spark names the partition of a missing value, and what it escapes in names.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = frozenset([*map(chr, range(1, 32)), *"\"#%'*/:=?\\\x7f{[]^"])
+
+
+def partition_folder(name: str, value: str | None) -> str:
+    """``name=value`` as Spark writes it; what is not ASCII is escaped too, as locales may differ."""
+    plain = "".join("".join(f"%{b:02X}" for b in c.encode()) if c in _ESCAPED or c > "\x7f" else c for c in value or NO_VALUE)
+    return f"{name}={plain}"
+
+
+def _writing(root: str, by: Sequence[str], content: str):
+    """Writes one file for all following rows with the same ``by``; gives the number of files."""
+
+    def rows(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            yield from zip(zip(*(batch.column(c).to_pylist() for c in by)), batch.column(content).to_pylist())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task that runs again puts its files in place of those that it left.
+        name, made = f"part-{TaskContext.get().partitionId():05d}", 0
+        for values, group in groupby(rows(batches), key=lambda row: row[0]):
+            folder = os.path.join(root, *map(partition_folder, by, values))
+            os.makedirs(folder, exist_ok=True)
+            part = os.path.join(folder, f".{name}-{uuid.uuid4().hex}")
+            with open(part, "wb") as file:
+                for _, line in group:
+                    file.write(f"{line or ''}\n".encode(LATIN_1, "replace"))
+            os.replace(part, os.path.join(folder, name))
+            made += 1
+        yield pa.RecordBatch.from_pydict({"files": [made]})
+
+    return run
+
+
+def write_files(df: DataFrame, folder: str, by: Sequence[str], content: str) -> None:
+    """A file for each ``by`` that a task has, below ``folder/<name>=<value>/...``, with a line for each ``content``.
+
+    Contents are Latin-1, without quotes and separators of CSV.
+    Spark makes files of the file system at the cost of a process for every file and folder
+    (``chmod``), which is longer than all else where there are many: there they are written by
+    Python. Other stores are left to Spark.
+    """
+    values = [F.nullif(col(c).cast("string"), F.lit("")).alias(c) for c in by]  # both are no value
+    df = df.select(*values, content).sortWithinPartitions(*by)
+    root = machine_folder(df.sparkSession, folder)
+    if root is None:
+        df.write.partitionBy(*by).option("encoding", LATIN_1).csv(folder)
+        return
+    os.makedirs(root)
+    df.mapInArrow(_writing(root, by, content), "files bigint").write.format("noop").mode("overwrite").save()
+
+
 # Name of what an export writes last.
 MARKER = "complete"
 

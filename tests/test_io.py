@@ -150,6 +150,37 @@ def test_asset_files_are_written_by_all_cores(spark, tmp_path, monkeypatch):
     assert len(tasks) == 200 and max(map(tasks.count, tasks)) < 100
 
 
+def test_many_files_are_written_as_spark_writes_them_but_without_its_writer(spark, tmp_path, monkeypatch):
+    names = ["a b", "a+b", "a/b=c%2F:x", None, "", "[x]{y}", "twice", "twice", "q'\"#?*^\\"]
+    rows = [(i, n, k, "html" if i == 7 else "GIF89a" if k == "gif" else "\u00ff\u00d8\u00ff\u00e0") for i, n in enumerate(names) for k in ("gif", "jpg")]
+    df = spark.createDataFrame(rows, "i int, entity string, extension string, content string").withColumn("type", F.lit("map"))
+    by, columns = ["entity", "type", "extension"], ["entity", "extension", "kind", "as_named", "size"]
+
+    def written(folder):
+        sinks.write_files(df.repartition(1, "i"), str(tmp_path / folder), by, "content")
+        return sorted(map(str, landed.checked_assets(spark, str(tmp_path / folder), landed.BY_PARTITION).select(columns).collect()))
+
+    sinks.write_files(df.filter("i < 0"), str(tmp_path / "none"), by, "content")
+    assert landed.checked_assets(spark, str(tmp_path / "none"), landed.BY_PARTITION).count() == 0
+    own = written("own")
+    assert len(own) == 14 and not list((tmp_path / "own").rglob(".*"))  # no names but one, and the same twice: one file each
+    monkeypatch.setattr(sinks, "machine_folder", lambda spark, folder: None)
+    assert own == written("spark") and list((tmp_path / "spark").rglob("*.crc"))
+    assert sinks.partition_folder("n", "\u00e9 z") == "n=%C3%A9 z"
+
+
+def test_files_of_another_store_are_left_to_spark(spark, tmp_path):
+    assert sinks.machine_folder(spark, f"file://{tmp_path}/a b") == sinks.machine_folder(spark, f"{tmp_path}/a b") == f"{tmp_path}/a b"
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.shop.link./in", f"file://{tmp_path}")
+    assert sinks.machine_folder(spark, "viewfs://shop/in/a") is None
+
+
+def test_asset_files_do_not_go_through_spark_writer(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(resolution, "shared_folder", lambda spark, name: str(tmp_path / name))
+    assert resolution.asset_files(spark, "/root/testdata/sf0.001").count() == 20
+    assert len(list((tmp_path / "assets").rglob("part-*"))) == 20 and not list((tmp_path / "assets").rglob("*.crc"))
+
+
 def test_heavy_rows_come_in_parts_of_a_size(spark, monkeypatch, plan):
     monkeypatch.setattr(common, "HEAVY_ROWS", 10, raising=False)
     rows = common.table(spark, "/root/testdata/sf0.001", "customer", "c_custkey")
